@@ -1,2 +1,59 @@
-QUERIES = {}
-SQL = {}
+"""Queries of the problems 3, 5, 6, 7, 8 and 9, with their SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..plans.problems import RECORDS
+from ..session import table
+from . import mixing, packing, topn
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    cells = topn.top_cells(table(spark, d, "classification_results"), table(spark, d, "slides"), 5)
+    return cells.select("slide_id", "cluster_id", "record_id", "label_id")
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return packing.split_documents(table(spark, d, "documents"))
+
+
+def p7_containers(spark: SparkSession, d: str) -> DataFrame:
+    """Per container: pieces and tokens."""
+    packed = packing.pack(table(spark, d, "documents"))
+    return packed.groupBy("container").agg(F.count(F.lit(1)).alias("n_pieces"), F.sum("piece_size").alias("tokens"))
+
+
+def p7_fill(spark: SparkSession, d: str) -> DataFrame:
+    return packing.fill_report(table(spark, d, "documents"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.capped_sources(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.share_report(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
+QUERIES = {f.__name__: f for f in (p5_found, p7_found, p7_containers, p7_fill, p8_found, p8_shares, p8_mix)}
+
+SIZE = "octet_length(encode(text))"
+SQL = {
+    "p5_found": f"""WITH s AS ({RECORDS}), c AS (
+        SELECT DISTINCT s.sid AS slide_id, x.cluster_id, s.record_id, x.label_id, CASE WHEN x.cluster_confidence IS NULL OR isnan(x.cluster_confidence) THEN 0 ELSE x.cluster_confidence END AS f
+        FROM (SELECT record_id, unnest(classified_cells) AS x FROM classification_results) r JOIN s USING (record_id)
+        WHERE s.sid IS NOT NULL AND x.cluster_id >= 0 AND x.label_id IS NOT NULL)
+      SELECT slide_id, cluster_id, record_id, label_id FROM c
+      QUALIFY row_number() OVER (PARTITION BY slide_id, cluster_id ORDER BY f DESC, record_id, label_id) <= 5""",
+    "p7_found": f"SELECT doc_id FROM documents WHERE {SIZE} > 8192",
+    "p8_found": f"""WITH k AS (SELECT *, lower(regexp_replace(source, '[^\\p{{L}}\\p{{N}}]', '', 'g')) AS k FROM mix_targets),
+      z AS (SELECT lower(regexp_replace(source, '[^\\p{{L}}\\p{{N}}]', '', 'g')) AS k, sum({SIZE}) AS size FROM documents WHERE text IS NOT NULL GROUP BY 1),
+      j AS (SELECT k.source, k.target_share, k.max_repeats, coalesce(z.size, 0) AS size FROM k LEFT JOIN z USING (k))
+      SELECT source FROM j WHERE max_repeats * size < target_share * (SELECT sum(size) FROM j)""",
+}
