@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..plans.problems import RECORDS
 from ..session import table
-from . import mixing, packing, topn
+from . import mixing, packing, sentences, topn
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -41,7 +41,11 @@ def p8_mix(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p7_found, p7_containers, p7_fill, p8_found, p8_shares, p8_mix)}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return sentences.sentences(table(spark, d, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p5_found, p7_found, p7_containers, p7_fill, p8_found, p8_shares, p8_mix, p9_found)}
 
 SIZE = "octet_length(encode(text))"
 SQL = {
