@@ -10,8 +10,9 @@ neighbours of its neighbours). Iterations end when no node has a block left to v
 Blocks: leaders are chosen greedily in a sample of at most SAMPLE vectors (taken by hash of the key), so that
 no two are more similar than COVER; leaders are gathered into blocks of about BLOCK rows by
 recursive bisection. Every vector (not only the sample) goes to its nearest leader's block; one that no
-leader covers goes to the blocks of its SPREAD nearest leaders. A block is compared in full. A
-block beyond UNIT rows is split among its own members, each row standing in the two nearest
+leader covers goes to the blocks of its SPREAD nearest leaders, and to the nearest of the sparse blocks, which
+hold uncovered vectors only, about SPARSE of them, because their neighbours lie far apart. A block is
+compared in full. A block beyond UNIT rows (sparse: twice SPARSE) is split among its own members, each row standing in the two nearest
 parts; exact copies of one vector beyond COPIES need no comparison: by the tie rule their neighbours are
 the smallest keys among them.
 
@@ -32,7 +33,7 @@ from pyspark.sql import Window as W
 from ..session import cut, partitions
 from .vectors import DIM, pack, top_k, unpack, usable
 
-SAMPLE, BLOCK, UNIT, COPIES = 16384, 4096, 12288, 64
+SAMPLE, BLOCK, UNIT, SPARSE, COPIES = 16384, 4096, 12288, 32768, 64
 COVER, SPREAD = 0.7, 4
 PLACED = "block int, home int, key long, seen binary, vec binary"
 PACKED = "block int, unit int, n int, keys binary, homes binary, seen binary, vecs binary, extra binary"
@@ -100,8 +101,8 @@ def group_leaders(leaders: np.ndarray, weights: np.ndarray, blocks: int) -> np.n
     return out
 
 
-def place(batches: Iterator[pa.RecordBatch], leaders: np.ndarray, block_of: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Sends each usable vector to its block, uncovered ones to several."""
+def place(batches: Iterator[pa.RecordBatch], leaders: np.ndarray, block_of: np.ndarray, sparse_of: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Sends each usable vector to its block, uncovered ones to several and to a sparse block (numbered below 0)."""
     for b in batches:
         rows, x = usable(b.column(1))
         keys = np.asarray(b.column(0).take(pa.array(rows)))
@@ -122,8 +123,8 @@ def place(batches: Iterator[pa.RecordBatch], leaders: np.ndarray, block_of: np.n
                     seen[w, 1 : 1 + len(others)] = others
                 fill = seen[weak, 1:]
                 r, c = np.nonzero(fill >= 0)
-                src.append(weak[r])
-                dst.append(fill[r, c])
+                src += [weak[r], weak]
+                dst += [fill[r, c], -1 - sparse_of[best[weak]]]
             src, dst = np.concatenate(src), np.concatenate(dst).astype(np.int32)
             yield pa.record_batch(
                 [pa.array(dst), pa.array(home[src].astype(np.int32)), pa.array(keys[at : at + 2048][src]), pack(seen[src]), pack(part[src])],
@@ -131,18 +132,18 @@ def place(batches: Iterator[pa.RecordBatch], leaders: np.ndarray, block_of: np.n
             )
 
 
-def _split(x: np.ndarray) -> list[np.ndarray]:
-    """Overlapping parts of at most about UNIT rows."""
-    if len(x) <= UNIT:
+def _split(x: np.ndarray, most: int) -> list[np.ndarray]:
+    """Overlapping parts of at most about ``most`` rows."""
+    if len(x) <= most:
         return [np.arange(len(x))]
     rng = np.random.default_rng(7)
-    centres = x[rng.choice(len(x), -(-4 * len(x) // UNIT), replace=False)]
+    centres = x[rng.choice(len(x), -(-4 * len(x) // most), replace=False)]
     s = x @ centres.T
     two = np.argpartition(-s, 1, axis=1)[:, :2]
     parts = []
     for c in range(len(centres)):
         rows = np.flatnonzero((two == c).any(axis=1))
-        parts += np.array_split(rows, -(-len(rows) // UNIT)) if len(rows) else []
+        parts += np.array_split(rows, -(-len(rows) // most)) if len(rows) else []
     return parts
 
 
@@ -176,7 +177,7 @@ def pack_blocks(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Record
             lows = {c: key[rows[by[f : f + k]]] for c, f in zip(codes[by[first]], first)}
             extra = np.array([(key[rows[i]], low) for i in late for low in lows[codes[i]]], np.int64)
             rows = rows[rank <= k]
-        for unit, part in enumerate(_split(x[rows])):
+        for unit, part in enumerate(_split(x[rows], UNIT if block[rows[0]] >= 0 else 2 * SPARSE)):
             r = rows[part]
             yield pa.record_batch(
                 [
@@ -287,7 +288,9 @@ def candidate_edges(df: DataFrame, key: str = "cell_key", embedding: str = "embe
     total = rows.count()
     blocks = max(1, -(-total // BLOCK))
     block_of = group_leaders(leaders, weights, blocks)
-    shared = spark.sparkContext.broadcast((leaders, block_of))  # at most SAMPLE vectors
+    lone = np.where(weights <= 1, weights, 0)  # leaders that cover nothing else stand for uncovered vectors
+    sparse_of = group_leaders(leaders, lone + 1e-6, -(-int(total * lone.sum() / weights.sum()) // SPARSE))
+    shared = spark.sparkContext.broadcast((leaders, block_of, sparse_of))  # at most SAMPLE vectors
     n_parts = max(partitions(spark), -(-blocks // 8))
     placed = rows.where(F.col(key).isNotNull()).mapInArrow(lambda it: place(it, *shared.value), PLACED)
     packed = cut(placed.repartition(n_parts, "block").mapInArrow(lambda it: pack_blocks(it, k), PACKED))

@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 from ..plans.problems import RECORDS
 from ..session import table
-from . import mixing, packing, sentences, topn
+from . import knn_graph, mixing, packing, sentences, topn
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return knn_graph.near_pairs(table(spark, d, "cell_embeddings"))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -45,7 +49,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return sentences.sentences(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p7_found, p7_containers, p7_fill, p8_found, p8_shares, p8_mix, p9_found)}
+QUERIES = {f.__name__: f for f in (p3_found, p5_found, p7_found, p7_containers, p7_fill, p8_found, p8_shares, p8_mix, p9_found)}
 
 SIZE = "octet_length(encode(text))"
 SQL = {
