@@ -12,7 +12,7 @@ no two are more similar than COVER; leaders are gathered into blocks of about BL
 recursive bisection. Every vector (not only the sample) goes to its nearest leader's block; one that no
 leader covers goes to the blocks of its SPREAD nearest leaders, and to the nearest of the sparse blocks, which
 hold uncovered vectors only, about SPARSE of them, because their neighbours lie far apart. A block is
-compared in full. A block beyond UNIT rows (sparse: twice SPARSE) is split among its own members, each row standing in the two nearest
+compared in full: all that were sent to it with those at home in it. A block beyond UNIT rows (sparse: twice SPARSE) is split among its own members, each row standing in the two nearest
 parts; exact copies of one vector beyond COPIES need no comparison: by the tie rule their neighbours are
 the smallest keys among them.
 
@@ -30,11 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..session import cut, partitions
+from ..session import cut, partitions, release
 from .vectors import DIM, pack, top_k, unpack, usable
 
 SAMPLE, BLOCK, UNIT, SPARSE, COPIES = 16384, 4096, 12288, 32768, 64
-COVER, SPREAD = 0.7, 4
+COVER, SPREAD, KIN = 0.7, 4, 4
 PLACED = "block int, home int, key long, seen binary, vec binary"
 PACKED = "block int, unit int, n int, keys binary, homes binary, seen binary, vecs binary, extra binary"
 EDGES = "node long, nbr long, sim double"
@@ -57,7 +57,10 @@ def sample_vectors(df: DataFrame, key: str, embedding: str, most: int = SAMPLE)
 
 
 def choose_leaders(x: np.ndarray, cover: float = COVER, chunk: int = 512) -> tuple[np.ndarray, np.ndarray]:
-    """``(leaders, weights)``: a greedy cover of the sample and how many of it each leader covers."""
+    """``(leaders, weights)``: a greedy cover of the sample and how many of it each leader covers.
+
+    A leader that covers nothing but itself stands for no group and is left out.
+    """
     if not len(x):
         return np.zeros((1, x.shape[1]), np.float32), np.ones(1)
     leaders = np.empty((0, x.shape[1]), np.float32)
@@ -76,7 +79,8 @@ def choose_leaders(x: np.ndarray, cover: float = COVER, chunk: int = 512) -> tup
     weights = np.zeros(len(leaders))
     for at in range(0, len(x), 2048):
         np.add.at(weights, (x[at : at + 2048] @ leaders.T).argmax(axis=1), 1)
-    return leaders, weights
+    crowd = weights > 1
+    return (leaders[crowd], weights[crowd]) if crowd.any() else (leaders, weights)
 
 
 def group_leaders(leaders: np.ndarray, weights: np.ndarray, blocks: int) -> np.ndarray:
@@ -179,6 +183,7 @@ def pack_blocks(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Record
             rows = rows[rank <= k]
         for unit, part in enumerate(_split(x[rows], UNIT if block[rows[0]] >= 0 else 2 * SPARSE)):
             r = rows[part]
+            r = r[np.argsort(home[r] != block[r], kind="stable")]
             yield pa.record_batch(
                 [
                     pa.array([block[r[0]]], pa.int32()),
@@ -191,14 +196,18 @@ def pack_blocks(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Record
 
 
 def _units(t: pa.Table | pa.RecordBatch) -> Iterator[tuple]:
+    """``(block, keys, homes, seen, vectors, extra, members)`` of each unit; the first ``members`` rows are at home in it."""
     for r in range(t.num_rows):
         get = lambda c: np.frombuffer(t.column(c)[r].as_buffer(), np.uint8)  # noqa: E731, B023
+        block, homes = t.column("block")[r].as_py(), get("homes").view(np.int32)
         yield (
+            block,
             get("keys").view(np.int64),
-            get("homes").view(np.int32),
+            homes,
             get("seen").view(np.int32).reshape(-1, SPREAD),
             get("vecs").view(np.float32).reshape(-1, DIM),
             get("extra").view(np.int64).reshape(-1, 2),
+            len(homes) if block < 0 else int((homes == block).sum()),
         )
 
 
@@ -222,55 +231,70 @@ def _result(node: np.ndarray, nbr: np.ndarray, sim: np.ndarray) -> pa.RecordBatc
     return pa.record_batch([*_edges(node, nbr, sim), *none], names=NAMES)
 
 
-def _visits(keys: np.ndarray, homes: np.ndarray, seen: np.ndarray, x: np.ndarray, row: np.ndarray, target: np.ndarray) -> pa.RecordBatch | None:
-    """Rows that still have to visit the home block of a neighbour that they have not met."""
-    fresh = ~(seen[row] == target[:, None]).any(axis=1) & (seen[row, 1] >= 0)
+def _visits(keys: np.ndarray, homes: np.ndarray, seen: np.ndarray, x: np.ndarray, row: np.ndarray, target: np.ndarray, k: int) -> pa.RecordBatch | None:
+    """The blocks that rows still have to visit: homes of their nearest neighbours that they have not met.
+
+    ``row`` is ordered by nearness within equal rows; the first ``k // KIN`` neighbours are followed. Rows
+    that met all they need at home (covered ones) follow nobody.
+    """
+    first = np.concatenate([[0], np.flatnonzero(np.diff(row)) + 1]) if len(row) else np.array([], np.int64)
+    rank = np.arange(len(row)) - np.repeat(first, np.diff(np.append(first, len(row))))
+    fresh = (rank < max(1, k // KIN)) & ~(seen[row] == target[:, None]).any(axis=1) & (seen[row, 1] >= 0)
     row, target = row[fresh], target[fresh]
     if not len(row):
         return None
-    pair = np.unique(np.stack([row, target]), axis=1)
-    row, target = pair
+    row, target = np.unique(np.stack([row, target]), axis=1)
     n = len(row)
     return pa.record_batch(
         [pa.array(keys[row]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.array(target.astype(np.int32)), pa.array(homes[row].astype(np.int32)), pack(seen[row]), pack(x[row])], names=NAMES
     )
 
 
-def compare_blocks(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """The ``k`` nearest of every member within its unit, and the visits that follow."""
+def _both(node: np.ndarray, nbr: np.ndarray, sim: np.ndarray, back: np.ndarray, least: float) -> pa.RecordBatch:
+    """Edges of at least ``least``, those marked ``back`` in both directions."""
+    keep = sim >= least
+    node, nbr, sim, back = node[keep], nbr[keep], sim[keep], back[keep]
+    return _result(np.concatenate([node, nbr[back]]), np.concatenate([nbr, node[back]]), np.concatenate([sim, sim[back]]))
+
+
+def compare_blocks(batches: Iterator[pa.RecordBatch], k: int, least: float) -> Iterator[pa.RecordBatch]:
+    """The ``k`` nearest of every row among the members of its unit, and the visits that follow."""
     for b in batches:
-        for keys, homes, seen, x, extra in _units(b):
+        for _, keys, homes, seen, x, extra, members in _units(b):
             if len(extra):
                 yield _result(extra[:, 0], extra[:, 1], np.ones(len(extra)))
-            for at in range(0, len(x), 1024):
-                part = x[at : at + 1024]
-                s = part @ x.T
-                s[np.arange(len(part)), at + np.arange(len(part))] = -2
-                row, col, _ = top_k(s, keys, k + 2)
+            m = x[:members].T.copy()
+            for at in range(0, len(x), 512):
+                s = x[at : at + 512] @ m
+                own = np.arange(at, min(at + len(s), members))
+                s[own - at, own] = -2
+                row, col, val = top_k(s, keys, k + 2)
                 row += at
-                yield _result(keys[row], keys[col], exact(x[row], x[col]))
-                v = _visits(keys, homes, seen, x, row, homes[col])
+                v = _visits(keys, homes, seen, x, row, homes[col], k)
+                near = val >= least - 1e-4
+                row, col = row[near], col[near]
+                yield _both(keys[row], keys[col], exact(x[row], x[col]), row >= members, least)
                 if v is not None:
                     yield v
 
 
-def meet(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
-    """Visitors of a block against all members of its units: edges in both directions, and further visits."""
+def meet(left: pa.Table, right: pa.Table, k: int, least: float) -> pa.Table:
+    """Visitors of a block against the members of its units: edges in both directions, and further visits."""
     out = []
     if left.num_rows and right.num_rows:
         order = _dedupe(np.zeros(right.num_rows, np.int8), np.asarray(right.column("node")))
         right = right.take(pa.array(order))
         q_keys, q_homes = np.asarray(right.column("node")), np.asarray(right.column("home"))
         q, q_seen = unpack(right.column("vec")), unpack(right.column("seen"), SPREAD).view(np.int32)
-        for keys, homes, _, x, _ in _units(left):
-            for at in range(0, len(q), 1024):
-                s = q[at : at + 1024] @ x.T
-                s[q_keys[at : at + 1024][:, None] == keys[None, :]] = -2
+        for _, keys, homes, _, x, _, members in _units(left):
+            m, m_keys = x[:members].T.copy(), keys[:members]
+            for at in range(0, len(q), 512):
+                s = q[at : at + 512] @ m
+                s[q_keys[at : at + 512][:, None] == m_keys[None, :]] = -2
                 row, col, _ = top_k(s, keys, k + 2)
                 row += at
-                sim = exact(q[row], x[col])
-                out += [_result(q_keys[row], keys[col], sim), _result(keys[col], q_keys[row], sim)]
-                v = _visits(q_keys, q_homes, q_seen, q, row, homes[col])
+                v = _visits(q_keys, q_homes, q_seen, q, row, homes[col], k)
+                out.append(_both(q_keys[row], keys[col], exact(q[row], x[col]), np.ones(len(row), bool), least))
                 if v is not None:
                     out.append(v)
     return pa.Table.from_batches(out) if out else _result(*[np.empty(0)] * 3).schema.empty_table()
@@ -280,27 +304,32 @@ def _is_edge(df: DataFrame) -> DataFrame:
     return df.where("nbr IS NOT NULL").select("node", "nbr", "sim")
 
 
-def candidate_edges(df: DataFrame, key: str = "cell_key", embedding: str = "embedding", k: int = 10, rounds: int = 1) -> DataFrame:
-    """``(node, nbr, sim)``: the graph's candidate edges, for every node a superset of its best ``k`` found."""
+def candidate_edges(df: DataFrame, key: str = "cell_key", embedding: str = "embedding", k: int = 10, rounds: int = 1, least: float = -1.0) -> DataFrame:
+    """``(node, nbr, sim)``: the graph's candidate edges, for every node a superset of its best ``k`` found.
+
+    Edges below ``least`` are not put out; they rank behind all others, so the best of the rest stay right.
+    """
     spark = df.sparkSession
     rows = df.select(key, embedding)
-    leaders, weights = choose_leaders(sample_vectors(rows, key, embedding))
+    sample = sample_vectors(rows, key, embedding)
+    leaders, weights = choose_leaders(sample)
     total = rows.count()
     blocks = max(1, -(-total // BLOCK))
     block_of = group_leaders(leaders, weights, blocks)
-    lone = np.where(weights <= 1, weights, 0)  # leaders that cover nothing else stand for uncovered vectors
-    sparse_of = group_leaders(leaders, lone + 1e-6, -(-int(total * lone.sum() / weights.sum()) // SPARSE))
+    lone = max(0.0, 1 - weights.sum() / max(1, len(sample)))
+    sparse_of = group_leaders(leaders, weights, max(1, round(total * lone / SPARSE)))
     shared = spark.sparkContext.broadcast((leaders, block_of, sparse_of))  # at most SAMPLE vectors
     n_parts = max(partitions(spark), -(-blocks // 8))
     placed = rows.where(F.col(key).isNotNull()).mapInArrow(lambda it: place(it, *shared.value), PLACED)
     packed = cut(placed.repartition(n_parts, "block").mapInArrow(lambda it: pack_blocks(it, k), PACKED))
-    found = cut(packed.repartition(n_parts, "block", "unit").mapInArrow(lambda it: compare_blocks(it, k), RESULT))
+    release(spark)
+    found = cut(packed.mapInArrow(lambda it: compare_blocks(it, k, least), RESULT))
     edges = _is_edge(found)
     for _ in range(rounds):
         visits = found.where("nbr IS NULL").select("node", "block", "home", "seen", "vec")
         if visits.isEmpty():
             break
-        found = cut(packed.groupBy("block").cogroup(visits.groupBy("block")).applyInArrow(lambda left, right: meet(left, right, k), RESULT))
+        found = cut(packed.groupBy("block").cogroup(visits.groupBy("block")).applyInArrow(lambda left, right: meet(left, right, k, least), RESULT))
         edges = edges.unionByName(_is_edge(found))
     return edges
 
@@ -319,7 +348,7 @@ def knn_graph(df: DataFrame, key: str = "cell_key", embedding: str = "embedding"
 def near_pairs(df: DataFrame, k: int = 10, least: float = 0.98, key: str = "cell_key", embedding: str = "embedding") -> DataFrame:
     """``(cell_key_a, cell_key_b)``: pairs with similarity of at least ``least`` of which one is among the other's best ``k``.
 
-    Edges below ``least`` rank behind all others, so they are dropped before ranking.
+    Only edges of at least ``least`` are put out and ranked.
     """
-    near = best(candidate_edges(df, key, embedding, k).where(F.col("sim") >= least), k)
+    near = best(candidate_edges(df, key, embedding, k, least=least), k)
     return near.select(F.least("node", "nbr").alias("cell_key_a"), F.greatest("node", "nbr").alias("cell_key_b")).distinct()
