@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..plans.problems import RECORDS
 from ..session import table
-from . import knn_graph, mixing, packing, sentences, topn
+from . import grid_clusters, knn_graph, mixing, packing, sentences, topn
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -19,6 +19,10 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return cells.select("slide_id", "cluster_id", "record_id", "label_id")
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return grid_clusters.clusters(table(spark, d, "cell_embeddings"), table(spark, d, "slides")).select("cell_key", "first_key")
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return packing.split_documents(table(spark, d, "documents"))
 
@@ -49,7 +53,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return sentences.sentences(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p5_found, p7_found, p7_containers, p7_fill, p8_found, p8_shares, p8_mix, p9_found)}
+QUERIES = {f.__name__: f for f in (p3_found, p5_found, p6_found, p7_found, p7_containers, p7_fill, p8_found, p8_shares, p8_mix, p9_found)}
 
 SIZE = "octet_length(encode(text))"
 SQL = {
