@@ -36,7 +36,7 @@ from .vectors import DIM, pack, top_k, unpack, usable
 SAMPLE, BLOCK, UNIT, SPARSE, COPIES = 16384, 4096, 12288, 32768, 64
 COVER, SPREAD, KIN = 0.7, 4, 4
 PLACED = "block int, home int, key long, seen binary, vec binary"
-PACKED = "block int, unit int, n int, keys binary, homes binary, seen binary, vecs binary, extra binary"
+PACKED = "block int, unit int, members int, keys binary, homes binary, seen binary, own binary, guests binary, extra binary"
 EDGES = "node long, nbr long, sim double"
 
 
@@ -183,32 +183,22 @@ def pack_blocks(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Record
             rows = rows[rank <= k]
         for unit, part in enumerate(_split(x[rows], UNIT if block[rows[0]] >= 0 else 2 * SPARSE)):
             r = rows[part]
-            r = r[np.argsort(home[r] != block[r], kind="stable")]
+            guest = (home[r] != block[r]) & (block[r] >= 0)
+            r = r[np.argsort(guest, kind="stable")]
+            own = len(r) - int(guest.sum())
             yield pa.record_batch(
                 [
                     pa.array([block[r[0]]], pa.int32()),
                     pa.array([unit], pa.int32()),
-                    pa.array([len(r)], pa.int32()),
-                    *[pa.array([v.tobytes()], pa.binary()) for v in (key[r], home[r], seen[r], x[r], extra if unit == 0 else extra[:0])],
+                    pa.array([own], pa.int32()),
+                    *[pa.array([v.tobytes()], pa.binary()) for v in (key[r], home[r], seen[r], x[r[:own]], x[r[own:]], extra if unit == 0 else extra[:0])],
                 ],
-                names=["block", "unit", "n", "keys", "homes", "seen", "vecs", "extra"],
+                names=["block", "unit", "members", "keys", "homes", "seen", "own", "guests", "extra"],
             )
 
 
-def _units(t: pa.Table | pa.RecordBatch) -> Iterator[tuple]:
-    """``(block, keys, homes, seen, vectors, extra, members)`` of each unit; the first ``members`` rows are at home in it."""
-    for r in range(t.num_rows):
-        get = lambda c: np.frombuffer(t.column(c)[r].as_buffer(), np.uint8)  # noqa: E731, B023
-        block, homes = t.column("block")[r].as_py(), get("homes").view(np.int32)
-        yield (
-            block,
-            get("keys").view(np.int64),
-            homes,
-            get("seen").view(np.int32).reshape(-1, SPREAD),
-            get("vecs").view(np.float32).reshape(-1, DIM),
-            get("extra").view(np.int64).reshape(-1, 2),
-            len(homes) if block < 0 else int((homes == block).sum()),
-        )
+def _view(t: pa.Table | pa.RecordBatch, column: str, row: int, kind: type) -> np.ndarray:
+    return np.frombuffer(t.column(column)[row].as_buffer(), kind)
 
 
 def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -260,7 +250,11 @@ def _both(node: np.ndarray, nbr: np.ndarray, sim: np.ndarray, back: np.ndarray,
 def compare_blocks(batches: Iterator[pa.RecordBatch], k: int, least: float) -> Iterator[pa.RecordBatch]:
     """The ``k`` nearest of every row among the members of its unit, and the visits that follow."""
     for b in batches:
-        for _, keys, homes, seen, x, extra, members in _units(b):
+        for r in range(b.num_rows):
+            keys, homes = _view(b, "keys", r, np.int64), _view(b, "homes", r, np.int32)
+            seen, extra = _view(b, "seen", r, np.int32).reshape(-1, SPREAD), _view(b, "extra", r, np.int64).reshape(-1, 2)
+            x = np.concatenate([_view(b, c, r, np.float32) for c in ("own", "guests")]).reshape(-1, DIM)
+            members = b.column("members")[r].as_py()
             if len(extra):
                 yield _result(extra[:, 0], extra[:, 1], np.ones(len(extra)))
             m = x[:members].T.copy()
@@ -286,8 +280,10 @@ def meet(left: pa.Table, right: pa.Table, k: int, least: float) -> pa.Table:
         right = right.take(pa.array(order))
         q_keys, q_homes = np.asarray(right.column("node")), np.asarray(right.column("home"))
         q, q_seen = unpack(right.column("vec")), unpack(right.column("seen"), SPREAD).view(np.int32)
-        for _, keys, homes, _, x, _, members in _units(left):
-            m, m_keys = x[:members].T.copy(), keys[:members]
+        for r in range(left.num_rows):
+            x = _view(left, "own", r, np.float32).reshape(-1, DIM)
+            keys, homes = _view(left, "keys", r, np.int64)[: len(x)], _view(left, "homes", r, np.int32)[: len(x)]
+            m, m_keys = x.T.copy(), keys
             for at in range(0, len(q), 512):
                 s = q[at : at + 512] @ m
                 s[q_keys[at : at + 512][:, None] == m_keys[None, :]] = -2
@@ -329,7 +325,9 @@ def candidate_edges(df: DataFrame, key: str = "cell_key", embedding: str = "embe
         visits = found.where("nbr IS NULL").select("node", "block", "home", "seen", "vec")
         if visits.isEmpty():
             break
-        found = cut(packed.groupBy("block").cogroup(visits.groupBy("block")).applyInArrow(lambda left, right: meet(left, right, k, least), RESULT))
+        members = packed.where("block >= 0").select("block", "keys", "homes", "own")
+        release(spark)
+        found = cut(members.groupBy("block").cogroup(visits.groupBy("block")).applyInArrow(lambda left, right: meet(left, right, k, least), RESULT))
         edges = edges.unionByName(_is_edge(found))
     return edges
 
