@@ -29,7 +29,7 @@ from ..operators.registry import key_hash, slide_key, spelling_hashes
 from ..session import cut, partitions, release
 from .vectors import DIM, pack, unpack, usable
 
-AXES, STEP, HOT, BLOCK = 6, 0.3, 2048, 8192
+AXES, STEP, HOT, BLOCK = 6, 0.3, 2048, 16384
 POINTS = "key_hash long, cell_key long, grid long, vec binary"
 CORES = "slide_no long, unit long, n int, cells int, keys binary, core binary, vecs binary"
 
@@ -226,6 +226,7 @@ def clusters(embeddings: DataFrame, slides: DataFrame, least_sim: float = 0.8, l
     # at most one row for each HOT rows; equal vectors stay together
     units = pts.join(F.broadcast(hot), ["slide_no", "grid"], "left").select("slide_no", unit.alias("unit"), "cell_key", "vec")
     packed = cut(units.repartition(n_parts, "slide_no", "unit").mapInArrow(lambda it: make_cores(it, least_sim), CORES))
+    del pts, counts, hot, units
     release(spark)
     per_slide = packed.groupBy("slide_no").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") / BLOCK)).cast("int").alias("blocks"))
     blk = F.pmod(F.xxhash64("unit"), F.col("blocks")).cast("int")
