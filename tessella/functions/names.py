@@ -22,7 +22,7 @@ def split_list(text: Column) -> Column:
 
 def filter_names(items: Column) -> Column:
     """All spellings under which the items of a slide filter may match: as given, and both generated ids."""
-    return F.array_union(items, F.array_union(F.transform(items, slide_id), F.transform(items, lambda x: slide_id(x, keep_percent=True))))
+    return F.array_union(items, F.array_union(F.transform(items, lambda x: slide_id(x)), F.transform(items, lambda x: slide_id(x, keep_percent=True))))
 
 
 def magnifications(text: Column) -> Column:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import problems
+from . import analytics, problems
 
-MODULES = (problems,)
+MODULES = (problems, analytics)
 
 
 def flagship(spark, sf_dir):
-    return problems.p1_found(spark, sf_dir)
+    return analytics.representatives_topn(spark, sf_dir)
