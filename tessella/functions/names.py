@@ -17,7 +17,7 @@ def slide_id(name: Column, keep_percent: bool = False) -> Column:
 
 def split_list(text: Column) -> Column:
     """Distinct, trimmed, non-empty items of a comma-separated list."""
-    return F.array_distinct(F.filter(F.transform(F.split(text, ","), F.trim), lambda x: x != ""))
+    return F.array_distinct(F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != ""))
 
 
 def filter_names(items: Column) -> Column:
@@ -99,7 +99,7 @@ def cell_text(cls: Column | None, cluster: Column | None, conf: Column | None) -
     if cluster is not None:
         parts.append(F.concat(F.lit("cl:"), F.coalesce(cluster.cast("string"), F.lit("N/A"))))
     if conf is not None:
-        parts.append(F.concat(F.lit("p:"), F.coalesce(F.format_string("%.2f", F.bround(conf, 2)), F.lit("?"))))
+        parts.append(F.concat(F.lit("p:"), F.when(conf.isNull(), "?").otherwise(F.format_string("%.2f", F.bround(conf, 2)))))
     return F.concat_ws(", ", *parts)
 
 

@@ -210,7 +210,7 @@ def slide_filter_semi(spark, d):
     s = part_slides(spark, d)
     wanted = s.where(F.col("width") == 600 + 97 * 7).select(F.col("slide_name").alias("w")).unionAll(s.where(F.col("width") == 600 + 97 * 9).select(F.col("slide_id").alias("w")))
     listed = F.split(F.concat_ws(",", F.col("w"), F.lit(" "), F.col("w")), ",")
-    spelled = wanted.select(F.explode(names.filter_names(F.array_distinct(F.filter(F.transform(listed, F.trim), lambda x: x != "")))).alias("slide_id"))
+    spelled = wanted.select(F.explode(names.filter_names(F.array_distinct(F.filter(F.transform(listed, lambda x: F.trim(x)), lambda x: x != "")))).alias("slide_id"))
     return s.join(spelled.distinct(), "slide_id", "left_semi").select("slide_id")
 
 

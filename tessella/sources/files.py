@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.names import base_name
-from ..schemas import ANNOTATED_TILE, ASSIGNMENT, BOX, CHECKPOINT, CLASSIFIED_TILE, HUMAN_LABELS, LABEL_FILE
+from ..schemas import ANNOTATED_TILE, ASSIGNMENT, CHECKPOINT, CLASSIFIED_TILE, HUMAN_LABELS, LABEL_FILE
 
 IMAGES = r"(?i)\.(png|jpg|tif)$"
 
@@ -50,9 +50,12 @@ def _json(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame
 
 def box_files(spark: SparkSession, root: str) -> DataFrame:
     """``(slide_id, tile_name, bbox_file, label_id, bbox)`` of all box files; rows that are no boxes are left out."""
-    rows = _json(spark, root, BOX).where(F.col("__path").rlike(r"_bboxes\.json$"))
-    good = rows.where(F.col("label_id").isNotNull() & (F.size("bbox") == 4))
-    return good.select(folder_of(F.col("__path")).alias("slide_id"), F.regexp_extract("__path", r"([^/]*)_bboxes\.json$", 1).alias("tile_name"), F.col("__path").alias("bbox_file"), "label_id", "bbox")
+    text = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*_bboxes.json").text(root)
+    entry = F.explode(F.try_variant_get(F.try_parse_json("value"), "$", "array<variant>")).alias("e")
+    rows = text.select(F.col("_metadata.file_path").alias("path"), entry)
+    boxes = rows.select("path", F.try_variant_get("e", "$.label_id", "int").alias("label_id"), F.try_variant_get("e", "$.bbox", "array<int>").alias("bbox"))
+    good = boxes.where(F.col("label_id").isNotNull() & (F.size("bbox") == 4))
+    return good.select(folder_of(F.col("path")).alias("slide_id"), F.regexp_extract("path", r"([^/]*)_bboxes\.json$", 1).alias("tile_name"), F.col("path").alias("bbox_file"), "label_id", "bbox")
 
 
 def per_slide_or_global(rows: DataFrame, root: str, slide_in_row: Column) -> DataFrame:
