@@ -109,11 +109,12 @@ def share_report(docs: DataFrame, targets: DataFrame, seed: int = 17) -> DataFra
     plan = budgets(docs, targets)
     rows = plan.join(used, "source", "left").withColumn("used", F.coalesce("used", F.lit(0).cast("long")))
     return docs.sparkSession.sql(
-        "SELECT source, target_share, used / nullif((SELECT sum(used) FROM {rows}), 0) AS reached_share, used / nullif(total, 0) AS share_of_total, used, size, max_repeats, coalesce(most_repeats, 0) AS most_repeats, capped FROM {rows}",
+        "SELECT source, target_share, used / nullif((SELECT sum(used) FROM {rows}), 0) AS reached_share, used / nullif(total, 0) AS share_of_total, used, budget, size, max_repeats, coalesce(most_repeats, 0) AS most_repeats, capped FROM {rows}",
         rows=rows,
     )
 
 
 def capped_sources(docs: DataFrame, targets: DataFrame) -> DataFrame:
-    """``(source)`` of the targets whose share the mix cannot reach within the cap."""
-    return share_report(docs, targets).where("capped").select("source")
+    """``(source)`` of the targets whose share the mix did not reach although all it holds was used ``max_repeats`` times."""
+    report = share_report(docs, targets)
+    return report.where((F.col("used") == F.col("max_repeats") * F.col("size")) & (F.col("used") < F.col("budget"))).select("source")
