@@ -102,9 +102,20 @@ def auto_eps(x: np.ndarray, k: int, percentile: float = 95.0) -> float:
 
 def dbscan(x: np.ndarray, eps: float, least: int, metric: str = "euclidean") -> np.ndarray:
     """Cluster numbers by smallest core row, -1 for noise; a border row takes the smallest adjacent cluster."""
+    _, first, back, count = np.unique(x, axis=0, return_index=True, return_inverse=True, return_counts=True)
+    order = np.argsort(first)  # equal rows share their fate; the rest keeps the order of rows
+    if len(order) < len(x):
+        at = np.empty(len(order), np.int64)
+        at[order] = np.arange(len(order))
+        return _expand(x[first[order]], count[order], eps, least, metric)[at[back.ravel()]]
+    return _expand(x, np.ones(len(x), np.int64), eps, least, metric)
+
+
+def _expand(x: np.ndarray, count: np.ndarray, eps: float, least: int, metric: str) -> np.ndarray:
+    """``dbscan`` of distinct rows that stand for ``count`` rows each."""
     n = len(x)
     near = [np.flatnonzero(d <= eps) for a in range(0, n, 1000) for d in distances(x[a : a + 1000], x, metric)]
-    core = np.array([len(v) >= least for v in near], bool)
+    core = np.array([count[v].sum() >= least for v in near], bool)
     label = np.full(n, -1, np.int64)
     number = 0
     for i in range(n):

@@ -41,9 +41,12 @@ def polygons(masks: DataFrame, keys: list[str]) -> DataFrame:
             for rec in pdf.itertuples(index=False):
                 mask = np.asarray(rec.labels).reshape(-1, int(rec.width))
                 for lab in np.unique(mask[mask != 0]):
-                    line = longest_contour(mask == lab)
+                    own = mask == lab
+                    r, c = np.flatnonzero(own.any(axis=1)), np.flatnonzero(own.any(axis=0))
+                    top, left = max(0, r[0] - 1), max(0, c[0] - 1)  # one row or column of background around the label
+                    line = longest_contour(own[top : r[-1] + 2, left : c[-1] + 2])
                     if line:
-                        rows.append((*[getattr(rec, k) for k in keys], int(lab), [[float(x), float(y)] for x, y in line]))
+                        rows.append((*[getattr(rec, k) for k in keys], int(lab), [[float(x + left), float(y + top)] for x, y in line]))
             yield pd.DataFrame(rows, columns=[*keys, "label_id", "polygon"])
 
     schema = ", ".join(f"{k} {kinds[k]}" for k in keys)
