@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..operators.components import minimum_labels
 from ..operators.registry import key_hash, slide_key, spelling_hashes
@@ -245,3 +246,26 @@ def clusters(embeddings: DataFrame, slides: DataFrame, least_sim: float = 0.8, l
     sized = labels.join(cores, "core")
     size = sized.groupBy("first_key").agg(F.sum("core_size").alias("size")).where(F.col("size") >= least)
     return members.join(sized.join(size, "first_key"), "core").select("cell_key", "first_key", "size", "core", "core_size")
+
+
+def describe(members: DataFrame) -> DataFrame:
+    """``(first_key, size, n_cores, densest_core, densest_size, typical)``: each cluster with its densest core.
+
+    ``typical`` lists the smallest three keys of the core with most cells (ties: smaller core).
+    """
+    first = W.partitionBy("core").orderBy("cell_key")
+    few = members.withColumn("r", F.row_number().over(first)).where("r <= 3")
+    cores = few.groupBy("first_key", "size", "core", "core_size").agg(F.array_sort(F.collect_list("cell_key")).alias("typical"))
+    rank = F.struct((-F.col("core_size")).alias("s"), F.col("core").alias("c"))
+    top = cores.groupBy("first_key", "size").agg(F.count(F.lit(1)).alias("n_cores"), F.min_by(F.struct("core", "core_size", "typical"), rank).alias("t"))
+    return top.select("first_key", "size", "n_cores", F.col("t.core").alias("densest_core"), F.col("t.core_size").alias("densest_size"), F.concat_ws(",", "t.typical").alias("typical"))
+
+
+def against_labels(members: DataFrame, embeddings: DataFrame, results: DataFrame) -> DataFrame:
+    """``(first_key, cluster_id, n)``: how many cells of each cluster carry each recorded cluster number.
+
+    A cell without recorded number counts under null. Redelivered records and repeated cells count once.
+    """
+    cells = embeddings.where("cell_key IS NOT NULL").groupBy("cell_key").agg(F.max("record_id").alias("record_id"), F.max("label_id").alias("label_id"))
+    recorded = results.select("record_id", F.explode("classified_cells").alias("c")).groupBy("record_id", F.col("c.label_id").alias("label_id")).agg(F.max("c.cluster_id").alias("cluster_id"))
+    return members.select("cell_key", "first_key").join(cells, "cell_key").join(recorded, ["record_id", "label_id"], "left").groupBy("first_key", "cluster_id").agg(F.count(F.lit(1)).alias("n"))

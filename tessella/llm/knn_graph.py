@@ -40,8 +40,8 @@ PACKED = "block int, unit int, members int, keys binary, homes binary, seen bina
 EDGES = "node long, nbr long, sim double"
 
 
-def sample_vectors(df: DataFrame, key: str, embedding: str, most: int = SAMPLE) -> np.ndarray:
-    """At most about ``most`` usable vectors, by hash of their key, one for each key."""
+def sample_vectors(df: DataFrame, key: str, embedding: str, most: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
+    """``(keys, vectors)`` of at most about ``most`` usable rows, by hash of their key, one for each key."""
     step = max(1, df.count() // most)
     part = df.where(F.pmod(F.xxhash64(key), F.lit(step)) == 0).select(key, embedding)
 
@@ -53,7 +53,8 @@ def sample_vectors(df: DataFrame, key: str, embedding: str, most: int = SAMPLE)
     got = part.where(F.col(key).isNotNull()).mapInArrow(read, "key long, vec binary").toArrow()
     keys, first = np.unique(np.asarray(got.column(0)), return_index=True)
     x = unpack(got.column(1))[first]
-    return x[np.argsort(np.random.default_rng(3).permutation(len(keys)))]
+    order = np.random.default_rng(3).permutation(len(keys))
+    return keys[order], x[order]
 
 
 def choose_leaders(x: np.ndarray, cover: float = COVER, chunk: int = 512) -> tuple[np.ndarray, np.ndarray]:
@@ -307,7 +308,7 @@ def candidate_edges(df: DataFrame, key: str = "cell_key", embedding: str = "embe
     """
     spark = df.sparkSession
     rows = df.select(key, embedding)
-    sample = sample_vectors(rows, key, embedding)
+    _, sample = sample_vectors(rows, key, embedding)
     leaders, weights = choose_leaders(sample)
     total = rows.count()
     blocks = max(1, -(-total // BLOCK))
@@ -350,3 +351,89 @@ def near_pairs(df: DataFrame, k: int = 10, least: float = 0.98, key: str = "cell
     """
     near = best(candidate_edges(df, key, embedding, k, least=least), k)
     return near.select(F.least("node", "nbr").alias("cell_key_a"), F.greatest("node", "nbr").alias("cell_key_b")).distinct()
+
+
+def unit_rows(df: DataFrame, key: str = "cell_key", embedding: str = "embedding") -> DataFrame:
+    """``(key, vec)``: the usable vectors, one row for each key."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, x = usable(b.column(1))
+            yield pa.record_batch([b.column(0).take(pa.array(rows)), pack(x)], names=["key", "vec"])
+
+    return df.where(F.col(key).isNotNull()).select(key, embedding).mapInArrow(read, "key long, vec binary").dropDuplicates(["key"])
+
+
+def exact_neighbours(df: DataFrame, queries: DataFrame, k: int = 10, key: str = "cell_key", embedding: str = "embedding", chunk: int = 32768) -> DataFrame:
+    """``(node, nbr, sim, rank)`` of the query rows against all rows: every chunk of rows meets every query, in blocks.
+
+    The measure for the graph's recall; its cost is the number of queries times the number of rows.
+    """
+    base, q = unit_rows(df, key, embedding), unit_rows(queries, key, embedding)
+    chunks = max(1, -(-df.count() // chunk))
+    parts = base.withColumn("chunk", F.pmod(F.xxhash64("key"), F.lit(chunks)).cast("int"))
+    asked = q.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        keys, m = np.asarray(left.column("key")), unpack(left.column("vec"))
+        q_keys, x = np.asarray(right.column("key")), unpack(right.column("vec"))
+        out = [pa.record_batch(_edges(*[np.empty(0)] * 3), names=["node", "nbr", "sim"])]
+        for at in range(0, len(x) if len(m) else 0, 512):
+            s = x[at : at + 512] @ m.T
+            s[q_keys[at : at + 512][:, None] == keys[None, :]] = -2
+            row, col, _ = top_k(s, keys, k + 2)
+            out.append(pa.record_batch(_edges(q_keys[at + row], keys[col], exact(x[at + row], m[col])), names=["node", "nbr", "sim"]))
+        return pa.Table.from_batches(out)
+
+    return best(parts.groupBy("chunk").cogroup(asked.groupBy("chunk")).applyInArrow(run, EDGES), k)
+
+
+def recall(df: DataFrame, every: int = 20, k: int = 10, key: str = "cell_key", embedding: str = "embedding") -> DataFrame:
+    """One row: queries (keys divisible by ``every``), true neighbours, and how many of them the graph has."""
+    asked = df.where(F.col(key) % every == 0)
+    true = exact_neighbours(df, asked, k, key, embedding).select("node", "nbr")
+    found = knn_graph(df, key, embedding, k).where(F.col("node") % every == 0).select("node", "nbr", F.lit(1).alias("hit"))
+    n, hit = F.count(F.lit(1)), F.coalesce(F.sum("hit"), F.lit(0))
+    return true.join(found, ["node", "nbr"], "left").agg(F.count_distinct("node").alias("queries"), n.alias("neighbours"), hit.alias("found"), F.try_divide(hit, n).alias("recall"))
+
+
+def _dot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        sim = exact(unpack(b.column(2)), unpack(b.column(3))) if b.num_rows else np.empty(0)
+        yield pa.record_batch([b.column(0), b.column(1), pa.array(sim)], names=["node", "nbr", "sim"])
+
+
+def graph_search(df: DataFrame, queries: DataFrame, k: int = 10, beam: int = 16, hops: int = 3, key: str = "cell_key", embedding: str = "embedding") -> DataFrame:
+    """``(node, nbr, sim, rank)``: neighbours of the query rows by greedy search on the graph.
+
+    A search starts at the leaders nearest to the query and holds the ``beam`` best rows it has seen; each
+    hop looks at the graph neighbours of all of them, in either direction, and ends early when no query improves.
+    """
+    spark = df.sparkSession
+    edges = knn_graph(df, key, embedding, k).select("node", "nbr")
+    graph = cut(edges.union(edges.select("nbr", "node")).distinct().toDF("at", "to"))
+    vectors, asked = unit_rows(df, key, embedding), cut(unit_rows(queries, key, embedding))
+    names, sample = sample_vectors(df.select(key, embedding), key, embedding)
+    starts = spark.sparkContext.broadcast((names, sample))  # at most SAMPLE vectors
+
+    def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, sample = starts.value
+        for b in batches:
+            x = unpack(b.column(1))
+            for at in range(0, len(x) if len(sample) else 0, 1024):
+                row, col, _ = top_k(x[at : at + 1024] @ sample.T, names, 4)
+                yield pa.record_batch(_edges(np.asarray(b.column(0))[at + row], names[col], exact(x[at + row], sample[col])), names=["node", "nbr", "sim"])
+
+    order = W.partitionBy("node").orderBy(F.desc("sim"), "nbr")
+    held = cut(asked.mapInArrow(enter, EDGES))
+    seen = -1.0
+    for _ in range(hops):
+        step = held.join(graph, F.col("nbr") == F.col("at")).select("node", F.col("to").alias("nbr")).distinct().join(held.select("node", "nbr"), ["node", "nbr"], "left_anti")
+        pairs = step.join(vectors.withColumnRenamed("key", "nbr"), "nbr").join(asked.select(F.col("key").alias("node"), F.col("vec").alias("q")), "node")
+        scored = pairs.select("node", "nbr", "vec", "q").mapInArrow(_dot, EDGES)
+        held = cut(held.unionByName(scored).withColumn("r", F.row_number().over(order)).where(F.col("r") <= beam).drop("r"))
+        now = held.agg(F.sum("sim")).first()[0] or 0.0
+        if now <= seen:
+            break
+        seen = now
+    return best(held.where("node <> nbr"), k)
