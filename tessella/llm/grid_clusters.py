@@ -9,7 +9,7 @@ of blocks of at most BLOCK vectors, so the grid never loses a link and a slide o
 over many tasks. Minimum labels propagate over adjacent cores to convergence.
 
 A core's id is its smallest cell_key, so a cluster's label is its smallest cell_key. Exact copies of a
-vector stay in one core and are compared once.
+vector in one share of a cell are compared once.
 
 Defined results: unusable embeddings, null keys and embeddings that name no slide belong to no cluster; redeliveries of
 a key count once; sets of fewer than ``least`` cells are no cluster; a cell is linked to itself only.
@@ -223,8 +223,8 @@ def clusters(embeddings: DataFrame, slides: DataFrame, least_sim: float = 0.8, l
     release(spark)
     counts = pts.groupBy("slide_no", "grid").agg(F.count(F.lit(1)).alias("cells"))
     hot = counts.where(F.col("cells") > HOT).select("slide_no", "grid", F.ceil(F.col("cells") / HOT).alias("shares"))
-    unit = F.xxhash64("grid", F.when(F.col("shares").isNotNull(), F.pmod(F.xxhash64("vec"), F.col("shares"))))
-    # at most one row for each HOT rows; equal vectors stay together
+    unit = F.xxhash64("grid", F.when(F.col("shares").isNotNull(), F.pmod(F.xxhash64("cell_key"), F.col("shares"))))
+    # at most one row for each HOT rows
     units = pts.join(F.broadcast(hot), ["slide_no", "grid"], "left").select("slide_no", unit.alias("unit"), "cell_key", "vec")
     packed = cut(units.repartition(n_parts, "slide_no", "unit").mapInArrow(lambda it: make_cores(it, least_sim), CORES))
     del pts, counts, hot, units

@@ -13,8 +13,9 @@ recursive bisection. Every vector (not only the sample) goes to its nearest lead
 leader covers goes to the blocks of its SPREAD nearest leaders, and to the nearest of the sparse blocks, which
 hold uncovered vectors only, about SPARSE of them, because their neighbours lie far apart. A block is
 compared in full: all that were sent to it with those at home in it. A block beyond UNIT rows (sparse: twice SPARSE) is split among its own members, each row standing in the two nearest
-parts; exact copies of one vector beyond COPIES need no comparison: by the tie rule their neighbours are
-the smallest keys among them.
+parts; a leader that more than UNIT rows follow is split before the exchange in the same way, among the
+sample's rows near it. Exact copies of one vector beyond COPIES need no comparison: by the tie rule their
+neighbours are the smallest keys among them; vectors with more than UNIT copies are taken out before the exchange.
 
 Defined results: unusable embeddings have no neighbours; redeliveries of a key count once; ties go to the
 smaller key; a collection of fewer than k + 1 vectors gives fewer neighbours.
@@ -106,7 +107,25 @@ def group_leaders(leaders: np.ndarray, weights: np.ndarray, blocks: int) -> np.n
     return out
 
 
-def place(batches: Iterator[pa.RecordBatch], leaders: np.ndarray, block_of: np.ndarray, sparse_of: np.ndarray) -> Iterator[pa.RecordBatch]:
+def split_crowds(x: np.ndarray, leaders: np.ndarray, weights: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Replaces leaders that more than UNIT of ``total`` rows follow by several sample rows near them.
+
+    Gives leaders, weights, and which leaders stand for a part of a crowd.
+    """
+    rows = weights * total / max(1, len(x))
+    crowd = rows > UNIT
+    if not crowd.any():
+        return leaders, weights, np.zeros(len(leaders), bool)
+    near = np.concatenate([(x[at : at + 2048] @ leaders.T).argmax(axis=1) for at in range(0, len(x), 2048)])
+    parts = [(leaders[~crowd], weights[~crowd], np.zeros(int((~crowd).sum()), bool))]
+    for c in np.flatnonzero(crowd):
+        own = np.flatnonzero(near == c)
+        some = x[own[: min(len(own), -(-int(4 * rows[c]) // UNIT))]]
+        parts.append((some, np.full(len(some), weights[c] / len(some)), np.ones(len(some), bool)))
+    return tuple(np.concatenate(p) for p in zip(*parts))
+
+
+def place(batches: Iterator[pa.RecordBatch], leaders: np.ndarray, block_of: np.ndarray, sparse_of: np.ndarray, crowd: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Sends each usable vector to its block, uncovered ones to several and to a sparse block (numbered below 0)."""
     for b in batches:
         rows, x = usable(b.column(1))
@@ -116,7 +135,8 @@ def place(batches: Iterator[pa.RecordBatch], leaders: np.ndarray, block_of: np.n
             s = part @ leaders.T
             best = s.argmax(axis=1)
             home = block_of[best]
-            weak = np.flatnonzero(s[np.arange(len(part)), best] < COVER)
+            lone = s[np.arange(len(part)), best] < COVER
+            weak = np.flatnonzero(lone | crowd[best])
             src, dst, seen = [np.arange(len(part))], [home], np.full((len(part), SPREAD), -1, np.int32)
             seen[:, 0] = home
             if len(weak):
@@ -124,12 +144,13 @@ def place(batches: Iterator[pa.RecordBatch], leaders: np.ndarray, block_of: np.n
                 near = np.argpartition(-s[weak], reach - 1, axis=1)[:, :reach]
                 near = np.take_along_axis(near, np.argsort(-np.take_along_axis(s[weak], near, 1), axis=1), 1)
                 for i, w in enumerate(weak):
-                    others = [v for v in dict.fromkeys(block_of[near[i]].tolist()) if v != home[w]][: SPREAD - 1]
+                    others = [v for v in dict.fromkeys(block_of[near[i]].tolist()) if v != home[w]][: SPREAD - 1 if lone[w] else 1]
                     seen[w, 1 : 1 + len(others)] = others
                 fill = seen[weak, 1:]
                 r, c = np.nonzero(fill >= 0)
-                src += [weak[r], weak]
-                dst += [fill[r, c], -1 - sparse_of[best[weak]]]
+                alone = np.flatnonzero(lone)
+                src += [weak[r], alone]
+                dst += [fill[r, c], -1 - sparse_of[best[alone]]]
             src, dst = np.concatenate(src), np.concatenate(dst).astype(np.int32)
             yield pa.record_batch(
                 [pa.array(dst), pa.array(home[src].astype(np.int32)), pa.array(keys[at : at + 2048][src]), pack(seen[src]), pack(part[src])],
@@ -301,21 +322,41 @@ def _is_edge(df: DataFrame) -> DataFrame:
     return df.where("nbr IS NOT NULL").select("node", "nbr", "sim")
 
 
+def without_mass_copies(rows: DataFrame, key: str, embedding: str, k: int) -> tuple[DataFrame, DataFrame | None]:
+    """``(rows, edges)``: of vectors with more than UNIT exact copies only the ``k + 1`` smallest keys stay among the rows.
+
+    The others' neighbours follow from the tie rule: ``edges`` leads from each to the ``k`` smallest keys. There
+    are at most (number of rows) / UNIT such vectors.
+    """
+    counts = rows.where(F.col(embedding).isNotNull()).groupBy(F.xxhash64(embedding).alias("h")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > UNIT)
+    hot = [r.h for r in counts.select("h").collect()]
+    if not hot:
+        return rows, None
+    marked = rows.withColumn("h", F.xxhash64(embedding))
+    mass = marked.join(F.broadcast(rows.sparkSession.createDataFrame([(h,) for h in hot], "h long")), "h").select("h", F.col(key).alias("key")).where("key IS NOT NULL").distinct()
+    lows = cut(mass.withColumn("r", F.row_number().over(W.partitionBy("h").orderBy("key"))).where(F.col("r") <= k + 1))  # a window group limit keeps k + 1 keys a task
+    low = lows.where(F.col("r") <= k).select("h", F.col("key").alias("nbr"))
+    rest = mass.join(F.broadcast(lows.select("h", "key")), ["h", "key"], "left_anti")  # k + 1 keys for each such vector
+    edges = rest.join(F.broadcast(low), "h").select(F.col("key").alias("node"), "nbr", F.lit(1.0).alias("sim"))
+    return marked.join(rest.select(F.col("key").alias(key)), key, "left_anti").select(key, embedding), edges
+
+
 def candidate_edges(df: DataFrame, key: str = "cell_key", embedding: str = "embedding", k: int = 10, rounds: int = 1, least: float = -1.0) -> DataFrame:
     """``(node, nbr, sim)``: the graph's candidate edges, for every node a superset of its best ``k`` found.
 
     Edges below ``least`` are not put out; they rank behind all others, so the best of the rest stay right.
     """
     spark = df.sparkSession
-    rows = df.select(key, embedding)
+    rows, copies = without_mass_copies(df.select(key, embedding), key, embedding, k)
     _, sample = sample_vectors(rows, key, embedding)
     leaders, weights = choose_leaders(sample)
     total = rows.count()
+    leaders, weights, crowd = split_crowds(sample, leaders, weights, total)
     blocks = max(1, -(-total // BLOCK))
     block_of = group_leaders(leaders, weights, blocks)
     lone = max(0.0, 1 - weights.sum() / max(1, len(sample)))
     sparse_of = group_leaders(leaders, weights, max(1, round(total * lone / SPARSE)))
-    shared = spark.sparkContext.broadcast((leaders, block_of, sparse_of))  # at most SAMPLE vectors
+    shared = spark.sparkContext.broadcast((leaders, block_of, sparse_of, crowd))  # at most SAMPLE vectors
     n_parts = max(partitions(spark), -(-blocks // 8))
     placed = rows.where(F.col(key).isNotNull()).mapInArrow(lambda it: place(it, *shared.value), PLACED)
     packed = cut(placed.repartition(n_parts, "block").mapInArrow(lambda it: pack_blocks(it, k), PACKED))
@@ -330,7 +371,7 @@ def candidate_edges(df: DataFrame, key: str = "cell_key", embedding: str = "embe
         release(spark)
         found = cut(members.groupBy("block").cogroup(visits.groupBy("block")).applyInArrow(lambda left, right: meet(left, right, k, least), RESULT))
         edges = edges.unionByName(_is_edge(found))
-    return edges
+    return edges if copies is None else edges.unionByName(copies)
 
 
 def best(edges: DataFrame, k: int) -> DataFrame:

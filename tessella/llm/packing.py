@@ -154,7 +154,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, unit: int = 64, most: int =
     documents in an enumerated pattern. Ordinals within a class are local row numbers of hash
     shards plus the shards' offsets, so that no class is ordered in one task.
     """
-    shards = 4 * partitions(docs.sparkSession)
+    shards = min(1024, 4 * partitions(docs.sparkSession))
     items = (
         pieces(docs, capacity)
         .withColumn("cls", F.greatest(F.lit(1), F.ceil(F.col("piece_size") / unit)).cast("int"))

@@ -123,3 +123,21 @@ def test_chain_of_links(spark):
     df = spark.createDataFrame([(100 - i, "S", v.tolist(), None, 1, 1, 1) for i, v in enumerate(x)], EMB)
     slides = spark.createDataFrame([("S", "s", "s")], SLIDES)
     assert {(r.cell_key, r.first_key) for r in grid_clusters.clusters(df, slides).collect()} == {(100 - i, 92) for i in range(9)}
+
+
+def test_mass_copies_and_crowds(spark, monkeypatch):
+    """A third of all rows is one vector, another third one crowd; both beyond the size of a unit."""
+    monkeypatch.setattr(knn_graph, "UNIT", 60)
+    rng = np.random.default_rng(6)
+    x = make(seed=5, groups=6, each=10, noise=0)[:60]
+    centre = rng.standard_normal(50)
+    crowd = np.stack([centre + 0.2 * rng.standard_normal(50) for _ in range(120)]).astype(np.float32)
+    df, vectors = frame(spark, np.concatenate([x, np.repeat(x[:1], 120, axis=0), crowd]))
+    keys, s, want = brute(vectors, 5)
+    got = {}
+    for r in knn_graph.knn_graph(df, k=5).collect():
+        got.setdefault(r.node, []).append(r.nbr)
+    assert set(got) == set(want)
+    copies = [i * 3 % 1009 for i in [0, *range(60, 180)]]
+    assert all(sorted(got[i]) == sorted(want[i]) for i in copies)
+    assert np.mean([len(set(got[i]) & set(w)) / 5 for i, w in want.items()]) >= 0.9
