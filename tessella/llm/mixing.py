@@ -35,7 +35,7 @@ def source_key(source: Column) -> Column:
 def quality(text: Column) -> Column:
     """Quality weight in (0, 1]: the share of the text's characters that is not blacked out."""
     length = F.greatest(F.length(text), F.lit(1))
-    return F.greatest(F.lit(0.05), 1 - (F.length(text) - F.length(F.translate(text, "█", ""))) / length)
+    return F.greatest(F.lit(0.05), 1 - (F.length(text) - F.length(F.replace(text, F.lit("█"), F.lit("")))) / length)
 
 
 def listed_documents(docs: DataFrame, targets: DataFrame) -> DataFrame:
