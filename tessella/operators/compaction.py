@@ -13,8 +13,8 @@ repeated boxes of a tile. Planning reads metadata only (one row a file); the box
 once, from the leaves to the last level reached.
 
 Defined results: rows without a file id or whose path names no tile keep no place in a container;
-a null size counts as the tier of the smallest files; equal boxes of a tile are kept once with
-the list of files that hold them; boxes of any arity, null boxes and null labels are kept as they
+a null size counts as the tier of the smallest files; equal boxes of a tile are kept once, and
+a lineage names the files that held them; boxes of any arity, null boxes and null labels are kept as they
 are; an empty table gives an empty journal.
 """
 
@@ -31,8 +31,7 @@ JOURNAL = ("txn_id", "level", "bucket", "tier", "n_inputs", "bytes", "rows")
 
 def tile_of(path: Column) -> Column:
     """The tile that a box file belongs to: its base name before ``_bboxes``; null if there is none."""
-    base = F.regexp_extract(path, r"([^/\\]*)$", 1)
-    return F.nullif(F.regexp_extract(base, r"^(.*?)_bboxes", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(path, r"^(?:.*[/\\])?([^/\\]*?)_bboxes[^/\\]*$", 1), F.lit(""))
 
 
 def file_catalogue(boxes: DataFrame, buckets: int) -> DataFrame:
@@ -78,12 +77,12 @@ def plan(catalogue: DataFrame, base: int = 1 << 10, fan_in: int = 8, target: int
     """Plans all merges: ``(journal, placement)``.
 
     ``journal`` has a row for each transaction (JOURNAL), ``placement`` gives each file's
-    ``container``: the output of the last transaction that takes it in, or the file itself. Files
+    ``tile`` and ``container``: the output of the last transaction that takes it in, or the file itself. Files
     listed in ``committed`` (``file_id, container``) stay where an earlier run put them.
     """
     if committed is not None:
         catalogue = catalogue.join(committed.select("file_id").distinct(), "file_id", "left_anti")
-    placement = cut(catalogue.select("file_id", "bucket", "bytes", "rows", F.concat(F.lit("F"), F.col("file_id").cast("string")).alias("node")))
+    placement = cut(catalogue.select("file_id", "tile", "bucket", "bytes", "rows", F.concat(F.lit("F"), F.col("file_id").cast("string")).alias("node")))
     journal = None
     for level in range(1, levels + 1):
         nodes = placement.groupBy("node", "bucket").agg(F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"))
@@ -99,22 +98,24 @@ def plan(catalogue: DataFrame, base: int = 1 << 10, fan_in: int = 8, target: int
             break
         moves = step.where("txn_id IS NOT NULL").select("node", "txn_id")
         placement = cut(placement.join(moves, "node", "left").withColumn("node", F.coalesce("txn_id", "node")).drop("txn_id"))
-    return journal.select(*JOURNAL), placement.select("file_id", F.col("node").alias("container"))
+    return journal.select(*JOURNAL), placement.select("file_id", "tile", F.col("node").alias("container"))
 
 
-def compact(boxes: DataFrame, placement: DataFrame) -> DataFrame:
-    """The rewritten boxes: ``container, tile, label_id, bbox, file_ids``.
+def lineage(boxes: DataFrame, placement: DataFrame) -> DataFrame:
+    """``(tile, label_id, bbox, file_id, container)``: which files hold each box, and where their boxes go.
 
-    Every box of a tile stands once in the container of the tile's smallest file name; ``file_ids`` is the
-    sorted list of files it came from (its lineage), so nothing of the inputs is lost.
+    One row for each box and file, so that a tile with any number of files needs no list of them.
     """
-    rows = (
-        boxes.where("file_id IS NOT NULL")
-        .select("file_id", tile_of(F.col("bbox_file")).alias("tile"), "label_id", "bbox")
-        .where("tile IS NOT NULL")
-        .join(placement, "file_id")
-    )
-    return rows.groupBy("tile", "label_id", "bbox").agg(F.min("container").alias("container"), F.array_sort(F.collect_set("file_id")).alias("file_ids"))
+    rows = boxes.where("file_id IS NOT NULL").select("file_id", "label_id", "bbox").distinct()
+    return rows.join(placement, "file_id").select("tile", "label_id", "bbox", "file_id", "container")
+
+
+def compact(rows: DataFrame) -> DataFrame:
+    """The rewritten boxes ``container, tile, label_id, bbox, n_files`` out of the lineage.
+
+    Every box of a tile stands once, in the first of its files' containers; ``n_files`` files held it.
+    """
+    return rows.groupBy("tile", "label_id", "bbox").agg(F.min("container").alias("container"), F.count(F.lit(1)).alias("n_files"))
 
 
 def buckets_for(boxes: DataFrame, rows_per_bucket: int = 4_000_000) -> int:
@@ -123,21 +124,22 @@ def buckets_for(boxes: DataFrame, rows_per_bucket: int = 4_000_000) -> int:
 
 
 def compact_small_files(boxes: DataFrame, **tiers: int) -> tuple[DataFrame, DataFrame]:
-    """Catalogue, plan and rewrite in one go: ``(journal, compacted boxes)``."""
+    """Catalogue, plan and rewrite in one go: ``(journal, lineage)``; ``compact`` gives the boxes."""
     journal, placement = plan(file_catalogue(boxes, buckets_for(boxes)), **tiers)
-    return journal, compact(boxes, placement)
+    return journal, lineage(boxes, placement)
 
 
-def same_content_pairs(compacted: DataFrame) -> DataFrame:
+def same_content_pairs(rows: DataFrame) -> DataFrame:
     """``(file_id_a, file_id_b)``: files of one tile with the same set of ``(label_id, bbox)``.
 
-    Read off the lineage of the compacted boxes: a file's set is the set of boxes that name it. Sets
+    Read off the compaction's lineage: a file's set is the set of boxes that came from it. Sets
     are compared by count and two independent sums of 64-bit hashes, which combine map-side and
     need no list of a file's boxes in memory.
     """
-    box = [F.col("label_id"), F.col("bbox")]
+    box = F.to_json(F.struct("label_id", "bbox"), {"ignoreNullFields": "false"})
     sets = (
-        compacted.select("tile", F.explode("file_ids").alias("file_id"), F.xxhash64(*box).alias("h"), F.xxhash64(F.lit(7), *box).alias("g"))
+        rows.select("tile", "file_id", box.alias("box"))
+        .select("tile", "file_id", F.xxhash64("box").alias("h"), F.xxhash64(F.lit(7), "box").alias("g"))
         .groupBy("tile", "file_id")
         .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("h").cast("decimal(20,0)")).alias("h"), F.sum(F.col("g").cast("decimal(20,0)")).alias("g"))
     )

@@ -24,8 +24,8 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_compacted_tiles(spark: SparkSession, d: str) -> DataFrame:
     """Per tile: boxes kept and files taken in."""
-    boxes = compaction.compact_small_files(table(spark, d, "tile_bboxes"))[1]
-    return boxes.groupBy("tile").agg(F.count(F.lit(1)).alias("n_boxes"), F.sum(F.size("file_ids")).cast("long").alias("n_file_boxes"))
+    boxes = compaction.compact(compaction.compact_small_files(table(spark, d, "tile_bboxes"))[1])
+    return boxes.groupBy("tile").agg(F.count(F.lit(1)).alias("n_boxes"), F.sum("n_files").alias("n_file_boxes"))
 
 
 def p2_journal(spark: SparkSession, d: str) -> DataFrame:

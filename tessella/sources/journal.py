@@ -8,12 +8,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.compaction import compact, file_catalogue, plan
+from ..operators.compaction import compact, file_catalogue, lineage, plan
 
 
 @dataclass(frozen=True)
 class CompactedStore:
-    """A folder ``root`` with ``journal/<run>``, ``placement/<run>`` and ``data/container=<id>``.
+    """A folder ``root`` with ``journal``, ``placement``, ``lineage`` and ``data`` of every run and its commit marker.
 
     ``ingest`` may be called again with the same or with more files: files that a committed run placed
     are skipped, and a run that died before its commit marker is planned again to the same transactions.
@@ -46,7 +46,8 @@ class CompactedStore:
         placement = self.spark.read.parquet(self._path("placement", run))
         n = placement.count()
         if n:
-            out = compact(boxes, placement)
+            lineage(boxes, placement).write.mode("overwrite").parquet(self._path("lineage", run))
+            out = compact(self.spark.read.parquet(self._path("lineage", run)))
             out.repartition("container").write.mode("overwrite").partitionBy("container").parquet(self._path("data", run))
             fs, marker = self._fs(self._path("commits", run))
             stream = fs.create(marker, True)
@@ -55,9 +56,9 @@ class CompactedStore:
         return {"run": run, "files": n}
 
     def boxes(self) -> DataFrame:
-        """All boxes; a box that several runs hold stands once, with the union of its files."""
+        """All boxes; a box that several runs hold stands once (a file belongs to one run only)."""
         parts = [self.spark.read.parquet(self._path("data", r)) for r in self.runs()]
         both = parts[0]
         for p in parts[1:]:
             both = both.unionByName(p)
-        return both.groupBy("tile", "label_id", "bbox").agg(F.min("container").alias("container"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("file_ids")))).alias("file_ids"))
+        return both.groupBy("tile", "label_id", "bbox").agg(F.min("container").alias("container"), F.sum("n_files").alias("n_files"))
