@@ -4,9 +4,9 @@ Grid density clustering. Unit vectors are quantised: a fixed orthonormal map to
 steps of STEP, gives the grid cell. Cells are counted (hot ones are split by hash, so that no task
 holds more than HOT rows of one), and within a cell vectors gather around the densest ones into cores,
 all of whose members are linked to the core's centre. Cells of a slide are then joined: two cores are
-adjacent if any member of one is linked to any member of the other, which is tested exactly on pairs
-of blocks of at most BLOCK vectors, so the grid never loses a link and a slide of any size is spread
-over many tasks. Minimum labels propagate over adjacent cores to convergence.
+adjacent if any member of one is linked to any member of the other, which is tested exactly within blocks
+of about BLOCK vectors and between every two blocks of a slide, so the grid never loses a link and a slide of
+any size is spread over many tasks. Minimum labels propagate over adjacent cores to convergence.
 
 A core's id is its smallest cell_key, so a cluster's label is its smallest cell_key. Exact copies of a
 vector in one share of a cell are compared once.
@@ -32,7 +32,7 @@ from .vectors import DIM, pack, unpack, usable
 
 AXES, STEP, HOT, BLOCK = 6, 0.3, 2048, 16384
 POINTS = "key_hash long, cell_key long, grid long, vec binary"
-CORES = "slide_no long, unit long, n int, cells int, keys binary, core binary, vecs binary"
+BLOCKS = "slide_no long, blk int, blocks int, keys binary, edges binary, core binary, vecs binary"
 
 
 def axes(dim: int = DIM, count: int = AXES) -> np.ndarray:
@@ -78,43 +78,6 @@ def gather_cores(x: np.ndarray, keys: np.ndarray, least_sim: float) -> np.ndarra
     return core
 
 
-def make_cores(batches: Iterator[pa.RecordBatch], least_sim: float) -> Iterator[pa.RecordBatch]:
-    """One row for each unit (a grid cell or a share of a hot one): its keys with their cores, and the distinct vectors."""
-    parts = [b for b in batches if b.num_rows]
-    if not parts:
-        return
-    t = pa.Table.from_batches(parts)
-    slide, unit, keys = (np.asarray(t.column(c)) for c in ("slide_no", "unit", "cell_key"))
-    x = unpack(t.column("vec"))
-    order = np.lexsort((keys, unit, slide))
-    s, u, k = slide[order], unit[order], keys[order]
-    new_unit = np.concatenate([[True], (s[1:] != s[:-1]) | (u[1:] != u[:-1])])
-    fresh = new_unit | np.concatenate([[True], k[1:] != k[:-1]])
-    order = order[fresh]
-    starts = np.flatnonzero(new_unit[fresh])
-    out: list[list] = [[] for _ in range(7)]
-    for a, b in zip(starts, [*starts[1:], len(order)]):
-        rows = order[a:b]
-        kk, v = keys[rows], x[rows]
-        if len(rows) == 1:
-            core, distinct = kk, v
-            of_distinct = core
-        else:
-            raw = v.view(np.dtype((np.void, v.dtype.itemsize * v.shape[1]))).ravel()
-            _, first, back = np.unique(raw, return_index=True, return_inverse=True)
-            lows = np.full(len(first), np.iinfo(np.int64).max)
-            np.minimum.at(lows, back, kk)
-            distinct = v[first]
-            of_distinct = gather_cores(distinct.astype(np.float64), lows, least_sim)
-            core = of_distinct[back]
-            by = np.argsort(of_distinct, kind="stable")
-            distinct, of_distinct = distinct[by], of_distinct[by]
-        for c, value in zip(out, (slide[rows[0]], unit[rows[0]], len(distinct), len(rows), np.concatenate([kk, core]).tobytes(), of_distinct.tobytes(), distinct.tobytes())):
-            c.append(value)
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-    yield pa.record_batch([pa.array(c, kind) for c, kind in zip(out, kinds)], names=["slide_no", "unit", "n", "cells", "keys", "core", "vecs"])
-
-
 def _spanning(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Edges from every node to the smallest node of its component, for the edges ``(low, high)``."""
     nodes, index = np.unique(np.concatenate([low, high]), return_inverse=True)
@@ -165,50 +128,78 @@ def adjacent_cores(x: np.ndarray, cx: np.ndarray, y: np.ndarray, cy: np.ndarray,
     return _spanning(low[keep], high[keep])
 
 
-def join_cells(batches: Iterator[pa.RecordBatch], least_sim: float) -> Iterator[pa.RecordBatch]:
-    """``(u, v)``: adjacent cores of each pair of blocks ``(slide_no, lo, hi)``, reduced to a spanning forest."""
+def _cores_of(keys: np.ndarray, x: np.ndarray, least_sim: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(core of each row, distinct vectors, core of each distinct vector)`` of one unit."""
+    if len(keys) == 1:
+        return keys, x, keys
+    raw = x.view(np.dtype((np.void, x.dtype.itemsize * x.shape[1]))).ravel()
+    _, first, back = np.unique(raw, return_index=True, return_inverse=True)
+    lows = np.full(len(first), np.iinfo(np.int64).max)
+    np.minimum.at(lows, back, keys)
+    core = gather_cores(x[first].astype(np.float64), lows, least_sim)
+    return core[back], x[first], core
+
+
+def make_blocks(batches: Iterator[pa.RecordBatch], least_sim: float) -> Iterator[pa.RecordBatch]:
+    """One row for each block of a slide: its keys with their cores, the adjacent cores within it, and, if the
+    slide has other blocks, its distinct vectors in runs of equal core."""
     parts = [b for b in batches if b.num_rows]
     if not parts:
         return
     t = pa.Table.from_batches(parts)
-    slide, lo, hi, blk, n = (np.asarray(t.column(c)) for c in ("slide_no", "lo", "hi", "blk", "n"))
-    vecs, cores = t.column("vecs"), t.column("core")
-    order = np.lexsort((blk, hi, lo, slide))
-    change = np.concatenate([[True], np.any([v[order][1:] != v[order][:-1] for v in (slide, lo, hi)], axis=0)])
-    starts = np.flatnonzero(change)
-    us, vs = [], []
-
-    def load(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        v = np.frombuffer(b"".join(vecs[int(r)].as_buffer() for r in rows), np.float32).reshape(-1, DIM)
-        return v, np.frombuffer(b"".join(cores[int(r)].as_buffer() for r in rows), np.int64)
-
-    for a, b in zip(starts, [*starts[1:], len(order)]):
-        rows = order[a:b]
-        if lo[rows[0]] == hi[rows[0]]:
-            if len(rows) == 1 and n[rows[0]] == 1:
-                continue
-            x, cx = load(rows)
-            u, v = adjacent_cores(x, cx, x, cx, least_sim)
-        else:
-            left = blk[rows] == lo[rows[0]]
-            if left.all() or not left.any():
+    slide, blk, blocks, unit, keys = (np.asarray(t.column(c)) for c in ("slide_no", "blk", "blocks", "unit", "cell_key"))
+    x = unpack(t.column("vec"))
+    order = np.lexsort((keys, unit, blk, slide))
+    s, b, u, k = slide[order], blk[order], unit[order], keys[order]
+    new_block = np.concatenate([[True], (s[1:] != s[:-1]) | (b[1:] != b[:-1])])
+    new_unit = new_block | np.concatenate([[True], u[1:] != u[:-1]])
+    fresh = new_unit | np.concatenate([[True], k[1:] != k[:-1]])  # redeliveries of a key are neighbours here
+    order = order[fresh]
+    unit_at, block_at = np.flatnonzero(new_unit[fresh]), np.flatnonzero(new_block[fresh])
+    unit_end = np.append(unit_at[1:], len(order))
+    for at, end in zip(block_at, [*block_at[1:], len(order)]):
+        units = range(*np.searchsorted(unit_at, [at, end]))
+        got = [_cores_of(keys[order[unit_at[i] : unit_end[i]]], x[order[unit_at[i] : unit_end[i]]], least_sim) for i in units]
+        core = np.concatenate([g[0] for g in got])
+        distinct, own = np.concatenate([g[1] for g in got]), np.concatenate([g[2] for g in got])
+        by = np.argsort(own, kind="stable")
+        distinct, own = distinct[by], own[by]
+        low, high = adjacent_cores(distinct, own, distinct, own, least_sim) if len(own) > 1 else (own[:0], own[:0])
+        shared = blocks[order[at]] > 1
+        yield pa.record_batch(
+            [
+                pa.array([slide[order[at]]], pa.int64()),
+                pa.array([blk[order[at]]], pa.int32()),
+                pa.array([blocks[order[at]]], pa.int32()),
+                *[pa.array([v], pa.binary()) for v in (np.concatenate([keys[order[at:end]], core]).tobytes(), np.concatenate([low, high]).tobytes(), own.tobytes() if shared else None, distinct.tobytes() if shared else None)],
+            ],
+            names=["slide_no", "blk", "blocks", "keys", "edges", "core", "vecs"],
+        )
+
+
+def join_blocks(batches: Iterator[pa.RecordBatch], least_sim: float) -> Iterator[pa.RecordBatch]:
+    """``(u, v)``: adjacent cores of each two blocks ``(slide_no, lo, hi)``, reduced to a spanning forest."""
+    waiting: dict[tuple, tuple] = {}
+    for b in batches:
+        names = zip(*[b.column(c).to_pylist() for c in ("slide_no", "lo", "hi")])
+        for r, name in enumerate(names):
+            x = np.frombuffer(b.column("vecs")[r].as_buffer(), np.float32).reshape(-1, DIM)
+            core = np.frombuffer(b.column("core")[r].as_buffer(), np.int64)
+            if name not in waiting:
+                waiting[name] = (x, core)
                 continue
-            x, cx = load(rows[left])
-            y, cy = load(rows[~left])
-            u, v = adjacent_cores(x, cx, y, cy, least_sim)
-        us.append(u)
-        vs.append(v)
-    if us:
-        yield pa.record_batch([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], names=["u", "v"])
+            y, other = waiting.pop(name)
+            u, v = adjacent_cores(x, core, y, other, least_sim)
+            yield pa.record_batch([pa.array(u), pa.array(v)], names=["u", "v"])
 
 
-def read_cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(cell_key, core)`` out of packed units."""
+def read_pairs(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Two columns out of binaries that hold all of the first and then all of the second."""
     for b in batches:
         both = [np.frombuffer(v.as_buffer(), np.int64).reshape(2, -1) for v in b.column(0)]
         if both:
-            keys, core = np.concatenate(both, axis=1)
-            yield pa.record_batch([pa.array(keys), pa.array(core)], names=["cell_key", "core"])
+            first, second = np.concatenate(both, axis=1)
+            yield pa.record_batch([pa.array(first), pa.array(second)], names=names)
 
 
 def clusters(embeddings: DataFrame, slides: DataFrame, least_sim: float = 0.8, least: int = 5) -> DataFrame:
@@ -218,29 +209,29 @@ def clusters(embeddings: DataFrame, slides: DataFrame, least_sim: float = 0.8, l
     the most typical ones.
     """
     spark = embeddings.sparkSession
-    n_parts = partitions(spark)
     pts = cut(points(embeddings, slides))
     release(spark)
-    counts = pts.groupBy("slide_no", "grid").agg(F.count(F.lit(1)).alias("cells"))
+    counts = cut(pts.groupBy("slide_no", "grid").agg(F.count(F.lit(1)).alias("cells")))
+    # of each at most one row for every HOT or BLOCK points
     hot = counts.where(F.col("cells") > HOT).select("slide_no", "grid", F.ceil(F.col("cells") / HOT).alias("shares"))
+    big = counts.groupBy("slide_no").agg(F.ceil(F.sum("cells") / BLOCK).cast("int").alias("blocks")).where("blocks > 1")
     unit = F.xxhash64("grid", F.when(F.col("shares").isNotNull(), F.pmod(F.xxhash64("cell_key"), F.col("shares"))))
-    # at most one row for each HOT rows
-    units = pts.join(F.broadcast(hot), ["slide_no", "grid"], "left").select("slide_no", unit.alias("unit"), "cell_key", "vec")
-    packed = cut(units.repartition(n_parts, "slide_no", "unit").mapInArrow(lambda it: make_cores(it, least_sim), CORES))
-    del pts, counts, hot, units
-    release(spark)
-    per_slide = packed.groupBy("slide_no").agg(F.greatest(F.lit(1), F.ceil(F.sum("n") / BLOCK)).cast("int").alias("blocks"))
-    blk = F.pmod(F.xxhash64("unit"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    pairs = (
-        packed.select("slide_no", "unit", "n", "core", "vecs")
-        .join(per_slide, "slide_no")
-        .withColumn("blk", blk)
-        .select("slide_no", "n", "core", "vecs", "blk", other.alias("other"))
-        .select("slide_no", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"), "blk", "n", "core", "vecs")
+    blocks = F.coalesce("blocks", F.lit(1))
+    placed = (
+        pts.join(F.broadcast(hot), ["slide_no", "grid"], "left")
+        .join(F.broadcast(big), "slide_no", "left")
+        .select("slide_no", unit.alias("unit"), blocks.alias("blocks"), "cell_key", "vec")
+        .withColumn("blk", F.pmod("unit", F.col("blocks")).cast("int"))
     )
-    edges = cut(pairs.repartition(n_parts, "slide_no", "lo", "hi").mapInArrow(lambda it: join_cells(it, least_sim), "u long, v long"))
-    members = packed.select("keys").mapInArrow(read_cores, "cell_key long, core long")
+    n_parts = partitions(spark)
+    packed = cut(placed.repartition(n_parts, "slide_no", "blk").mapInArrow(lambda it: make_blocks(it, least_sim), BLOCKS))
+    del pts, counts, hot, big, placed
+    release(spark)
+    other = F.explode(F.expr("filter(sequence(0, blocks - 1), b -> b <> blk)")).alias("other")
+    pairs = packed.where("blocks > 1").select("slide_no", "blk", "core", "vecs", other).select("slide_no", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"), "core", "vecs")
+    across = pairs.repartition(n_parts, "slide_no", "lo", "hi").mapInArrow(lambda it: join_blocks(it, least_sim), "u long, v long")
+    edges = cut(packed.select("edges").mapInArrow(lambda it: read_pairs(it, ["u", "v"]), "u long, v long").unionByName(across))
+    members = packed.select("keys").mapInArrow(lambda it: read_pairs(it, ["cell_key", "core"]), "cell_key long, core long")
     cores = cut(members.groupBy("core").agg(F.count(F.lit(1)).alias("core_size")))
     labels = minimum_labels(cores.select(F.col("core").alias("node")), edges).select(F.col("node").alias("core"), F.col("label").alias("first_key"))
     sized = labels.join(cores, "core")
