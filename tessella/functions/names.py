@@ -123,3 +123,23 @@ def parameter_text(value: object) -> str:
     if isinstance(value, bool):
         return "T" if value else "F"
     return str(value).replace(".", "pt").replace(",", "-")
+
+
+IMAGE_MARKERS = ("prepped_tiles", "prepped_tiles_path", "INPUT_prepped_tiles_path", "prepped")
+
+
+def image_candidates(path: Column, markers: tuple[str, ...] = IMAGE_MARKERS) -> Column:
+    """Relative paths under which a tile's image may lie, most specific first: after a marker folder, slide and file, file."""
+    clean = F.replace(path, F.lit("\\"), F.lit("/"))
+    after = [F.nullif(F.regexp_extract(clean, rf"/{m}/(.+)$", 1), F.lit("")) for m in markers]
+    return F.array_distinct(F.array_compact(F.array(*after, F.nullif(F.regexp_extract(clean, r"([^/]+/[^/]+)$", 1), F.lit("")), base_name(clean))))
+
+
+def tile_uri(path: Column, base: Column, marker: str = "INPUT_prepped_tiles_path") -> Column:
+    """A tile's address under its slide's base; null without one."""
+    return F.concat(F.regexp_replace(base, "/+$", ""), F.lit("/"), tail_after(path, marker))
+
+
+def run_stamp(at: Column | None = None) -> Column:
+    """A time as ``yyyyMMdd_HHmmss``."""
+    return F.date_format(F.current_timestamp() if at is None else at, "yyyyMMdd_HHmmss")

@@ -152,3 +152,13 @@ def percentile_radius(dists: DataFrame, share: float = 0.95) -> DataFrame:
     eps = F.percentile("dist", F.lit(share))
     large = F.avg(F.when(F.col("dist") > 1e-6, F.col("dist")))
     return dists.agg(F.when(eps < 1e-6, F.coalesce(large, F.lit(0.1))).when(eps.isNull(), F.lit(0.5)).otherwise(eps).alias("eps"))
+
+
+def pca_reduced(points: DataFrame, vector: str, k: int, out: str = "reduced") -> DataFrame:
+    """Vectors projected on their first ``k`` principal components: a linear stand-in for manifold reduction."""
+    from pyspark.ml.feature import PCA
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    with_vector = points.withColumn("__v", array_to_vector(F.col(vector).cast("array<double>")))
+    model = PCA(k=k, inputCol="__v", outputCol="__p").fit(with_vector)
+    return model.transform(with_vector).withColumn(out, vector_to_array("__p")).drop("__v", "__p")

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..kernels.assign import align
+from .grouped import map_groups
 
 
 def matched(human: DataFrame, model: DataFrame, on: list[str], position: str | None = None) -> DataFrame:
@@ -30,18 +30,17 @@ def aligned_labels(counts: DataFrame, tile: list[str]) -> DataFrame:
     """``(tile, model_label, aligned_label)``: each model label with the human label that the best assignment gives it, or null."""
     kinds = dict(counts.dtypes)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        table = np.zeros((pdf["m_index"].max() + 1, pdf["h_index"].max() + 1))
-        np.add.at(table, (pdf["m_index"], pdf["h_index"]), pdf["n"])
-        models = pdf.drop_duplicates("m_index").sort_values("m_index")
-        humans = pdf.drop_duplicates("h_index").sort_values("h_index")["human_label"].to_numpy()
+    def run(g: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        table = np.zeros((g["m_index"].max() + 1, g["h_index"].max() + 1))
+        np.add.at(table, (g["m_index"], g["h_index"]), g["n"])
+        models = np.unique(g["m_index"], return_index=True)[1]
+        humans = g["human_label"][np.unique(g["h_index"], return_index=True)[1]]
         to = align(table)
-        out = models[[*tile, "model_label"]].copy()
-        out["aligned_label"] = pd.array([int(humans[c]) if c >= 0 else None for c in to], dtype="Int64")
-        return out
+        aligned = np.where(to >= 0, humans[np.maximum(to, 0)].astype(np.float64), np.nan)
+        return {c: g[c][models] for c in [*tile, "model_label"]} | {"aligned_label": aligned}
 
     schema = ", ".join(f"{c} {kinds[c]}" for c in [*tile, "model_label"])
-    return counts.groupBy(*tile).applyInPandas(run, f"{schema}, aligned_label long")
+    return map_groups(counts, tile, run, f"{schema}, aligned_label long")
 
 
 def compared(cells: DataFrame, tile: list[str]) -> DataFrame:

@@ -618,3 +618,30 @@ def classified_json_roundtrip(spark, d):
     text = t.select("record_id", F.to_json("classified_cells", {"ignoreNullFields": "true"}).alias("j"))
     back = text.select("record_id", F.explode(F.from_json("j", f"ARRAY<{struct_of(CLASSIFIED_CELL)}>", {"allowNonNumericNumbers": "true"})).alias("c"))
     return back.groupBy("record_id", F.col("c.label_id").alias("label_id"), F.col("c.pred_class").alias("pred_class"), F.col("c.cluster_id").alias("cluster_id")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(r"""SELECT record_id, tile_path, CASE WHEN cut <> '' THEN cut ELSE regexp_extract(tile_path, '([^/]+/[^/]+)$', 1) END AS tail
+  FROM (SELECT DISTINCT record_id, tile_path, regexp_extract(tile_path, '(?:^|/)INPUT_prepped_tiles_path[^/]*/(.+)$', 1) AS cut FROM classification_results WHERE tile_path IS NOT NULL)""")
+def tile_path_tails(spark, d):
+    t = table(spark, d, "classification_results").where("tile_path IS NOT NULL").select("record_id", "tile_path").distinct()
+    return t.withColumn("tail", names.tail_after(F.col("tile_path"), "INPUT_prepped_tiles_path"))
+
+
+@query(r"""WITH f AS (SELECT DISTINCT file_id, replace(bbox_file, '\', '/') AS p FROM tile_bboxes), c AS (SELECT file_id, 1 AS r, regexp_extract(p, '/INPUT_prepped_tiles_path/(.+)$', 1) AS c FROM f
+    UNION ALL SELECT file_id, 2, regexp_extract(p, '/prepped/(.+)$', 1) FROM f UNION ALL SELECT file_id, 3, regexp_extract(p, '([^/]+/[^/]+)$', 1) FROM f)
+  SELECT file_id, arg_min(c, r) AS first FROM c WHERE c <> '' GROUP BY 1""")
+def image_path_candidates(spark, d):
+    f = table(spark, d, "tile_bboxes").select("file_id", "bbox_file").distinct()
+    return f.select("file_id", F.element_at(names.image_candidates(F.col("bbox_file"), ("INPUT_prepped_tiles_path", "prepped")), 1).alias("first"))
+
+
+@query("SELECT event_id, strftime(ts, '%Y%m%d_%H%M%S') AS stamp FROM events")
+def run_stamps(spark, d):
+    return table(spark, d, "events").select("event_id", names.run_stamp(F.col("ts")).alias("stamp"))
+
+
+@query()
+def pca_reduce(spark, d):
+    """Embeddings on their first 8 principal components."""
+    p = density.pca_reduced(vectors(spark, d), "v", 8)
+    return p.select("vec_id", F.transform("reduced", lambda x: F.round(x, 6)).alias("reduced"))

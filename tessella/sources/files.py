@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..functions.names import base_name
+from ..functions.names import base_name, image_name, run_stamp
 from ..schemas import ANNOTATED_TILE, ASSIGNMENT, CHECKPOINT, CLASSIFIED_TILE, HUMAN_LABELS, LABEL_FILE
 
 IMAGES = r"(?i)\.(png|jpg|tif)$"
@@ -143,3 +143,30 @@ def write_archive(df: DataFrame, name: str, text: str, path: str) -> int:
 
 def pretty(record: dict, indent: int = 2) -> str:
     return json.dumps(record, ensure_ascii=False, indent=indent)
+
+
+def find_batches(spark: SparkSession, root: str) -> list[str]:
+    """Folders named ``batch_*`` in ``root``, else in its first folder that has some, sorted by name."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def folders(path) -> list:  # noqa: ANN001
+        return sorted((s.getPath() for s in fs.listStatus(path) if s.isDirectory()), key=lambda p: p.getName())
+
+    def batches(path) -> list[str]:  # noqa: ANN001
+        return [p.toString() for p in folders(path) if p.getName().startswith("batch_")]
+
+    if not fs.exists(hadoop):
+        return []
+    return batches(hadoop) or next((b for p in folders(hadoop) if (b := batches(p))), [])
+
+
+def labelled_tiles(files: DataFrame) -> DataFrame:
+    """Tiles of label files, each with the name of its image."""
+    t = files.select("batch", "folder", F.posexplode("tiles").alias("tile_index", "t")).select("batch", "folder", "tile_index", "t.*")
+    return t.withColumn("image_filename", image_name(F.col("slide_id"), F.col("tile_name")))
+
+
+def save_stamped(df: DataFrame, folder: str, kind: str) -> None:
+    """Appends rows as JSON under the time of the call, as ``human_labels`` or ``eval_metrics`` are kept."""
+    df.withColumn("kind", F.lit(kind)).withColumn("stamp", run_stamp()).write.mode("append").partitionBy("kind", "stamp").json(folder)

@@ -116,3 +116,17 @@ def test_failing_model(spark):
     got = {r.item: r.pred_class for r in batched_classifier(call, "item", "item long")(df).collect()}
     assert got == {12: "c12", 13: "Error - Rate Limited"}
     assert Plugins().classifier and datetime
+
+
+def test_batches_and_labels(spark, tmp_path):
+    for name in ("runs/batch_2", "runs/batch_1", "runs/other", "empty"):
+        (tmp_path / name).mkdir(parents=True)
+    (tmp_path / "runs/batch_1/cell_labels.json").write_text('{"batch": 1, "tiles": [{"slide_id": "s", "tile_name": "t", "cells": []}]}')
+    root = str(tmp_path)
+    assert [p.rsplit("/", 1)[1] for p in files.find_batches(spark, root + "/runs")] == ["batch_1", "batch_2"]
+    assert [p.rsplit("/", 1)[1] for p in files.find_batches(spark, root)] == ["batch_1", "batch_2"]
+    assert files.find_batches(spark, root + "/empty") == [] and files.find_batches(spark, root + "/none") == []
+    row = files.labelled_tiles(files.label_files(spark, root + "/runs/batch_1")).first()
+    assert (row.folder, row.image_filename, row.tile_index) == ("batch_1", "s__t.png", 0)
+    files.save_stamped(spark.createDataFrame([(1,)], "n int"), root + "/saved", "eval_metrics")
+    assert spark.read.json(root + "/saved").count() == 1
