@@ -33,8 +33,16 @@ def nest(cells: DataFrame, keys: list[str], order: list[str], fields: list[str],
 
 
 def number_cells(cells: DataFrame, order: list[str], slide: str = "slide_id") -> DataFrame:
-    """Adds ``new_cell_id``, counting a slide's cells from 1 in the given order."""
-    return cells.withColumn("new_cell_id", F.row_number().over(W.partitionBy(slide).orderBy(*order)))
+    """Adds ``new_cell_id``, counting a slide's cells from 1 by tile (the first of ``order``, not null) and the rest of it.
+
+    Cells are ordered within their tile only and counted on from the tiles before, so that no task orders a
+    whole slide.
+    """
+    tile = order[0]
+    before = W.partitionBy(slide).orderBy(tile).rowsBetween(W.unboundedPreceding, -1)
+    tiles = cells.groupBy(slide, tile).agg(F.count(F.lit(1)).alias("__n")).withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    own = F.row_number().over(W.partitionBy(slide, tile).orderBy(*order[1:]))
+    return cells.join(tiles, [slide, tile]).withColumn("new_cell_id", (F.col("__before") + own).cast("int")).drop("__before")
 
 
 def first_match(polygons: DataFrame, classified: DataFrame, on: list[str], position: str) -> DataFrame:

@@ -20,21 +20,28 @@ def stride(total: Column, wanted: Column) -> Column:
 
 
 def grid(slides: DataFrame, mags: list[float], wanted: int | None = None, tile: int = 512) -> DataFrame:
-    """``(slide_id, magnification, edge, x, y)``: source squares of every slide and magnification.
+    """``(slide_id, magnification, edge, x, y, idx)``: source squares of every slide and magnification.
 
-    Needs ``slide_id, width, height``; slides without a size or smaller than the square give none.
+    Needs ``slide_id`` (unique), ``width``, ``height``; slides without a size or smaller than the square give none.
+    ``idx`` counts a slide's tiles from 0 by magnification (largest first), row and column. It follows from the
+    grids' sizes, so the tiles themselves are neither shuffled nor sorted.
     """
     m = F.explode(F.array(*[F.lit(float(v)) for v in sorted(set(mags), reverse=True)]))
     base = slides.where("width IS NOT NULL AND height IS NOT NULL").select("slide_id", "width", "height", m.alias("magnification")).withColumn("edge", source_edge(F.col("magnification"), tile))
     fits = base.where("width >= edge AND height >= edge").withColumn("nx", F.expr("(width - edge) div edge + 1").cast("int")).withColumn("ny", F.expr("(height - edge) div edge + 1").cast("int"))
     step = stride(F.col("nx").cast("long") * F.col("ny"), F.lit(wanted).cast("long"))
-    rows = fits.withColumn("step", step).withColumn("gy", F.explode(F.sequence(F.lit(0), F.col("ny") - 1, F.col("step"))))
-    cols = rows.withColumn("gx", F.explode(F.sequence(F.lit(0), F.col("nx") - 1, F.col("step"))))
-    return cols.select("slide_id", "magnification", "edge", (F.col("gx") * F.col("edge")).alias("x"), (F.col("gy") * F.col("edge")).alias("y"))
-
-
-def numbered(tiles: DataFrame) -> DataFrame:
-    """Adds ``idx``, counting a slide's tiles by magnification (largest first), row and column, and ``tile_name``."""
-    order = W.partitionBy("slide_id").orderBy(F.desc("magnification"), "y", "x")
-    out = tiles.withColumn("idx", F.row_number().over(order) - 1)
-    return out.withColumn("tile_name", tile_name(F.col("slide_id"), F.col("magnification"), F.col("x"), F.col("y"), F.col("idx")))
+    larger = W.partitionBy("slide_id").orderBy(F.desc("magnification")).rowsBetween(W.unboundedPreceding, -1)
+    sized = (
+        fits.withColumn("step", step)
+        .withColumn("cols", F.expr("(nx - 1) div step + 1"))
+        .withColumn("rows", F.expr("(ny - 1) div step + 1"))
+        .withColumn("before", F.coalesce(F.sum(F.col("cols") * F.col("rows")).over(larger), F.lit(0)))
+    )
+    every = sized.withColumn("row", F.explode(F.expr("sequence(0L, rows - 1)"))).withColumn("col", F.explode(F.expr("sequence(0L, cols - 1)")))
+    at = lambda i: (F.col(i) * F.col("step") * F.col("edge")).cast("int")
+    return every.select("slide_id", "magnification", "edge", at("col").alias("x"), at("row").alias("y"), (F.col("before") + F.col("row") * F.col("cols") + F.col("col")).cast("int").alias("idx"))
+
+
+def with_names(tiles: DataFrame) -> DataFrame:
+    """Adds the tiles' file names."""
+    return tiles.withColumn("tile_name", tile_name(F.col("slide_id"), F.col("magnification"), F.col("x"), F.col("y"), F.col("idx")))

@@ -253,13 +253,13 @@ GRID = """m AS (SELECT unnest([1.0, 0.9, 0.8])::DOUBLE AS magnification), g AS (
     FROM (SELECT *, unnest(range(nx)) AS gx FROM (SELECT *, unnest(range(ny)) AS gy FROM n)))
   SELECT slide_id, magnification, edge, x, y, (row_number() OVER (PARTITION BY slide_id ORDER BY magnification DESC, y, x) - 1)::INTEGER AS idx FROM t""")
 def tile_grid(spark, d):
-    return tiling.numbered(tiling.grid(part_slides(spark, d), [1.0, 0.9, 0.8])).drop("tile_name")
+    return tiling.grid(part_slides(spark, d), [1.0, 0.9, 0.8])
 
 
 @query(f"""WITH {PART_SLIDES}, {GRID}, s AS (SELECT *, CASE WHEN 6 >= nx::BIGINT * ny THEN 1 ELSE ceil(sqrt(nx::BIGINT * ny / 6.0))::INTEGER END AS step FROM n)
   SELECT slide_id, magnification, edge, (gx * edge)::INTEGER AS x, (gy * edge)::INTEGER AS y FROM (SELECT *, unnest(range(0, nx, step)) AS gx FROM (SELECT *, unnest(range(0, ny, step)) AS gy FROM s))""")
 def tile_grid_thinned(spark, d):
-    return tiling.grid(part_slides(spark, d), [1.0, 0.9, 0.8], wanted=6)
+    return tiling.grid(part_slides(spark, d), [1.0, 0.9, 0.8], wanted=6).drop("idx")
 
 
 @query("""WITH g AS (SELECT slide_id, unnest([1.0, 0.5])::DOUBLE AS magnification, width, height FROM slides WHERE width IS NOT NULL AND height IS NOT NULL),

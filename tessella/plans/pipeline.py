@@ -107,7 +107,7 @@ def run_pipeline(tables: dict[str, DataFrame], cfg: PipelineConfig, plugins: Plu
         return df.where(F.array_contains(names.filter_names(ids), F.col("slide_id")))
 
     if first <= STAGES.index("data_prep") and "slides" in out:
-        keep("grid", lambda: tiling.numbered(tiling.grid(chosen(out["slides"]), list(cfg.magnifications), cfg.num_tiles, cfg.tile_size)), "data_prep")
+        keep("grid", lambda: tiling.with_names(tiling.grid(chosen(out["slides"]), list(cfg.magnifications), cfg.num_tiles, cfg.tile_size)), "data_prep")
     if "tiles" not in out and "boxes" not in out:
         return out
     if "tiles" in out:
