@@ -94,6 +94,11 @@ SQL = {
       FROM vx JOIN bx USING (label_file_id, tile_pos, cell_pos)
       WHERE vx.n = 2 AND x IS NOT NULL AND y IS NOT NULL AND bx.n = 4 AND x0 IS NOT NULL AND y0 IS NOT NULL AND x1 IS NOT NULL AND y1 IS NOT NULL
         AND (x < x0 - 0.5 OR x > x1 + 0.5 OR y < y0 - 0.5 OR y > y1 + 0.5)""",
+    "p4_cells": f"""WITH {TREES}, q AS (SELECT *, json_extract(c, '$.bbox') AS b FROM ce), r AS (SELECT *, CASE WHEN json_type(b) = 'ARRAY' THEN TRY_CAST(b AS DOUBLE[])
+        WHEN json_type(b) = 'OBJECT' THEN [TRY_CAST(b->>'$.xmin' AS DOUBLE), TRY_CAST(b->>'$.ymin' AS DOUBLE), TRY_CAST(b->>'$.xmax' AS DOUBLE), TRY_CAST(b->>'$.ymax' AS DOUBLE)] END AS box FROM q)
+      SELECT label_file_id || '.' || tile_pos || '.' || cell_pos AS node, label_file_id || '.' || tile_pos AS parent, label_file_id, tile_pos::INTEGER AS tile_pos, cell_pos::INTEGER AS cell_pos,
+        TRY_CAST(c->>'$.cell_id' AS INTEGER) AS cell_id, TRY_CAST(c->>'$.label_id' AS INTEGER) AS label_id, c->>'$.pred_class' AS pred_class, TRY_CAST(c->>'$.cluster_id' AS INTEGER) AS cluster_id,
+        TRY_CAST(c->>'$.cluster_confidence' AS DOUBLE) AS cluster_confidence, to_json(box)::VARCHAR AS bbox, coalesce(json_array_length(json_extract(c, '$.polygon')), 0)::INTEGER AS n_vertices FROM r""",
     "p4_links": f"""WITH {TREES} SELECT 'files' AS tbl, count(*) AS n_rows, count(*) AS n_linked FROM trees UNION ALL SELECT 'tiles', count(*), count(*) FROM tl
       UNION ALL SELECT 'cells', count(*), count(*) FROM ce UNION ALL SELECT 'vertices', count(*), count(*) FROM ve""",
 }
