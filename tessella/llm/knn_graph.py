@@ -1,11 +1,12 @@
 """Problem 3: the most similar vectors of every vector.
 
 NN-descent on blocks. A neighbour graph is initialised from blocks of similar vectors and improved by
-iterations of "compare with the neighbours of my neighbours". Moving a vector for every pair of such
-an iteration would cost k * k vectors a node, so the join is made by home block: a node is sent once to
-each block that is home to one of its neighbours' kin and meets all of it there (a superset of the
-neighbours of its neighbours). Iterations end when no node has a block left to visit, or after
-``rounds``.
+iterations that join the graph with itself: a node's neighbours and their neighbours name the places where it
+may have closer kin. Moving a vector for every pair of such a join would cost k * k vectors a node, so the
+join yields home blocks: a node is sent once to each block that is home to one of its nearest KIN neighbours or
+to one of theirs, and meets all of it there (a superset of the neighbours of its neighbours). A node covered by
+a leader has its kin in its own block and stays; the others are open. Iterations end when no node has a
+block left to visit, or after ``rounds``.
 
 Blocks: leaders are chosen greedily in a sample of at most SAMPLE vectors (taken by hash of the key), so that
 no two are more similar than COVER; leaders are gathered into blocks of about BLOCK rows by
@@ -35,7 +36,7 @@ from ..session import cut, partitions, release
 from .vectors import DIM, pack, top_k, unpack, usable
 
 SAMPLE, BLOCK, UNIT, SPARSE, COPIES = 16384, 4096, 12288, 32768, 64
-COVER, SPREAD, KIN = 0.7, 4, 4
+COVER, SPREAD, KIN = 0.7, 4, 3
 PLACED = "block int, home int, key long, seen binary, vec binary"
 PACKED = "block int, unit int, members int, keys binary, homes binary, seen binary, own binary, guests binary, extra binary"
 EDGES = "node long, nbr long, sim double"
@@ -233,33 +234,21 @@ def _edges(node: np.ndarray, nbr: np.ndarray, sim: np.ndarray) -> list[pa.Array]
     return [pa.array(node.astype(np.int64)), pa.array(nbr.astype(np.int64)), pa.array(sim.astype(np.float64))]
 
 
-RESULT = "node long, nbr long, sim double, block int, home int, seen binary, vec binary"
-NAMES = ["node", "nbr", "sim", "block", "home", "seen", "vec"]
+RESULT = "node long, nbr long, sim double, home int"
+NAMES = ["node", "nbr", "sim", "home"]
 
 
-def _result(node: np.ndarray, nbr: np.ndarray, sim: np.ndarray) -> pa.RecordBatch:
-    n = len(node)
-    none = [pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())]
-    return pa.record_batch([*_edges(node, nbr, sim), *none], names=NAMES)
+def _result(node: np.ndarray, nbr: np.ndarray, sim: np.ndarray, home: np.ndarray | None = None) -> pa.RecordBatch:
+    """Edges, or with ``home`` the kin of nodes: neighbours together with their home blocks."""
+    return pa.record_batch([*_edges(node, nbr, sim), pa.nulls(len(node), pa.int32()) if home is None else pa.array(home.astype(np.int32))], names=NAMES)
 
 
-def _visits(keys: np.ndarray, homes: np.ndarray, seen: np.ndarray, x: np.ndarray, row: np.ndarray, target: np.ndarray, k: int) -> pa.RecordBatch | None:
-    """The blocks that rows still have to visit: homes of their nearest neighbours that they have not met.
-
-    ``row`` is ordered by nearness within equal rows; the first ``k // KIN`` neighbours are followed. Rows
-    that met all they need at home (covered ones) follow nobody.
-    """
+def _kin(keys: np.ndarray, open_rows: np.ndarray, row: np.ndarray, nbr: np.ndarray, sim: np.ndarray, home: np.ndarray) -> pa.RecordBatch:
+    """The nearest KIN neighbours of rows that may have kin elsewhere (``open_rows``); ``row`` is in order of nearness."""
     first = np.concatenate([[0], np.flatnonzero(np.diff(row)) + 1]) if len(row) else np.array([], np.int64)
     rank = np.arange(len(row)) - np.repeat(first, np.diff(np.append(first, len(row))))
-    fresh = (rank < max(1, k // KIN)) & ~(seen[row] == target[:, None]).any(axis=1) & (seen[row, 1] >= 0)
-    row, target = row[fresh], target[fresh]
-    if not len(row):
-        return None
-    row, target = np.unique(np.stack([row, target]), axis=1)
-    n = len(row)
-    return pa.record_batch(
-        [pa.array(keys[row]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.array(target.astype(np.int32)), pa.array(homes[row].astype(np.int32)), pack(seen[row]), pack(x[row])], names=NAMES
-    )
+    keep = (rank < KIN) & open_rows[row]
+    return _result(keys[row[keep]], nbr[keep], sim[keep], home[keep])
 
 
 def _both(node: np.ndarray, nbr: np.ndarray, sim: np.ndarray, back: np.ndarray, least: float) -> pa.RecordBatch:
@@ -270,7 +259,7 @@ def _both(node: np.ndarray, nbr: np.ndarray, sim: np.ndarray, back: np.ndarray,
 
 
 def compare_blocks(batches: Iterator[pa.RecordBatch], k: int, least: float) -> Iterator[pa.RecordBatch]:
-    """The ``k`` nearest of every row among the members of its unit, and the visits that follow."""
+    """The ``k`` nearest of every row among the members of its unit, and the kin of open rows."""
     for b in batches:
         for r in range(b.num_rows):
             keys, homes = _view(b, "keys", r, np.int64), _view(b, "homes", r, np.int32)
@@ -286,40 +275,52 @@ def compare_blocks(batches: Iterator[pa.RecordBatch], k: int, least: float) -> I
                 s[own - at, own] = -2
                 row, col, val = top_k(s, keys, k + 2)
                 row += at
-                v = _visits(keys, homes, seen, x, row, homes[col], k)
+                yield _kin(keys, seen[:, 1] >= 0, row, keys[col], val, homes[col])
                 near = val >= least - 1e-4
                 row, col = row[near], col[near]
                 yield _both(keys[row], keys[col], exact(x[row], x[col]), row >= members, least)
-                if v is not None:
-                    yield v
+
+
+def read_open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(node, seen, vec)`` of the open rows, from the units they are at home in."""
+    for b in batches:
+        for r in range(b.num_rows):
+            own = _view(b, "own", r, np.float32).reshape(-1, DIM)
+            seen = _view(b, "seen", r, np.int32).reshape(-1, SPREAD)[: len(own)]
+            rows = np.flatnonzero(seen[:, 1] >= 0)
+            yield pa.record_batch([pa.array(_view(b, "keys", r, np.int64)[rows]), pack(seen[rows]), pack(own[rows])], names=["node", "seen", "vec"])
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        seen = unpack(b.column(1), SPREAD).view(np.int32)
+        row, col = np.nonzero(seen >= 0)
+        yield pa.record_batch([b.column(0).take(pa.array(row)), pa.array(seen[row, col])], names=["node", "block"])
 
 
 def meet(left: pa.Table, right: pa.Table, k: int, least: float) -> pa.Table:
-    """Visitors of a block against the members of its units: edges in both directions, and further visits."""
-    out = []
+    """Visitors of a block against the members of its units: edges in both directions, and the visitors' kin there."""
+    out = [_result(*[np.empty(0)] * 3)]
     if left.num_rows and right.num_rows:
-        order = _dedupe(np.zeros(right.num_rows, np.int8), np.asarray(right.column("node")))
-        right = right.take(pa.array(order))
-        q_keys, q_homes = np.asarray(right.column("node")), np.asarray(right.column("home"))
-        q, q_seen = unpack(right.column("vec")), unpack(right.column("seen"), SPREAD).view(np.int32)
+        q_keys, q = np.asarray(right.column("node")), unpack(right.column("vec"))
         for r in range(left.num_rows):
             x = _view(left, "own", r, np.float32).reshape(-1, DIM)
             keys, homes = _view(left, "keys", r, np.int64)[: len(x)], _view(left, "homes", r, np.int32)[: len(x)]
-            m, m_keys = x.T.copy(), keys
+            m = x.T.copy()
             for at in range(0, len(q), 512):
                 s = q[at : at + 512] @ m
-                s[q_keys[at : at + 512][:, None] == m_keys[None, :]] = -2
-                row, col, _ = top_k(s, keys, k + 2)
+                s[q_keys[at : at + 512][:, None] == keys[None, :]] = -2
+                row, col, val = top_k(s, keys, k + 2)
                 row += at
-                v = _visits(q_keys, q_homes, q_seen, q, row, homes[col], k)
+                out.append(_kin(q_keys, np.ones(len(q), bool), row, keys[col], val, homes[col]))
+                near = val >= least - 1e-4
+                row, col = row[near], col[near]
                 out.append(_both(q_keys[row], keys[col], exact(q[row], x[col]), np.ones(len(row), bool), least))
-                if v is not None:
-                    out.append(v)
-    return pa.Table.from_batches(out) if out else _result(*[np.empty(0)] * 3).schema.empty_table()
+    return pa.Table.from_batches(out)
 
 
 def _is_edge(df: DataFrame) -> DataFrame:
-    return df.where("nbr IS NOT NULL").select("node", "nbr", "sim")
+    return df.where("home IS NULL").select("node", "nbr", "sim")
 
 
 def without_mass_copies(rows: DataFrame, key: str, embedding: str, k: int) -> tuple[DataFrame, DataFrame | None]:
@@ -341,7 +342,7 @@ def without_mass_copies(rows: DataFrame, key: str, embedding: str, k: int) -> tu
     return marked.join(rest.select(F.col("key").alias(key)), key, "left_anti").select(key, embedding), edges
 
 
-def candidate_edges(df: DataFrame, key: str = "cell_key", embedding: str = "embedding", k: int = 10, rounds: int = 1, least: float = -1.0) -> DataFrame:
+def candidate_edges(df: DataFrame, key: str = "cell_key", embedding: str = "embedding", k: int = 10, rounds: int = 2, least: float = -1.0) -> DataFrame:
     """``(node, nbr, sim)``: the graph's candidate edges, for every node a superset of its best ``k`` found.
 
     Edges below ``least`` are not put out; they rank behind all others, so the best of the rest stay right.
@@ -363,12 +364,24 @@ def candidate_edges(df: DataFrame, key: str = "cell_key", embedding: str = "embe
     release(spark)
     found = cut(packed.mapInArrow(lambda it: compare_blocks(it, k, least), RESULT))
     edges = _is_edge(found)
+    if rounds > 0:
+        members = packed.where("block >= 0").select("block", "keys", "homes", "own")
+        nodes = cut(packed.where("block >= 0").mapInArrow(read_open, "node long, seen binary, vec binary").dropDuplicates(["node"]))
+        visited = nodes.select("node", "seen").mapInArrow(_places, "node long, block int")
+        nearest = W.partitionBy("node").orderBy(F.desc("sim"), "nbr")
+    kin = None
     for _ in range(rounds):
-        visits = found.where("nbr IS NULL").select("node", "block", "home", "seen", "vec")
-        if visits.isEmpty():
+        met = found.where("home IS NOT NULL").select("node", "nbr", "sim", "home")
+        kin = met if kin is None else kin.unionByName(met)
+        kin = cut(kin.distinct().withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= KIN).drop("r"))
+        # the homes of a node's kin, and of its kin's kin
+        second = kin.select("node", F.col("nbr").alias("via")).join(kin.select(F.col("node").alias("via"), "home"), "via").select("node", F.col("home").alias("block"))
+        targets = cut(kin.select("node", F.col("home").alias("block")).union(second).distinct().join(visited, ["node", "block"], "left_anti"))
+        if targets.isEmpty():
             break
-        members = packed.where("block >= 0").select("block", "keys", "homes", "own")
+        visited = visited.union(targets)
         release(spark)
+        visits = targets.join(nodes.select("node", "vec"), "node").select("block", "node", "vec")
         found = cut(members.groupBy("block").cogroup(visits.groupBy("block")).applyInArrow(lambda left, right: meet(left, right, k, least), RESULT))
         edges = edges.unionByName(_is_edge(found))
     return edges if copies is None else edges.unionByName(copies)
@@ -380,7 +393,7 @@ def best(edges: DataFrame, k: int) -> DataFrame:
     return edges.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def knn_graph(df: DataFrame, key: str = "cell_key", embedding: str = "embedding", k: int = 10, rounds: int = 1) -> DataFrame:
+def knn_graph(df: DataFrame, key: str = "cell_key", embedding: str = "embedding", k: int = 10, rounds: int = 2) -> DataFrame:
     """``(node, nbr, sim, rank)``: the approximate ``k`` nearest neighbours of every usable vector."""
     return best(candidate_edges(df, key, embedding, k, rounds), k)
 
