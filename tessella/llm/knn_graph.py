@@ -36,7 +36,7 @@ from ..session import cut, partitions, release
 from .vectors import DIM, pack, top_k, unpack, usable
 
 SAMPLE, BLOCK, UNIT, SPARSE, COPIES = 16384, 4096, 12288, 32768, 64
-COVER, SPREAD, KIN = 0.7, 4, 3
+COVER, SPREAD, KIN = 0.7, 4, 2
 PLACED = "block int, home int, key long, seen binary, vec binary"
 PACKED = "block int, unit int, members int, keys binary, homes binary, seen binary, own binary, guests binary, extra binary"
 EDGES = "node long, nbr long, sim double"
@@ -302,7 +302,8 @@ def meet(left: pa.Table, right: pa.Table, k: int, least: float) -> pa.Table:
     """Visitors of a block against the members of its units: edges in both directions, and the visitors' kin there."""
     out = [_result(*[np.empty(0)] * 3)]
     if left.num_rows and right.num_rows:
-        q_keys, q = np.asarray(right.column("node")), unpack(right.column("vec"))
+        q_keys, first = np.unique(np.asarray(right.column("node")), return_index=True)
+        q = unpack(right.column("vec"))[first]
         for r in range(left.num_rows):
             x = _view(left, "own", r, np.float32).reshape(-1, DIM)
             keys, homes = _view(left, "keys", r, np.int64)[: len(x)], _view(left, "homes", r, np.int32)[: len(x)]
@@ -361,12 +362,13 @@ def candidate_edges(df: DataFrame, key: str = "cell_key", embedding: str = "embe
     n_parts = max(partitions(spark), -(-blocks // 8))
     placed = rows.where(F.col(key).isNotNull()).mapInArrow(lambda it: place(it, *shared.value), PLACED)
     packed = cut(placed.repartition(n_parts, "block").mapInArrow(lambda it: pack_blocks(it, k), PACKED))
+    del placed
     release(spark)
     found = cut(packed.mapInArrow(lambda it: compare_blocks(it, k, least), RESULT))
     edges = _is_edge(found)
     if rounds > 0:
         members = packed.where("block >= 0").select("block", "keys", "homes", "own")
-        nodes = cut(packed.where("block >= 0").mapInArrow(read_open, "node long, seen binary, vec binary").dropDuplicates(["node"]))
+        nodes = cut(packed.where("block >= 0").mapInArrow(read_open, "node long, seen binary, vec binary"))
         visited = nodes.select("node", "seen").mapInArrow(_places, "node long, block int")
         nearest = W.partitionBy("node").orderBy(F.desc("sim"), "nbr")
     kin = None
@@ -380,9 +382,12 @@ def candidate_edges(df: DataFrame, key: str = "cell_key", embedding: str = "embe
         if targets.isEmpty():
             break
         visited = visited.union(targets)
+        del met, second
         release(spark)
         visits = targets.join(nodes.select("node", "vec"), "node").select("block", "node", "vec")
         found = cut(members.groupBy("block").cogroup(visits.groupBy("block")).applyInArrow(lambda left, right: meet(left, right, k, least), RESULT))
+        del visits
+        release(spark)
         edges = edges.unionByName(_is_edge(found))
     return edges if copies is None else edges.unionByName(copies)
 
