@@ -11,9 +11,9 @@ block left to visit, or after ``rounds``.
 Blocks: leaders are chosen greedily in a sample of at most SAMPLE vectors (taken by hash of the key), so that
 no two are more similar than COVER; leaders are gathered into blocks of about BLOCK rows by
 recursive bisection. Every vector (not only the sample) goes to its nearest leader's block; one that no
-leader covers goes to the blocks of its SPREAD nearest leaders, and to the nearest of the sparse blocks, which
-hold uncovered vectors only, about SPARSE of them, because their neighbours lie far apart. A block is
-compared in full: all that were sent to it with those at home in it. A block beyond UNIT rows (sparse: twice SPARSE) is split among its own members, each row standing in the two nearest
+leader covers goes to the nearest of the sparse blocks too, which hold uncovered vectors only, about SPARSE of
+them, because their neighbours lie far apart, and visits the blocks of its SPREAD nearest leaders in the first
+round. A block is compared in full. A block beyond UNIT rows (sparse: twice SPARSE) is split among its own members, each row standing in the two nearest
 parts; a leader that more than UNIT rows follow is split before the exchange in the same way, among the
 sample's rows near it. Exact copies of one vector beyond COPIES need no comparison: by the tie rule their
 neighbours are the smallest keys among them; vectors with more than UNIT copies are taken out before the exchange.
@@ -38,7 +38,7 @@ from .vectors import DIM, pack, top_k, unpack, usable
 SAMPLE, BLOCK, UNIT, SPARSE, COPIES = 16384, 4096, 12288, 32768, 64
 COVER, SPREAD, KIN = 0.7, 4, 2
 PLACED = "block int, home int, key long, seen binary, vec binary"
-PACKED = "block int, unit int, members int, keys binary, homes binary, seen binary, own binary, guests binary, extra binary"
+PACKED = "block int, unit int, keys binary, homes binary, seen binary, own binary, extra binary"
 EDGES = "node long, nbr long, sim double"
 
 
@@ -127,7 +127,10 @@ def split_crowds(x: np.ndarray, leaders: np.ndarray, weights: np.ndarray, total:
 
 
 def place(batches: Iterator[pa.RecordBatch], leaders: np.ndarray, block_of: np.ndarray, sparse_of: np.ndarray, crowd: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Sends each usable vector to its block, uncovered ones to several and to a sparse block (numbered below 0)."""
+    """Sends each usable vector to its block, uncovered ones also to a sparse block (numbered below 0).
+
+    ``seen`` lists the block and, for open vectors, the further blocks that they visit in the first round.
+    """
     for b in batches:
         rows, x = usable(b.column(1))
         keys = np.asarray(b.column(0).take(pa.array(rows)))
@@ -138,7 +141,9 @@ def place(batches: Iterator[pa.RecordBatch], leaders: np.ndarray, block_of: np.n
             home = block_of[best]
             lone = s[np.arange(len(part)), best] < COVER
             weak = np.flatnonzero(lone | crowd[best])
-            src, dst, seen = [np.arange(len(part))], [home], np.full((len(part), SPREAD), -1, np.int32)
+            alone = np.flatnonzero(lone)
+            src, dst = np.concatenate([np.arange(len(part)), alone]), np.concatenate([home, -1 - sparse_of[best[alone]]]).astype(np.int32)
+            seen = np.full((len(part), SPREAD), -1, np.int32)
             seen[:, 0] = home
             if len(weak):
                 reach = min(3 * SPREAD, len(leaders))
@@ -147,12 +152,6 @@ def place(batches: Iterator[pa.RecordBatch], leaders: np.ndarray, block_of: np.n
                 for i, w in enumerate(weak):
                     others = [v for v in dict.fromkeys(block_of[near[i]].tolist()) if v != home[w]][: SPREAD - 1 if lone[w] else 1]
                     seen[w, 1 : 1 + len(others)] = others
-                fill = seen[weak, 1:]
-                r, c = np.nonzero(fill >= 0)
-                alone = np.flatnonzero(lone)
-                src += [weak[r], alone]
-                dst += [fill[r, c], -1 - sparse_of[best[alone]]]
-            src, dst = np.concatenate(src), np.concatenate(dst).astype(np.int32)
             yield pa.record_batch(
                 [pa.array(dst), pa.array(home[src].astype(np.int32)), pa.array(keys[at : at + 2048][src]), pack(seen[src]), pack(part[src])],
                 names=["block", "home", "key", "seen", "vec"],
@@ -206,17 +205,13 @@ def pack_blocks(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Record
             rows = rows[rank <= k]
         for unit, part in enumerate(_split(x[rows], UNIT if block[rows[0]] >= 0 else 2 * SPARSE)):
             r = rows[part]
-            guest = (home[r] != block[r]) & (block[r] >= 0)
-            r = r[np.argsort(guest, kind="stable")]
-            own = len(r) - int(guest.sum())
             yield pa.record_batch(
                 [
                     pa.array([block[r[0]]], pa.int32()),
                     pa.array([unit], pa.int32()),
-                    pa.array([own], pa.int32()),
-                    *[pa.array([v.tobytes()], pa.binary()) for v in (key[r], home[r], seen[r], x[r[:own]], x[r[own:]], extra if unit == 0 else extra[:0])],
+                    *[pa.array([v.tobytes()], pa.binary()) for v in (key[r], home[r], seen[r], x[r], extra if unit == 0 else extra[:0])],
                 ],
-                names=["block", "unit", "members", "keys", "homes", "seen", "own", "guests", "extra"],
+                names=["block", "unit", "keys", "homes", "seen", "own", "extra"],
             )
 
 
@@ -251,44 +246,40 @@ def _kin(keys: np.ndarray, open_rows: np.ndarray, row: np.ndarray, nbr: np.ndarr
     return _result(keys[row[keep]], nbr[keep], sim[keep], home[keep])
 
 
-def _both(node: np.ndarray, nbr: np.ndarray, sim: np.ndarray, back: np.ndarray, least: float) -> pa.RecordBatch:
-    """Edges of at least ``least``, those marked ``back`` in both directions."""
+def _strong(node: np.ndarray, nbr: np.ndarray, sim: np.ndarray, least: float) -> pa.RecordBatch:
     keep = sim >= least
-    node, nbr, sim, back = node[keep], nbr[keep], sim[keep], back[keep]
-    return _result(np.concatenate([node, nbr[back]]), np.concatenate([nbr, node[back]]), np.concatenate([sim, sim[back]]))
+    return _result(node[keep], nbr[keep], sim[keep])
 
 
 def compare_blocks(batches: Iterator[pa.RecordBatch], k: int, least: float) -> Iterator[pa.RecordBatch]:
-    """The ``k`` nearest of every row among the members of its unit, and the kin of open rows."""
+    """The ``k`` nearest of every row in its unit, and the kin of open rows."""
     for b in batches:
         for r in range(b.num_rows):
             keys, homes = _view(b, "keys", r, np.int64), _view(b, "homes", r, np.int32)
             seen, extra = _view(b, "seen", r, np.int32).reshape(-1, SPREAD), _view(b, "extra", r, np.int64).reshape(-1, 2)
-            x = np.concatenate([_view(b, c, r, np.float32) for c in ("own", "guests")]).reshape(-1, DIM)
-            members = b.column("members")[r].as_py()
+            x = _view(b, "own", r, np.float32).reshape(-1, DIM)
             if len(extra):
                 yield _result(extra[:, 0], extra[:, 1], np.ones(len(extra)))
-            m = x[:members].T.copy()
+            m = x.T.copy()
             for at in range(0, len(x), 512):
                 s = x[at : at + 512] @ m
-                own = np.arange(at, min(at + len(s), members))
-                s[own - at, own] = -2
+                s[np.arange(len(s)), at + np.arange(len(s))] = -2
                 row, col, val = top_k(s, keys, k + 2)
                 row += at
                 yield _kin(keys, seen[:, 1] >= 0, row, keys[col], val, homes[col])
                 near = val >= least - 1e-4
                 row, col = row[near], col[near]
-                yield _both(keys[row], keys[col], exact(x[row], x[col]), row >= members, least)
+                yield _strong(keys[row], keys[col], exact(x[row], x[col]), least)
 
 
 def read_open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(node, seen, vec)`` of the open rows, from the units they are at home in."""
+    """``(node, home, seen, vec)`` of the open rows, from the units they are at home in."""
     for b in batches:
         for r in range(b.num_rows):
             own = _view(b, "own", r, np.float32).reshape(-1, DIM)
-            seen = _view(b, "seen", r, np.int32).reshape(-1, SPREAD)[: len(own)]
+            seen = _view(b, "seen", r, np.int32).reshape(-1, SPREAD)
             rows = np.flatnonzero(seen[:, 1] >= 0)
-            yield pa.record_batch([pa.array(_view(b, "keys", r, np.int64)[rows]), pack(seen[rows]), pack(own[rows])], names=["node", "seen", "vec"])
+            yield pa.record_batch([pa.array(_view(b, "keys", r, np.int64)[rows]), pa.array(_view(b, "homes", r, np.int32)[rows]), pack(seen[rows]), pack(own[rows])], names=["node", "home", "seen", "vec"])
 
 
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,7 +307,8 @@ def meet(left: pa.Table, right: pa.Table, k: int, least: float) -> pa.Table:
                 out.append(_kin(q_keys, np.ones(len(q), bool), row, keys[col], val, homes[col]))
                 near = val >= least - 1e-4
                 row, col = row[near], col[near]
-                out.append(_both(q_keys[row], keys[col], exact(q[row], x[col]), np.ones(len(row), bool), least))
+                sim = exact(q[row], x[col])
+                out += [_strong(q_keys[row], keys[col], sim, least), _strong(keys[col], q_keys[row], sim, least)]
     return pa.Table.from_batches(out)
 
 
@@ -368,17 +360,18 @@ def candidate_edges(df: DataFrame, key: str = "cell_key", embedding: str = "embe
     edges = _is_edge(found)
     if rounds > 0:
         members = packed.where("block >= 0").select("block", "keys", "homes", "own")
-        nodes = cut(packed.where("block >= 0").mapInArrow(read_open, "node long, seen binary, vec binary"))
-        visited = nodes.select("node", "seen").mapInArrow(_places, "node long, block int")
+        nodes = cut(packed.where("block >= 0").mapInArrow(read_open, "node long, home int, seen binary, vec binary"))
+        visited = nodes.select("node", F.col("home").alias("block"))
+        leads = nodes.select("node", "seen").mapInArrow(_places, "node long, block int")
         nearest = W.partitionBy("node").orderBy(F.desc("sim"), "nbr")
     kin = None
     for _ in range(rounds):
         met = found.where("home IS NOT NULL").select("node", "nbr", "sim", "home")
         kin = met if kin is None else kin.unionByName(met)
         kin = cut(kin.distinct().withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= KIN).drop("r"))
-        # the homes of a node's kin, and of its kin's kin
+        # the blocks of the nearest leaders, then the homes of a node's kin, and of its kin's kin
         second = kin.select("node", F.col("nbr").alias("via")).join(kin.select(F.col("node").alias("via"), "home"), "via").select("node", F.col("home").alias("block"))
-        targets = cut(kin.select("node", F.col("home").alias("block")).union(second).distinct().join(visited, ["node", "block"], "left_anti"))
+        targets = cut(kin.select("node", F.col("home").alias("block")).union(second).union(leads).distinct().join(visited, ["node", "block"], "left_anti"))
         if targets.isEmpty():
             break
         visited = visited.union(targets)
