@@ -15,7 +15,6 @@ stands in exactly one container; no container exceeds the capacity.
 
 from __future__ import annotations
 
-import heapq
 from dataclasses import dataclass
 
 import numpy as np
