@@ -7,8 +7,6 @@ blocks, and core components from label propagation.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import io
 import json
+import re
 import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -118,7 +120,28 @@ def zipped_json(spark: SparkSession, root: str) -> DataFrame:
 
 
 def checkpoints(spark: SparkSession, root: str) -> DataFrame:
-    return _json(spark, root, CHECKPOINT).where(F.col("__path").rlike(r"_checkpoint_done\.json$")).drop("__path")
+    """``(slide_id, result)`` of the done markers in the folders below ``root``; unreadable ones are left out.
+
+    Spark's file sources skip names with a leading underscore, so the names are listed on the driver (one
+    for each slide) and the files are opened by the tasks.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/*/_checkpoint_done.json")
+    listed = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop) or []
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for path in pdf["path"]:
+                system, inner = FileSystem.from_uri(path)
+                with system.open_input_stream(inner) as f:
+                    try:
+                        d = json.loads(f.read())
+                    except ValueError:
+                        continue
+                rows.append((d.get("slide_id"), d.get("result")))
+            yield pd.DataFrame(rows, columns=["slide_id", "result"])
+
+    return spark.createDataFrame([(re.sub("^file:/+", "file:///", s.getPath().toUri().toString()),) for s in listed], "path string").mapInPandas(run, CHECKPOINT)
 
 
 def write_documents(df: DataFrame, path: str, by: str = "slide_id", drop_nulls: bool = True) -> None:

@@ -130,3 +130,47 @@ def test_batches_and_labels(spark, tmp_path):
     assert (row.folder, row.image_filename, row.tile_index) == ("batch_1", "s__t.png", 0)
     files.save_stamped(spark.createDataFrame([(1,)], "n int"), root + "/saved", "eval_metrics")
     assert spark.read.json(root + "/saved").count() == 1
+
+
+def test_readers_and_writers(spark, tmp_path):
+    tiles = tmp_path / "tiles" / "s1"
+    tiles.mkdir(parents=True)
+    flat = np.full((4, 4), 250, np.uint16)
+    for name in ("t1.png", "t2.PNG", "s1__THUMBNAIL.png", "t1_mask.png", "t3.txt"):
+        (tiles / name).write_bytes(write_png16(flat))
+    (tiles / "broken.png").write_bytes(b"no image")
+    found = files.tile_images(spark, str(tmp_path / "tiles"))
+    assert {(r.slide_id, r.tile_name) for r in found.collect()} == {("s1", "t1"), ("s1", "t2"), ("s1", "broken")}
+    stats = {r.path.rsplit("/", 1)[1]: r.bright_pixels_ratio for r in quality.image_stats(found).collect()}
+    assert stats["t1.png"] == 1.0 and stats["broken.png"] is None or np.isnan(stats["broken.png"])
+
+    docs = tmp_path / "docs"
+    for slide, name, text in (
+        ("s1", "a.json", '[{"tile_path": "wrong"}]'),
+        ("s1", "v1_annotations.json", '[{"tile_path": "p1", "magnification": 1.0, "cells": [{"cell_id": 1}]}]'),
+        ("s1", "_checkpoint_done.json", '{"slide_id": "s1", "result": "OK:1"}'),
+        ("s2", "final.json", '[{"tile_path": "p2", "cells": []}]'),
+        ("s1", "classification_results.json", '[{"tile_name": "t", "classified_cells": [{"label_id": 1, "pred_class": "A"}]}]'),
+        ("b", "human_labels_1.json", '{"batch": "b", "tiles": [{"slide_id": "s", "tile_name": "t", "labelled_cells": [{"cell_id": 1, "human_label": 2}]}]}'),
+    ):
+        (docs / slide).mkdir(parents=True, exist_ok=True)
+        (docs / slide / name).write_text(text)
+    got = {(r.slide_id, r.tile_path) for r in files.annotation_files(spark, str(docs)).where("slide_id <> 'b'").collect()}
+    assert got == {("s1", "p1"), ("s2", "p2")}
+    assert [(r.slide_id, r.result) for r in files.checkpoints(spark, str(docs)).collect()] == [("s1", "OK:1")]
+    assert files.classification_files(spark, str(docs)).first().classified_cells[0].pred_class == "A"
+    assert [tuple(r) for r in files.human_label_files(spark, str(docs)).select("slide_id", "cell_id", "human_label").collect()] == [("s", 1, 2)]
+
+    df = spark.createDataFrame([("s1", "n1", None), ("s2", "n2", 2)], "slide_id string, name string, n int")
+    files.write_documents(df, str(tmp_path / "out"))
+    assert spark.read.json(str(tmp_path / "out")).count() == 2
+    assert files.write_archive(df.withColumn("text", F.lit("{}")), "name", "text", str(tmp_path / "a.zip")) == 2
+    assert sorted(zipfile.ZipFile(tmp_path / "a.zip").namelist()) == ["n1", "n2"]
+    assert files.pretty({"a": "ü"}) == '{\n  "a": "ü"\n}'
+
+
+def test_addresses(spark):
+    from tessella.functions import names
+
+    row = spark.range(1).select(names.tile_uri(F.lit("/x/INPUT_prepped_tiles_path/s/t.png"), F.lit("store://b//")).alias("u"), names.safe_file_name(F.lit("a b/ü.png")).alias("f")).first()
+    assert row.u == "store://b/s/t.png" and row.f == "a_b_ü.png"
