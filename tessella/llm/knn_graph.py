@@ -4,18 +4,22 @@ NN-descent on blocks. A neighbour graph is initialised from blocks of similar ve
 iterations that join the graph with itself: a node's neighbours and their neighbours name the places where it
 may have closer kin. Moving a vector for every pair of such a join would cost k * k vectors a node, so the
 join yields home blocks: a node is sent once to each block that is home to one of its nearest KIN neighbours or
-to one of theirs, and meets all of it there (a superset of the neighbours of its neighbours). A node covered by
-a leader has its kin in its own block and stays; the others are open. Iterations end when no node has a
-block left to visit, or after ``rounds``.
+to one of theirs, and meets all of it there (a superset of the neighbours of its neighbours). Only nodes that
+no leader covers take part (they are open); crowds are compared in full, below. Iterations end when no node has a block left to visit, or after ``rounds``.
 
 Blocks: leaders are chosen greedily in a sample of at most SAMPLE vectors (taken by hash of the key), so that
 no two are more similar than COVER; leaders are gathered into blocks of about BLOCK rows by
 recursive bisection. Every vector (not only the sample) goes to its nearest leader's block; one that no
 leader covers goes to the nearest of the sparse blocks too, which hold uncovered vectors only, about SPARSE of
 them, because their neighbours lie far apart, and visits the blocks of its SPREAD nearest leaders in the first
-round. A block is compared in full. A block beyond UNIT rows (sparse: twice SPARSE) is split among its own members, each row standing in the two nearest
-parts; a leader that more than UNIT rows follow is split before the exchange in the same way, among the
-sample's rows near it. Exact copies of one vector beyond COPIES need no comparison: by the tie rule their
+round. A block is compared in full.
+
+Crowds: a leader that more than UNIT rows follow is split before the exchange into parts of about UNIT rows, among the sample's
+rows near it, and every part meets every other: its rows are guests in the following half of the parts. Guests of more than
+HALL parts are spread over tasks, each with a copy of the part's members. If only edges of NEAR or more are asked
+for, a row leaves out the parts that the planes between the sample's rows put out of reach. The work in a crowd is quadratic.
+
+Exact copies of one vector beyond COPIES need no comparison: by the tie rule their
 neighbours are the smallest keys among them; vectors with more than UNIT copies are taken out before the exchange.
 
 Defined results: unusable embeddings have no neighbours; redeliveries of a key count once; ties go to the
@@ -25,6 +29,7 @@ smaller key; a collection of fewer than k + 1 vectors gives fewer neighbours.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +40,10 @@ from pyspark.sql import Window as W
 from ..session import cut, partitions, release
 from .vectors import DIM, pack, top_k, unpack, usable
 
-SAMPLE, BLOCK, UNIT, SPARSE, COPIES = 16384, 4096, 12288, 32768, 64
-COVER, SPREAD, KIN = 0.7, 4, 2
-PLACED = "block int, home int, key long, seen binary, vec binary"
-PACKED = "block int, unit int, keys binary, homes binary, seen binary, own binary, extra binary"
+SAMPLE, BLOCK, UNIT, SPARSE, COPIES, HALL = 16384, 4096, 12288, 32768, 64, 4
+COVER, NEAR, SPREAD, KIN = 0.7, 0.98, 4, 2
+PLACED = "block int, hall int, guest boolean, home int, key long, seen binary, vec binary"
+PACKED = "block int, hall int, keys binary, homes binary, seen binary, own binary, extra binary, g_keys binary, g_seen binary, g_own binary"
 EDGES = "node long, nbr long, sim double"
 
 
@@ -108,29 +113,96 @@ def group_leaders(leaders: np.ndarray, weights: np.ndarray, blocks: int) -> np.n
     return out
 
 
-def split_crowds(x: np.ndarray, leaders: np.ndarray, weights: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Replaces leaders that more than UNIT of ``total`` rows follow by several sample rows near them.
+class Crowd(NamedTuple):
+    """The parts of one leader's followers: ``first`` is the first block of ``parts``, ``starts`` where each part begins in ``subs``."""
 
-    Gives leaders, weights, and which leaders stand for a part of a crowd.
-    """
+    first: int
+    parts: int
+    subs: np.ndarray
+    part_of: np.ndarray
+    starts: np.ndarray
+    wide: np.ndarray | None
+
+
+class Plan(NamedTuple):
+    leaders: np.ndarray
+    block_of: np.ndarray
+    sparse_of: np.ndarray
+    crowds: dict[int, Crowd]
+
+
+def _planes(x: np.ndarray, sine: float) -> np.ndarray:
+    """For each pair of unit vectors, the difference of similarities of a point at an angle of ``sine`` from the plane between them."""
+    return (sine * np.sqrt(np.maximum(0, 2 - 2 * x.astype(np.float64) @ x.T.astype(np.float64))) + 1e-5).astype(np.float32)
+
+
+def plan_blocks(x: np.ndarray, leaders: np.ndarray, weights: np.ndarray, total: int, least: float) -> Plan:
+    """Blocks for the leaders of the sample ``x`` of ``total`` rows; leaders that more than UNIT rows follow get several."""
+    angle = float(np.arccos(min(1.0, max(least, NEAR))))
     rows = weights * total / max(1, len(x))
-    crowd = rows > UNIT
-    if not crowd.any():
-        return leaders, weights, np.zeros(len(leaders), bool)
-    near = np.concatenate([(x[at : at + 2048] @ leaders.T).argmax(axis=1) for at in range(0, len(x), 2048)])
-    parts = [(leaders[~crowd], weights[~crowd], np.zeros(int((~crowd).sum()), bool))]
-    for c in np.flatnonzero(crowd):
-        own = np.flatnonzero(near == c)
-        some = x[own[: min(len(own), -(-int(4 * rows[c]) // UNIT))]]
-        parts.append((some, np.full(len(some), weights[c] / len(some)), np.ones(len(some), bool)))
-    return tuple(np.concatenate(p) for p in zip(*parts))
+    blocks = max(1, -(-total // BLOCK))
+    crowded = rows > UNIT
+    block_of = np.zeros(len(leaders), np.int32)
+    if not crowded.all():
+        share = weights[~crowded].sum() / max(1.0, weights.sum())
+        block_of[~crowded] = group_leaders(leaders[~crowded], weights[~crowded], max(1, round(blocks * share)))
+    n, crowds = int(block_of.max()) + 1 if not crowded.all() else 0, {}
+    if crowded.any():
+        near = np.concatenate([(x[at : at + 2048] @ leaders.T).argmax(axis=1) for at in range(0, len(x), 2048)])
+    for c in np.flatnonzero(crowded):
+        own = x[near == c]
+        subs = own[: -(-int(4 * rows[c]) // UNIT)]
+        held = np.zeros(len(subs))
+        for at in range(0, len(own), 2048):
+            np.add.at(held, (own[at : at + 2048] @ subs.T).argmax(axis=1), 1)
+        part = group_leaders(subs, held, -(-int(rows[c]) // UNIT))
+        order = np.argsort(part, kind="stable")
+        subs, part = subs[order], part[order]
+        starts = np.flatnonzero(np.concatenate([[True], np.diff(part) != 0]))
+        block_of[c] = n
+        crowds[int(c)] = Crowd(n, len(starts), subs, part, starts, _planes(subs, np.sin(angle)) if least >= NEAR else None)
+        n += len(starts)
+    lone = max(0.0, 1 - weights.sum() / max(1, len(x)))
+    sparse_of = group_leaders(leaders, weights, max(1, round(total * lone / SPARSE)))
+    return Plan(leaders, block_of, sparse_of, crowds)
+
 
+def _block(x: np.ndarray, leader: np.ndarray, plan: Plan) -> np.ndarray:
+    """The block of each row under the given leader."""
+    block = plan.block_of[leader]
+    for c, crowd in plan.crowds.items():
+        rows = np.flatnonzero(leader == c)
+        if len(rows):
+            block[rows] = crowd.first + crowd.part_of[(x[rows] @ crowd.subs.T).argmax(axis=1)]
+    return block
 
-def place(batches: Iterator[pa.RecordBatch], leaders: np.ndarray, block_of: np.ndarray, sparse_of: np.ndarray, crowd: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Sends each usable vector to its block, uncovered ones also to a sparse block (numbered below 0).
+
+def _crowd_guests(x: np.ndarray, best: np.ndarray, home: np.ndarray, plan: Plan) -> Iterator[tuple[np.ndarray, np.ndarray, int, bool]]:
+    """``(rows, blocks, hall, guest)`` for rows in crowds: the parts they visit, and the further halls of their own part."""
+    for c, crowd in plan.crowds.items():
+        rows = np.flatnonzero(best == c)
+        if not len(rows):
+            continue
+        m, part = crowd.parts, home[rows] - crowd.first
+        open_parts = np.ones((len(rows), m), bool)
+        if crowd.wide is not None:
+            t = x[rows] @ crowd.subs.T
+            a = t.argmax(axis=1)
+            open_parts = np.logical_or.reduceat(t[np.arange(len(rows)), a][:, None] - t <= crowd.wide[a], crowd.starts, axis=1)
+        for step in range(1, m // 2 + 1):
+            hall, to = (step - 1) // HALL, (part + step) % m
+            go = open_parts[np.arange(len(rows)), to] & ((2 * step != m) | (part < step))
+            yield rows[go], crowd.first + to[go], hall, True
+            if hall and (step - 1) % HALL == 0:
+                yield rows, home[rows], hall, False
+
+
+def place(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBatch]:
+    """Sends each usable vector to its block and to those it is a guest in, uncovered ones also to a sparse block (numbered below 0).
 
     ``seen`` lists the block and, for open vectors, the further blocks that they visit in the first round.
     """
+    leaders = plan.leaders
     for b in batches:
         rows, x = usable(b.column(1))
         keys = np.asarray(b.column(0).take(pa.array(rows)))
@@ -138,60 +210,51 @@ def place(batches: Iterator[pa.RecordBatch], leaders: np.ndarray, block_of: np.n
             part = x[at : at + 2048]
             s = part @ leaders.T
             best = s.argmax(axis=1)
-            home = block_of[best]
-            lone = s[np.arange(len(part)), best] < COVER
-            weak = np.flatnonzero(lone | crowd[best])
-            alone = np.flatnonzero(lone)
-            src, dst = np.concatenate([np.arange(len(part)), alone]), np.concatenate([home, -1 - sparse_of[best[alone]]]).astype(np.int32)
+            home = _block(part, best, plan)
+            alone = np.flatnonzero(s[np.arange(len(part)), best] < COVER)
             seen = np.full((len(part), SPREAD), -1, np.int32)
             seen[:, 0] = home
-            if len(weak):
+            if len(alone):
                 reach = min(3 * SPREAD, len(leaders))
-                near = np.argpartition(-s[weak], reach - 1, axis=1)[:, :reach]
-                near = np.take_along_axis(near, np.argsort(-np.take_along_axis(s[weak], near, 1), axis=1), 1)
-                for i, w in enumerate(weak):
-                    others = [v for v in dict.fromkeys(block_of[near[i]].tolist()) if v != home[w]][: SPREAD - 1 if lone[w] else 1]
+                near = np.argpartition(-s[alone], reach - 1, axis=1)[:, :reach]
+                near = np.take_along_axis(near, np.argsort(-np.take_along_axis(s[alone], near, 1), axis=1), 1)
+                near = _block(part[np.repeat(alone, reach)], near.ravel(), plan).reshape(-1, reach)
+                for i, w in enumerate(alone):
+                    others = [v for v in dict.fromkeys(near[i].tolist()) if v != home[w]][: SPREAD - 1]
                     seen[w, 1 : 1 + len(others)] = others
+            sent = [(np.arange(len(part)), home, 0, False), (alone, -1 - plan.sparse_of[best[alone]], 0, False), *_crowd_guests(part, best, home, plan)]
+            src, dst = np.concatenate([v[0] for v in sent]), np.concatenate([v[1] for v in sent]).astype(np.int32)
+            n = [len(v[0]) for v in sent]
+            hall, guest = np.repeat(np.array([v[2] for v in sent], np.int32), n), np.repeat([v[3] for v in sent], n)
             yield pa.record_batch(
-                [pa.array(dst), pa.array(home[src].astype(np.int32)), pa.array(keys[at : at + 2048][src]), pack(seen[src]), pack(part[src])],
-                names=["block", "home", "key", "seen", "vec"],
+                [pa.array(dst), pa.array(hall), pa.array(guest), pa.array(home[src].astype(np.int32)), pa.array(keys[at : at + 2048][src]), pack(seen[src]), pack(part[src])],
+                names=["block", "hall", "guest", "home", "key", "seen", "vec"],
             )
 
 
-def _split(x: np.ndarray, most: int) -> list[np.ndarray]:
-    """Overlapping parts of at most about ``most`` rows."""
-    if len(x) <= most:
-        return [np.arange(len(x))]
-    rng = np.random.default_rng(7)
-    centres = x[rng.choice(len(x), -(-4 * len(x) // most), replace=False)]
-    s = x @ centres.T
-    two = np.argpartition(-s, 1, axis=1)[:, :2]
-    parts = []
-    for c in range(len(centres)):
-        rows = np.flatnonzero((two == c).any(axis=1))
-        parts += np.array_split(rows, -(-len(rows) // most)) if len(rows) else []
-    return parts
-
-
-def _dedupe(block: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """Positions of one row for each (block, key), in that order."""
-    order = np.lexsort((key, block))
-    b, k = block[order], key[order]
-    return order[np.concatenate([[True], (b[1:] != b[:-1]) | (k[1:] != k[:-1])])] if len(order) else order
+def _dedupe(block: np.ndarray, hall: np.ndarray, key: np.ndarray, guest: np.ndarray) -> np.ndarray:
+    """Positions of one row for each (block, hall, key), in that order, members before guests."""
+    order = np.lexsort((guest, key, hall, block))
+    b, h, k = block[order], hall[order], key[order]
+    return order[np.concatenate([[True], (b[1:] != b[:-1]) | (h[1:] != h[:-1]) | (k[1:] != k[:-1])])] if len(order) else order
 
 
 def pack_blocks(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """One row for each unit of a block, with its members packed into binaries."""
+    """One row for each block and hall, with its members and guests packed into binaries."""
     parts = [b for b in batches if b.num_rows]
     if not parts:
         return
     t = pa.Table.from_batches(parts)
-    block, home, key = (np.asarray(t.column(c)) for c in ("block", "home", "key"))
+    block, hall, home, key = (np.asarray(t.column(c)) for c in ("block", "hall", "home", "key"))
+    guest = t.column("guest").to_numpy()
     x, seen = unpack(t.column("vec")), unpack(t.column("seen"), SPREAD).view(np.int32)
-    order = _dedupe(block, key)
-    starts = np.flatnonzero(np.concatenate([[True], np.diff(block[order]) != 0]))
+    order = _dedupe(block, hall, key, guest)
+    starts = np.flatnonzero(np.concatenate([[True], (np.diff(block[order]) != 0) | (np.diff(hall[order]) != 0)]))
     for s, e in zip(starts, [*starts[1:], len(order)]):
-        rows = order[s:e]
+        here = order[s:e]
+        rows, g = here[~guest[here]], here[guest[here]]
+        if not len(rows):
+            continue
         codes = np.unique(x[rows].view(np.void(x.dtype.itemsize * x.shape[1]).dtype).ravel(), return_inverse=True)[1]
         rank = np.empty(len(rows), np.int64)
         by = np.argsort(codes, kind="stable")  # rows are in order of key
@@ -203,16 +266,14 @@ def pack_blocks(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Record
             lows = {c: key[rows[by[f : f + k]]] for c, f in zip(codes[by[first]], first)}
             extra = np.array([(key[rows[i]], low) for i in late for low in lows[codes[i]]], np.int64)
             rows = rows[rank <= k]
-        for unit, part in enumerate(_split(x[rows], UNIT if block[rows[0]] >= 0 else 2 * SPARSE)):
-            r = rows[part]
-            yield pa.record_batch(
-                [
-                    pa.array([block[r[0]]], pa.int32()),
-                    pa.array([unit], pa.int32()),
-                    *[pa.array([v.tobytes()], pa.binary()) for v in (key[r], home[r], seen[r], x[r], extra if unit == 0 else extra[:0])],
-                ],
-                names=["block", "unit", "keys", "homes", "seen", "own", "extra"],
-            )
+        yield pa.record_batch(
+            [
+                pa.array([block[rows[0]]], pa.int32()),
+                pa.array([hall[rows[0]]], pa.int32()),
+                *[pa.array([v.tobytes()], pa.binary()) for v in (key[rows], home[rows], seen[rows], x[rows], extra if hall[rows[0]] == 0 else extra[:0], key[g], seen[g], x[g])],
+            ],
+            names=["block", "hall", "keys", "homes", "seen", "own", "extra", "g_keys", "g_seen", "g_own"],
+        )
 
 
 def _view(t: pa.Table | pa.RecordBatch, column: str, row: int, kind: type) -> np.ndarray:
@@ -251,29 +312,44 @@ def _strong(node: np.ndarray, nbr: np.ndarray, sim: np.ndarray, least: float) ->
     return _result(node[keep], nbr[keep], sim[keep])
 
 
+def _nearest(q_keys: np.ndarray, q: np.ndarray, keys: np.ndarray, x: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``(row, column, similarity)`` of the ``k`` rows of ``x`` nearest to each of ``q`` under another key, a chunk of rows at a time."""
+    m = x.T.copy()
+    chunk = max(32, min(512, (1 << 25) // max(1, len(x))))
+    order = np.argsort(keys, kind="stable")
+    for at in range(0, len(q) if len(x) else 0, chunk):
+        own = q_keys[at : at + chunk]
+        s = q[at : at + chunk] @ m
+        pos = np.minimum(np.searchsorted(keys, own, sorter=order), len(keys) - 1)
+        same = np.flatnonzero(keys[order[pos]] == own)
+        s[same, order[pos[same]]] = -2
+        row, col, val = top_k(s, keys, k)
+        yield row + at, col, val
+
+
 def compare_blocks(batches: Iterator[pa.RecordBatch], k: int, least: float) -> Iterator[pa.RecordBatch]:
-    """The ``k`` nearest of every row in its unit, and the kin of open rows."""
+    """The ``k`` nearest of every member in its block, of guests among members and of members among guests, and the kin of open rows."""
     for b in batches:
         for r in range(b.num_rows):
             keys, homes = _view(b, "keys", r, np.int64), _view(b, "homes", r, np.int32)
             seen, extra = _view(b, "seen", r, np.int32).reshape(-1, SPREAD), _view(b, "extra", r, np.int64).reshape(-1, 2)
             x = _view(b, "own", r, np.float32).reshape(-1, DIM)
+            g_keys, g_seen, g = _view(b, "g_keys", r, np.int64), _view(b, "g_seen", r, np.int32).reshape(-1, SPREAD), _view(b, "g_own", r, np.float32).reshape(-1, DIM)
             if len(extra):
                 yield _result(extra[:, 0], extra[:, 1], np.ones(len(extra)))
-            m = x.T.copy()
-            for at in range(0, len(x), 512):
-                s = x[at : at + 512] @ m
-                s[np.arange(len(s)), at + np.arange(len(s))] = -2
-                row, col, val = top_k(s, keys, k + 2)
-                row += at
-                yield _kin(keys, seen[:, 1] >= 0, row, keys[col], val, homes[col])
-                near = val >= least - 1e-4
-                row, col = row[near], col[near]
-                yield _strong(keys[row], keys[col], exact(x[row], x[col]), least)
+            for q_keys, q, q_seen, to_keys, to, to_homes in ((keys, x, seen, keys, x, homes), (g_keys, g, g_seen, keys, x, homes), (keys, x, None, g_keys, g, None)):
+                if q is x and to is x and b.column("hall")[r].as_py():
+                    continue
+                for row, col, val in _nearest(q_keys, q, to_keys, to, k + 2):
+                    if q_seen is not None:
+                        yield _kin(q_keys, q_seen[:, 1] >= 0, row, to_keys[col], val, to_homes[col])
+                    near = val >= least - 1e-4
+                    row, col = row[near], col[near]
+                    yield _strong(q_keys[row], to_keys[col], exact(q[row], to[col]), least)
 
 
 def read_open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(node, home, seen, vec)`` of the open rows, from the units they are at home in."""
+    """``(node, home, seen, vec)`` of the open rows, from the blocks they are at home in."""
     for b in batches:
         for r in range(b.num_rows):
             own = _view(b, "own", r, np.float32).reshape(-1, DIM)
@@ -290,7 +366,7 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def meet(left: pa.Table, right: pa.Table, k: int, least: float) -> pa.Table:
-    """Visitors of a block against the members of its units: edges in both directions, and the visitors' kin there."""
+    """Visitors of a block against its members: edges in both directions, and the visitors' kin there."""
     out = [_result(*[np.empty(0)] * 3)]
     if left.num_rows and right.num_rows:
         q_keys, first = np.unique(np.asarray(right.column("node")), return_index=True)
@@ -298,12 +374,7 @@ def meet(left: pa.Table, right: pa.Table, k: int, least: float) -> pa.Table:
         for r in range(left.num_rows):
             x = _view(left, "own", r, np.float32).reshape(-1, DIM)
             keys, homes = _view(left, "keys", r, np.int64)[: len(x)], _view(left, "homes", r, np.int32)[: len(x)]
-            m = x.T.copy()
-            for at in range(0, len(q), 512):
-                s = q[at : at + 512] @ m
-                s[q_keys[at : at + 512][:, None] == keys[None, :]] = -2
-                row, col, val = top_k(s, keys, k + 2)
-                row += at
+            for row, col, val in _nearest(q_keys, q, keys, x, k + 2):
                 out.append(_kin(q_keys, np.ones(len(q), bool), row, keys[col], val, homes[col]))
                 near = val >= least - 1e-4
                 row, col = row[near], col[near]
@@ -345,22 +416,19 @@ def candidate_edges(df: DataFrame, key: str = "cell_key", embedding: str = "embe
     _, sample = sample_vectors(rows, key, embedding)
     leaders, weights = choose_leaders(sample)
     total = rows.count()
-    leaders, weights, crowd = split_crowds(sample, leaders, weights, total)
+    plan = plan_blocks(sample, leaders, weights, total, least)
     blocks = max(1, -(-total // BLOCK))
-    block_of = group_leaders(leaders, weights, blocks)
-    lone = max(0.0, 1 - weights.sum() / max(1, len(sample)))
-    sparse_of = group_leaders(leaders, weights, max(1, round(total * lone / SPARSE)))
-    shared = spark.sparkContext.broadcast((leaders, block_of, sparse_of, crowd))  # at most SAMPLE vectors
+    shared = spark.sparkContext.broadcast(plan)  # at most SAMPLE vectors
     n_parts = max(partitions(spark), -(-blocks // 8))
-    placed = rows.where(F.col(key).isNotNull()).mapInArrow(lambda it: place(it, *shared.value), PLACED)
-    packed = cut(placed.repartition(n_parts, "block").mapInArrow(lambda it: pack_blocks(it, k), PACKED))
+    placed = rows.where(F.col(key).isNotNull()).mapInArrow(lambda it: place(it, shared.value), PLACED)
+    packed = cut(placed.repartition(n_parts, "block", "hall").mapInArrow(lambda it: pack_blocks(it, k), PACKED))
     del placed
     release(spark)
     found = cut(packed.mapInArrow(lambda it: compare_blocks(it, k, least), RESULT))
     edges = _is_edge(found)
     if rounds > 0:
-        members = packed.where("block >= 0").select("block", "keys", "homes", "own")
-        nodes = cut(packed.where("block >= 0").mapInArrow(read_open, "node long, home int, seen binary, vec binary"))
+        members = packed.where("block >= 0 AND hall = 0").select("block", "keys", "homes", "own")
+        nodes = cut(packed.where("block >= 0 AND hall = 0").mapInArrow(read_open, "node long, home int, seen binary, vec binary"))
         visited = nodes.select("node", F.col("home").alias("block"))
         leads = nodes.select("node", "seen").mapInArrow(_places, "node long, block int")
         nearest = W.partitionBy("node").orderBy(F.desc("sim"), "nbr")

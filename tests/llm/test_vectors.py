@@ -141,3 +141,26 @@ def test_mass_copies_and_crowds(spark, monkeypatch):
     copies = [i * 3 % 1009 for i in [0, *range(60, 180)]]
     assert all(sorted(got[i]) == sorted(want[i]) for i in copies)
     assert np.mean([len(set(got[i]) & set(w)) / 5 for i, w in want.items()]) >= 0.9
+
+
+def hits(graph, want, x_keys):
+    got = {}
+    for r in graph.collect():
+        got.setdefault(r.node, set()).add(r.nbr)
+    return np.mean([len(got.get(i, set()) & set(want[i])) / len(want[i]) for i in x_keys])
+
+
+def test_crowd_rows_meet_all_parts(spark, monkeypatch):
+    """One crowd without structure: its rows' neighbours lie in all of its parts, in two halls and exactly."""
+    monkeypatch.setattr(knn_graph, "UNIT", 60)
+    monkeypatch.setattr(knn_graph, "BLOCK", 30)
+    rng = np.random.default_rng(8)
+    centre = rng.standard_normal(50)
+    crowd = np.stack([centre + 0.1 * rng.standard_normal(50) for _ in range(900)]).astype(np.float32)
+    rows = [(i, "s", v.tolist(), None, 1, 1, 1) for i, v in enumerate(np.concatenate([make(seed=5, groups=3, each=10, noise=10), crowd]))]
+    df = spark.createDataFrame(rows, EMB)
+    _, s, want = brute({r[0]: np.array(r[2], np.float64) / np.linalg.norm(r[2]) for r in rows}, 10)
+    keys = range(len(rows) - 900, len(rows))
+    assert hits(knn_graph.knn_graph(df), want, keys) == 1
+    pairs = {(min(a, b), max(a, b)) for a, w in want.items() for b in w if s[a, b] >= 0.98}
+    assert len(pairs) > 4000 and {tuple(r) for r in knn_graph.near_pairs(df).collect()} == pairs
