@@ -5,7 +5,8 @@ iterations that join the graph with itself: a node's neighbours and their neighb
 may have closer kin. Moving a vector for every pair of such a join would cost k * k vectors a node, so the
 join yields home blocks: a node is sent once to each block that is home to one of its nearest KIN neighbours or
 to one of theirs, and meets all of it there (a superset of the neighbours of its neighbours). Only nodes that
-no leader covers take part (they are open); crowds are compared in full, below. Iterations end when no node has a block left to visit, or after ``rounds``.
+no leader covers take part (they are open); what a covered node lacks is found on the borders and in the crowds,
+below. Iterations end when no node has a block left to visit, or after ``rounds``.
 
 Blocks: leaders are chosen greedily in a sample of at most SAMPLE vectors (taken by hash of the key), so that
 no two are more similar than COVER; leaders are gathered into blocks of about BLOCK rows by
@@ -14,6 +15,11 @@ leader covers goes to the nearest of the sparse blocks too, which hold uncovered
 them, because their neighbours lie far apart, and visits the blocks of its SPREAD nearest leaders in the first
 round. A block is compared in full.
 
+Borders: where a pair of similarity NEAR or more has two leaders, at least one of its rows lies within half the pair's angle
+of the plane between them. Every such row is a guest in the other leader's block: it meets all members, and they meet
+it. An uncovered row is a guest only where a covered row can be that near; pairs of uncovered rows are left to
+the sparse blocks.
+
 Crowds: a leader that more than UNIT rows follow is split before the exchange into parts of about UNIT rows, among the sample's
 rows near it, and every part meets every other: its rows are guests in the following half of the parts. Guests of more than
 HALL parts are spread over tasks, each with a copy of the part's members. If only edges of NEAR or more are asked
@@ -125,10 +131,14 @@ class Crowd(NamedTuple):
 
 
 class Plan(NamedTuple):
+    """``margin`` and ``Crowd.wide`` bound how much nearer a row is to one leader than to another if it has kin beyond their plane."""
+
     leaders: np.ndarray
     block_of: np.ndarray
     sparse_of: np.ndarray
     crowds: dict[int, Crowd]
+    margin: np.ndarray
+    reach: float
 
 
 def _planes(x: np.ndarray, sine: float) -> np.ndarray:
@@ -164,7 +174,7 @@ def plan_blocks(x: np.ndarray, leaders: np.ndarray, weights: np.ndarray, total:
         n += len(starts)
     lone = max(0.0, 1 - weights.sum() / max(1, len(x)))
     sparse_of = group_leaders(leaders, weights, max(1, round(total * lone / SPARSE)))
-    return Plan(leaders, block_of, sparse_of, crowds)
+    return Plan(leaders, block_of, sparse_of, crowds, _planes(leaders, np.sin(angle / 2)), float(np.cos(np.arccos(COVER) + angle)))
 
 
 def _block(x: np.ndarray, leader: np.ndarray, plan: Plan) -> np.ndarray:
@@ -177,6 +187,22 @@ def _block(x: np.ndarray, leader: np.ndarray, plan: Plan) -> np.ndarray:
     return block
 
 
+def _border_guests(s: np.ndarray, best: np.ndarray, home: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray]:
+    """``(row, block)``: rows near the plane between their leader and another one, once for each block of that one."""
+    top = s[np.arange(len(s)), best]
+    near = (top[:, None] - s <= plan.margin[best]) & ((top >= COVER)[:, None] | (s >= plan.reach - 1e-5))
+    near[np.arange(len(s)), best] = False
+    row, to = np.nonzero(near)
+    times = np.ones(len(plan.leaders), np.int64)
+    for c, crowd in plan.crowds.items():
+        times[c] = crowd.parts
+    n = times[to]
+    block = np.repeat(plan.block_of[to], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    row = np.repeat(row, n)
+    pairs = np.unique(np.stack([row, block], axis=1)[block != home[row]], axis=0)
+    return pairs[:, 0], pairs[:, 1]
+
+
 def _crowd_guests(x: np.ndarray, best: np.ndarray, home: np.ndarray, plan: Plan) -> Iterator[tuple[np.ndarray, np.ndarray, int, bool]]:
     """``(rows, blocks, hall, guest)`` for rows in crowds: the parts they visit, and the further halls of their own part."""
     for c, crowd in plan.crowds.items():
@@ -222,7 +248,7 @@ def place(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBa
                 for i, w in enumerate(alone):
                     others = [v for v in dict.fromkeys(near[i].tolist()) if v != home[w]][: SPREAD - 1]
                     seen[w, 1 : 1 + len(others)] = others
-            sent = [(np.arange(len(part)), home, 0, False), (alone, -1 - plan.sparse_of[best[alone]], 0, False), *_crowd_guests(part, best, home, plan)]
+            sent = [(np.arange(len(part)), home, 0, False), (alone, -1 - plan.sparse_of[best[alone]], 0, False), (*_border_guests(s, best, home, plan), 0, True), *_crowd_guests(part, best, home, plan)]
             src, dst = np.concatenate([v[0] for v in sent]), np.concatenate([v[1] for v in sent]).astype(np.int32)
             n = [len(v[0]) for v in sent]
             hall, guest = np.repeat(np.array([v[2] for v in sent], np.int32), n), np.repeat([v[3] for v in sent], n)

@@ -164,3 +164,16 @@ def test_crowd_rows_meet_all_parts(spark, monkeypatch):
     assert hits(knn_graph.knn_graph(df), want, keys) == 1
     pairs = {(min(a, b), max(a, b)) for a, w in want.items() for b in w if s[a, b] >= 0.98}
     assert len(pairs) > 4000 and {tuple(r) for r in knn_graph.near_pairs(df).collect()} == pairs
+
+
+def test_broad_cluster_over_several_leaders(spark, monkeypatch):
+    """A plane full of rows that many leaders cover: near rows on either side of a border meet."""
+    monkeypatch.setattr(knn_graph, "BLOCK", 60)
+    rng = np.random.default_rng(9)
+    angle = np.stack([rng.uniform(-1.4, 1.4, 1500), rng.uniform(-1.4, 1.4, 1500)])
+    x = np.zeros((1500, 50), np.float32)
+    x[:, 0], x[:, 1], x[:, 2] = np.cos(angle[0]) * np.cos(angle[1]), np.sin(angle[0]) * np.cos(angle[1]), np.sin(angle[1])
+    df = spark.createDataFrame([(i, "s", v.tolist(), None, 1, 1, 1) for i, v in enumerate(x)], EMB)
+    _, s, want = brute({i: v.astype(np.float64) / np.linalg.norm(v.astype(np.float64)) for i, v in enumerate(x)}, 10)
+    pairs = {(min(a, b), max(a, b)) for a, w in want.items() for b in w if s[a, b] >= 0.98}
+    assert {tuple(r) for r in knn_graph.near_pairs(df).collect()} == pairs
