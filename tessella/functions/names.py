@@ -63,9 +63,14 @@ def parse_tile_name(name: Column, thousandths: bool = False) -> Column:
 
 
 def tile_of_box_file(path: Column) -> Column:
-    """Struct ``tile_path, tile_name, slide_id`` for the path of a box file."""
-    tile = F.regexp_replace(path, r"_bboxes\.json$", ".png")
-    return F.struct(tile.alias("tile_path"), F.regexp_extract(tile, r"([^/]*)\.png$", 1).alias("tile_name"), F.try_element_at(F.split(path, "/"), F.lit(-2)).alias("slide_id"))
+    """Struct ``tile_path, tile_name, slide_id`` for the path of a box file; null if its base name has no ``_bboxes``.
+
+    Either slash separates folders, and whatever follows the first ``_bboxes`` of the base name says nothing.
+    """
+    tile = F.nullif(F.regexp_extract(path, r"^(?:.*[/\\])?([^/\\]*?)_bboxes[^/\\]*$", 1), F.lit(""))
+    folder = F.regexp_extract(path, r"^(.*[/\\])?[^/\\]*$", 1)
+    parts = F.struct(F.concat(folder, tile, F.lit(".png")).alias("tile_path"), tile.alias("tile_name"), F.try_element_at(F.split(path, r"[/\\]"), F.lit(-2)).alias("slide_id"))
+    return F.when(tile.isNotNull(), parts)
 
 
 def tail_after(path: Column, marker: str) -> Column:

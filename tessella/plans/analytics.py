@@ -241,6 +241,14 @@ def box_file_tiles(spark, d):
     return f.select("file_id", names.tile_of_box_file(F.col("bbox_file")).alias("t")).select("file_id", "t.tile_path", F.col("t.slide_id").alias("slide_dir"))
 
 
+@query(r"""SELECT file_id, regexp_replace(bbox_file, '_bboxes[^/\\]*$', '.png') AS tile_path, string_split_regex(bbox_file, '[/\\]')[-2] AS slide_dir FROM (SELECT DISTINCT file_id, bbox_file FROM tile_bboxes)
+  WHERE regexp_extract(regexp_extract(bbox_file, '([^/\\]*)$', 1), '^(.*?)_bboxes', 1) <> ''""")
+def box_file_tiles_all(spark, d):
+    """All box files that name a tile, whatever their slashes and endings; ``box_file_tiles`` has the canonical paths only, as its SQL."""
+    f = table(spark, d, "tile_bboxes").select("file_id", "bbox_file").distinct().select("file_id", names.tile_of_box_file(F.col("bbox_file")).alias("t"))
+    return f.where("t IS NOT NULL").select("file_id", "t.tile_path", F.col("t.slide_id").alias("slide_dir"))
+
+
 # ---- tiling grid ---------------------------------------------------------------------------------------------------
 
 GRID = """m AS (SELECT unnest([1.0, 0.9, 0.8])::DOUBLE AS magnification), g AS (SELECT slide_id, magnification, width, height,

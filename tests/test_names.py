@@ -40,6 +40,25 @@ def test_tile_names(spark):
         assert one(spark, names.parse_tile_name(F.col("n")), n=bad) is None
 
 
+@pytest.mark.parametrize(
+    ("path", "want"),
+    [
+        ("./r/s 1/t1_bboxes.json", ("./r/s 1/t1.png", "t1", "s 1")),
+        ("D:\\r\\s\\t1_bboxes.json", ("D:\\r\\s\\t1.png", "t1", "s")),
+        ("/r/s/t1_bboxes.JSON", ("/r/s/t1.png", "t1", "s")),
+        ("/r\\s/t1_bboxes_1.json", ("/r\\s/t1.png", "t1", "s")),
+        ("s_bboxes/t1_bboxes (2).json.bak", ("s_bboxes/t1.png", "t1", "s_bboxes")),
+        ("t1_bboxes_bboxes.json", ("t1.png", "t1", None)),
+        ("/s/_bboxes.json", None),
+        ("/s_bboxes/t1.json", None),
+        (None, None),
+    ],
+)
+def test_tile_of_box_file(spark, path, want):
+    got = one(spark, names.tile_of_box_file(F.col("p").cast("string")), p=path)
+    assert (tuple(got) if got else None) == want
+
+
 def test_lists_and_labels(spark):
     assert one(spark, names.split_list(F.col("s")), s=" a, b ,,a") == ["a", "b"]
     assert one(spark, names.magnifications(F.col("s")), s="'0.8,1.0,1.0'") == [1.0, 0.8]
