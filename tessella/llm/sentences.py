@@ -61,9 +61,8 @@ NO = -40.0
 LOOK_BACK = 8
 
 
-def script_of(text: str) -> str:
-    """``thai``, ``hindi``, ``cjk``, ``arabic`` or ``spaced``, by the most frequent script of the text's first characters."""
-    part = text[:4000]
+def script_of(part: str) -> str:
+    """``thai``, ``hindi``, ``cjk``, ``arabic`` or ``spaced``, by the most frequent script of a paragraph; empty without letters."""
     counts = {
         "thai": len(re.findall("[฀-๿]", part)),
         "hindi": len(re.findall("[ऀ-ॿ]", part)),
@@ -71,7 +70,7 @@ def script_of(text: str) -> str:
         "arabic": len(re.findall("[؀-ۿ]", part)),
         "spaced": len(re.findall("[A-Za-zÀ-ÿА-яЁё]", part)),
     }
-    return max(counts, key=counts.get)
+    return max(counts, key=counts.get) if any(counts.values()) else ""
 
 
 def paragraphs(text: str) -> Iterator[list[tuple[int, str]]]:
@@ -330,9 +329,9 @@ def sentence_ends(text: str | None) -> list[int]:
     """Code points up to and including the last character of each sentence of running text."""
     if not text:
         return []
-    script = script_of(text)
     ends: list[int] = []
     for pieces in paragraphs(text):
+        script = script_of("\n".join(line for _, line in pieces)) or script_of(text) or "thai"
         if script == "thai":
             ends += thai_ends(pieces)
             continue

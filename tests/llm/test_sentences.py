@@ -53,3 +53,10 @@ def test_frames(spark):
     df = spark.createDataFrame([(1, "One. Two.", "x"), (2, None, "x"), (1, "One. Two.", "x")], "doc_id long, text string, sent_end string")
     assert sorted(map(tuple, sentences(df).collect())) == [(1, 4), (1, 4), (1, 9), (1, 9)]
     assert sentences(df.where("false")).count() == 0
+
+
+def test_script_of_each_paragraph():
+    thai = "โจทก์ขายโรงสีทั้งหมด พยานในจำนวน 5 บาทไม่คัดค้านในวันนัด"
+    got = split("The court rose. It ended. " * 200 + "\n\nReasons\n" + thai)
+    assert got[:2] == ["The court rose.", "It ended."] and len(got) == 402
+    assert got[-1] == "พยานในจำนวน 5 บาทไม่คัดค้านในวันนัด"
