@@ -58,7 +58,6 @@ LATIN_NAME = re.compile(r"[A-ZÀ-ÖØ-ÞА-ЯЁ]")
 UNCASED_NAME = re.compile(r"[ऀ-ॿ؀-ۿ]")
 THAI_BLANK = re.compile(r"(?<=[฀-๿])[  ]+(?=[฀-๿])")
 NO = -40.0
-LOOK_BACK = 8
 
 
 def script_of(part: str) -> str:
@@ -286,12 +285,15 @@ def choose(s: str, begin: int, cands: list[tuple[int, float, int, int, int, floa
     back = [0] * (k + 1)
     starts = [begin, *(c[4] for c in cands)]
     opens = [2.0, *(c[5] for c in cands)]
+    most = [opens[0]]  # the most that any start up to here brings along
     for j in range(1, k + 1):
         end, close, depth, bracket, _, _ = cands[j - 1]
         top, arg = -1e18, j - 1
-        for i in range(max(0, j - LOOK_BACK), j):
+        for i in range(j - 1, -1, -1):
             start = starts[i]
             length = end - start
+            if most[i] + close - 2.0 - max(0.0, (length - 400) * 0.002) < top - 1e-9:
+                break  # no earlier start scores more: the rest of the terms only take away
             score = best[i] + opens[i] + close - 2.0
             if length < 3:
                 score -= 8.0
@@ -303,9 +305,10 @@ def choose(s: str, begin: int, cands: list[tuple[int, float, int, int, int, floa
                 score -= 6.0 if s.find(")" if s[start] == "(" else "）", start, end) < 0 else 0.0
             if depth:
                 score -= 1.0
-            if score > top:
+            if score >= top:
                 top, arg = score, i
         best[j], back[j] = top, arg
+        most.append(max(most[-1], top + opens[j]))
     ends, j = [], k
     while j:
         ends.append(cands[j - 1][0])

@@ -60,3 +60,8 @@ def test_script_of_each_paragraph():
     got = split("The court rose. It ended. " * 200 + "\n\nReasons\n" + thai)
     assert got[:2] == ["The court rose.", "It ended."] and len(got) == 402
     assert got[-1] == "พยานในจำนวน 5 บาทไม่คัดค้านในวันนัด"
+
+
+def test_many_marks_within_a_sentence():
+    body = "He saw " + "(one.) Anna " * 12 + "there."
+    assert split(body + " It ended.") == [body, "It ended."]
