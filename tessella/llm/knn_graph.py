@@ -1,24 +1,30 @@
 """Problem 3: the most similar vectors of every vector.
 
-NN-descent on blocks. A neighbour graph is initialised from blocks of similar vectors and improved by
-iterations that join the graph with itself: a node's neighbours and their neighbours name the places where it
-may have closer kin. Moving a vector for every pair of such a join would cost k * k vectors a node, so the
-join yields home blocks: a node is sent once to each block that is home to one of its nearest KIN neighbours or
-to one of theirs, and meets all of it there (a superset of the neighbours of its neighbours). Only nodes that
-no leader covers take part (they are open); what a covered node lacks is found on the borders and in the crowds,
-below. Iterations end when no node has a block left to visit, or after ``rounds``.
+NN-descent. A first neighbour graph comes from blocks of similar vectors; then every node takes part in rounds that join
+the graph with itself: a node's neighbours, and the nodes it is a neighbour of, are compared with each other
+(they are each other's neighbours of neighbours), and each keeps the best it has met: k + 2, and LOOSE times as many where
+the last of those is further than COVER, because paths between rows far from all others are rare. An edge is *fresh* in the round
+after it was found; a pair is compared only if one of the two edges that lead to it is fresh. In
+the first graph an edge within one block is not fresh, because a block is compared in full. Rounds end
+when fewer than UPDATES of all edges are new, or after ``rounds``.
+
+A round runs in Spark as joins: edges and at most WIDE reverse edges a node (WIDE bounds the work at hubs; a reverse edge left out
+in one round keeps its forward copy) are grouped by node; nodes are gathered in places of about PLACE nodes of one
+block, and every vector that a place's lists name is sent there once, in 16-bit fixed point. No task holds more
+than a place: about PLACE lists of at most LOOSE * (k + 2) + WIDE entries. Similarities found in fixed point are computed anew from the
+full vectors before they are ranked or put out.
 
 Blocks: leaders are chosen greedily in a sample of at most SAMPLE vectors (taken by hash of the key), so that
 no two are more similar than COVER; leaders are gathered into blocks of about BLOCK rows by
 recursive bisection. Every vector (not only the sample) goes to its nearest leader's block; one that no
-leader covers goes to the nearest of the sparse blocks too, which hold uncovered vectors only, about SPARSE of
-them, because their neighbours lie far apart, and visits the blocks of its SPREAD nearest leaders in the first
-round. A block is compared in full.
+leader covers also goes to the sparse blocks of its two nearest leaders, which hold uncovered vectors only, about
+SPARSE of them, because their neighbours lie far apart. A block is compared in full, and a row also gets edges to the
+leaders of other blocks that are nearer than its neighbours in its own; they connect the blocks.
 
 Borders: where a pair of similarity NEAR or more has two leaders, at least one of its rows lies within half the pair's angle
 of the plane between them. Every such row is a guest in the other leader's block: it meets all members, and they meet
 it. An uncovered row is a guest only where a covered row can be that near; pairs of uncovered rows are left to
-the sparse blocks.
+the sparse blocks and the rounds.
 
 Crowds: a leader that more than UNIT rows follow is split before the exchange into parts of about UNIT rows, among the sample's
 rows near it, and every part meets every other: its rows are guests in the following half of the parts. Guests of more than
@@ -43,14 +49,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..session import cut, partitions, release
+from ..session import cut, discard, partitions
 from .vectors import DIM, pack, top_k, unpack, usable
 
-SAMPLE, BLOCK, UNIT, SPARSE, COPIES, HALL = 16384, 4096, 12288, 32768, 64, 4
-COVER, NEAR, SPREAD, KIN = 0.7, 0.98, 4, 2
-PLACED = "block int, hall int, guest boolean, home int, key long, seen binary, vec binary"
-PACKED = "block int, hall int, keys binary, homes binary, seen binary, own binary, extra binary, g_keys binary, g_seen binary, g_own binary"
+SAMPLE, BLOCK, UNIT, SPARSE, COPIES, HALL = 16384, 4096, 12288, 16384, 64, 4
+COVER, NEAR = 0.7, 0.98
+PLACE, WIDE, LOOSE, UPDATES = 16384, 64, 3, 0.005
+PLACED = "block int, hall int, guest boolean, home int, key long, vec binary"
 EDGES = "node long, nbr long, sim double"
+FIRST = "node long, home int, nbr long, nbr_home int, sim double"
+SENT = "place long, node long, to array<long>, to_home array<int>, fresh array<boolean>, vec binary, bound float"
 
 
 def sample_vectors(df: DataFrame, key: str, embedding: str, most: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
@@ -70,18 +78,19 @@ def sample_vectors(df: DataFrame, key: str, embedding: str, most: int = SAMPLE)
     return keys[order], x[order]
 
 
-def choose_leaders(x: np.ndarray, cover: float = COVER, chunk: int = 512) -> tuple[np.ndarray, np.ndarray]:
-    """``(leaders, weights)``: a greedy cover of the sample and how many of it each leader covers.
+def choose_leaders(x: np.ndarray, cover: float = COVER, chunk: int = 512) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(rows, leaders, weights)``: a greedy cover of the sample, as row numbers and vectors, and how many of it each leader covers.
 
     A leader that covers nothing but itself stands for no group and is left out.
     """
     if not len(x):
-        return np.zeros((1, x.shape[1]), np.float32), np.ones(1)
-    leaders = np.empty((0, x.shape[1]), np.float32)
+        return np.full(1, -1), np.zeros((1, x.shape[1]), np.float32), np.ones(1)
+    leaders, rows = np.empty((0, x.shape[1]), np.float32), np.empty(0, np.int64)
     for at in range(0, len(x), chunk):
-        part = x[at : at + chunk]
+        part, name = x[at : at + chunk], np.arange(at, min(at + chunk, len(x)))
         if len(leaders):
-            part = part[(part @ leaders.T).max(axis=1) < cover]
+            far = (part @ leaders.T).max(axis=1) < cover
+            part, name = part[far], name[far]
         near = part @ part.T >= cover
         taken = np.zeros(len(part), bool)
         new = []
@@ -89,12 +98,12 @@ def choose_leaders(x: np.ndarray, cover: float = COVER, chunk: int = 512) -> tup
             if not taken[i]:
                 new.append(i)
                 taken |= near[i]
-        leaders = np.concatenate([leaders, part[new]])
+        leaders, rows = np.concatenate([leaders, part[new]]), np.concatenate([rows, name[new]])
     weights = np.zeros(len(leaders))
     for at in range(0, len(x), 2048):
         np.add.at(weights, (x[at : at + 2048] @ leaders.T).argmax(axis=1), 1)
     crowd = weights > 1
-    return (leaders[crowd], weights[crowd]) if crowd.any() else (leaders, weights)
+    return (rows[crowd], leaders[crowd], weights[crowd]) if crowd.any() else (rows, leaders, weights)
 
 
 def group_leaders(leaders: np.ndarray, weights: np.ndarray, blocks: int) -> np.ndarray:
@@ -133,6 +142,7 @@ class Crowd(NamedTuple):
 class Plan(NamedTuple):
     """``margin`` and ``Crowd.wide`` bound how much nearer a row is to one leader than to another if it has kin beyond their plane."""
 
+    keys: np.ndarray
     leaders: np.ndarray
     block_of: np.ndarray
     sparse_of: np.ndarray
@@ -146,8 +156,8 @@ def _planes(x: np.ndarray, sine: float) -> np.ndarray:
     return (sine * np.sqrt(np.maximum(0, 2 - 2 * x.astype(np.float64) @ x.T.astype(np.float64))) + 1e-5).astype(np.float32)
 
 
-def plan_blocks(x: np.ndarray, leaders: np.ndarray, weights: np.ndarray, total: int, least: float) -> Plan:
-    """Blocks for the leaders of the sample ``x`` of ``total`` rows; leaders that more than UNIT rows follow get several."""
+def plan_blocks(x: np.ndarray, keys: np.ndarray, leaders: np.ndarray, weights: np.ndarray, total: int, least: float) -> Plan:
+    """Blocks for the leaders (rows with ``keys``) of the sample ``x`` of ``total`` rows; leaders that more than UNIT rows follow get several."""
     angle = float(np.arccos(min(1.0, max(least, NEAR))))
     rows = weights * total / max(1, len(x))
     blocks = max(1, -(-total // BLOCK))
@@ -174,7 +184,7 @@ def plan_blocks(x: np.ndarray, leaders: np.ndarray, weights: np.ndarray, total:
         n += len(starts)
     lone = max(0.0, 1 - weights.sum() / max(1, len(x)))
     sparse_of = group_leaders(leaders, weights, max(1, round(total * lone / SPARSE)))
-    return Plan(leaders, block_of, sparse_of, crowds, _planes(leaders, np.sin(angle / 2)), float(np.cos(np.arccos(COVER) + angle)))
+    return Plan(keys, leaders, block_of, sparse_of, crowds, _planes(leaders, np.sin(angle / 2)), float(np.cos(np.arccos(COVER) + angle)))
 
 
 def _block(x: np.ndarray, leader: np.ndarray, plan: Plan) -> np.ndarray:
@@ -224,10 +234,7 @@ def _crowd_guests(x: np.ndarray, best: np.ndarray, home: np.ndarray, plan: Plan)
 
 
 def place(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBatch]:
-    """Sends each usable vector to its block and to those it is a guest in, uncovered ones also to a sparse block (numbered below 0).
-
-    ``seen`` lists the block and, for open vectors, the further blocks that they visit in the first round.
-    """
+    """Sends each usable vector to its block and to those it is a guest in, uncovered ones also to two sparse blocks (numbered below 0)."""
     leaders = plan.leaders
     for b in batches:
         rows, x = usable(b.column(1))
@@ -238,74 +245,27 @@ def place(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBa
             best = s.argmax(axis=1)
             home = _block(part, best, plan)
             alone = np.flatnonzero(s[np.arange(len(part)), best] < COVER)
-            seen = np.full((len(part), SPREAD), -1, np.int32)
-            seen[:, 0] = home
-            if len(alone):
-                reach = min(3 * SPREAD, len(leaders))
-                near = np.argpartition(-s[alone], reach - 1, axis=1)[:, :reach]
-                near = np.take_along_axis(near, np.argsort(-np.take_along_axis(s[alone], near, 1), axis=1), 1)
-                near = _block(part[np.repeat(alone, reach)], near.ravel(), plan).reshape(-1, reach)
-                for i, w in enumerate(alone):
-                    others = [v for v in dict.fromkeys(near[i].tolist()) if v != home[w]][: SPREAD - 1]
-                    seen[w, 1 : 1 + len(others)] = others
-            sent = [(np.arange(len(part)), home, 0, False), (alone, -1 - plan.sparse_of[best[alone]], 0, False), (*_border_guests(s, best, home, plan), 0, True), *_crowd_guests(part, best, home, plan)]
+            sparse = plan.sparse_of[best[alone]]
+            other = s[alone].copy()
+            other[plan.sparse_of[None, :] == sparse[:, None]] = -2
+            second = plan.sparse_of[other.argmax(axis=1)] if len(alone) else sparse
+            twice = second != sparse
+            sent = [
+                (np.arange(len(part)), home, 0, False),
+                (alone, -1 - sparse, 0, False),
+                (alone[twice], -1 - second[twice], 0, False),
+                (*_border_guests(s, best, home, plan), 0, True),
+                *_crowd_guests(part, best, home, plan),
+            ]
             src, dst = np.concatenate([v[0] for v in sent]), np.concatenate([v[1] for v in sent]).astype(np.int32)
             n = [len(v[0]) for v in sent]
             hall, guest = np.repeat(np.array([v[2] for v in sent], np.int32), n), np.repeat([v[3] for v in sent], n)
             yield pa.record_batch(
-                [pa.array(dst), pa.array(hall), pa.array(guest), pa.array(home[src].astype(np.int32)), pa.array(keys[at : at + 2048][src]), pack(seen[src]), pack(part[src])],
-                names=["block", "hall", "guest", "home", "key", "seen", "vec"],
+                [pa.array(dst), pa.array(hall), pa.array(guest), pa.array(home[src].astype(np.int32)), pa.array(keys[at : at + 2048][src]), pack(part[src])],
+                names=["block", "hall", "guest", "home", "key", "vec"],
             )
 
 
-def _dedupe(block: np.ndarray, hall: np.ndarray, key: np.ndarray, guest: np.ndarray) -> np.ndarray:
-    """Positions of one row for each (block, hall, key), in that order, members before guests."""
-    order = np.lexsort((guest, key, hall, block))
-    b, h, k = block[order], hall[order], key[order]
-    return order[np.concatenate([[True], (b[1:] != b[:-1]) | (h[1:] != h[:-1]) | (k[1:] != k[:-1])])] if len(order) else order
-
-
-def pack_blocks(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """One row for each block and hall, with its members and guests packed into binaries."""
-    parts = [b for b in batches if b.num_rows]
-    if not parts:
-        return
-    t = pa.Table.from_batches(parts)
-    block, hall, home, key = (np.asarray(t.column(c)) for c in ("block", "hall", "home", "key"))
-    guest = t.column("guest").to_numpy()
-    x, seen = unpack(t.column("vec")), unpack(t.column("seen"), SPREAD).view(np.int32)
-    order = _dedupe(block, hall, key, guest)
-    starts = np.flatnonzero(np.concatenate([[True], (np.diff(block[order]) != 0) | (np.diff(hall[order]) != 0)]))
-    for s, e in zip(starts, [*starts[1:], len(order)]):
-        here = order[s:e]
-        rows, g = here[~guest[here]], here[guest[here]]
-        if not len(rows):
-            continue
-        codes = np.unique(x[rows].view(np.void(x.dtype.itemsize * x.shape[1]).dtype).ravel(), return_inverse=True)[1]
-        rank = np.empty(len(rows), np.int64)
-        by = np.argsort(codes, kind="stable")  # rows are in order of key
-        first = np.concatenate([[0], np.flatnonzero(np.diff(codes[by])) + 1])
-        rank[by] = np.arange(len(rows)) - np.repeat(first, np.diff(np.append(first, len(rows))))
-        extra = np.empty((0, 2), np.int64)
-        if rank.max() >= COPIES:
-            late = np.flatnonzero(rank > k)
-            lows = {c: key[rows[by[f : f + k]]] for c, f in zip(codes[by[first]], first)}
-            extra = np.array([(key[rows[i]], low) for i in late for low in lows[codes[i]]], np.int64)
-            rows = rows[rank <= k]
-        yield pa.record_batch(
-            [
-                pa.array([block[rows[0]]], pa.int32()),
-                pa.array([hall[rows[0]]], pa.int32()),
-                *[pa.array([v.tobytes()], pa.binary()) for v in (key[rows], home[rows], seen[rows], x[rows], extra if hall[rows[0]] == 0 else extra[:0], key[g], seen[g], x[g])],
-            ],
-            names=["block", "hall", "keys", "homes", "seen", "own", "extra", "g_keys", "g_seen", "g_own"],
-        )
-
-
-def _view(t: pa.Table | pa.RecordBatch, column: str, row: int, kind: type) -> np.ndarray:
-    return np.frombuffer(t.column(column)[row].as_buffer(), kind)
-
-
 def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosine similarity of paired rows in double precision, to nine places."""
     a, b = a.astype(np.float64), b.astype(np.float64)
@@ -316,30 +276,13 @@ def _edges(node: np.ndarray, nbr: np.ndarray, sim: np.ndarray) -> list[pa.Array]
     return [pa.array(node.astype(np.int64)), pa.array(nbr.astype(np.int64)), pa.array(sim.astype(np.float64))]
 
 
-RESULT = "node long, nbr long, sim double, home int"
-NAMES = ["node", "nbr", "sim", "home"]
-
-
-def _result(node: np.ndarray, nbr: np.ndarray, sim: np.ndarray, home: np.ndarray | None = None) -> pa.RecordBatch:
-    """Edges, or with ``home`` the kin of nodes: neighbours together with their home blocks."""
-    return pa.record_batch([*_edges(node, nbr, sim), pa.nulls(len(node), pa.int32()) if home is None else pa.array(home.astype(np.int32))], names=NAMES)
+def _first(node: np.ndarray, home: np.ndarray, nbr: np.ndarray, nbr_home: np.ndarray, sim: np.ndarray) -> pa.RecordBatch:
+    n, m, v = _edges(node, nbr, sim)
+    return pa.record_batch([n, pa.array(home.astype(np.int32)), m, pa.array(nbr_home.astype(np.int32)), v], names=["node", "home", "nbr", "nbr_home", "sim"])
 
 
-def _kin(keys: np.ndarray, open_rows: np.ndarray, row: np.ndarray, nbr: np.ndarray, sim: np.ndarray, home: np.ndarray) -> pa.RecordBatch:
-    """The nearest KIN neighbours of rows that may have kin elsewhere (``open_rows``); ``row`` is in order of nearness."""
-    first = np.concatenate([[0], np.flatnonzero(np.diff(row)) + 1]) if len(row) else np.array([], np.int64)
-    rank = np.arange(len(row)) - np.repeat(first, np.diff(np.append(first, len(row))))
-    keep = (rank < KIN) & open_rows[row]
-    return _result(keys[row[keep]], nbr[keep], sim[keep], home[keep])
-
-
-def _strong(node: np.ndarray, nbr: np.ndarray, sim: np.ndarray, least: float) -> pa.RecordBatch:
-    keep = sim >= least
-    return _result(node[keep], nbr[keep], sim[keep])
-
-
-def _nearest(q_keys: np.ndarray, q: np.ndarray, keys: np.ndarray, x: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """``(row, column, similarity)`` of the ``k`` rows of ``x`` nearest to each of ``q`` under another key, a chunk of rows at a time."""
+def _nearest(q_keys: np.ndarray, q: np.ndarray, keys: np.ndarray, x: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``(row, column)`` of the ``k`` rows of ``x`` nearest to each of ``q`` under another key, a chunk of rows at a time."""
     m = x.T.copy()
     chunk = max(32, min(512, (1 << 25) // max(1, len(x))))
     order = np.argsort(keys, kind="stable")
@@ -349,68 +292,201 @@ def _nearest(q_keys: np.ndarray, q: np.ndarray, keys: np.ndarray, x: np.ndarray,
         pos = np.minimum(np.searchsorted(keys, own, sorter=order), len(keys) - 1)
         same = np.flatnonzero(keys[order[pos]] == own)
         s[same, order[pos[same]]] = -2
-        row, col, val = top_k(s, keys, k)
-        yield row + at, col, val
+        row, col, _ = top_k(s, keys, k)
+        yield row + at, col
 
 
-def compare_blocks(batches: Iterator[pa.RecordBatch], k: int, least: float) -> Iterator[pa.RecordBatch]:
-    """The ``k`` nearest of every member in its block, of guests among members and of members among guests, and the kin of open rows."""
-    for b in batches:
-        for r in range(b.num_rows):
-            keys, homes = _view(b, "keys", r, np.int64), _view(b, "homes", r, np.int32)
-            seen, extra = _view(b, "seen", r, np.int32).reshape(-1, SPREAD), _view(b, "extra", r, np.int64).reshape(-1, 2)
-            x = _view(b, "own", r, np.float32).reshape(-1, DIM)
-            g_keys, g_seen, g = _view(b, "g_keys", r, np.int64), _view(b, "g_seen", r, np.int32).reshape(-1, SPREAD), _view(b, "g_own", r, np.float32).reshape(-1, DIM)
-            if len(extra):
-                yield _result(extra[:, 0], extra[:, 1], np.ones(len(extra)))
-            for q_keys, q, q_seen, to_keys, to, to_homes in ((keys, x, seen, keys, x, homes), (g_keys, g, g_seen, keys, x, homes), (keys, x, None, g_keys, g, None)):
-                if q is x and to is x and b.column("hall")[r].as_py():
-                    continue
-                for row, col, val in _nearest(q_keys, q, to_keys, to, k + 2):
-                    if q_seen is not None:
-                        yield _kin(q_keys, q_seen[:, 1] >= 0, row, to_keys[col], val, to_homes[col])
-                    near = val >= least - 1e-4
-                    row, col = row[near], col[near]
-                    yield _strong(q_keys[row], to_keys[col], exact(q[row], to[col]), least)
-
-
-def read_open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(node, home, seen, vec)`` of the open rows, from the blocks they are at home in."""
+def _compare(key: np.ndarray, home: np.ndarray, x: np.ndarray, guest: np.ndarray, hall: int, k: int, plan: Plan) -> Iterator[pa.RecordBatch]:
+    """The best ``k`` of every member of one block (rows in order of key) and of its guests among the members, and of members among guests.
+
+    A member also gets edges to those leaders of other blocks that are nearer than its ``k``-th in the block.
+    """
+    rows, g = np.flatnonzero(~guest), np.flatnonzero(guest)
+    if not len(rows):
+        return
+    codes = np.unique(x[rows].view(np.void(x.dtype.itemsize * x.shape[1]).dtype).ravel(), return_inverse=True)[1]
+    rank = np.empty(len(rows), np.int64)
+    by = np.argsort(codes, kind="stable")
+    first = np.concatenate([[0], np.flatnonzero(np.diff(codes[by])) + 1])
+    rank[by] = np.arange(len(rows)) - np.repeat(first, np.diff(np.append(first, len(rows))))
+    if rank.max() >= COPIES:
+        late = rows[rank > k]
+        if hall == 0:
+            lows = {c: rows[by[f : f + k]] for c, f in zip(codes[by[first]], first)}
+            to = np.concatenate([lows[c] for c in codes[rank > k]]) if len(late) else late
+            at = np.repeat(late, [len(lows[c]) for c in codes[rank > k]]) if len(late) else late
+            yield _first(key[at], home[at], key[to], home[to], np.ones(len(at)))
+        rows = rows[rank <= k]
+    for q, to in ((rows, rows), (g, rows), (rows, g)):
+        if q is to and hall:
+            continue
+        for r, c in _nearest(key[q], x[q], key[to], x[to], LOOSE * k):
+            a, b = q[r], to[c]
+            sim = exact(x[a], x[b])
+            rank = np.arange(len(r)) - np.searchsorted(r, r)
+            keep = (rank < k) | (sim < COVER)
+            a, b, sim, r = a[keep], b[keep], sim[keep], r[keep]
+            yield _first(key[a], home[a], key[b], home[b], sim)
+            if q is to:
+                yield _leads(q[np.unique(r)], a, sim, key, home, x, k, plan)
+
+
+def _leads(rows: np.ndarray, node: np.ndarray, sim: np.ndarray, key: np.ndarray, home: np.ndarray, x: np.ndarray, k: int, plan: Plan) -> pa.RecordBatch:
+    """Edges from ``rows`` to the at most ``k`` nearest leaders elsewhere that beat the worst of a row's edges ``(node, sim)``."""
+    worst = np.full(len(key), 2.0)
+    np.minimum.at(worst, node, sim)
+    n = np.bincount(node, minlength=len(key))
+    worst[(n < LOOSE * k) & ((n < k) | (worst < COVER))] = -2
+    s = x[rows] @ plan.leaders.T
+    lead_home = _block(plan.leaders, np.arange(len(plan.leaders)), plan)
+    s[(s <= worst[rows][:, None]) | (lead_home[None, :] == home[rows][:, None]) | (plan.keys < 0)[None, :]] = -2
+    r, c, _ = top_k(s, plan.keys, LOOSE * k)
+    return _first(key[rows[r]], home[rows[r]], plan.keys[c], lead_home[c], exact(x[rows[r]], plan.leaders[c]))
+
+
+def compare_blocks(batches: Iterator[pa.RecordBatch], k: int, plan: Plan) -> Iterator[pa.RecordBatch]:
+    """Edges of the first graph, from rows that come sorted by ``block, hall``; one block is held at a time."""
+    for t in _groups(batches, ["block", "hall"]):
+        key, guest = np.asarray(t.column("key")), t.column("guest").to_numpy()
+        order = np.lexsort((guest, key))
+        order = order[np.concatenate([[True], np.diff(key[order]) != 0])]  # members before guests, redeliveries once
+        yield from _compare(key[order], np.asarray(t.column("home"))[order], unpack(t.column("vec"))[order], guest[order], t.column("hall")[0].as_py(), k, plan)
+
+
+def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
+    """The tables of equal ``names`` of a sorted stream; only the group that is being read is held."""
+    held: list[pa.RecordBatch] = []
+    last = None
     for b in batches:
-        for r in range(b.num_rows):
-            own = _view(b, "own", r, np.float32).reshape(-1, DIM)
-            seen = _view(b, "seen", r, np.int32).reshape(-1, SPREAD)
-            rows = np.flatnonzero(seen[:, 1] >= 0)
-            yield pa.record_batch([pa.array(_view(b, "keys", r, np.int64)[rows]), pa.array(_view(b, "homes", r, np.int32)[rows]), pack(seen[rows]), pack(own[rows])], names=["node", "home", "seen", "vec"])
+        if not b.num_rows:
+            continue
+        cols = [np.asarray(b.column(n)) for n in names]
+        cuts = [0, *(np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1).tolist(), b.num_rows]
+        for s, e in zip(cuts, cuts[1:]):
+            this = tuple(c[s] for c in cols)
+            if held and this != last:
+                yield pa.Table.from_batches(held).combine_chunks()
+                held = []
+            held.append(b.slice(s, e - s))
+            last = this
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def to_fixed(x: np.ndarray) -> np.ndarray:
+    """Unit vectors as 16-bit numbers with their scale in front, 102 bytes for 50 numbers; the error of a similarity is about 1e-5."""
+    scale = np.maximum(np.abs(x).max(axis=1), 1e-9).astype(np.float32) if len(x) else np.empty(0, np.float32)
+    out = np.empty((len(x), x.shape[1] + 2), np.int16)
+    out[:, :2] = scale.view(np.int16).reshape(-1, 2)
+    out[:, 2:] = np.round(x / scale[:, None] * 32767)
+    return out
 
 
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        seen = unpack(b.column(1), SPREAD).view(np.int32)
-        row, col = np.nonzero(seen >= 0)
-        yield pa.record_batch([b.column(0).take(pa.array(row)), pa.array(seen[row, col])], names=["node", "block"])
+def from_fixed(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    raw = unpack(column, (DIM + 2) // 2).view(np.int16).reshape(-1, DIM + 2)
+    scale = np.ascontiguousarray(raw[:, :2]).view(np.float32)
+    return raw[:, 2:].astype(np.float32) * (scale / 32767)
 
 
-def meet(left: pa.Table, right: pa.Table, k: int, least: float) -> pa.Table:
-    """Visitors of a block against its members: edges in both directions, and the visitors' kin there."""
-    out = [_result(*[np.empty(0)] * 3)]
-    if left.num_rows and right.num_rows:
-        q_keys, first = np.unique(np.asarray(right.column("node")), return_index=True)
-        q = unpack(right.column("vec"))[first]
-        for r in range(left.num_rows):
-            x = _view(left, "own", r, np.float32).reshape(-1, DIM)
-            keys, homes = _view(left, "keys", r, np.int64)[: len(x)], _view(left, "homes", r, np.int32)[: len(x)]
-            for row, col, val in _nearest(q_keys, q, keys, x, k + 2):
-                out.append(_kin(q_keys, np.ones(len(q), bool), row, keys[col], val, homes[col]))
-                near = val >= least - 1e-4
-                row, col = row[near], col[near]
-                sim = exact(q[row], x[col])
-                out += [_strong(q_keys[row], keys[col], sim, least), _strong(keys[col], q_keys[row], sim, least)]
-    return pa.Table.from_batches(out)
+def fixed_rows(df: DataFrame, key: str, embedding: str) -> DataFrame:
+    """``(key, vec)``: usable vectors in fixed point; a key may come more than once."""
 
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, x = usable(b.column(1))
+            yield pa.record_batch([b.column(0).take(pa.array(rows)), pack(to_fixed(x))], names=["key", "vec"])
+
+    return df.where(F.col(key).isNotNull()).select(key, embedding).mapInArrow(read, "key long, vec binary")
+
+
+def list_neighbours(graph: DataFrame, parts: int, places: int, seed: int) -> DataFrame:
+    """``(place, node, to, to_home, fresh)``: of each node that a fresh edge leads from or to, itself, its neighbours and at most WIDE
+    nodes it is a neighbour of (fresh ones first, then in an order without meaning), as arrays."""
+    back = graph.select(F.col("nbr").alias("node"), F.col("nbr_home").alias("home"), F.col("node").alias("to"), F.col("home").alias("to_home"), "fresh")
+    few = W.partitionBy("node").orderBy(F.desc("fresh"), F.xxhash64("node", "to", F.lit(seed)))
+    back = back.withColumn("r", F.row_number().over(few)).where(F.col("r") <= WIDE).drop("r")  # a window group limit keeps WIDE rows a task
+    both = graph.select("node", "home", F.col("nbr").alias("to"), F.col("nbr_home").alias("to_home"), "fresh").unionByName(back)
+    lists = both.repartition(parts, "node").groupBy("node", "home").agg(*[F.collect_list(c).alias(c) for c in ("to", "to_home", "fresh")])
+    place = F.xxhash64("home", F.pmod(F.xxhash64("node"), F.lit(places)))
+    own = {"to": F.array_append("to", F.col("node")), "to_home": F.array_append("to_home", F.col("home")), "fresh": F.array_append("fresh", F.lit(False))}
+    return lists.where(F.array_contains("fresh", True)).withColumns(own).select(place.alias("place"), "node", *own)
+
+
+def join_lists(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """Compares the entries of each list with each other; rows come sorted by ``place``. Puts out what may be among a node's best."""
+    for t in _groups(batches, ["place"]):
+        is_vec = t.column("vec").is_valid()
+        there, lists = t.filter(is_vec), t.filter(t.column("to").is_valid())
+        keys, first = np.unique(np.asarray(there.column("node")), return_index=True)
+        if len(keys) < 2 or not lists.num_rows:
+            continue
+        x, bound = from_fixed(there.column("vec"))[first], np.asarray(there.column("bound"))[first]
+        to = lists.column("to").combine_chunks()
+        at = np.repeat(np.arange(lists.num_rows), np.asarray(to.value_lengths()))
+        ids, to_home, fresh = (lists.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("to", "to_home", "fresh"))
+        pos = np.minimum(np.searchsorted(keys, ids), len(keys) - 1)
+        known = keys[pos] == ids
+        home = np.full(len(keys), -1, np.int32)
+        home[pos[known]] = to_home[known]
+        yield from _local_join(at[known], pos[known], fresh[known].astype(bool), lists.num_rows, keys, home, x, bound, width)
+
+
+def _local_join(at: np.ndarray, pos: np.ndarray, fresh: np.ndarray, n: int, keys: np.ndarray, home: np.ndarray, x: np.ndarray, bound: np.ndarray, width: int, chunk: int = 512) -> Iterator[pa.RecordBatch]:
+    order = np.argsort(at, kind="stable")
+    at, pos, fresh = at[order], pos[order], fresh[order]
+    begin = np.searchsorted(at, np.arange(n + 1))
+    most = int(np.diff(begin).max())
+    a_all, b_all, s_all = [], [], []
+    for lo in range(0, n, chunk):
+        hi = min(n, lo + chunk)
+        rows = slice(begin[lo], begin[hi])
+        slot = np.arange(begin[lo], begin[hi]) - begin[at[rows]]
+        grid = np.full((hi - lo, most), -1, np.int64)
+        new = np.zeros((hi - lo, most), bool)
+        grid[at[rows] - lo, slot], new[at[rows] - lo, slot] = pos[rows], fresh[rows]
+        v = x[grid]
+        s = v @ v.transpose(0, 2, 1)
+        ok = (grid >= 0)[:, :, None] & (grid >= 0)[:, None, :] & (new[:, :, None] | new[:, None, :]) & (s > np.where(grid >= 0, bound[grid], 2)[:, :, None]) & (grid[:, :, None] != grid[:, None, :])
+        r, i, j = np.nonzero(ok)
+        a_all.append(grid[r, i])
+        b_all.append(grid[r, j])
+        s_all.append(s[r, i, j])
+    a, b, s = np.concatenate(a_all), np.concatenate(b_all), np.concatenate(s_all)
+    _, one = np.unique(a * len(keys) + b, return_index=True)
+    a, b, s = a[one], b[one], s[one]
+    order = np.lexsort((keys[b], -s, a))
+    a, b, s = a[order], b[order], s[order]
+    start = np.searchsorted(a, a)
+    keep = np.arange(len(a)) - start < width
+    a, b, s = a[keep], b[keep], s[keep]
+    yield _first(keys[a], home[a], keys[b], home[b], s)
+
+
+def descend(graph: DataFrame, vectors: DataFrame, parts: int, places: int, width: int, seed: int) -> DataFrame:
+    """One round: candidates ``FIRST`` from comparing what the graph's lists name, each above the worst edge of its node."""
+    lists = cut(list_neighbours(graph, parts, places, seed))
+    n = F.count(F.lit(1))
+    bound = graph.groupBy("node").agg(F.when((n >= LOOSE * width) | ((n == width) & (F.min("sim") >= COVER)), F.min("sim")).otherwise(-2.0).cast("float").alias("bound"))
+    need = lists.select("place", F.explode("to").alias("node")).distinct()
+    sent = need.join(vectors.join(bound, "node"), "node")
+    rows = lists.unionByName(sent, allowMissingColumns=True).select(*[c.split()[0] for c in SENT.split(", ")])
+    out = cut(rows.repartition(parts, "place").sortWithinPartitions("place").mapInArrow(lambda it: join_lists(it, LOOSE * width), FIRST))
+    discard(lists)
+    return out
 
-def _is_edge(df: DataFrame) -> DataFrame:
-    return df.where("home IS NULL").select("node", "nbr", "sim")
+
+def nearest_edges(edges: DataFrame, width: int) -> DataFrame:
+    """Of distinct edges, partitioned by node, each node's best ``width``; LOOSE times as many if the last of those is no nearer than COVER."""
+    order = W.partitionBy("node").orderBy(F.desc("sim"), "nbr")
+    few = edges.withColumn("r", F.row_number().over(order)).where(F.col("r") <= LOOSE * width)
+    return few.withColumn("last", F.nth_value("sim", width).over(order)).where((F.col("r") <= width) | (F.col("last") < COVER)).drop("r", "last")
+
+
+def merge(graph: DataFrame, found: DataFrame, parts: int, width: int) -> DataFrame:
+    """The best ``width`` edges of each node out of the graph and the candidates; of an edge that both have, the graph's stays."""
+    both = graph.withColumn("fresh", F.lit(False)).unionByName(found.withColumns({"fresh": F.lit(True), "rough": F.lit(True)}))
+    one = both.repartition(parts, "node").groupBy("node", "nbr").agg(F.min_by(F.struct("home", "nbr_home", "sim", "rough"), "fresh").alias("e"), F.min("fresh").alias("fresh"))
+    return nearest_edges(one.select("node", "e.home", "nbr", "e.nbr_home", "e.sim", "e.rough", "fresh"), width)
 
 
 def without_mass_copies(rows: DataFrame, key: str, embedding: str, k: int) -> tuple[DataFrame, DataFrame | None]:
@@ -432,51 +508,44 @@ def without_mass_copies(rows: DataFrame, key: str, embedding: str, k: int) -> tu
     return marked.join(rest.select(F.col("key").alias(key)), key, "left_anti").select(key, embedding), edges
 
 
-def candidate_edges(df: DataFrame, key: str = "cell_key", embedding: str = "embedding", k: int = 10, rounds: int = 2, least: float = -1.0) -> DataFrame:
-    """``(node, nbr, sim)``: the graph's candidate edges, for every node a superset of its best ``k`` found.
+def descent_graph(df: DataFrame, key: str = "cell_key", embedding: str = "embedding", k: int = 10, rounds: int = 6, least: float = -1.0) -> tuple[DataFrame, DataFrame | None]:
+    """``(graph, copies)``: the best ``k + 2`` edges found for every node, and the edges of mass copies.
 
-    Edges below ``least`` are not put out; they rank behind all others, so the best of the rest stay right.
+    ``graph`` has ``node, home, nbr, nbr_home, sim, rough, fresh``; ``sim`` of a rough edge is in fixed point, and the two
+    edges beyond ``k`` are room for its error. ``least`` says below which similarity a crowd's edges need not be complete.
     """
-    spark = df.sparkSession
-    rows, copies = without_mass_copies(df.select(key, embedding), key, embedding, k)
-    _, sample = sample_vectors(rows, key, embedding)
-    leaders, weights = choose_leaders(sample)
+    spark, width = df.sparkSession, k + 2
+    rows, copies = without_mass_copies(df.select(key, embedding), key, embedding, width)
+    names, sample = sample_vectors(rows, key, embedding)
+    at, leaders, weights = choose_leaders(sample)
     total = rows.count()
-    plan = plan_blocks(sample, leaders, weights, total, least)
-    blocks = max(1, -(-total // BLOCK))
+    plan = plan_blocks(sample, names[at] if len(names) else at, leaders, weights, total, least)
     shared = spark.sparkContext.broadcast(plan)  # at most SAMPLE vectors
-    n_parts = max(partitions(spark), -(-blocks // 8))
+    n_parts = max(partitions(spark), -(-total // (8 * BLOCK)))
     placed = rows.where(F.col(key).isNotNull()).mapInArrow(lambda it: place(it, shared.value), PLACED)
-    packed = cut(placed.repartition(n_parts, "block", "hall").mapInArrow(lambda it: pack_blocks(it, k), PACKED))
-    del placed
-    release(spark)
-    found = cut(packed.mapInArrow(lambda it: compare_blocks(it, k, least), RESULT))
-    edges = _is_edge(found)
-    if rounds > 0:
-        members = packed.where("block >= 0 AND hall = 0").select("block", "keys", "homes", "own")
-        nodes = cut(packed.where("block >= 0 AND hall = 0").mapInArrow(read_open, "node long, home int, seen binary, vec binary"))
-        visited = nodes.select("node", F.col("home").alias("block"))
-        leads = nodes.select("node", "seen").mapInArrow(_places, "node long, block int")
-        nearest = W.partitionBy("node").orderBy(F.desc("sim"), "nbr")
-    kin = None
-    for _ in range(rounds):
-        met = found.where("home IS NOT NULL").select("node", "nbr", "sim", "home")
-        kin = met if kin is None else kin.unionByName(met)
-        kin = cut(kin.distinct().withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= KIN).drop("r"))
-        # the blocks of the nearest leaders, then the homes of a node's kin, and of its kin's kin
-        second = kin.select("node", F.col("nbr").alias("via")).join(kin.select(F.col("node").alias("via"), "home"), "via").select("node", F.col("home").alias("block"))
-        targets = cut(kin.select("node", F.col("home").alias("block")).union(second).union(leads).distinct().join(visited, ["node", "block"], "left_anti"))
-        if targets.isEmpty():
+    first = placed.repartition(n_parts, "block", "hall").sortWithinPartitions("block", "hall").mapInArrow(lambda it: compare_blocks(it, width, shared.value), FIRST)
+    one = nearest_edges(first.repartition(n_parts, "node").dropDuplicates(["node", "nbr"]), width)
+    graph = cut(one.withColumns({"rough": F.lit(False), "fresh": F.col("home") != F.col("nbr_home")}))
+    vectors = fixed_rows(rows, key, embedding).withColumnRenamed("key", "node")
+    most = graph.groupBy("home").agg(F.count_distinct("node").alias("n")).agg(F.max("n")).first()[0] if rounds else None
+    places = max(1, -(-(most or 0) // PLACE))  # into which the nodes of one block are spread
+    for seed in range(rounds):
+        found = descend(graph, vectors, n_parts, places, width, seed)
+        step = cut(merge(graph, found, n_parts, width))
+        discard(graph, found)
+        graph = step
+        new, edges = graph.agg(F.count_if("fresh"), F.count(F.lit(1))).first()
+        if new <= UPDATES * edges:
             break
-        visited = visited.union(targets)
-        del met, second
-        release(spark)
-        visits = targets.join(nodes.select("node", "vec"), "node").select("block", "node", "vec")
-        found = cut(members.groupBy("block").cogroup(visits.groupBy("block")).applyInArrow(lambda left, right: meet(left, right, k, least), RESULT))
-        del visits
-        release(spark)
-        edges = edges.unionByName(_is_edge(found))
-    return edges if copies is None else edges.unionByName(copies)
+    return graph, copies
+
+
+def rescored(edges: DataFrame, df: DataFrame, key: str, embedding: str) -> DataFrame:
+    """``(node, nbr, sim)`` with the similarities of rough edges computed from the full vectors."""
+    vectors = unit_rows(df, key, embedding)
+    rough = edges.where("rough").select("node", "nbr")
+    pairs = rough.join(vectors.select(F.col("key").alias("node"), F.col("vec").alias("q")), "node").join(vectors.withColumnRenamed("key", "nbr"), "nbr")
+    return edges.where("NOT rough").select("node", "nbr", "sim").unionByName(pairs.select("node", "nbr", "vec", "q").mapInArrow(_dot, EDGES))
 
 
 def best(edges: DataFrame, k: int) -> DataFrame:
@@ -485,17 +554,21 @@ def best(edges: DataFrame, k: int) -> DataFrame:
     return edges.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def knn_graph(df: DataFrame, key: str = "cell_key", embedding: str = "embedding", k: int = 10, rounds: int = 2) -> DataFrame:
+def knn_graph(df: DataFrame, key: str = "cell_key", embedding: str = "embedding", k: int = 10, rounds: int = 6) -> DataFrame:
     """``(node, nbr, sim, rank)``: the approximate ``k`` nearest neighbours of every usable vector."""
-    return best(candidate_edges(df, key, embedding, k, rounds), k)
+    graph, copies = descent_graph(df, key, embedding, k, rounds)
+    edges = rescored(graph, df, key, embedding)
+    return best(edges if copies is None else edges.unionByName(copies), k)
 
 
 def near_pairs(df: DataFrame, k: int = 10, least: float = 0.98, key: str = "cell_key", embedding: str = "embedding") -> DataFrame:
     """``(cell_key_a, cell_key_b)``: pairs with similarity of at least ``least`` of which one is among the other's best ``k``.
 
-    Only edges of at least ``least`` are put out and ranked.
+    Edges below ``least`` rank behind all others, so only the rest of the graph is computed anew and ranked.
     """
-    near = best(candidate_edges(df, key, embedding, k, least=least), k)
+    graph, copies = descent_graph(df, key, embedding, k, least=least)
+    edges = rescored(graph.where(F.col("sim") >= least - 1e-4), df, key, embedding)
+    near = best(edges if copies is None else edges.unionByName(copies), k).where(F.col("sim") >= least)
     return near.select(F.least("node", "nbr").alias("cell_key_a"), F.greatest("node", "nbr").alias("cell_key_b")).distinct()
 
 
@@ -534,13 +607,32 @@ def exact_neighbours(df: DataFrame, queries: DataFrame, k: int = 10, key: str =
     return best(parts.groupBy("chunk").cogroup(asked.groupBy("chunk")).applyInArrow(run, EDGES), k)
 
 
+BANDS = (0.5, 0.7, 0.9)
+
+
+def recall_of(found: DataFrame, true: DataFrame) -> DataFrame:
+    """``(band, queries, neighbours, found, recall)``: how many true neighbours ``found`` has, in all and by the similarity of a query's nearest."""
+    nearest = true.groupBy("node").agg(F.max("sim").alias("top"))
+    name = F.lit(f"from {BANDS[-1]}")
+    for at in reversed(BANDS):
+        name = F.when(F.col("top") < at, F.lit(f"below {at}")).otherwise(name)
+    hits = true.select("node", "nbr").join(found.select("node", "nbr", F.lit(1).alias("hit")), ["node", "nbr"], "left").join(nearest.select("node", name.alias("band")), "node")
+    n, hit = F.count(F.lit(1)), F.coalesce(F.sum("hit"), F.lit(0))
+    out = hits.rollup("band").agg(F.count_distinct("node").alias("queries"), n.alias("neighbours"), hit.alias("found"), F.try_divide(hit, n).alias("recall"))
+    return out.withColumn("band", F.coalesce("band", F.lit("all")))
+
+
 def recall(df: DataFrame, every: int = 20, k: int = 10, key: str = "cell_key", embedding: str = "embedding") -> DataFrame:
-    """One row: queries (keys divisible by ``every``), true neighbours, and how many of them the graph has."""
+    """The graph's ``recall_of`` for the rows whose key ``every`` divides, against brute force over all rows."""
+    true = cut(exact_neighbours(df, df.where(F.col(key) % every == 0), k, key, embedding))
+    return recall_of(knn_graph(df, key, embedding, k).where(F.col("node") % every == 0), true)
+
+
+def search_recall(df: DataFrame, every: int = 20, k: int = 10, key: str = "cell_key", embedding: str = "embedding") -> DataFrame:
+    """The ``recall_of`` greedy search for the rows whose key ``every`` divides."""
     asked = df.where(F.col(key) % every == 0)
-    true = exact_neighbours(df, asked, k, key, embedding).select("node", "nbr")
-    found = knn_graph(df, key, embedding, k).where(F.col("node") % every == 0).select("node", "nbr", F.lit(1).alias("hit"))
-    n, hit = F.count(F.lit(1)), F.coalesce(F.sum("hit"), F.lit(0))
-    return true.join(found, ["node", "nbr"], "left").agg(F.count_distinct("node").alias("queries"), n.alias("neighbours"), hit.alias("found"), F.try_divide(hit, n).alias("recall"))
+    true = cut(exact_neighbours(df, asked, k, key, embedding))
+    return recall_of(graph_search(df, asked, k, key=key, embedding=embedding), true)
 
 
 def _dot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -549,37 +641,45 @@ def _dot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([b.column(0), b.column(1), pa.array(sim)], names=["node", "nbr", "sim"])
 
 
-def graph_search(df: DataFrame, queries: DataFrame, k: int = 10, beam: int = 16, hops: int = 3, key: str = "cell_key", embedding: str = "embedding") -> DataFrame:
+def graph_search(df: DataFrame, queries: DataFrame, k: int = 10, beam: int = 32, hops: int = 12, entries: int = 8, key: str = "cell_key", embedding: str = "embedding") -> DataFrame:
     """``(node, nbr, sim, rank)``: neighbours of the query rows by greedy search on the graph.
 
-    A search starts at the leaders nearest to the query and holds the ``beam`` best rows it has seen; each
-    hop looks at the graph neighbours of all of them, in either direction, and ends early when no query improves.
+    A search starts at the ``entries`` leaders nearest to the query (leaders are at most SAMPLE rows, whatever the data's size) and
+    holds the ``beam`` best rows it has seen; each hop looks at the graph neighbours, in either direction, of those held rows
+    that it has not looked at before, and the search ends when no query has such a row, or after ``hops``. A row passes on at most
+    WIDE of the nodes that it is a neighbour of.
     """
     spark = df.sparkSession
-    edges = knn_graph(df, key, embedding, k).select("node", "nbr")
-    graph = cut(edges.union(edges.select("nbr", "node")).distinct().toDF("at", "to"))
+    graph, copies = descent_graph(df, key, embedding, k)
+    edges = graph.select("node", "nbr", "sim")
+    edges = edges if copies is None else edges.unionByName(copies)
+    few = W.partitionBy("at").orderBy(F.desc("sim"), "to")
+    back = edges.select(F.col("nbr").alias("at"), F.col("node").alias("to"), "sim").withColumn("r", F.row_number().over(few)).where(F.col("r") <= WIDE)
+    links = cut(edges.select(F.col("node").alias("at"), F.col("nbr").alias("to")).union(back.select("at", "to")).distinct())
+    discard(graph)
     vectors, asked = unit_rows(df, key, embedding), cut(unit_rows(queries, key, embedding))
     names, sample = sample_vectors(df.select(key, embedding), key, embedding)
-    starts = spark.sparkContext.broadcast((names, sample))  # at most SAMPLE vectors
+    at = choose_leaders(sample)[0]
+    at = at[at >= 0]
+    starts = spark.sparkContext.broadcast((names[at], sample[at]))  # at most SAMPLE vectors
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, sample = starts.value
+        names, leads = starts.value
         for b in batches:
             x = unpack(b.column(1))
-            for at in range(0, len(x) if len(sample) else 0, 1024):
-                row, col, _ = top_k(x[at : at + 1024] @ sample.T, names, 4)
-                yield pa.record_batch(_edges(np.asarray(b.column(0))[at + row], names[col], exact(x[at + row], sample[col])), names=["node", "nbr", "sim"])
+            for at in range(0, len(x) if len(leads) else 0, 1024):
+                row, col, _ = top_k(x[at : at + 1024] @ leads.T, names, entries)
+                yield pa.record_batch(_edges(np.asarray(b.column(0))[at + row], names[col], exact(x[at + row], leads[col])), names=["node", "nbr", "sim"])
 
     order = W.partitionBy("node").orderBy(F.desc("sim"), "nbr")
-    held = cut(asked.mapInArrow(enter, EDGES))
-    seen = -1.0
+    held = cut(asked.mapInArrow(enter, EDGES).withColumn("fresh", F.lit(True)))
     for _ in range(hops):
-        step = held.join(graph, F.col("nbr") == F.col("at")).select("node", F.col("to").alias("nbr")).distinct().join(held.select("node", "nbr"), ["node", "nbr"], "left_anti")
+        step = held.where("fresh").join(links, F.col("nbr") == F.col("at")).select("node", F.col("to").alias("nbr")).distinct().join(held.select("node", "nbr"), ["node", "nbr"], "left_anti")
         pairs = step.join(vectors.withColumnRenamed("key", "nbr"), "nbr").join(asked.select(F.col("key").alias("node"), F.col("vec").alias("q")), "node")
-        scored = pairs.select("node", "nbr", "vec", "q").mapInArrow(_dot, EDGES)
-        held = cut(held.unionByName(scored).withColumn("r", F.row_number().over(order)).where(F.col("r") <= beam).drop("r"))
-        now = held.agg(F.sum("sim")).first()[0] or 0.0
-        if now <= seen:
+        scored = pairs.select("node", "nbr", "vec", "q").mapInArrow(_dot, EDGES).withColumn("fresh", F.lit(True))
+        now = cut(held.withColumn("fresh", F.lit(False)).unionByName(scored).withColumn("r", F.row_number().over(order)).where(F.col("r") <= beam).drop("r"))
+        discard(held)
+        held = now
+        if held.where("fresh").isEmpty():
             break
-        seen = now
-    return best(held.where("node <> nbr"), k)
+    return best(held.where("node <> nbr").select("node", "nbr", "sim"), k)

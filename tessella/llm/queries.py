@@ -15,7 +15,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_recall(spark: SparkSession, d: str) -> DataFrame:
-    """The graph's recall for every twentieth cell against brute force over all cells."""
+    """The graph's recall for every twentieth cell, in all and by similarity, against brute force over all cells."""
     return knn_graph.recall(table(spark, d, "cell_embeddings"))
 
 
@@ -25,6 +25,11 @@ def p3_search(spark: SparkSession, d: str) -> DataFrame:
     return knn_graph.graph_search(e, e.where("cell_key % 20 = 0"))
 
 
+def p3_search_recall(spark: SparkSession, d: str) -> DataFrame:
+    """The search's recall for every twentieth cell against brute force over all cells."""
+    return knn_graph.search_recall(table(spark, d, "cell_embeddings"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     cells = topn.top_cells(table(spark, d, "classification_results"), table(spark, d, "slides"), 5)
     return cells.select("slide_id", "cluster_id", "record_id", "label_id")
@@ -80,7 +85,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return sentences.sentences(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_recall, p3_search, p5_found, p6_found, p6_clusters, p6_against_labels, p7_found, p7_containers, p7_fill, p8_found, p8_shares, p8_mix, p9_found, p9_counts)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_recall, p3_search, p3_search_recall, p5_found, p6_found, p6_clusters, p6_against_labels, p7_found, p7_containers, p7_fill, p8_found, p8_shares, p8_mix, p9_found, p9_counts)}
 
 USABLE = """u AS (SELECT cell_key, any_value(embedding::DOUBLE[]) AS e, any_value(slide_id) AS slide_id FROM cell_embeddings WHERE cell_key IS NOT NULL AND len(embedding) = 50
   AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0 GROUP BY 1)"""

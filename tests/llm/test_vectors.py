@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from tessella.llm import grid_clusters, knn_graph
-from tessella.llm.vectors import top_k
+from tessella.llm.vectors import pack, top_k
 
 EMB = "cell_key long, slide_id string, embedding array<float>, vec binary, node long, grid long, home int"
 SLIDES = "slide_id string, slide_name string, alt_slide_id string"
@@ -53,6 +53,26 @@ def test_graph(spark):
     assert knn_graph.knn_graph(df.where("cell_key IN (0, 3)")).count() == 2
 
 
+def test_fixed_point():
+    x = make()[:40] / np.linalg.norm(make()[:40], axis=1, keepdims=True)
+    back = knn_graph.from_fixed(pack(knn_graph.to_fixed(x)))
+    assert np.abs(back @ back.T - x @ x.T).max() < 5e-5
+
+
+def test_rounds_find_what_blocks_miss(spark, monkeypatch):
+    """Small blocks cut rows off from their neighbours; the rounds find them, whatever the similarity of the nearest."""
+    monkeypatch.setattr(knn_graph, "BLOCK", 60)
+    monkeypatch.setattr(knn_graph, "SPARSE", 60)
+    df, vectors = frame(spark, make(seed=7, groups=40, each=12, noise=300))
+    _, s, want = brute(vectors, 10)
+    before, after = hits(knn_graph.knn_graph(df, rounds=0), want, want), hits(knn_graph.knn_graph(df), want, want)
+    assert after >= 0.99 and after > before + 0.05
+    rows = {r.band: r.recall for r in knn_graph.recall(df, every=2).collect()}
+    assert rows["all"] >= 0.95 and min(rows.values()) >= 0.9
+    asked = df.where("cell_key % 7 = 0")
+    assert hits(knn_graph.graph_search(df, asked), want, [i for i in want if i % 7 == 0]) >= 0.9
+
+
 def test_copies(spark):
     x = np.repeat(make()[:2], 100, axis=0)
     df, _ = frame(spark, x)
@@ -64,13 +84,14 @@ def test_copies(spark):
         assert sorted(got[i]) == [j for j in keys if j != i][:4]
 
 
-def test_blocks_and_visits(spark):
+def test_blocks(spark):
     rng = np.random.default_rng(2)
     leaders = rng.standard_normal((40, 50)).astype(np.float32)
     blocks = knn_graph.group_leaders(leaders, np.ones(40), 8)
     assert blocks.max() >= 7 and np.bincount(blocks).max() <= 12
-    lead, weight = knn_graph.choose_leaders(make() / np.linalg.norm(make(), axis=1, keepdims=True))
-    assert len(lead) < 30 and weight.min() > 1
+    x = make() / np.linalg.norm(make(), axis=1, keepdims=True)
+    row, lead, weight = knn_graph.choose_leaders(x)
+    assert np.allclose(x[row], lead) and len(lead) < 30 and weight.min() > 1
 
 
 def test_top_k():
