@@ -8,10 +8,11 @@ after it was found; a pair is compared only if one of the two edges that lead to
 the first graph an edge within one block is not fresh, because a block is compared in full. Rounds end
 when fewer than UPDATES of all edges are new, or after ``rounds``.
 
-A round runs in Spark as joins: edges and at most WIDE reverse edges a node (WIDE bounds the work at hubs; a reverse edge left out
-in one round keeps its forward copy) are grouped by node; nodes are gathered in places of about PLACE nodes of one
-block, and every vector that a place's lists name is sent there once, in 16-bit fixed point. No task holds more
-than a place: about PLACE lists of at most LOOSE * (k + 2) + WIDE entries. Similarities found in fixed point are computed anew from the
+Rounds run on buckets of about BUCKET nodes whose blocks are alike; what moves is packed into one row for each pair of buckets. A round
+is three exchanges: buckets tell each other of the fresh edges that lead to their nodes and list each node's neighbours, with
+at most WIDE nodes that it is a neighbour of (WIDE bounds the work at hubs; an edge left out keeps its forward copy); they ask for
+the vectors that their lists name, each sent once to a bucket in 16-bit fixed point; they compare, and send what may be among
+a node's best to its bucket. No task holds more than a bucket: BUCKET lists of at most LOOSE * (k + 2) + WIDE entries. Similarities found in fixed point are computed anew from the
 full vectors before they are ranked or put out.
 
 Blocks: leaders are chosen greedily in a sample of at most SAMPLE vectors (taken by hash of the key), so that
@@ -50,15 +51,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..session import cut, discard, partitions
+from .columns import ROW, Columns, decode, gathered, joined, picked, row, scatter, to_buckets
 from .vectors import DIM, pack, top_k, unpack, usable
 
 SAMPLE, BLOCK, UNIT, SPARSE, COPIES, HALL = 16384, 4096, 12288, 16384, 64, 4
 COVER, NEAR = 0.7, 0.98
-PLACE, WIDE, LOOSE, UPDATES = 16384, 64, 3, 0.005
-PLACED = "block int, hall int, guest boolean, home int, key long, vec binary"
+BUCKET, WIDE, LOOSE, UPDATES = 32768, 64, 3, 0.005
 EDGES = "node long, nbr long, sim double"
-FIRST = "node long, home int, nbr long, nbr_home int, sim double"
-SENT = "place long, node long, to array<long>, to_home array<int>, fresh array<boolean>, vec binary, bound float"
+STATE, BACK, VECTOR, EDGE, LIST, ASK, ANSWER, MEMBER = range(8)
 
 
 def sample_vectors(df: DataFrame, key: str, embedding: str, most: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
@@ -140,7 +140,7 @@ class Crowd(NamedTuple):
 
 
 class Plan(NamedTuple):
-    """``margin`` and ``Crowd.wide`` bound how much nearer a row is to one leader than to another if it has kin beyond their plane."""
+    """``bucket_of`` spreads the blocks over buckets of about equal size. ``margin`` and ``Crowd.wide`` bound how much nearer a row is to one leader than to another if it has kin beyond their plane."""
 
     keys: np.ndarray
     leaders: np.ndarray
@@ -149,6 +149,8 @@ class Plan(NamedTuple):
     crowds: dict[int, Crowd]
     margin: np.ndarray
     reach: float
+    blocks: int
+    bucket_of: np.ndarray
 
 
 def _planes(x: np.ndarray, sine: float) -> np.ndarray:
@@ -156,7 +158,7 @@ def _planes(x: np.ndarray, sine: float) -> np.ndarray:
     return (sine * np.sqrt(np.maximum(0, 2 - 2 * x.astype(np.float64) @ x.T.astype(np.float64))) + 1e-5).astype(np.float32)
 
 
-def plan_blocks(x: np.ndarray, keys: np.ndarray, leaders: np.ndarray, weights: np.ndarray, total: int, least: float) -> Plan:
+def plan_blocks(x: np.ndarray, keys: np.ndarray, leaders: np.ndarray, weights: np.ndarray, total: int, least: float, buckets: int) -> Plan:
     """Blocks for the leaders (rows with ``keys``) of the sample ``x`` of ``total`` rows; leaders that more than UNIT rows follow get several."""
     angle = float(np.arccos(min(1.0, max(least, NEAR))))
     rows = weights * total / max(1, len(x))
@@ -184,7 +186,12 @@ def plan_blocks(x: np.ndarray, keys: np.ndarray, leaders: np.ndarray, weights: n
         n += len(starts)
     lone = max(0.0, 1 - weights.sum() / max(1, len(x)))
     sparse_of = group_leaders(leaders, weights, max(1, round(total * lone / SPARSE)))
-    return Plan(keys, leaders, block_of, sparse_of, crowds, _planes(leaders, np.sin(angle / 2)), float(np.cos(np.arccos(COVER) + angle)))
+    held = np.bincount(block_of, weights, minlength=n)
+    for c, crowd in crowds.items():
+        held[crowd.first : crowd.first + crowd.parts] = weights[c] / crowd.parts
+    middle = (np.cumsum(held) - held / 2) / max(1e-9, held.sum())
+    bucket_of = np.minimum((middle * buckets).astype(np.int32), buckets - 1)
+    return Plan(keys, leaders, block_of, sparse_of, crowds, _planes(leaders, np.sin(angle / 2)), float(np.cos(np.arccos(COVER) + angle)), n, bucket_of)
 
 
 def _block(x: np.ndarray, leader: np.ndarray, plan: Plan) -> np.ndarray:
@@ -233,8 +240,12 @@ def _crowd_guests(x: np.ndarray, best: np.ndarray, home: np.ndarray, plan: Plan)
                 yield rows, home[rows], hall, False
 
 
-def place(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBatch]:
-    """Sends each usable vector to its block and to those it is a guest in, uncovered ones also to two sparse blocks (numbered below 0)."""
+def place(batches: Iterator[pa.RecordBatch], plan: Plan, tasks: int) -> Iterator[pa.RecordBatch]:
+    """Sends each usable vector to its block and to those it is a guest in, uncovered ones also to two sparse blocks (numbered below 0).
+
+    Blocks and their halls go to tasks in turn.
+    """
+    ids = plan.blocks + int(plan.sparse_of.max()) + 1
     leaders = plan.leaders
     for b in batches:
         rows, x = usable(b.column(1))
@@ -260,10 +271,8 @@ def place(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBa
             src, dst = np.concatenate([v[0] for v in sent]), np.concatenate([v[1] for v in sent]).astype(np.int32)
             n = [len(v[0]) for v in sent]
             hall, guest = np.repeat(np.array([v[2] for v in sent], np.int32), n), np.repeat([v[3] for v in sent], n)
-            yield pa.record_batch(
-                [pa.array(dst), pa.array(hall), pa.array(guest), pa.array(home[src].astype(np.int32)), pa.array(keys[at : at + 2048][src]), pack(part[src])],
-                names=["block", "hall", "guest", "home", "key", "vec"],
-            )
+            to = (np.where(dst < 0, plan.blocks - 1 - dst, dst) + hall * np.int64(ids)) % tasks
+            yield from scatter(MEMBER, to, {"block": dst, "hall": hall, "guest": guest, "home": home[src].astype(np.int32), "key": keys[at : at + 2048][src], "vec": part[src]})
 
 
 def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -276,9 +285,8 @@ def _edges(node: np.ndarray, nbr: np.ndarray, sim: np.ndarray) -> list[pa.Array]
     return [pa.array(node.astype(np.int64)), pa.array(nbr.astype(np.int64)), pa.array(sim.astype(np.float64))]
 
 
-def _first(node: np.ndarray, home: np.ndarray, nbr: np.ndarray, nbr_home: np.ndarray, sim: np.ndarray) -> pa.RecordBatch:
-    n, m, v = _edges(node, nbr, sim)
-    return pa.record_batch([n, pa.array(home.astype(np.int32)), m, pa.array(nbr_home.astype(np.int32)), v], names=["node", "home", "nbr", "nbr_home", "sim"])
+def _first(node: np.ndarray, home: np.ndarray, nbr: np.ndarray, nbr_home: np.ndarray, sim: np.ndarray) -> Columns:
+    return {"node": node.astype(np.int64), "home": home.astype(np.int32), "nbr": nbr.astype(np.int64), "nbr_home": nbr_home.astype(np.int32), "sim": sim.astype(np.float64)}
 
 
 def _nearest(q_keys: np.ndarray, q: np.ndarray, keys: np.ndarray, x: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -296,7 +304,7 @@ def _nearest(q_keys: np.ndarray, q: np.ndarray, keys: np.ndarray, x: np.ndarray,
         yield row + at, col
 
 
-def _compare(key: np.ndarray, home: np.ndarray, x: np.ndarray, guest: np.ndarray, hall: int, k: int, plan: Plan) -> Iterator[pa.RecordBatch]:
+def _compare(key: np.ndarray, home: np.ndarray, x: np.ndarray, guest: np.ndarray, hall: int, k: int, plan: Plan) -> Iterator[Columns]:
     """The best ``k`` of every member of one block (rows in order of key) and of its guests among the members, and of members among guests.
 
     A member also gets edges to those leaders of other blocks that are nearer than its ``k``-th in the block.
@@ -323,15 +331,14 @@ def _compare(key: np.ndarray, home: np.ndarray, x: np.ndarray, guest: np.ndarray
         for r, c in _nearest(key[q], x[q], key[to], x[to], LOOSE * k):
             a, b = q[r], to[c]
             sim = exact(x[a], x[b])
-            rank = np.arange(len(r)) - np.searchsorted(r, r)
-            keep = (rank < k) | (sim < COVER)
+            keep = _within(r, sim, k)
             a, b, sim, r = a[keep], b[keep], sim[keep], r[keep]
             yield _first(key[a], home[a], key[b], home[b], sim)
             if q is to:
                 yield _leads(q[np.unique(r)], a, sim, key, home, x, k, plan)
 
 
-def _leads(rows: np.ndarray, node: np.ndarray, sim: np.ndarray, key: np.ndarray, home: np.ndarray, x: np.ndarray, k: int, plan: Plan) -> pa.RecordBatch:
+def _leads(rows: np.ndarray, node: np.ndarray, sim: np.ndarray, key: np.ndarray, home: np.ndarray, x: np.ndarray, k: int, plan: Plan) -> Columns:
     """Edges from ``rows`` to the at most ``k`` nearest leaders elsewhere that beat the worst of a row's edges ``(node, sim)``."""
     worst = np.full(len(key), 2.0)
     np.minimum.at(worst, node, sim)
@@ -344,33 +351,35 @@ def _leads(rows: np.ndarray, node: np.ndarray, sim: np.ndarray, key: np.ndarray,
     return _first(key[rows[r]], home[rows[r]], plan.keys[c], lead_home[c], exact(x[rows[r]], plan.leaders[c]))
 
 
+def _within(node: np.ndarray, sim: np.ndarray, k: int) -> np.ndarray:
+    """Of edges in order of node and nearness, each node's first ``k``; LOOSE times as many if the ``k``-th is further than COVER."""
+    start = np.searchsorted(node, node)
+    rank = np.arange(len(node)) - start
+    last = np.minimum(start + k - 1, len(node) - 1) if len(node) else start
+    far = (node[last] == node) & (sim[last] < COVER)
+    return (rank < k) | (far & (rank < LOOSE * k))
+
+
 def compare_blocks(batches: Iterator[pa.RecordBatch], k: int, plan: Plan) -> Iterator[pa.RecordBatch]:
-    """Edges of the first graph, from rows that come sorted by ``block, hall``; one block is held at a time."""
-    for t in _groups(batches, ["block", "hall"]):
-        key, guest = np.asarray(t.column("key")), t.column("guest").to_numpy()
-        order = np.lexsort((guest, key))
-        order = order[np.concatenate([[True], np.diff(key[order]) != 0])]  # members before guests, redeliveries once
-        yield from _compare(key[order], np.asarray(t.column("home"))[order], unpack(t.column("vec"))[order], guest[order], t.column("hall")[0].as_py(), k, plan)
-
-
-def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
-    """The tables of equal ``names`` of a sorted stream; only the group that is being read is held."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for b in batches:
-        if not b.num_rows:
-            continue
-        cols = [np.asarray(b.column(n)) for n in names]
-        cuts = [0, *(np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1).tolist(), b.num_rows]
-        for s, e in zip(cuts, cuts[1:]):
-            this = tuple(c[s] for c in cols)
-            if held and this != last:
-                yield pa.Table.from_batches(held).combine_chunks()
-                held = []
-            held.append(b.slice(s, e - s))
-            last = this
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks()
+    """Edges of the first graph, sent to the bucket of their node, and the members' vectors in fixed point."""
+    for _, kinds in gathered(batches):
+        rows = joined(kinds[MEMBER])
+        order = np.lexsort((rows["guest"], rows["key"], rows["hall"], rows["block"]))
+        block, hall, key = (rows[c][order] for c in ("block", "hall", "key"))
+        new = np.concatenate([[True], (np.diff(block) != 0) | (np.diff(hall) != 0)])
+        order = order[new | np.concatenate([[True], np.diff(key) != 0])]  # members before guests, redeliveries once
+        block, hall = rows["block"][order], rows["hall"][order]
+        cuts = np.flatnonzero(np.concatenate([[True], (np.diff(block) != 0) | (np.diff(hall) != 0)]))
+        for s, e in zip(cuts, [*cuts[1:], len(order)]):
+            part = picked(rows, order[s:e])
+            found = [f for f in _compare(part["key"], part["home"], part["vec"], part["guest"], int(hall[s]), k, plan) if len(f["node"])]
+            if found:
+                edges = joined(found)
+                flags = {"fresh": edges["home"] != edges["nbr_home"], "rough": np.zeros(len(edges["node"]), bool)}
+                yield from scatter(EDGE, plan.bucket_of[edges["home"]], edges | flags)
+            if block[s] >= 0 and hall[s] == 0:
+                own = picked(part, ~part["guest"])
+                yield from scatter(VECTOR, plan.bucket_of[own["home"]], {"node": own["key"], "home": own["home"], "vec": to_fixed(own["vec"])})
 
 
 def to_fixed(x: np.ndarray) -> np.ndarray:
@@ -382,111 +391,149 @@ def to_fixed(x: np.ndarray) -> np.ndarray:
     return out
 
 
-def from_fixed(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    raw = unpack(column, (DIM + 2) // 2).view(np.int16).reshape(-1, DIM + 2)
+def from_fixed(raw: np.ndarray) -> np.ndarray:
     scale = np.ascontiguousarray(raw[:, :2]).view(np.float32)
     return raw[:, 2:].astype(np.float32) * (scale / 32767)
 
 
-def fixed_rows(df: DataFrame, key: str, embedding: str) -> DataFrame:
-    """``(key, vec)``: usable vectors in fixed point; a key may come more than once."""
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows, x = usable(b.column(1))
-            yield pa.record_batch([b.column(0).take(pa.array(rows)), pack(to_fixed(x))], names=["key", "vec"])
-
-    return df.where(F.col(key).isNotNull()).select(key, embedding).mapInArrow(read, "key long, vec binary")
-
-
-def list_neighbours(graph: DataFrame, parts: int, places: int, seed: int) -> DataFrame:
-    """``(place, node, to, to_home, fresh)``: of each node that a fresh edge leads from or to, itself, its neighbours and at most WIDE
-    nodes it is a neighbour of (fresh ones first, then in an order without meaning), as arrays."""
-    back = graph.select(F.col("nbr").alias("node"), F.col("nbr_home").alias("home"), F.col("node").alias("to"), F.col("home").alias("to_home"), "fresh")
-    few = W.partitionBy("node").orderBy(F.desc("fresh"), F.xxhash64("node", "to", F.lit(seed)))
-    back = back.withColumn("r", F.row_number().over(few)).where(F.col("r") <= WIDE).drop("r")  # a window group limit keeps WIDE rows a task
-    both = graph.select("node", "home", F.col("nbr").alias("to"), F.col("nbr_home").alias("to_home"), "fresh").unionByName(back)
-    lists = both.repartition(parts, "node").groupBy("node", "home").agg(*[F.collect_list(c).alias(c) for c in ("to", "to_home", "fresh")])
-    place = F.xxhash64("home", F.pmod(F.xxhash64("node"), F.lit(places)))
-    own = {"to": F.array_append("to", F.col("node")), "to_home": F.array_append("to_home", F.col("home")), "fresh": F.array_append("fresh", F.lit(False))}
-    return lists.where(F.array_contains("fresh", True)).withColumns(own).select(place.alias("place"), "node", *own)
-
-
-def join_lists(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """Compares the entries of each list with each other; rows come sorted by ``place``. Puts out what may be among a node's best."""
-    for t in _groups(batches, ["place"]):
-        is_vec = t.column("vec").is_valid()
-        there, lists = t.filter(is_vec), t.filter(t.column("to").is_valid())
-        keys, first = np.unique(np.asarray(there.column("node")), return_index=True)
-        if len(keys) < 2 or not lists.num_rows:
+def settle(batches: Iterator[pa.RecordBatch], plan: Plan, k: int) -> Iterator[pa.RecordBatch]:
+    """Keeps the best edges of each node of a bucket (``_within``) out of those it had and those found, and tells other buckets of the
+    fresh edges that lead to them. Of an edge that was there and is found again, the old one stays. Vectors pass through."""
+    for bucket, kinds in gathered(batches):
+        if not kinds[STATE] + kinds[EDGE]:
+            continue
+        e = joined([s | {"fresh": np.zeros(len(s["node"]), bool)} for s in kinds[STATE]] + kinds[EDGE])
+        order = np.lexsort((e["rough"], e["fresh"], e["nbr"], e["node"]))
+        node, nbr = e["node"][order], e["nbr"][order]
+        e = picked(e, order[np.concatenate([[True], (np.diff(node) != 0) | (np.diff(nbr) != 0)])])
+        e = picked(e, np.lexsort((e["nbr"], -e["sim"], e["node"])))
+        e = picked(e, _within(e["node"], e["sim"], k))
+        yield row(bucket, STATE, e, int(e["fresh"].sum()), len(e["node"]))
+        to = plan.bucket_of[e["nbr_home"]]
+        out = np.flatnonzero((to != bucket) & e["fresh"])
+        yield from scatter(BACK, to[out], {"node": e["nbr"][out], "home": e["nbr_home"][out], "to": e["node"][out], "to_home": e["home"][out]})
+        for v in kinds[VECTOR]:
+            yield row(bucket, VECTOR, v)
+
+
+def list_neighbours(batches: Iterator[pa.RecordBatch], plan: Plan, seed: int) -> Iterator[pa.RecordBatch]:
+    """The list of each node of a bucket that a fresh edge leads from or to: itself, its neighbours and at most WIDE nodes that it is a
+    neighbour of (fresh ones first, the others in an order without meaning). Asks the buckets of all nodes named for their vectors."""
+    for bucket, kinds in gathered(batches):
+        parts = []
+        for e in kinds[STATE]:
+            own = plan.bucket_of[e["nbr_home"]] == bucket
+            parts.append({"at": e["node"], "home": e["home"], "to": e["nbr"], "to_home": e["nbr_home"], "fresh": e["fresh"], "back": np.zeros(len(own), bool)})
+            parts.append({"at": e["nbr"][own], "home": e["nbr_home"][own], "to": e["node"][own], "to_home": e["home"][own], "fresh": e["fresh"][own], "back": np.ones(own.sum(), bool)})
+        for r in kinds[BACK]:
+            yes = np.ones(len(r["to"]), bool)
+            parts.append({"at": r["node"], "home": r["home"], "to": r["to"], "to_home": r["to_home"], "fresh": yes, "back": yes})
+        if not parts:
+            continue
+        e = joined(parts)
+        active = np.unique(e["at"][e["fresh"]])
+        if not len(active):
+            continue
+        e = picked(e, active[np.minimum(np.searchsorted(active, e["at"]), len(active) - 1)] == e["at"])
+        mixed = (e["to"] * 2654435761 + e["at"] * 40503 + seed * 97) * 2246822519 % 1000003
+        e = picked(e, np.lexsort((mixed, ~e["fresh"], e["back"], e["at"])))
+        name = e["at"] * 2 + e["back"]
+        e = picked(e, ~e["back"] | (np.arange(len(name)) - np.searchsorted(name, name) < WIDE))
+        _, first = np.unique(e["at"], return_index=True)
+        me = {"at": e["at"][first], "to": e["at"][first], "to_home": e["home"][first], "fresh": np.zeros(len(first), bool)}
+        e = joined([{c: e[c] for c in me}, me])
+        order = np.lexsort((~e["fresh"], e["to"], e["at"]))
+        e = picked(e, order[np.concatenate([[True], (np.diff(e["at"][order]) != 0) | (np.diff(e["to"][order]) != 0)])])
+        yield row(bucket, LIST, {c: e[c] for c in ("at", "to", "fresh")})
+        named, first = np.unique(e["to"], return_index=True)
+        yield from scatter(ASK, plan.bucket_of[e["to_home"][first]], {"node": named, "asker": np.full(len(named), bucket, np.int32)})
+
+
+def answer(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Sends vectors to the buckets that ask for them, each with the similarity that a better edge of it has to exceed."""
+    for _, kinds in gathered(batches):
+        if not kinds[ASK] or not kinds[VECTOR]:
             continue
-        x, bound = from_fixed(there.column("vec"))[first], np.asarray(there.column("bound"))[first]
-        to = lists.column("to").combine_chunks()
-        at = np.repeat(np.arange(lists.num_rows), np.asarray(to.value_lengths()))
-        ids, to_home, fresh = (lists.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("to", "to_home", "fresh"))
-        pos = np.minimum(np.searchsorted(keys, ids), len(keys) - 1)
-        known = keys[pos] == ids
-        home = np.full(len(keys), -1, np.int32)
-        home[pos[known]] = to_home[known]
-        yield from _local_join(at[known], pos[known], fresh[known].astype(bool), lists.num_rows, keys, home, x, bound, width)
-
-
-def _local_join(at: np.ndarray, pos: np.ndarray, fresh: np.ndarray, n: int, keys: np.ndarray, home: np.ndarray, x: np.ndarray, bound: np.ndarray, width: int, chunk: int = 512) -> Iterator[pa.RecordBatch]:
-    order = np.argsort(at, kind="stable")
-    at, pos, fresh = at[order], pos[order], fresh[order]
-    begin = np.searchsorted(at, np.arange(n + 1))
-    most = int(np.diff(begin).max())
-    a_all, b_all, s_all = [], [], []
-    for lo in range(0, n, chunk):
-        hi = min(n, lo + chunk)
-        rows = slice(begin[lo], begin[hi])
-        slot = np.arange(begin[lo], begin[hi]) - begin[at[rows]]
-        grid = np.full((hi - lo, most), -1, np.int64)
-        new = np.zeros((hi - lo, most), bool)
-        grid[at[rows] - lo, slot], new[at[rows] - lo, slot] = pos[rows], fresh[rows]
+        v = joined(kinds[VECTOR])
+        nodes, first = np.unique(v["node"], return_index=True)
+        n, worst = np.zeros(len(nodes), np.int64), np.full(len(nodes), 2.0)
+        for e in kinds[STATE]:
+            at = np.searchsorted(nodes, e["node"])
+            np.add.at(n, at, 1)
+            np.minimum.at(worst, at, e["sim"])
+        full = (n >= LOOSE * k) | ((n == k) & (worst >= COVER))
+        bound = np.where(full, worst, -2).astype(np.float32)
+        for ask in kinds[ASK]:
+            pos = np.minimum(np.searchsorted(nodes, ask["node"]), len(nodes) - 1)
+            pos = pos[nodes[pos] == ask["node"]]
+            yield row(int(ask["asker"][0]), ANSWER, {"node": nodes[pos], "home": v["home"][first[pos]], "vec": v["vec"][first[pos]], "bound": bound[pos]})
+
+
+def join_lists(batches: Iterator[pa.RecordBatch], plan: Plan, k: int) -> Iterator[pa.RecordBatch]:
+    """Compares the entries of each list with each other. Puts out what may be among a node's best, to the bucket of that node."""
+    for _, kinds in gathered(batches):
+        if not kinds[LIST] or not kinds[ANSWER]:
+            continue
+        there, e = joined(kinds[ANSWER]), joined(kinds[LIST])
+        there = picked(there, np.argsort(there["node"]))
+        pos = np.minimum(np.searchsorted(there["node"], e["to"]), len(there["node"]) - 1)
+        known = there["node"][pos] == e["to"]
+        at = np.unique(e["at"][known], return_inverse=True)[1]
+        a, b, s = _local_join(at, pos[known], e["fresh"][known], from_fixed(there["vec"]), there["node"], there["bound"], LOOSE * k)
+        flags = {"fresh": np.ones(len(a), bool), "rough": np.ones(len(a), bool)}
+        yield from scatter(EDGE, plan.bucket_of[there["home"][a]], _first(there["node"][a], there["home"][a], there["node"][b], there["home"][b], s) | flags)
+
+
+def _local_join(at: np.ndarray, pos: np.ndarray, fresh: np.ndarray, x: np.ndarray, keys: np.ndarray, bound: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(a, b, similarity)`` of pairs of one list, at least one of them fresh, that exceed the bound of ``a``: at most ``most`` for each ``a``.
+
+    ``at`` numbers the lists in ascending order; ``pos`` are rows of ``x``. Lists of about equal length are compared together.
+    """
+    count = np.bincount(at)
+    begin = np.cumsum(count) - count
+    by_size = np.argsort(count, kind="stable")
+    x = np.concatenate([x, np.zeros((1, x.shape[1]), np.float32)])
+    limit = np.append(bound, np.float32(2))
+    out: list[list[np.ndarray]] = [[], [], []]
+    lo = 0
+    while lo < len(by_size):
+        wide = int(count[by_size[lo]])
+        hi = lo + 1
+        while hi < len(by_size) and hi - lo < 2048 and count[by_size[hi]] <= wide + 8:
+            hi += 1
+        hi = min(hi, lo + max(1, (1 << 22) // (int(count[by_size[hi - 1]]) ** 2)))
+        lists = by_size[lo:hi]
+        width = int(count[lists[-1]])
+        slot = np.arange(width)[None, :]
+        where = np.minimum(begin[lists][:, None] + slot, len(pos) - 1)
+        real = slot < count[lists][:, None]
+        grid, new = np.where(real, pos[where], len(bound)), fresh[where] & real
         v = x[grid]
         s = v @ v.transpose(0, 2, 1)
-        ok = (grid >= 0)[:, :, None] & (grid >= 0)[:, None, :] & (new[:, :, None] | new[:, None, :]) & (s > np.where(grid >= 0, bound[grid], 2)[:, :, None]) & (grid[:, :, None] != grid[:, None, :])
+        s[:, np.arange(width), np.arange(width)] = -2
+        ok = s > limit[grid][:, :, None]
+        ok &= new[:, :, None] | new[:, None, :]
         r, i, j = np.nonzero(ok)
-        a_all.append(grid[r, i])
-        b_all.append(grid[r, j])
-        s_all.append(s[r, i, j])
-    a, b, s = np.concatenate(a_all), np.concatenate(b_all), np.concatenate(s_all)
-    _, one = np.unique(a * len(keys) + b, return_index=True)
+        a, b = grid[r, i], grid[r, j]
+        keep = b < len(bound)
+        out[0].append(a[keep])
+        out[1].append(b[keep])
+        out[2].append(s[r, i, j][keep])
+        lo = hi
+    a, b, s = (np.concatenate(v) for v in out)
+    _, one = np.unique(a * len(bound) + b, return_index=True)
+    one = one[np.lexsort((keys[b[one]], -s[one], a[one]))]
     a, b, s = a[one], b[one], s[one]
-    order = np.lexsort((keys[b], -s, a))
-    a, b, s = a[order], b[order], s[order]
-    start = np.searchsorted(a, a)
-    keep = np.arange(len(a)) - start < width
-    a, b, s = a[keep], b[keep], s[keep]
-    yield _first(keys[a], home[a], keys[b], home[b], s)
-
-
-def descend(graph: DataFrame, vectors: DataFrame, parts: int, places: int, width: int, seed: int) -> DataFrame:
-    """One round: candidates ``FIRST`` from comparing what the graph's lists name, each above the worst edge of its node."""
-    lists = cut(list_neighbours(graph, parts, places, seed))
-    n = F.count(F.lit(1))
-    bound = graph.groupBy("node").agg(F.when((n >= LOOSE * width) | ((n == width) & (F.min("sim") >= COVER)), F.min("sim")).otherwise(-2.0).cast("float").alias("bound"))
-    need = lists.select("place", F.explode("to").alias("node")).distinct()
-    sent = need.join(vectors.join(bound, "node"), "node")
-    rows = lists.unionByName(sent, allowMissingColumns=True).select(*[c.split()[0] for c in SENT.split(", ")])
-    out = cut(rows.repartition(parts, "place").sortWithinPartitions("place").mapInArrow(lambda it: join_lists(it, LOOSE * width), FIRST))
-    discard(lists)
-    return out
+    keep = np.arange(len(a)) - np.searchsorted(a, a) < most
+    return a[keep], b[keep], s[keep]
 
 
-def nearest_edges(edges: DataFrame, width: int) -> DataFrame:
-    """Of distinct edges, partitioned by node, each node's best ``width``; LOOSE times as many if the last of those is no nearer than COVER."""
-    order = W.partitionBy("node").orderBy(F.desc("sim"), "nbr")
-    few = edges.withColumn("r", F.row_number().over(order)).where(F.col("r") <= LOOSE * width)
-    return few.withColumn("last", F.nth_value("sim", width).over(order)).where((F.col("r") <= width) | (F.col("last") < COVER)).drop("r", "last")
-
-
-def merge(graph: DataFrame, found: DataFrame, parts: int, width: int) -> DataFrame:
-    """The best ``width`` edges of each node out of the graph and the candidates; of an edge that both have, the graph's stays."""
-    both = graph.withColumn("fresh", F.lit(False)).unionByName(found.withColumns({"fresh": F.lit(True), "rough": F.lit(True)}))
-    one = both.repartition(parts, "node").groupBy("node", "nbr").agg(F.min_by(F.struct("home", "nbr_home", "sim", "rough"), "fresh").alias("e"), F.min("fresh").alias("fresh"))
-    return nearest_edges(one.select("node", "e.home", "nbr", "e.nbr_home", "e.sim", "e.rough", "fresh"), width)
+def read_edges(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for body in b.column("body"):
+            e = decode(memoryview(body.as_buffer()))
+            e = picked(e, e["sim"] >= least)
+            yield pa.record_batch([*_edges(e["node"], e["nbr"], e["sim"]), pa.array(e["rough"])], names=["node", "nbr", "sim", "rough"])
 
 
 def without_mass_copies(rows: DataFrame, key: str, embedding: str, k: int) -> tuple[DataFrame, DataFrame | None]:
@@ -508,36 +555,40 @@ def without_mass_copies(rows: DataFrame, key: str, embedding: str, k: int) -> tu
     return marked.join(rest.select(F.col("key").alias(key)), key, "left_anti").select(key, embedding), edges
 
 
-def descent_graph(df: DataFrame, key: str = "cell_key", embedding: str = "embedding", k: int = 10, rounds: int = 6, least: float = -1.0) -> tuple[DataFrame, DataFrame | None]:
-    """``(graph, copies)``: the best ``k + 2`` edges found for every node, and the edges of mass copies.
+def descent_graph(df: DataFrame, key: str = "cell_key", embedding: str = "embedding", k: int = 10, rounds: int = 8, least: float = -1.0) -> DataFrame:
+    """``(node, nbr, sim, rough)``: the best ``k + 2`` edges found for every node and the edges of mass copies.
 
-    ``graph`` has ``node, home, nbr, nbr_home, sim, rough, fresh``; ``sim`` of a rough edge is in fixed point, and the two
-    edges beyond ``k`` are room for its error. ``least`` says below which similarity a crowd's edges need not be complete.
+    ``sim`` of a rough edge is in fixed point, and the two edges beyond ``k`` are room for its error. Edges below ``least`` are
+    not put out; a crowd's edges below ``least`` need not be complete.
     """
     spark, width = df.sparkSession, k + 2
     rows, copies = without_mass_copies(df.select(key, embedding), key, embedding, width)
     names, sample = sample_vectors(rows, key, embedding)
     at, leaders, weights = choose_leaders(sample)
     total = rows.count()
-    plan = plan_blocks(sample, names[at] if len(names) else at, leaders, weights, total, least)
+    buckets = max(partitions(spark), -(-total // BUCKET))
+    plan = plan_blocks(sample, names[at] if len(names) else at, leaders, weights, total, least, buckets)
     shared = spark.sparkContext.broadcast(plan)  # at most SAMPLE vectors
-    n_parts = max(partitions(spark), -(-total // (8 * BLOCK)))
-    placed = rows.where(F.col(key).isNotNull()).mapInArrow(lambda it: place(it, shared.value), PLACED)
-    first = placed.repartition(n_parts, "block", "hall").sortWithinPartitions("block", "hall").mapInArrow(lambda it: compare_blocks(it, width, shared.value), FIRST)
-    one = nearest_edges(first.repartition(n_parts, "node").dropDuplicates(["node", "nbr"]), width)
-    graph = cut(one.withColumns({"rough": F.lit(False), "fresh": F.col("home") != F.col("nbr_home")}))
-    vectors = fixed_rows(rows, key, embedding).withColumnRenamed("key", "node")
-    most = graph.groupBy("home").agg(F.count_distinct("node").alias("n")).agg(F.max("n")).first()[0] if rounds else None
-    places = max(1, -(-(most or 0) // PLACE))  # into which the nodes of one block are spread
+    tasks = max(buckets, plan.blocks + int(plan.sparse_of.max()) + 1)
+    placed = rows.where(F.col(key).isNotNull()).mapInArrow(lambda it: place(it, shared.value, tasks), ROW)
+    first = to_buckets(placed, tasks).mapInArrow(lambda it: compare_blocks(it, width, shared.value), ROW)
+    graph = started = cut(to_buckets(first, buckets).mapInArrow(lambda it: settle(it, shared.value, width), ROW))
+    vectors = started.where(F.col("kind") == VECTOR)
     for seed in range(rounds):
-        found = descend(graph, vectors, n_parts, places, width, seed)
-        step = cut(merge(graph, found, n_parts, width))
-        discard(graph, found)
-        graph = step
-        new, edges = graph.agg(F.count_if("fresh"), F.count(F.lit(1))).first()
-        if new <= UPDATES * edges:
+        fresh, edges = graph.where(F.col("kind") == STATE).agg(F.sum("fresh"), F.sum("total")).first()
+        if (fresh or 0) <= UPDATES * (edges or 0) and seed or not fresh:
             break
-    return graph, copies
+        state = graph.where(F.col("kind") == STATE)
+        lists = cut(to_buckets(graph.where(F.col("kind").isin(STATE, BACK)), buckets).mapInArrow(lambda it, seed=seed: list_neighbours(it, shared.value, seed), ROW))
+        asked = lists.where(F.col("kind") == ASK).unionByName(vectors).unionByName(state)
+        answers = to_buckets(asked, buckets).mapInArrow(lambda it: answer(it, width), ROW)
+        found = to_buckets(lists.where(F.col("kind") == LIST).unionByName(answers), buckets).mapInArrow(lambda it: join_lists(it, shared.value, width), ROW)
+        step = cut(to_buckets(state.unionByName(found), buckets).mapInArrow(lambda it: settle(it, shared.value, width), ROW))
+        discard(lists, None if graph is started else graph)
+        graph = step
+    out = cut(graph.where(F.col("kind") == STATE).select("body").mapInArrow(lambda it: read_edges(it, least - 1e-4), EDGES + ", rough boolean"))
+    discard(started, graph)
+    return out if copies is None else out.unionByName(copies.withColumn("rough", F.lit(False)))
 
 
 def rescored(edges: DataFrame, df: DataFrame, key: str, embedding: str) -> DataFrame:
@@ -554,21 +605,17 @@ def best(edges: DataFrame, k: int) -> DataFrame:
     return edges.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def knn_graph(df: DataFrame, key: str = "cell_key", embedding: str = "embedding", k: int = 10, rounds: int = 6) -> DataFrame:
+def knn_graph(df: DataFrame, key: str = "cell_key", embedding: str = "embedding", k: int = 10, rounds: int = 8) -> DataFrame:
     """``(node, nbr, sim, rank)``: the approximate ``k`` nearest neighbours of every usable vector."""
-    graph, copies = descent_graph(df, key, embedding, k, rounds)
-    edges = rescored(graph, df, key, embedding)
-    return best(edges if copies is None else edges.unionByName(copies), k)
+    return best(rescored(descent_graph(df, key, embedding, k, rounds), df, key, embedding), k)
 
 
 def near_pairs(df: DataFrame, k: int = 10, least: float = 0.98, key: str = "cell_key", embedding: str = "embedding") -> DataFrame:
     """``(cell_key_a, cell_key_b)``: pairs with similarity of at least ``least`` of which one is among the other's best ``k``.
 
-    Edges below ``least`` rank behind all others, so only the rest of the graph is computed anew and ranked.
+    Edges below ``least`` rank behind all others, so only the rest of the graph is put out and ranked.
     """
-    graph, copies = descent_graph(df, key, embedding, k, least=least)
-    edges = rescored(graph.where(F.col("sim") >= least - 1e-4), df, key, embedding)
-    near = best(edges if copies is None else edges.unionByName(copies), k).where(F.col("sim") >= least)
+    near = best(rescored(descent_graph(df, key, embedding, k, least=least), df, key, embedding), k).where(F.col("sim") >= least)
     return near.select(F.least("node", "nbr").alias("cell_key_a"), F.greatest("node", "nbr").alias("cell_key_b")).distinct()
 
 
@@ -650,13 +697,10 @@ def graph_search(df: DataFrame, queries: DataFrame, k: int = 10, beam: int = 32,
     WIDE of the nodes that it is a neighbour of.
     """
     spark = df.sparkSession
-    graph, copies = descent_graph(df, key, embedding, k)
-    edges = graph.select("node", "nbr", "sim")
-    edges = edges if copies is None else edges.unionByName(copies)
+    edges = descent_graph(df, key, embedding, k).select("node", "nbr", "sim")
     few = W.partitionBy("at").orderBy(F.desc("sim"), "to")
     back = edges.select(F.col("nbr").alias("at"), F.col("node").alias("to"), "sim").withColumn("r", F.row_number().over(few)).where(F.col("r") <= WIDE)
     links = cut(edges.select(F.col("node").alias("at"), F.col("nbr").alias("to")).union(back.select("at", "to")).distinct())
-    discard(graph)
     vectors, asked = unit_rows(df, key, embedding), cut(unit_rows(queries, key, embedding))
     names, sample = sample_vectors(df.select(key, embedding), key, embedding)
     at = choose_leaders(sample)[0]

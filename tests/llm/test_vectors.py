@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from tessella.llm import grid_clusters, knn_graph
-from tessella.llm.vectors import pack, top_k
+from tessella.llm.vectors import top_k
 
 EMB = "cell_key long, slide_id string, embedding array<float>, vec binary, node long, grid long, home int"
 SLIDES = "slide_id string, slide_name string, alt_slide_id string"
@@ -55,7 +55,7 @@ def test_graph(spark):
 
 def test_fixed_point():
     x = make()[:40] / np.linalg.norm(make()[:40], axis=1, keepdims=True)
-    back = knn_graph.from_fixed(pack(knn_graph.to_fixed(x)))
+    back = knn_graph.from_fixed(knn_graph.to_fixed(x))
     assert np.abs(back @ back.T - x @ x.T).max() < 5e-5
 
 
