@@ -12,7 +12,7 @@ Rounds run on buckets of about BUCKET nodes whose blocks are alike; what moves i
 is three exchanges: buckets tell each other of the fresh edges that lead to their nodes and list each node's neighbours, with
 at most WIDE nodes that it is a neighbour of (WIDE bounds the work at hubs; an edge left out keeps its forward copy); they ask for
 the vectors that their lists name, each sent once to a bucket in 16-bit fixed point; they compare, and send what may be among
-a node's best to its bucket. No task holds more than a bucket: BUCKET lists of at most LOOSE * (k + 2) + WIDE entries. Similarities found in fixed point are computed anew from the
+a node's best to its bucket. Similarities below NEAR are held in single precision. No task holds more than a bucket: BUCKET lists of at most LOOSE * (k + 2) + WIDE entries. Similarities found in fixed point are computed anew from the
 full vectors before they are ranked or put out.
 
 Blocks: leaders are chosen greedily in a sample of at most SAMPLE vectors (taken by hash of the key), so that
@@ -56,7 +56,7 @@ from .vectors import DIM, pack, top_k, unpack, usable
 
 SAMPLE, BLOCK, UNIT, SPARSE, COPIES, HALL = 16384, 4096, 12288, 16384, 64, 4
 COVER, NEAR = 0.7, 0.98
-BUCKET, WIDE, LOOSE, UPDATES = 32768, 64, 3, 0.005
+BUCKET, WIDE, LOOSE, UPDATES = 32768, 64, 3, 0.01
 EDGES = "node long, nbr long, sim double"
 STATE, BACK, VECTOR, EDGE, LIST, ASK, ANSWER, MEMBER = range(8)
 
@@ -151,6 +151,7 @@ class Plan(NamedTuple):
     reach: float
     blocks: int
     bucket_of: np.ndarray
+    lead_home: np.ndarray
 
 
 def _planes(x: np.ndarray, sine: float) -> np.ndarray:
@@ -191,7 +192,10 @@ def plan_blocks(x: np.ndarray, keys: np.ndarray, leaders: np.ndarray, weights: n
         held[crowd.first : crowd.first + crowd.parts] = weights[c] / crowd.parts
     middle = (np.cumsum(held) - held / 2) / max(1e-9, held.sum())
     bucket_of = np.minimum((middle * buckets).astype(np.int32), buckets - 1)
-    return Plan(keys, leaders, block_of, sparse_of, crowds, _planes(leaders, np.sin(angle / 2)), float(np.cos(np.arccos(COVER) + angle)), n, bucket_of)
+    lead_home = block_of.copy()
+    for c, crowd in crowds.items():
+        lead_home[c] = crowd.first + crowd.part_of[(leaders[c] @ crowd.subs.T).argmax()]
+    return Plan(keys, leaders, block_of, sparse_of, crowds, _planes(leaders, np.sin(angle / 2)), float(np.cos(np.arccos(COVER) + angle)), n, bucket_of, lead_home)
 
 
 def _block(x: np.ndarray, leader: np.ndarray, plan: Plan) -> np.ndarray:
@@ -289,8 +293,8 @@ def _first(node: np.ndarray, home: np.ndarray, nbr: np.ndarray, nbr_home: np.nda
     return {"node": node.astype(np.int64), "home": home.astype(np.int32), "nbr": nbr.astype(np.int64), "nbr_home": nbr_home.astype(np.int32), "sim": sim.astype(np.float64)}
 
 
-def _nearest(q_keys: np.ndarray, q: np.ndarray, keys: np.ndarray, x: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """``(row, column)`` of the ``k`` rows of ``x`` nearest to each of ``q`` under another key, a chunk of rows at a time."""
+def _nearest(q_keys: np.ndarray, q: np.ndarray, keys: np.ndarray, x: np.ndarray, k: int, loose: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``(row, column, similarity)`` of the rows of ``x`` nearest to each of ``q`` under another key, as many as ``_within`` keeps (or more, if ``loose`` says that most are far), a chunk at a time."""
     m = x.T.copy()
     chunk = max(32, min(512, (1 << 25) // max(1, len(x))))
     order = np.argsort(keys, kind="stable")
@@ -300,11 +304,31 @@ def _nearest(q_keys: np.ndarray, q: np.ndarray, keys: np.ndarray, x: np.ndarray,
         pos = np.minimum(np.searchsorted(keys, own, sorter=order), len(keys) - 1)
         same = np.flatnonzero(keys[order[pos]] == own)
         s[same, order[pos[same]]] = -2
-        row, col, _ = top_k(s, keys, k)
-        yield row + at, col
-
-
-def _compare(key: np.ndarray, home: np.ndarray, x: np.ndarray, guest: np.ndarray, hall: int, k: int, plan: Plan) -> Iterator[Columns]:
+        row, col, val = top_k(s, keys, LOOSE * k if loose else k)
+        if loose:
+            yield row + at, col, val
+            continue
+        worst = np.full(len(s), -2.0, np.float32)
+        worst[row] = val  # the last of each row
+        far = np.flatnonzero((worst < COVER) & (np.bincount(row, minlength=len(s)) == k))
+        if len(far):
+            r, c, v = top_k(s[far], keys, LOOSE * k)
+            near = ~np.isin(row, far)
+            row, col, val = np.concatenate([row[near], far[r]]), np.concatenate([col[near], c]), np.concatenate([val[near], v])
+            by = np.argsort(row, kind="stable")
+            row, col, val = row[by], col[by], val[by]
+        yield row + at, col, val
+
+
+def _near_exact(x: np.ndarray, a: np.ndarray, b: np.ndarray, val: np.ndarray) -> np.ndarray:
+    """Similarities ``val`` of the rows ``a`` and ``b`` of ``x``; those about NEAR or more are computed anew in double precision."""
+    sim = val.astype(np.float64)
+    near = np.flatnonzero(val >= NEAR - 1e-3)
+    sim[near] = exact(x[a[near]], x[b[near]])
+    return sim
+
+
+def _compare(key: np.ndarray, home: np.ndarray, x: np.ndarray, guest: np.ndarray, hall: int, sparse: bool, k: int, plan: Plan) -> Iterator[Columns]:
     """The best ``k`` of every member of one block (rows in order of key) and of its guests among the members, and of members among guests.
 
     A member also gets edges to those leaders of other blocks that are nearer than its ``k``-th in the block.
@@ -328,11 +352,9 @@ def _compare(key: np.ndarray, home: np.ndarray, x: np.ndarray, guest: np.ndarray
     for q, to in ((rows, rows), (g, rows), (rows, g)):
         if q is to and hall:
             continue
-        for r, c in _nearest(key[q], x[q], key[to], x[to], LOOSE * k):
+        for r, c, val in _nearest(key[q], x[q], key[to], x[to], k, sparse):
             a, b = q[r], to[c]
-            sim = exact(x[a], x[b])
-            keep = _within(r, sim, k)
-            a, b, sim, r = a[keep], b[keep], sim[keep], r[keep]
+            sim = _near_exact(x, a, b, val)
             yield _first(key[a], home[a], key[b], home[b], sim)
             if q is to:
                 yield _leads(q[np.unique(r)], a, sim, key, home, x, k, plan)
@@ -345,10 +367,12 @@ def _leads(rows: np.ndarray, node: np.ndarray, sim: np.ndarray, key: np.ndarray,
     n = np.bincount(node, minlength=len(key))
     worst[(n < LOOSE * k) & ((n < k) | (worst < COVER))] = -2
     s = x[rows] @ plan.leaders.T
-    lead_home = _block(plan.leaders, np.arange(len(plan.leaders)), plan)
+    lead_home = plan.lead_home
     s[(s <= worst[rows][:, None]) | (lead_home[None, :] == home[rows][:, None]) | (plan.keys < 0)[None, :]] = -2
-    r, c, _ = top_k(s, plan.keys, LOOSE * k)
-    return _first(key[rows[r]], home[rows[r]], plan.keys[c], lead_home[c], exact(x[rows[r]], plan.leaders[c]))
+    r, c, val = top_k(s, plan.keys, LOOSE * k)
+    sim, near = val.astype(np.float64), val >= NEAR - 1e-3
+    sim[near] = exact(x[rows[r[near]]], plan.leaders[c[near]])
+    return _first(key[rows[r]], home[rows[r]], plan.keys[c], lead_home[c], sim)
 
 
 def _within(node: np.ndarray, sim: np.ndarray, k: int) -> np.ndarray:
@@ -372,7 +396,7 @@ def compare_blocks(batches: Iterator[pa.RecordBatch], k: int, plan: Plan) -> Ite
         cuts = np.flatnonzero(np.concatenate([[True], (np.diff(block) != 0) | (np.diff(hall) != 0)]))
         for s, e in zip(cuts, [*cuts[1:], len(order)]):
             part = picked(rows, order[s:e])
-            found = [f for f in _compare(part["key"], part["home"], part["vec"], part["guest"], int(hall[s]), k, plan) if len(f["node"])]
+            found = [f for f in _compare(part["key"], part["home"], part["vec"], part["guest"], int(hall[s]), bool(block[s] < 0), k, plan) if len(f["node"])]
             if found:
                 edges = joined(found)
                 flags = {"fresh": edges["home"] != edges["nbr_home"], "rough": np.zeros(len(edges["node"]), bool)}
@@ -402,12 +426,22 @@ def settle(batches: Iterator[pa.RecordBatch], plan: Plan, k: int) -> Iterator[pa
     for bucket, kinds in gathered(batches):
         if not kinds[STATE] + kinds[EDGE]:
             continue
-        e = joined([s | {"fresh": np.zeros(len(s["node"]), bool)} for s in kinds[STATE]] + kinds[EDGE])
-        order = np.lexsort((e["rough"], e["fresh"], e["nbr"], e["node"]))
-        node, nbr = e["node"][order], e["nbr"][order]
-        e = picked(e, order[np.concatenate([[True], (np.diff(node) != 0) | (np.diff(nbr) != 0)])])
-        e = picked(e, np.lexsort((e["nbr"], -e["sim"], e["node"])))
-        e = picked(e, _within(e["node"], e["sim"], k))
+        old = [s | {"fresh": np.zeros(len(s["node"]), bool)} for s in kinds[STATE]]
+        still = []
+        if kinds[EDGE]:
+            e = joined(kinds[EDGE])
+            touched = np.unique(e["node"])
+            for s in old:
+                at = touched[np.minimum(np.searchsorted(touched, s["node"]), len(touched) - 1)] == s["node"]
+                still.append(picked(s, ~at))
+                e = joined([picked(s, at), e])
+            order = np.lexsort((e["rough"], e["fresh"], e["nbr"], e["node"]))
+            node, nbr = e["node"][order], e["nbr"][order]
+            e = picked(e, order[np.concatenate([[True], (np.diff(node) != 0) | (np.diff(nbr) != 0)])])
+            e = picked(e, np.lexsort((e["nbr"], -e["sim"], e["node"])))
+            e = joined([*still, picked(e, _within(e["node"], e["sim"], k))])
+        else:
+            e = joined(old)
         yield row(bucket, STATE, e, int(e["fresh"].sum()), len(e["node"]))
         to = plan.bucket_of[e["nbr_home"]]
         out = np.flatnonzero((to != bucket) & e["fresh"])
@@ -572,22 +606,21 @@ def descent_graph(df: DataFrame, key: str = "cell_key", embedding: str = "embedd
     tasks = max(buckets, plan.blocks + int(plan.sparse_of.max()) + 1)
     placed = rows.where(F.col(key).isNotNull()).mapInArrow(lambda it: place(it, shared.value, tasks), ROW)
     first = to_buckets(placed, tasks).mapInArrow(lambda it: compare_blocks(it, width, shared.value), ROW)
-    graph = started = cut(to_buckets(first, buckets).mapInArrow(lambda it: settle(it, shared.value, width), ROW))
-    vectors = started.where(F.col("kind") == VECTOR)
+    graph = cut(to_buckets(first, buckets).mapInArrow(lambda it: settle(it, shared.value, width), ROW))
     for seed in range(rounds):
         fresh, edges = graph.where(F.col("kind") == STATE).agg(F.sum("fresh"), F.sum("total")).first()
         if (fresh or 0) <= UPDATES * (edges or 0) and seed or not fresh:
             break
-        state = graph.where(F.col("kind") == STATE)
+        state = graph.where(F.col("kind").isin(STATE, VECTOR))
         lists = cut(to_buckets(graph.where(F.col("kind").isin(STATE, BACK)), buckets).mapInArrow(lambda it, seed=seed: list_neighbours(it, shared.value, seed), ROW))
-        asked = lists.where(F.col("kind") == ASK).unionByName(vectors).unionByName(state)
+        asked = lists.where(F.col("kind") == ASK).unionByName(state)
         answers = to_buckets(asked, buckets).mapInArrow(lambda it: answer(it, width), ROW)
         found = to_buckets(lists.where(F.col("kind") == LIST).unionByName(answers), buckets).mapInArrow(lambda it: join_lists(it, shared.value, width), ROW)
         step = cut(to_buckets(state.unionByName(found), buckets).mapInArrow(lambda it: settle(it, shared.value, width), ROW))
-        discard(lists, None if graph is started else graph)
+        discard(lists, graph)
         graph = step
     out = cut(graph.where(F.col("kind") == STATE).select("body").mapInArrow(lambda it: read_edges(it, least - 1e-4), EDGES + ", rough boolean"))
-    discard(started, graph)
+    discard(graph)
     return out if copies is None else out.unionByName(copies.withColumn("rough", F.lit(False)))
 
 

@@ -64,7 +64,8 @@ def top_k(s: np.ndarray, keys: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarr
         bound = np.partition(peaks, groups - k, axis=1)[:, groups - k]
     else:
         bound = np.full(n, -1.5, s.dtype)
-    row, col = np.nonzero(s >= np.maximum(bound, -1.5)[:, None])
+    flat = np.flatnonzero(s >= np.maximum(bound, -1.5)[:, None])
+    row, col = np.divmod(flat, m)
     val = s[row, col]
     order = np.lexsort((keys[col], -np.round(val.astype(np.float64), 7), row))
     row, col, val = row[order], col[order], val[order]
