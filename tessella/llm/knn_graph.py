@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..session import cut, discard, partitions
+from ..session import cut, discard, discard_part, partitions
 from .columns import ROW, Columns, decode, gathered, joined, picked, row, scatter, to_buckets
 from .vectors import DIM, pack, top_k, unpack, usable
 
@@ -356,7 +356,7 @@ def _compare(key: np.ndarray, home: np.ndarray, x: np.ndarray, guest: np.ndarray
             a, b = q[r], to[c]
             sim = _near_exact(x, a, b, val)
             yield _first(key[a], home[a], key[b], home[b], sim)
-            if q is to:
+            if q is to and not sparse:
                 yield _leads(q[np.unique(r)], a, sim, key, home, x, k, plan)
 
 
@@ -385,7 +385,7 @@ def _within(node: np.ndarray, sim: np.ndarray, k: int) -> np.ndarray:
 
 
 def compare_blocks(batches: Iterator[pa.RecordBatch], k: int, plan: Plan) -> Iterator[pa.RecordBatch]:
-    """Edges of the first graph, sent to the bucket of their node, and the members' vectors in fixed point."""
+    """Edges of the first graph, sent to the bucket of their node."""
     for _, kinds in gathered(batches):
         rows = joined(kinds[MEMBER])
         order = np.lexsort((rows["guest"], rows["key"], rows["hall"], rows["block"]))
@@ -401,9 +401,15 @@ def compare_blocks(batches: Iterator[pa.RecordBatch], k: int, plan: Plan) -> Ite
                 edges = joined(found)
                 flags = {"fresh": edges["home"] != edges["nbr_home"], "rough": np.zeros(len(edges["node"]), bool)}
                 yield from scatter(EDGE, plan.bucket_of[edges["home"]], edges | flags)
-            if block[s] >= 0 and hall[s] == 0:
-                own = picked(part, ~part["guest"])
-                yield from scatter(VECTOR, plan.bucket_of[own["home"]], {"node": own["key"], "home": own["home"], "vec": to_fixed(own["vec"])})
+
+def vectors_at_home(batches: Iterator[pa.RecordBatch], plan: Plan) -> Iterator[pa.RecordBatch]:
+    """Sends each usable vector in fixed point to the bucket of its block."""
+    for b in batches:
+        rows, x = usable(b.column(1))
+        keys = np.asarray(b.column(0).take(pa.array(rows)))
+        best = np.concatenate([np.empty(0, np.int64), *[(x[at : at + 2048] @ plan.leaders.T).argmax(axis=1) for at in range(0, len(x), 2048)]]).astype(np.int64)
+        home = _block(x, best, plan).astype(np.int32)
+        yield from scatter(VECTOR, plan.bucket_of[home], {"node": keys, "home": home, "vec": to_fixed(x)})
 
 
 def to_fixed(x: np.ndarray) -> np.ndarray:
@@ -420,9 +426,30 @@ def from_fixed(raw: np.ndarray) -> np.ndarray:
     return raw[:, 2:].astype(np.float32) * (scale / 32767)
 
 
+def _once(node: np.ndarray, nbr: np.ndarray) -> np.ndarray:
+    """Positions of the first of every pair, found by a 64-bit mix of both keys; a pair kept twice by a clash of mixes does no harm."""
+    with np.errstate(over="ignore"):
+        mix = (node * np.int64(-7046029254386353131)) ^ (nbr * np.int64(-4417276706812531889) + (nbr >> 31))
+    order = np.argsort(mix)
+    new = np.concatenate([[True], (np.diff(node[order]) != 0) | (np.diff(nbr[order]) != 0)])
+    return np.minimum.reduceat(order, np.flatnonzero(new))
+
+
+def _by_nearness(node: np.ndarray, nbr: np.ndarray, sim: np.ndarray) -> np.ndarray:
+    """The order by node, similarity descending, neighbour."""
+    names = np.unique(node)
+    key = (np.searchsorted(names, node) << 32) | ((1.5 - sim) * (1 << 30)).astype(np.int64)
+    order = np.argsort(key)
+    same = np.diff(key[order]) == 0
+    tied = np.flatnonzero(np.concatenate([same, [False]]) | np.concatenate([[False], same]))
+    part = order[tied]
+    order[tied] = part[np.lexsort((nbr[part], -sim[part], key[part]))]
+    return order
+
+
 def settle(batches: Iterator[pa.RecordBatch], plan: Plan, k: int) -> Iterator[pa.RecordBatch]:
     """Keeps the best edges of each node of a bucket (``_within``) out of those it had and those found, and tells other buckets of the
-    fresh edges that lead to them. Of an edge that was there and is found again, the old one stays. Vectors pass through."""
+    fresh edges that lead to them. Of an edge that was there and is found again, the old one stays."""
     for bucket, kinds in gathered(batches):
         if not kinds[STATE] + kinds[EDGE]:
             continue
@@ -434,11 +461,9 @@ def settle(batches: Iterator[pa.RecordBatch], plan: Plan, k: int) -> Iterator[pa
             for s in old:
                 at = touched[np.minimum(np.searchsorted(touched, s["node"]), len(touched) - 1)] == s["node"]
                 still.append(picked(s, ~at))
-                e = joined([picked(s, at), e])
-            order = np.lexsort((e["rough"], e["fresh"], e["nbr"], e["node"]))
-            node, nbr = e["node"][order], e["nbr"][order]
-            e = picked(e, order[np.concatenate([[True], (np.diff(node) != 0) | (np.diff(nbr) != 0)])])
-            e = picked(e, np.lexsort((e["nbr"], -e["sim"], e["node"])))
+                e = joined([picked(s, at), e])  # what was there comes first
+            e = picked(e, _once(e["node"], e["nbr"]))
+            e = picked(e, _by_nearness(e["node"], e["nbr"], e["sim"]))
             e = joined([*still, picked(e, _within(e["node"], e["sim"], k))])
         else:
             e = joined(old)
@@ -446,29 +471,32 @@ def settle(batches: Iterator[pa.RecordBatch], plan: Plan, k: int) -> Iterator[pa
         to = plan.bucket_of[e["nbr_home"]]
         out = np.flatnonzero((to != bucket) & e["fresh"])
         yield from scatter(BACK, to[out], {"node": e["nbr"][out], "home": e["nbr_home"][out], "to": e["node"][out], "to_home": e["home"][out]})
-        for v in kinds[VECTOR]:
-            yield row(bucket, VECTOR, v)
 
 
 def list_neighbours(batches: Iterator[pa.RecordBatch], plan: Plan, seed: int) -> Iterator[pa.RecordBatch]:
     """The list of each node of a bucket that a fresh edge leads from or to: itself, its neighbours and at most WIDE nodes that it is a
     neighbour of (fresh ones first, the others in an order without meaning). Asks the buckets of all nodes named for their vectors."""
     for bucket, kinds in gathered(batches):
+        e = joined(kinds[STATE]) if kinds[STATE] else None
+        own = np.flatnonzero(plan.bucket_of[e["nbr_home"]] == bucket) if e else []
+        fresh = [e["node"][e["fresh"]], e["nbr"][own][e["fresh"][own]]] if e else []
+        active = np.unique(np.concatenate([np.empty(0, np.int64), *fresh, *[r["node"] for r in kinds[BACK]]]))
+        if not len(active):
+            continue
+
+        def taking_part(nodes: np.ndarray) -> np.ndarray:
+            return active[np.minimum(np.searchsorted(active, nodes), len(active) - 1)] == nodes
+
         parts = []
-        for e in kinds[STATE]:
-            own = plan.bucket_of[e["nbr_home"]] == bucket
-            parts.append({"at": e["node"], "home": e["home"], "to": e["nbr"], "to_home": e["nbr_home"], "fresh": e["fresh"], "back": np.zeros(len(own), bool)})
-            parts.append({"at": e["nbr"][own], "home": e["nbr_home"][own], "to": e["node"][own], "to_home": e["home"][own], "fresh": e["fresh"][own], "back": np.ones(own.sum(), bool)})
+        if e:
+            out = np.flatnonzero(taking_part(e["node"]))
+            own = own[taking_part(e["nbr"][own])]
+            parts.append({"at": e["node"][out], "home": e["home"][out], "to": e["nbr"][out], "to_home": e["nbr_home"][out], "fresh": e["fresh"][out], "back": np.zeros(len(out), bool)})
+            parts.append({"at": e["nbr"][own], "home": e["nbr_home"][own], "to": e["node"][own], "to_home": e["home"][own], "fresh": e["fresh"][own], "back": np.ones(len(own), bool)})
         for r in kinds[BACK]:
             yes = np.ones(len(r["to"]), bool)
             parts.append({"at": r["node"], "home": r["home"], "to": r["to"], "to_home": r["to_home"], "fresh": yes, "back": yes})
-        if not parts:
-            continue
         e = joined(parts)
-        active = np.unique(e["at"][e["fresh"]])
-        if not len(active):
-            continue
-        e = picked(e, active[np.minimum(np.searchsorted(active, e["at"]), len(active) - 1)] == e["at"])
         mixed = (e["to"] * 2654435761 + e["at"] * 40503 + seed * 97) * 2246822519 % 1000003
         e = picked(e, np.lexsort((mixed, ~e["fresh"], e["back"], e["at"])))
         name = e["at"] * 2 + e["back"]
@@ -606,21 +634,26 @@ def descent_graph(df: DataFrame, key: str = "cell_key", embedding: str = "embedd
     tasks = max(buckets, plan.blocks + int(plan.sparse_of.max()) + 1)
     placed = rows.where(F.col(key).isNotNull()).mapInArrow(lambda it: place(it, shared.value, tasks), ROW)
     first = to_buckets(placed, tasks).mapInArrow(lambda it: compare_blocks(it, width, shared.value), ROW)
-    graph = cut(to_buckets(first, buckets).mapInArrow(lambda it: settle(it, shared.value, width), ROW))
+    graph = cut(to_buckets(first, buckets).mapInArrow(lambda it: settle(it, shared.value, width), ROW), by="kind")
+    vectors = None
     for seed in range(rounds):
         fresh, edges = graph.where(F.col("kind") == STATE).agg(F.sum("fresh"), F.sum("total")).first()
         if (fresh or 0) <= UPDATES * (edges or 0) and seed or not fresh:
             break
-        state = graph.where(F.col("kind").isin(STATE, VECTOR))
-        lists = cut(to_buckets(graph.where(F.col("kind").isin(STATE, BACK)), buckets).mapInArrow(lambda it, seed=seed: list_neighbours(it, shared.value, seed), ROW))
-        asked = lists.where(F.col("kind") == ASK).unionByName(state)
+        if vectors is None:
+            at_home = rows.where(F.col(key).isNotNull()).mapInArrow(lambda it: vectors_at_home(it, shared.value), ROW)
+            vectors = cut(to_buckets(at_home, buckets))
+        state = graph.where(F.col("kind") == STATE)
+        lists = cut(to_buckets(graph.where(F.col("kind").isin(STATE, BACK)), buckets).mapInArrow(lambda it, seed=seed: list_neighbours(it, shared.value, seed), ROW), by="kind")
+        discard_part(graph, "kind", BACK)
+        asked = lists.where(F.col("kind") == ASK).unionByName(vectors).unionByName(state)
         answers = to_buckets(asked, buckets).mapInArrow(lambda it: answer(it, width), ROW)
         found = to_buckets(lists.where(F.col("kind") == LIST).unionByName(answers), buckets).mapInArrow(lambda it: join_lists(it, shared.value, width), ROW)
-        step = cut(to_buckets(state.unionByName(found), buckets).mapInArrow(lambda it: settle(it, shared.value, width), ROW))
+        step = cut(to_buckets(state.unionByName(found), buckets).mapInArrow(lambda it: settle(it, shared.value, width), ROW), by="kind")
         discard(lists, graph)
         graph = step
     out = cut(graph.where(F.col("kind") == STATE).select("body").mapInArrow(lambda it: read_edges(it, least - 1e-4), EDGES + ", rough boolean"))
-    discard(graph)
+    discard(graph, vectors)
     return out if copies is None else out.unionByName(copies.withColumn("rough", F.lit(False)))
 
 
