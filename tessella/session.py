@@ -63,15 +63,16 @@ def _own_shuffles(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, by: str | None = None) -> DataFrame:
     """Materialise ``df`` as a table in the shared folder and cut its lineage.
 
-    The table survives the loss of any executor. ``discard`` deletes it once it is no longer needed.
+    The table survives the loss of any executor. ``discard`` deletes it once it is no longer needed, ``discard_part`` what it holds
+    for one value of the column ``by``.
     """
     spark = df.sparkSession
     path = scratch(spark, "cut")
     with _own_shuffles(spark):
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", "zstd").partitionBy(*[by] if by else []).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._tessella_path = path
     return out
@@ -85,6 +86,10 @@ def discard(*frames: DataFrame | None) -> None:
             remove(df.sparkSession, path)
 
 
+def discard_part(df: DataFrame, by: str, value: int) -> None:
+    remove(df.sparkSession, f"{df._tessella_path}/{by}={value}")
+
+
 def remove(spark: SparkSession, path: str) -> None:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
