@@ -296,7 +296,7 @@ def _first(node: np.ndarray, home: np.ndarray, nbr: np.ndarray, nbr_home: np.nda
 def _nearest(q_keys: np.ndarray, q: np.ndarray, keys: np.ndarray, x: np.ndarray, k: int, loose: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """``(row, column, similarity)`` of the rows of ``x`` nearest to each of ``q`` under another key, as many as ``_within`` keeps (or more, if ``loose`` says that most are far), a chunk at a time."""
     m = x.T.copy()
-    chunk = max(32, min(512, (1 << 25) // max(1, len(x))))
+    chunk = max(32, min(512, (1 << 20) // max(1, len(x))))
     order = np.argsort(keys, kind="stable")
     for at in range(0, len(q) if len(x) else 0, chunk):
         own = q_keys[at : at + chunk]
