@@ -85,6 +85,7 @@ def clean_label(text: Column) -> Column:
 
 
 def error_label(message: Column) -> Column:
+    """The class of a cell whose model call failed; crops add those of tiles that are missing or cannot be read."""
     return F.when(F.lower(message).contains("rate"), "Error - Rate Limited").otherwise("Error - Exception")
 
 

@@ -88,9 +88,8 @@ def kth_distances(x: np.ndarray, k: int) -> np.ndarray:
     return np.sort(np.concatenate(parts)) if parts else np.empty(0)
 
 
-def auto_eps(x: np.ndarray, k: int, percentile: float = 95.0) -> float:
-    """Neighbourhood radius: the elbow of the k-distances, else their percentile, repaired if degenerate."""
-    d = kth_distances(x, k)
+def radius_of(d: np.ndarray, percentile: float = 95.0) -> float:
+    """Neighbourhood radius from ascending k-distances: their elbow, else their percentile, repaired if degenerate."""
     eps = knee(d)
     if eps is None:
         eps = float(np.percentile(d, percentile)) if len(d) else 0.0
@@ -100,6 +99,10 @@ def auto_eps(x: np.ndarray, k: int, percentile: float = 95.0) -> float:
     return eps if eps > 0 else 0.5
 
 
+def auto_eps(x: np.ndarray, k: int, percentile: float = 95.0) -> float:
+    return radius_of(kth_distances(x, k), percentile)
+
+
 def dbscan(x: np.ndarray, eps: float, least: int, metric: str = "euclidean") -> np.ndarray:
     """Cluster numbers by smallest core row, -1 for noise; a border row takes the smallest adjacent cluster."""
     _, first, back, count = np.unique(x, axis=0, return_index=True, return_inverse=True, return_counts=True)

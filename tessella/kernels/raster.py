@@ -62,28 +62,24 @@ def label_components(mask: np.ndarray) -> np.ndarray:
     return np.unique(lab, return_inverse=True)[1].reshape(n, m) if not mask.all() else np.ones_like(lab)
 
 
+# Marching squares: for each code of the four corners (top left 1, top right 2, bottom right 4, bottom left 8) the segments between
+# the sides top 0, right 1, bottom 2, left 3 that keep the set pixels on one side; diagonal pixels stay apart.
+SEGMENTS = {1: [(0, 3)], 2: [(1, 0)], 3: [(1, 3)], 4: [(2, 1)], 5: [(0, 3), (2, 1)], 6: [(2, 0)], 7: [(2, 3)], 8: [(3, 2)], 9: [(0, 2)], 10: [(1, 0), (3, 2)], 11: [(1, 2)], 12: [(3, 1)], 13: [(0, 1)], 14: [(3, 0)]}
+SIDES = np.array([(0.0, 0.5), (0.5, 1.0), (1.0, 0.5), (0.5, 0.0)])
+
+
 def contours(mask: np.ndarray) -> list[list[tuple[float, float]]]:
     """Iso-lines at 0.5 of a 0/1 raster as ``(row, col)`` points: marching squares, diagonal pixels apart.
 
-    Lines that leave the raster stay open; the others return to their first point.
+    Lines that leave the raster stay open; the others return to their first point. Only squares on a border are visited.
     """
     a = mask.astype(np.int8)
+    code = a[:-1, :-1] + 2 * a[:-1, 1:] + 4 * a[1:, 1:] + 8 * a[1:, :-1]
+    at = np.argwhere((code > 0) & (code < 15))
     links: dict[tuple[float, float], list[tuple[float, float]]] = {}
-    n, m = a.shape
-    for r in range(n - 1):
-        for c in range(m - 1):
-            code = int(a[r, c] + 2 * a[r, c + 1] + 4 * a[r + 1, c + 1] + 8 * a[r + 1, c])
-            if code in (0, 15):
-                continue
-            top, right, bottom, left = (r, c + 0.5), (r + 0.5, c + 1.0), (r + 1.0, c + 0.5), (r + 0.5, float(c))
-            # segments that keep the set pixels on one side
-            table = {
-                1: [(top, left)], 2: [(right, top)], 3: [(right, left)], 4: [(bottom, right)], 6: [(bottom, top)], 7: [(bottom, left)],
-                8: [(left, bottom)], 9: [(top, bottom)], 11: [(right, bottom)], 12: [(left, right)], 13: [(top, right)], 14: [(left, top)],
-                5: [(top, left), (bottom, right)], 10: [(right, top), (left, bottom)],
-            }
-            for p, q in table[code]:
-                links.setdefault(p, []).append(q)
+    for (r, c), kind in zip(at.tolist(), code[at[:, 0], at[:, 1]].tolist()):
+        for p, q in SEGMENTS[kind]:
+            links.setdefault((r + SIDES[p, 0], c + SIDES[p, 1]), []).append((r + SIDES[q, 0], c + SIDES[q, 1]))
     ends = {q for qs in links.values() for q in qs}
     lines = []
     for start in sorted(links, key=lambda p: (p in ends, p)):
@@ -105,12 +101,13 @@ def longest_contour(mask: np.ndarray) -> list[tuple[float, float]] | None:
 
 
 def tile_statistics(rgb: np.ndarray) -> dict[str, float]:
-    """The seven quality figures of a tile, colour or grey."""
-    if rgb.ndim == 3:
+    """The seven quality figures of a tile, colour or grey (channels beyond the third are left out); a grey one has no colour variance."""
+    if rgb.ndim == 3 and rgb.shape[2] >= 3:
+        rgb = rgb[:, :, :3]
         gray = ((rgb.astype(np.int64) @ np.array([4899, 9617, 1868]) + 8192) >> 14).astype(np.uint8)
         colour = float(np.var(rgb.reshape(-1, 3).mean(axis=0)))
     else:
-        gray, colour = rgb, 0.0
+        gray, colour = rgb.reshape(rgb.shape[:2] + (-1,))[:, :, 0], float("nan")
     return {
         "mean_intensity": float(gray.mean()),
         "std_intensity": float(gray.std()),
@@ -122,52 +119,73 @@ def tile_statistics(rgb: np.ndarray) -> dict[str, float]:
     }
 
 
-def write_png16(mask: np.ndarray) -> bytes:
-    """A label raster as 16-bit grey PNG."""
-    raw = b"".join(b"\0" + row.astype(">u2").tobytes() for row in mask)
+def write_png(pixels: np.ndarray) -> bytes:
+    """A grey (h, w), grey with alpha, RGB or RGBA (h, w, channels) raster of 8 or 16 bits as PNG."""
+    channels = 1 if pixels.ndim == 2 else pixels.shape[2]
+    depth = 16 if pixels.dtype.itemsize > 1 else 8
+    raw = b"".join(b"\0" + line.astype(">u2" if depth == 16 else np.uint8).tobytes() for line in pixels)
     chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
-    head = struct.pack(">IIBBBBB", mask.shape[1], mask.shape[0], 16, 0, 0, 0, 0)
+    head = struct.pack(">IIBBBBB", pixels.shape[1], pixels.shape[0], depth, {1: 0, 2: 4, 3: 2, 4: 6}[channels], 0, 0, 0)
     return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
 
 
+def write_png16(mask: np.ndarray) -> bytes:
+    """A label raster as 16-bit grey PNG."""
+    return write_png(mask.astype(np.uint16))
+
+
+def _unfilter(raw: np.ndarray, kinds: np.ndarray, step: int) -> np.ndarray:
+    """Undoes the row filters of PNG on rows of ``step``-byte pixels.
+
+    Rows without a left neighbour's part (0, 2) and with nothing else (1) are whole-row sums; if any row has the mean or
+    Paeth filter (3, 4), pixels are resolved along diagonals, each of which depends on the two before it only.
+    """
+    h, size = raw.shape
+    px = raw.reshape(h, size // step, step).astype(np.int32)
+    if not np.isin(kinds, (3, 4)).any():
+        for r in range(h):
+            if kinds[r] == 1:
+                px[r] = np.cumsum(px[r], axis=0) & 255
+            elif kinds[r] == 2 and r:
+                px[r] = (px[r] + px[r - 1]) & 255
+        return px.reshape(h, size)
+    w = px.shape[1]
+    out = np.zeros((h + 1, w + 1, step), np.int32)  # a row above and a column to the left of zeros
+    for d in range(h + w - 1):
+        r = np.arange(max(0, d - w + 1), min(h, d + 1))
+        c = d - r
+        left, up, corner = out[r + 1, c], out[r, c + 1], out[r, c]
+        p = left + up - corner
+        far = [np.abs(p - v) for v in (left, up, corner)]
+        paeth = np.where((far[0] <= far[1]) & (far[0] <= far[2]), left, np.where(far[1] <= far[2], up, corner))
+        kind = kinds[r][:, None]
+        out[r + 1, c + 1] = (px[r, c] + np.select([kind == 1, kind == 2, kind == 3, kind == 4], [left, up, (left + up) // 2, paeth], 0)) & 255
+    return out[1:, 1:].reshape(h, size)
+
+
 def read_png(data: bytes) -> np.ndarray:
     """Pixels of a non-interlaced grey or RGB(A) PNG of 8 or 16 bits; shape (h, w) or (h, w, channels)."""
     if data[:8] != b"\x89PNG\r\n\x1a\n":
         raise ValueError("not a PNG")
-    at, body, head = 8, b"", b""
-    while at < len(data):
+    at, body, head = 8, [], b""
+    while at + 8 <= len(data):
         (size,) = struct.unpack(">I", data[at : at + 4])
         kind, part = data[at + 4 : at + 8], data[at + 8 : at + 8 + size]
         head = part if kind == b"IHDR" else head
-        body += part if kind == b"IDAT" else b""
+        body += [part] if kind == b"IDAT" else []
         at += 12 + size
+    if len(head) != 13:
+        raise ValueError("broken PNG")
     w, h, depth, colour, _, _, interlace = struct.unpack(">IIBBBBB", head)
     channels = {0: 1, 2: 3, 4: 2, 6: 4}.get(colour)
     if channels is None or depth not in (8, 16) or interlace:
         raise ValueError("unsupported PNG")
     step = channels * depth // 8
-    raw = np.frombuffer(zlib.decompress(body), np.uint8).reshape(h, 1 + w * step)
-    out = np.zeros((h, w * step), np.uint8)
-    above = np.zeros(w * step, np.int64)
-    for r in range(h):
-        line, kind = raw[r, 1:].astype(np.int64), raw[r, 0]
-        if kind == 2:
-            line = (line + above) & 255
-        elif kind:
-            for i in range(w * step):
-                a = line[i - step] if i >= step else 0
-                b, c = above[i], above[i - step] if i >= step else 0
-                if kind == 1:
-                    pred = a
-                elif kind == 3:
-                    pred = (a + b) // 2
-                else:
-                    p = a + b - c
-                    pa_, pb, pc = abs(p - a), abs(p - b), abs(p - c)
-                    pred = a if pa_ <= pb and pa_ <= pc else b if pb <= pc else c
-                line[i] = (line[i] + pred) & 255
-        out[r] = line
-        above = line
+    try:
+        raw = np.frombuffer(zlib.decompress(b"".join(body)), np.uint8).reshape(h, 1 + w * step)
+    except zlib.error as e:
+        raise ValueError("broken PNG") from e
+    out = _unfilter(raw[:, 1:], raw[:, 0], step)
     pixels = out.reshape(h, w * channels, depth // 8)
-    values = pixels[..., 0] if depth == 8 else pixels[..., 0].astype(np.uint16) * 256 + pixels[..., 1]
+    values = pixels[..., 0].astype(np.uint8) if depth == 8 else (pixels[..., 0] * 256 + pixels[..., 1]).astype(np.uint16)
     return values.reshape(h, w) if channels == 1 else values.reshape(h, w, channels)

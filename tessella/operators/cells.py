@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.names import cell_text, colour
+from .masks import polygon_centre
 
 
 def ranked(cells: DataFrame, group: list[str], conf: str, tie: list[str]) -> DataFrame:
@@ -90,9 +91,10 @@ def status_split(wanted: DataFrame, there: DataFrame, on: str, done: DataFrame |
 
 
 def draw_commands(cells: DataFrame, by: str = "cluster", box: bool = True, polygon: bool = False, skip_unclassified: bool = True, text: bool = True) -> DataFrame:
-    """Rows ``slide_id, tile_id, cell_id, color, label, anchor_x, anchor_y`` for drawing cells.
+    """Adds ``color, label, anchor_x, anchor_y, box, outline`` for drawing cells: geometry cut to whole pixels.
 
-    ``by`` picks what decides the colour: ``class``, ``cluster``, ``default`` or ``none`` (white). Cells that lack
+    ``box`` is null unless it has four numbers; the label's place is above the box's corner, or above the polygon's centre
+    where there is no box. ``by`` picks what decides the colour: ``class``, ``cluster``, ``default`` or ``none`` (white). Cells that lack
     the geometry asked for are left out, and unclassified ones where classes are shown.
     """
     out = cells
@@ -104,12 +106,57 @@ def draw_commands(cells: DataFrame, by: str = "cluster", box: bool = True, polyg
         out = out.where(F.coalesce(F.size("polygon") > 0, F.lit(False)))
     value = {"class": F.coalesce("pred_class", F.lit("N/A")), "cluster": F.coalesce(F.col("cluster_id").cast("string"), F.lit("N/A")), "default": F.lit("default")}.get(by)
     shade = F.array(*[F.lit(255)] * 3) if value is None else colour(value)
-    anchor: list[Column] = [F.greatest(F.lit(0), F.col("bbox")[0]), F.greatest(F.lit(0), F.col("bbox")[1] - 10)]
+    whole = lambda v: v.cast("int")
+    corner = F.transform("bbox", whole) if "bbox" in cells.columns else F.lit(None).cast("array<int>")
+    line = F.transform("polygon", lambda p: F.transform(p, whole)) if "polygon" in cells.columns else F.lit(None).cast("array<array<int>>")
+    if "polygon" in cells.columns:
+        centre = F.transform(polygon_centre(F.col("polygon")), whole)
+        place = [F.coalesce(F.try_element_at(corner, F.lit(i)), F.try_element_at(centre, F.lit(i))) for i in (1, 2)]
+    else:
+        place = [F.try_element_at(corner, F.lit(i)) for i in (1, 2)]
     return out.withColumns(
-        {"color": shade, "label": cell_text(F.col("pred_class"), F.col("cluster_id"), F.col("confidence")) if text else F.lit(""), "anchor_x": anchor[0], "anchor_y": anchor[1]}
+        {
+            "color": shade,
+            "label": cell_text(F.col("pred_class"), F.col("cluster_id"), F.col("confidence")) if text else F.lit(""),
+            "anchor_x": F.greatest(F.lit(0), place[0]),
+            "anchor_y": F.greatest(F.lit(0), place[1] - 10),
+            "box": F.when(F.size(corner) == 4, corner) if box else F.lit(None).cast("array<int>"),
+            "outline": line if polygon else F.lit(None).cast("array<array<int>>"),
+        }
     )
 
 
+def filtered_counts(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
+    """``(key, removed)``: how many rows of each key a filter took away; keys that lost none have 0."""
+    n = before.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    m = after.groupBy(key).agg(F.count(F.lit(1)).alias("__m"))
+    return n.join(m, key, "left").select(key, (F.col("__n") - F.coalesce("__m", F.lit(0))).alias("removed"))
+
+
+def nest_all(parents: DataFrame, cells: DataFrame, keys: list[str], order: list[str], fields: list[str], name: str = "cells") -> DataFrame:
+    """Every parent with its cells as an ordered array, an empty one where it has none."""
+    nested = parents.join(nest(cells, keys, order, fields, name), keys, "left")
+    kind = dict(nested.dtypes)[name]
+    return nested.withColumn(name, F.coalesce(name, F.array().cast(kind)))
+
+
+def without_field(nested: DataFrame, name: str, field: str) -> DataFrame:
+    """A column of structs, or of arrays of them, without one field."""
+    kind = dict(nested.dtypes)[name]
+    bare = F.transform(name, lambda c: c.dropFields(field)) if kind.startswith("array") else F.col(name).dropFields(field)
+    return nested.withColumn(name, bare)
+
+
+def cluster_counts(cells: DataFrame, group: str = "slide_id") -> DataFrame:
+    """``(group, clusters, noise)``: clusters found and cells that belong to none."""
+    real = F.when(F.col("cluster_id") != -1, F.col("cluster_id"))
+    return cells.groupBy(group).agg(F.count_distinct(real).alias("clusters"), F.count_if(F.col("cluster_id") == -1).alias("noise"))
+
+
+def class_counts(cells: DataFrame, keys: tuple[str, ...] = ("slide_id",)) -> DataFrame:
+    return cells.groupBy(*keys, "pred_class").agg(F.count(F.lit(1)).alias("n"))
+
+
 def draw_limit(commands: DataFrame, most: int, order: list[Column], keys: tuple[str, ...] = ("slide_id", "tile_id")) -> DataFrame:
     """At most ``most`` commands a tile, but at least one."""
     return commands.withColumn("__r", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where(F.col("__r") <= max(most, 1)).drop("__r")

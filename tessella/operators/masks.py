@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..kernels.raster import label_components, longest_contour, read_png
+from ..kernels.raster import label_components, longest_contour, read_png, write_png16
 
 
 def boxes_of_labels(pixels: DataFrame, keys: list[str]) -> DataFrame:
@@ -70,16 +70,61 @@ def read_masks(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(run, "path string, width int, labels array<int>")
 
 
-def threshold_segment(tiles: DataFrame, key: str, below: int = 128) -> DataFrame:
-    """A stand-in segmenter: connected dark regions of ``key, width, gray ARRAY<INT>`` become labels."""
-    kind = dict(tiles.dtypes)[key]
+def threshold_segment(tiles: DataFrame, keys: list[str], below: int = 128) -> DataFrame:
+    """A stand-in segmenter: connected dark regions of ``keys, width, gray ARRAY<INT>`` become labels."""
+    return batched_segmenter(lambda rasters: [label_components(g < below) for g in rasters], keys)(tiles)
+
+
+def batched_segmenter(call: Callable[[list[np.ndarray]], list[np.ndarray]], keys: list[str], batch: int = 16) -> Callable[[DataFrame], DataFrame]:
+    """Wraps a model that turns grey rasters into label rasters into a stage ``keys, width, labels, error``.
+
+    A batch that fails is tried again tile by tile; a tile that fails alone gets no labels but the error's text.
+    """
+
+    def stage(tiles: DataFrame) -> DataFrame:
+        kinds = dict(tiles.dtypes)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                for at in range(0, len(pdf), batch):
+                    part = pdf.iloc[at : at + batch].reset_index(drop=True)
+                    rasters = [np.asarray(g).reshape(-1, int(w)) for g, w in zip(part["gray"], part["width"])]
+                    errors: list[str | None] = [None] * len(part)
+                    try:
+                        found = call(rasters)
+                    except Exception:  # noqa: BLE001 - a model may raise anything
+                        found = []
+                        for i, g in enumerate(rasters):
+                            try:
+                                found.append(call([g])[0])
+                            except Exception as e:  # noqa: BLE001
+                                found.append(None)
+                                errors[i] = str(e)
+                    labels = [None if m is None else np.asarray(m).astype(np.int32).ravel().tolist() for m in found]
+                    yield pd.DataFrame({c: part[c].tolist() for c in [*keys, "width"]} | {"labels": labels, "error": errors})
+
+        schema = ", ".join(f"{k} {kinds[k]}" for k in keys)
+        return tiles.select(*keys, "width", "gray").mapInPandas(run, f"{schema}, width int, labels array<int>, error string")
+
+    return stage
+
+
+def mask_images(masks: DataFrame, keys: list[str]) -> DataFrame:
+    """``(keys, content)``: label rasters ``keys, width, labels`` as 16-bit grey PNG."""
+    kinds = dict(masks.dtypes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = [label_components(np.asarray(g).reshape(-1, int(w)) < below).ravel().tolist() for g, w in zip(pdf["gray"], pdf["width"])]
-            yield pd.DataFrame({key: pdf[key], "width": pdf["width"], "labels": out})
+            data = [write_png16(np.asarray(v).reshape(-1, int(w))) for v, w in zip(pdf["labels"], pdf["width"])]
+            yield pdf[keys].assign(content=data)
+
+    schema = ", ".join(f"{k} {kinds[k]}" for k in keys)
+    return masks.where("labels IS NOT NULL").select(*keys, "width", "labels").mapInPandas(run, f"{schema}, content binary")
+
 
-    return tiles.select(key, "width", "gray").mapInPandas(run, f"{key} {kind}, width int, labels array<int>")
+def missing_masks(tiles: DataFrame, masks: DataFrame, keys: list[str]) -> DataFrame:
+    """Tiles without a mask, for the log: they drop out of the join with masks."""
+    return tiles.select(*keys).distinct().join(masks.select(*keys).distinct(), keys, "left_anti")
 
 
 def polygon_points(line: Column) -> Column:

@@ -8,7 +8,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from ..kernels.raster import read_png, tile_statistics
 
@@ -36,18 +35,11 @@ def intensity_stats(pixels: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def laplacian_variance(pixels: DataFrame, keys: list[str]) -> DataFrame:
-    """Variance of the 4-neighbour Laplacian over the inner pixels of rows ``keys, y, x, gray``."""
-    row, col = W.partitionBy(*keys, "y").orderBy("x"), W.partitionBy(*keys, "x").orderBy("y")
-    lap = pixels.select(
-        *keys,
-        (F.lag("gray").over(row) + F.lead("gray").over(row) + F.lag("gray").over(col) + F.lead("gray").over(col) - 4 * F.col("gray")).alias("lap"),
-    )
-    return lap.groupBy(*keys).agg(F.var_pop("lap").alias("laplacian_var"))
-
-
 def rejection_reasons(limits: dict[str, float] = LIMITS) -> Column:
-    """Texts of the limits that a row of statistics breaks; a value equal to its limit passes."""
+    """Texts of the limits that a row of statistics breaks; a value equal to its limit passes.
+
+    A missing statistic breaks no limit (a grey tile has no colour variance); a tile without any is ``unreadable``.
+    """
 
     def below(stat: str, limit: str, tag: str, form: str) -> Column:
         return F.when(F.col(stat) < limits[limit], F.format_string(f"{tag} ({form} < %s)", F.col(stat), F.lit(str(limits[limit]))))
@@ -57,6 +49,7 @@ def rejection_reasons(limits: dict[str, float] = LIMITS) -> Column:
 
     return F.array_compact(
         F.array(
+            F.when(F.col("std_intensity").isNull(), "unreadable"),
             below("edge_density", "min_edge_density", "low_edge_density", "%.4f"),
             above("bright_pixels_ratio", "max_bright_ratio", "too_bright"),
             above("dark_pixels_ratio", "max_dark_ratio", "too_dark"),
@@ -68,12 +61,12 @@ def rejection_reasons(limits: dict[str, float] = LIMITS) -> Column:
 
 
 def filtered(stats: DataFrame, limits: dict[str, float] = LIMITS) -> DataFrame:
-    """All rows with ``rejection_reasons`` and ``useful``; a missing statistic breaks no limit."""
+    """All rows with ``rejection_reasons`` and ``useful``."""
     return stats.withColumn("rejection_reasons", rejection_reasons(limits)).withColumn("useful", F.size("rejection_reasons") == 0)
 
 
 def image_stats(images: DataFrame, key: str = "path", content: str = "content") -> DataFrame:
-    """The seven statistics of PNG images; an image that cannot be read gives nulls."""
+    """The seven statistics of images as bytes (PNG); one that cannot be read gives nulls. ``decoded_stats`` takes more formats."""
     names = [p.split()[0] for p in STATS.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -89,6 +82,29 @@ def image_stats(images: DataFrame, key: str = "path", content: str = "content")
     return images.select(key, content).mapInPandas(run, f"{key} string, {STATS}")
 
 
+def decoded_stats(tiles: DataFrame, keys: list[str]) -> DataFrame:
+    """The seven statistics of decoded tiles ``keys, height, width, channels, data`` (BGR bytes, as the engine's image source gives them).
+
+    A tile without data gives nulls.
+    """
+    names = [p.split()[0] for p in STATS.split(", ")]
+    kinds = dict(tiles.dtypes)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for h, w, c, data in zip(pdf["height"], pdf["width"], pdf["channels"], pdf["data"]):
+                if data is None or not h or h < 0:
+                    rows.append(dict.fromkeys(names, np.nan))
+                    continue
+                px = np.frombuffer(data, np.uint8).reshape(h, w, c)
+                rows.append(tile_statistics(px[:, :, 0] if c < 3 else px[:, :, 2::-1]))
+            yield pd.concat([pdf[keys].reset_index(drop=True), pd.DataFrame(rows, columns=names)], axis=1)
+
+    schema = ", ".join(f"{k} {kinds[k]}" for k in keys)
+    return tiles.select(*keys, "height", "width", "channels", "data").mapInPandas(run, f"{schema}, {STATS}")
+
+
 def raster_stats(pixels: DataFrame, key: str, width: str = "width") -> DataFrame:
     """The seven statistics of rows ``key, width, rgb ARRAY<INT>`` (row-major triples)."""
     names = [p.split()[0] for p in STATS.split(", ")]

@@ -157,7 +157,7 @@ def classify_select_topn(spark, d):
 def classify_left_default(spark, d):
     all_cells = cells(spark, d)
     predicted = C.select_for_labelling(all_cells, 10).select("cell_id", F.upper("pred_class").alias("pred_class"))
-    return C.join_predictions(all_cells.drop("pred_class"), predicted, ["cell_id"]).groupBy("slide_id", "pred_class").agg(F.count(F.lit(1)).alias("n"))
+    return C.class_counts(C.join_predictions(all_cells.drop("pred_class"), predicted, ["cell_id"]))
 
 
 @query("""SELECT event_id, coalesce(nullif(trim(regexp_replace(trim(raw), '[^\\p{L}\\p{N}_\\s-]', '', 'g')), ''), 'Undetermined') AS label
@@ -300,26 +300,83 @@ def tile_quality_reasons(spark, d):
     return f.select("key", F.concat_ws("|", pick("too_bright"), pick("low_contrast"), pick("low_color_var")).alias("reasons"))
 
 
-@query(f"""WITH {PIXELS}, l AS (SELECT key, lag(gray) OVER r + lead(gray) OVER r + lag(gray) OVER c + lead(gray) OVER c - 4 * gray AS lap FROM px
+def rasters(spark: SparkSession, d: str) -> DataFrame:
+    """One tile a part as the image source gives it (``height, width, channels, data``, BGR): by key % 4 a flat grey one of one channel, a flat
+    coloured one, stripes, and the pattern of ``pixels``; every 50th has no data."""
+    n = SIDE * SIDE
+    key, kind = F.col("p_partkey"), F.col("p_partkey") % 4
+
+    def value(i: Column, s: int) -> Column:
+        x, y = i % SIDE, F.floor(i / SIDE)
+        stripe = F.when(F.floor(x / 3) % 2 == 0, 20 * s).otherwise(250 - 10 * s)
+        return F.when(kind == 0, key % 256).when(kind == 1, (key * s) % 256).when(kind == 2, stripe).otherwise((x * 31 * s + y * 17 + key * (7 + s)) % 256).cast("int")
+
+    at = F.sequence(F.lit(0), F.lit(n - 1))
+    grey = F.transform(at, lambda i: value(i, 1))
+    colour = F.flatten(F.transform(at, lambda i: F.array(value(i, 3), value(i, 2), value(i, 1))))
+    digits = F.transform(F.when(kind == 0, grey).otherwise(colour), lambda v: F.lpad(F.hex(v.cast("long")), 2, "0"))
+    return table(spark, d, "part").select(
+        key.alias("key"),
+        F.lit(SIDE).alias("height"),
+        F.lit(SIDE).alias("width"),
+        F.when(kind == 0, 1).otherwise(3).alias("channels"),
+        F.when(key % 50 != 0, F.unhex(F.concat_ws("", digits))).alias("data"),
+    )
+
+
+RASTERS = f"""rx AS (SELECT key, kind, y, x, r, g, b, CASE WHEN kind = 0 THEN r ELSE (r * 4899 + g * 9617 + b * 1868 + 8192) // 16384 END::INTEGER AS gray FROM (
+    SELECT key, kind, y, x, {", ".join(f"(CASE kind WHEN 0 THEN key % 256 WHEN 1 THEN key * {s} % 256 WHEN 2 THEN (CASE WHEN x // 3 % 2 = 0 THEN {20 * s} ELSE {250 - 10 * s} END) ELSE (x * {31 * s} + y * 17 + key * {7 + s}) % 256 END)::INTEGER AS {c}" for s, c in ((1, "r"), (2, "g"), (3, "b")))}
+    FROM (SELECT p_partkey AS key, p_partkey % 4 AS kind FROM part WHERE p_partkey % 50 <> 0), (SELECT unnest(range({SIDE})) AS y), (SELECT unnest(range({SIDE})) AS x))),
+  rl AS (SELECT *, coalesce(lag(gray) OVER r, lead(gray) OVER r) + coalesce(lead(gray) OVER r, lag(gray) OVER r) + coalesce(lag(gray) OVER c, lead(gray) OVER c) + coalesce(lead(gray) OVER c, lag(gray) OVER c) - 4 * gray AS lap FROM rx
+    WINDOW r AS (PARTITION BY key, y ORDER BY x), c AS (PARTITION BY key, x ORDER BY y)),
+  rs AS (SELECT key, kind, avg(gray) AS mean_intensity, stddev_pop(gray) AS std_intensity, avg((gray > 240)::INTEGER) AS bright, avg((gray < 15)::INTEGER) AS dark, var_pop(lap) AS laplacian_var,
+    CASE WHEN min(kind) > 0 THEN (pow(avg(r) - (avg(r) + avg(g) + avg(b)) / 3, 2) + pow(avg(g) - (avg(r) + avg(g) + avg(b)) / 3, 2) + pow(avg(b) - (avg(r) + avg(g) + avg(b)) / 3, 2)) / 3 END AS color_variance FROM rl GROUP BY key, kind),
+  rr AS (SELECT p_partkey AS key, CASE WHEN rs.key IS NULL THEN 'unreadable' ELSE concat_ws('|', CASE WHEN kind < 2 THEN 'low_edge_density (0.0000 < 0.02)' END,
+    CASE WHEN bright > 0.8 THEN printf('too_bright (%.2f > 0.8)', bright) END, CASE WHEN dark > 0.8 THEN printf('too_dark (%.2f > 0.8)', dark) END,
+    CASE WHEN std_intensity < 10 THEN printf('low_contrast (%.2f < 10.0)', std_intensity) END, CASE WHEN laplacian_var < 50 THEN printf('blurry (%.2f < 50.0)', laplacian_var) END,
+    CASE WHEN color_variance < 5 THEN printf('low_color_var (%.2f < 5.0)', color_variance) END) END AS reasons FROM part LEFT JOIN rs ON rs.key = p_partkey)"""
+
+
+@query(f"WITH {RASTERS} SELECT key, round(mean_intensity, 6) AS mean_intensity, round(std_intensity, 6) AS std_intensity, round(laplacian_var, 6) AS laplacian_var, round(color_variance, 6) AS color_variance FROM rs")
+def tile_raster_stats(spark, d):
+    """Decoded tiles, grey and coloured, through the kernel: the Laplacian with reflected borders, no colour variance for grey."""
+    s = quality.decoded_stats(rasters(spark, d), ["key"]).where("mean_intensity IS NOT NULL")
+    return s.select("key", *[r6(c).alias(c) for c in ("mean_intensity", "std_intensity", "laplacian_var", "color_variance")])
+
+
+@query(f"WITH {RASTERS} SELECT key, reasons FROM rr")
+def tile_reasons_all(spark, d):
+    """All six reasons and the one of tiles that cannot be read, at the published limits."""
+    f = quality.filtered(quality.decoded_stats(rasters(spark, d), ["key"]))
+    return f.select("key", F.concat_ws("|", "rejection_reasons").alias("reasons"))
+
+
+@query(f"WITH {RASTERS} SELECT key % 8 AS slide, count(*) AS processed, count(*) FILTER (WHERE reasons = '') AS kept FROM rr GROUP BY 1")
+def tile_filter_counts(spark, d):
+    f = quality.filtered(quality.decoded_stats(rasters(spark, d), ["key"]))
+    return f.groupBy((F.col("key") % 8).alias("slide")).agg(F.count(F.lit(1)).alias("processed"), F.count_if("useful").alias("kept"))
+
+
+@query(f"""WITH {PIXELS}, l AS (SELECT key, coalesce(lag(gray) OVER r, lead(gray) OVER r) + coalesce(lead(gray) OVER r, lag(gray) OVER r) + coalesce(lag(gray) OVER c, lead(gray) OVER c) + coalesce(lead(gray) OVER c, lag(gray) OVER c) - 4 * gray AS lap FROM px
   WINDOW r AS (PARTITION BY key, y ORDER BY x), c AS (PARTITION BY key, x ORDER BY y)) SELECT key, round(var_pop(lap), 6) AS laplacian_var FROM l GROUP BY 1""")
 def tile_laplacian_variance(spark, d):
-    p = pixels(spark, d).withColumn("gray", quality.gray_of(F.col("r"), F.col("g"), F.col("b")))
-    return quality.laplacian_variance(p, ["key"]).select("key", r6("laplacian_var").alias("laplacian_var"))
+    return quality.decoded_stats(pattern_tiles(spark, d), ["key"]).select("key", r6("laplacian_var").alias("laplacian_var"))
 
 
-@query()
-def tile_kernel_stats(spark, d):
-    """All seven statistics, Canny edge density included, by the raster kernel."""
-    px = pixels(spark, d).groupBy("key").agg(F.array_sort(F.collect_list(F.struct("y", "x", "r", "g", "b"))).alias("p"))
-    rgb = px.select("key", F.lit(SIDE).alias("width"), F.flatten(F.transform("p", lambda v: F.array(v["r"], v["g"], v["b"]))).alias("rgb"))
-    return quality.raster_stats(rgb, "key")
+def pattern_tiles(spark: SparkSession, d: str) -> DataFrame:
+    """The rasters of ``pixels`` as decoded tiles."""
+    key = F.col("p_partkey")
+    at = F.sequence(F.lit(0), F.lit(SIDE * SIDE - 1))
+    v = lambda i, s: ((i % SIDE) * 31 * s + F.floor(i / SIDE) * 17 + key * (7 + s)) % 256
+    digits = F.flatten(F.transform(at, lambda i: F.transform(F.array(v(i, 3), v(i, 2), v(i, 1)), lambda c: F.lpad(F.hex(c.cast("long")), 2, "0"))))
+    return table(spark, d, "part").select(key.alias("key"), F.lit(SIDE).alias("height"), F.lit(SIDE).alias("width"), F.lit(3).alias("channels"), F.unhex(F.concat_ws("", digits)).alias("data"))
 
 
-@query(f"WITH {PIXELS}, {STAT_SQL} SELECT count(*) AS processed, count(*) FILTER (WHERE NOT (std_intensity < 60 OR color_variance < 5)) AS kept FROM st")
-def tile_filter_counts(spark, d):
-    s = quality.intensity_stats(pixels(spark, d), ["key"]).withColumns({"edge_density": F.lit(None).cast("double"), "laplacian_var": F.lit(None).cast("double")})
-    f = quality.filtered(s, quality.LIMITS | {"min_std_intensity": 60.0})
-    return f.agg(F.count(F.lit(1)).alias("processed"), F.count_if("useful").alias("kept"))
+@query(f"WITH {PIXELS}, {STAT_SQL} SELECT key, round(mean_intensity, 6) AS mean_intensity, round(std_intensity, 6) AS std_intensity, round(bright_pixels_ratio, 6) AS bright_pixels_ratio, round(dark_pixels_ratio, 6) AS dark_pixels_ratio FROM st")
+def tile_kernel_stats(spark, d):
+    """The kernel's statistics of coloured tiles; Canny's edge density has no SQL and is tested against hand-made rasters."""
+    s = quality.decoded_stats(pattern_tiles(spark, d), ["key"])
+    return s.select("key", *[r6(c).alias(c) for c in ("mean_intensity", "std_intensity", "bright_pixels_ratio", "dark_pixels_ratio")])
 
 
 @query(f"WITH {LABELS} SELECT key, label AS label_id, min(x)::INTEGER AS xmin, min(y)::INTEGER AS ymin, max(x)::INTEGER AS xmax, max(y)::INTEGER AS ymax FROM lp WHERE label <> 0 GROUP BY ALL")
@@ -540,7 +597,7 @@ LABELLED = f"""{VECTORS}, ed AS (SELECT a.half, a.vec_id AS a, b.vec_id AS b FRO
 
 @query(f"WITH RECURSIVE {LABELLED} SELECT half, vec_id, cluster_id FROM lab")
 def dbscan_labels(spark, d):
-    return density.cluster_slides(vectors(spark, d), "half", "vec_id", "v", LEAST, EPS).select("half", "vec_id", "cluster_id")
+    return density.density_clusters(vectors(spark, d), "half", "vec_id", "v", LEAST, EPS).select("half", "vec_id", "cluster_id")
 
 
 @query(f"WITH RECURSIVE {LABELLED} SELECT half, vec_id, cluster_id FROM lab")
@@ -565,7 +622,7 @@ def cluster_centroid_confidence(spark, d):
 
 @query(f"WITH {CLUSTERED} SELECT half, count(DISTINCT cluster_id) FILTER (WHERE cluster_id <> -1) AS clusters, count(*) FILTER (WHERE cluster_id = -1) AS noise FROM cv GROUP BY 1")
 def cluster_counts(spark, d):
-    return clustered(spark, d).groupBy("half").agg(F.count_distinct(F.when(F.col("cluster_id") != -1, F.col("cluster_id"))).alias("clusters"), F.count_if(F.col("cluster_id") == -1).alias("noise"))
+    return C.cluster_counts(clustered(spark, d), "half")
 
 
 @query(f"WITH {VECTORS}, n AS (SELECT vec_id, i, v[i] * (vec_id % 3) AS x FROM (SELECT *, unnest(range(1, 65)) AS i FROM vec)) SELECT vec_id, round(sum(x * x) / nullif(sum(x * x), 0), 6) AS len2, round(max(x) / sqrt(nullif(sum(x * x), 0)), 6) AS top FROM n GROUP BY 1")
@@ -581,38 +638,43 @@ def l2_normalize(spark, d):
 @query()
 def kneedle_eps(spark, d):
     """The radius that the k-distances of each half suggest."""
-    return density.cluster_slides(vectors(spark, d), "half", "vec_id", "v", LEAST).groupBy("half").agg(F.max("eps").alias("eps"), F.max("cluster_id").alias("last_cluster"))
+    return density.density_clusters(vectors(spark, d), "half", "vec_id", "v", LEAST).groupBy("half").agg(F.max("eps").alias("eps"), F.max("cluster_id").alias("last_cluster"))
 
 
 # ---- whole pipeline, streaming, files ------------------------------------------------------------------------------
 
 
-@query("SELECT 'S' || (p_partkey % 8) AS slide_id, (count(*) * 9)::BIGINT AS cells FROM part GROUP BY 1")
+@query("""SELECT 'S' || s AS slide_id, c::INTEGER AS cluster_id, k AS pred_class, CASE k WHEN 'Small' THEN least(n, 10) ELSE n - 10 END AS cells, 1.0::DOUBLE AS min_conf
+  FROM (SELECT p_partkey % 8 AS s, count(*) AS n FROM part GROUP BY 1), (SELECT unnest(range(9)) AS c), (SELECT unnest(['Small', 'Unclassified']) AS k) WHERE k = 'Small' OR n > 10""")
 def pipeline_cells(spark, d):
-    """The staged pipeline from tiles to annotations over one tile for every part: cells per slide."""
+    """The staged pipeline from tiles to annotations over one tile for every part: cells per slide, cluster and class.
+
+    Each tile has nine cells at fixed places, so each place is a cluster of equal vectors; ten cells of each are classified.
+    """
     from ..config import PipelineConfig
     from .pipeline import demo_tiles, run_pipeline
 
     cfg = PipelineConfig(start_from="segment", filter_tiles=False, cluster_eps=2.0)
     out = run_pipeline({"tiles": demo_tiles(table(spark, d, "part"))}, cfg)
-    return out["annotations"].groupBy("slide_id").agg(F.count(F.lit(1)).alias("cells"))
+    got = out["annotations"].groupBy("slide_id", "cluster_id", "pred_class").agg(F.count(F.lit(1)).alias("cells"), F.min("confidence").alias("min_conf"))
+    return got
 
 
 @query("SELECT 'S' || (user_id % 8) AS slide_id, count(*) AS n FROM events GROUP BY 1")
 def manifest_stream(spark, d):
-    """Slides announced in a manifest are taken up by a file stream, each once; the stage's output is read back."""
-    import uuid
-
-    from ..session import shared_dir
+    """Slides announced in a manifest, twice and for another stage too, are taken up by a file stream, each once; the output is read back."""
+    from ..session import scratch
     from ..streaming.manifest import announce, follow, to_table
 
-    root = f"{shared_dir(spark).rstrip('/')}/manifest-{uuid.uuid4().hex}"
+    root = scratch(spark, "manifest")
     all_cells = cells(spark, d)
     slides = all_cells.select("slide_id").distinct()
     announce(slides, "segment", f"{root}/manifest")
-    announce(slides, "segment", f"{root}/manifest")
-    count = lambda batch: all_cells.join(batch.select("slide_id").distinct(), "slide_id", "left_semi").groupBy("slide_id").agg(F.count(F.lit(1)).alias("n"))
-    follow(spark, f"{root}/manifest", f"{root}/checkpoint", to_table(f"{root}/out", count))
+    announce(slides, "cluster", f"{root}/manifest")
+    count = lambda batch: all_cells.join(batch, "slide_id", "left_semi").groupBy("slide_id").agg(F.count(F.lit(1)).alias("n"))
+    for _ in range(2):
+        announce(slides, "segment", f"{root}/manifest")
+        follow(spark, f"{root}/manifest", f"{root}/checkpoint", "segment", to_table(f"{root}/out", count), f"{root}/status")
     return spark.read.parquet(f"{root}/out").select("slide_id", "n")
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import analytics, problems
+from . import analytics, coverage, problems
 
-MODULES = (problems, analytics)
+MODULES = (problems, analytics, coverage)
 
 
 def flagship(spark, sf_dir):

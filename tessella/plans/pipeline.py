@@ -2,7 +2,8 @@
 
 A stage is a function of the tables before it; ``start_from`` reads the tables of earlier stages instead of
 computing them. Models are plug-ins called on Arrow batches: a segmenter gives masks, an embedder vectors, a
-classifier names. Without plug-ins simple stand-ins run, which are no substitute for trained models.
+classifier names; where tiles have ``content`` (image bytes), embedder and classifier get each cell's pixels in a
+column ``crop``. Without plug-ins simple stand-ins run, which are no substitute for trained models.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 from ..config import STAGES, PipelineConfig
 from ..functions import names
 from ..operators import cells as C
-from ..operators import density, masks, quality, tiling
-from ..sources.files import write_stage
+from ..operators import crops, density, masks, quality, tiling
+from ..sources.files import write_stage, written
 
 
 def box_shape_embedding(boxes: DataFrame) -> DataFrame:
@@ -62,7 +63,7 @@ def batched_classifier(call: Callable[[list[bytes]], list[str]], column: str, sc
 
 @dataclass
 class Plugins:
-    segmenter: Callable[[DataFrame], DataFrame] = field(default=lambda tiles: masks.threshold_segment(tiles, "tile_name"))
+    segmenter: Callable[[DataFrame], DataFrame] = field(default=lambda tiles: masks.threshold_segment(tiles, ["slide_id", "tile_name"]))
     embedder: Callable[[DataFrame], DataFrame] = box_shape_embedding
     classifier: Callable[[DataFrame], DataFrame] = size_class
 
@@ -87,12 +88,9 @@ def run_pipeline(tables: dict[str, DataFrame], cfg: PipelineConfig, plugins: Plu
         if STAGES.index(stage) < first and name in out:
             return
         path = f"{store}/{name}" if store else None
-        if path and cfg.resume and spark is not None:
-            try:
-                out[name] = spark.read.parquet(path)
-                return
-            except Exception:  # noqa: BLE001 - not there yet
-                pass
+        if path and cfg.resume and spark is not None and written(spark, path):
+            out[name] = spark.read.parquet(path)
+            return
         df = make()
         if path:
             write_stage(df, path)
@@ -112,17 +110,26 @@ def run_pipeline(tables: dict[str, DataFrame], cfg: PipelineConfig, plugins: Plu
         return out
     if "tiles" in out:
         if cfg.filter_tiles and first <= STAGES.index("tile_filter") and "edge_density" in out["tiles"].columns:
+            stats = [c for c in out["tiles"].columns if c not in ("gray", "rgb", "content")]
+            keep("tile_stats", lambda: quality.filtered(chosen(out["tiles"]).select(*stats), cfg.limits()), "tile_filter")
             keep("kept_tiles", lambda: quality.filtered(chosen(out["tiles"]), cfg.limits()).where("useful"), "tile_filter")
         else:
             out["kept_tiles"] = chosen(out["tiles"])
-        keep("masks", lambda: plugins.segmenter(out["kept_tiles"]).join(out["kept_tiles"].select("slide_id", "tile_name"), "tile_name"), "segment")
+        keep("masks", lambda: plugins.segmenter(out["kept_tiles"]).where("labels IS NOT NULL"), "segment")
         keep("boxes", lambda: masks.boxes_of_labels(_pixels(out["masks"]), ["slide_id", "tile_name"]), "segment")
         keep("polygons", lambda: masks.polygons(out["masks"], ["slide_id", "tile_name"]), "segment")
 
+    def with_pixels(cells: DataFrame) -> DataFrame:
+        if "tiles" not in out or "content" not in out["tiles"].columns:
+            return cells
+        pixels = crops.cell_crops(cells.select("slide_id", "tile_name", "label_id", "bbox"), out["tiles"].select("slide_id", "tile_name", "content"))
+        return cells.join(pixels.drop("bbox", "error"), ["slide_id", "tile_name", "label_id"], "left")
+
     def assign() -> DataFrame:
-        cells = plugins.embedder(out["boxes"].where(masks.valid_box(F.col("label_id"), F.col("bbox")) & masks.croppable(F.col("bbox"))))
-        keyed = cells.withColumn("cell_key", F.concat_ws("|", "tile_name", F.lpad(F.col("label_id").cast("string"), 8, "0")))
-        got = density.cluster_slides(keyed, "slide_id", "cell_key", "embedding", cfg.cluster_min_samples, cfg.cluster_eps, cfg.cluster_normalize, cfg.cluster_metric)
+        boxes = out["boxes"].where(masks.valid_box(F.col("label_id"), F.col("bbox")) & masks.croppable(F.col("bbox")))
+        cells = plugins.embedder(with_pixels(boxes)).where("embedding IS NOT NULL").drop("crop")  # a cell that has no embedding drops out
+        keyed = cells.withColumn("cell_key", F.concat_ws("|", "slide_id", "tile_name", F.lpad(F.col("label_id").cast("string"), 8, "0")))
+        got = density.density_clusters(keyed, "slide_id", "cell_key", "embedding", cfg.cluster_min_samples, cfg.cluster_eps, cfg.cluster_normalize, cfg.cluster_metric)
         return keyed.select("slide_id", "tile_name", "label_id", "bbox", "cell_key").join(got.drop("eps"), ["slide_id", "cell_key"])
 
     keep("assignments", assign, "cluster")
@@ -130,7 +137,7 @@ def run_pipeline(tables: dict[str, DataFrame], cfg: PipelineConfig, plugins: Plu
     def classify() -> DataFrame:
         cells = out["assignments"]
         chosen_cells = C.select_for_labelling(cells, cfg.classify_per_cluster, tie=("tile_name", "label_id")).drop("rank")
-        named = plugins.classifier(chosen_cells).select("slide_id", "tile_name", "label_id", "pred_class")
+        named = plugins.classifier(with_pixels(chosen_cells)).select("slide_id", "tile_name", "label_id", "pred_class")
         return C.join_predictions(cells, named, ["slide_id", "tile_name", "label_id"])
 
     keep("classified", classify, "classify")

@@ -45,6 +45,30 @@ def tile_images(spark: SparkSession, root: str, content: bool = True) -> DataFra
     return kept.select(folder_of(F.col("path")).alias("slide_id"), F.regexp_replace(name, IMAGES, "").alias("tile_name"), "path", *["content"] * content)
 
 
+def decoded_images(spark: SparkSession, root: str) -> DataFrame:
+    """``(slide_id, tile_name, path, height, width, channels, data)``: tiles decoded by the engine's image source (PNG, JPEG, TIFF as far as
+    the Java runtime reads them), 8 bits, BGR. A file that cannot be decoded has no ``data``."""
+    raw = spark.read.format("image").option("dropInvalid", "false").option("recursiveFileLookup", "true").load(root).select("image.*")
+    name = base_name(F.col("origin"))
+    kept = raw.where(F.col("origin").rlike(IMAGES) & ~name.contains("__THUMBNAIL") & ~name.contains("_mask.") & ~name.contains("_filter_stats"))
+    return kept.select(
+        folder_of(F.col("origin")).alias("slide_id"),
+        F.regexp_replace(name, IMAGES, "").alias("tile_name"),
+        F.col("origin").alias("path"),
+        "height",
+        "width",
+        F.col("nChannels").alias("channels"),
+        F.when(F.col("height") > 0, F.col("data")).alias("data"),
+    )
+
+
+def listed_slides(listing: DataFrame, column: str = "line") -> DataFrame:
+    """``(path, slide_name)`` of the slide files named by lines of text: trimmed, without blank lines and other files."""
+    path = F.trim(F.col(column))
+    rows = listing.select(path.alias("path")).where(F.col("path").rlike(r"(?i)\.ndpi$"))
+    return rows.withColumn("slide_name", F.regexp_replace(base_name(F.col("path")), r"(?i)\.ndpi$", ""))
+
+
 def _json(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:
     reader = spark.read.schema(schema).option("multiLine", "true").option("mode", "PERMISSIVE").option("recursiveFileLookup", "true")
     return reader.json(paths).withColumn("__path", F.col("_metadata.file_path"))
@@ -74,15 +98,21 @@ def cluster_assignments(spark: SparkSession, root: str) -> DataFrame:
 
 
 def classification_files(spark: SparkSession, root: str) -> DataFrame:
+    """Classified tiles of each slide's own file; for slides without one, those of the file at the root."""
     rows = _json(spark, root, CLASSIFIED_TILE).where(F.col("__path").rlike(r"classification_results\.json$"))
-    return rows.drop("__path")
+    return per_slide_or_global(rows, root, F.col("slide_id"))
 
 
 def annotation_files(spark: SparkSession, root: str) -> DataFrame:
-    """Annotated tiles of one file for each slide folder: names with "annotation" first, then by name."""
+    """Annotated tiles of one file for each slide folder: names with "annotation" first, then by name.
+
+    A root without any JSON file is an error.
+    """
     paths = list_files(spark, root, r"\.json$").select("path", folder_of(F.col("path")).alias("slide_id"), base_name(F.col("path")).alias("name"))
     order = W.partitionBy("slide_id").orderBy(F.col("name").contains("annotation").desc(), "name")
     chosen = paths.where("name <> '_checkpoint_done.json'").withColumn("r", F.row_number().over(order)).where("r = 1").select("slide_id", F.regexp_replace("path", "^file:/+", "/").alias("p"))
+    if chosen.isEmpty():
+        raise FileNotFoundError(f"no annotation file under {root}")
     rows = _json(spark, root, ANNOTATED_TILE).withColumn("p", F.regexp_replace("__path", "^file:/+", "/")).drop("__path")
     return rows.join(chosen, "p").drop("p")
 
@@ -150,8 +180,80 @@ def write_documents(df: DataFrame, path: str, by: str = "slide_id", drop_nulls:
 
 
 def write_stage(df: DataFrame, path: str, by: str = "slide_id") -> None:
-    """A stage's table as parquet, partitioned by slide; a rerun replaces the slides it holds."""
+    """A stage's table as parquet, partitioned by slide; a rerun replaces the slides it holds. An empty marker file tells that it ended."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    spark = df.sparkSession
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    marker.getFileSystem(spark._jsc.hadoopConfiguration()).create(marker, True).close()
+
+
+def written(spark: SparkSession, path: str) -> bool:
+    """Whether a stage's table was written to its end."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
+def write_files(df: DataFrame, root: str, name: Column, content: str = "content") -> int:
+    """Writes each row's bytes (or text) as the file ``name`` under ``root``, from the tasks; returns how many were written.
+
+    ``root`` is a folder that all executors reach. A file is written aside and renamed, so a repeated task leaves no half.
+    """
+    import uuid as _uuid
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, base = FileSystem.from_uri(root if "://" in root or root.startswith("/") else f"file:///{root}")
+        for pdf in batches:
+            n = 0
+            for to, data in zip(pdf["__to"], pdf["__data"]):
+                if to is None or data is None:
+                    continue
+                path = f"{base.rstrip('/')}/{to}"
+                system.create_dir(path.rsplit("/", 1)[0], recursive=True)
+                aside = f"{path}.{_uuid.uuid4().hex}"
+                with system.open_output_stream(aside) as f:
+                    f.write(data.encode() if isinstance(data, str) else bytes(data))
+                system.move(aside, path)
+                n += 1
+            yield pd.DataFrame({"n": [n]})
+
+    rows = df.select(name.alias("__to"), F.col(content).alias("__data"))
+    return rows.mapInPandas(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()[0]
+
+
+def write_markers(status: DataFrame, root: str) -> int:
+    """A ``_checkpoint_done.json`` in each slide's folder, from rows ``slide_id, result``."""
+    text = status.withColumn("content", F.to_json(F.struct("slide_id", "result")))
+    return write_files(text, root, F.concat("slide_id", F.lit("/_checkpoint_done.json")))
+
+
+def qa_batch_documents(batched: DataFrame, annotated: DataFrame) -> DataFrame:
+    """``(name, content)``: ``batch_N/cell_labels.json`` for each batch of tiles, with the annotations of those tiles.
+
+    ``batched`` has ``slide_id, tile_name, batch``; ``annotated`` has a tile's ``slide_id, tile_name, tile_path, magnification, x, y,
+    cells``. A batch holds what a labelling session takes, so one document is small.
+    """
+    fields = ("slide_id", "tile_name", "tile_path", "magnification", "x", "y", "cells")
+    tiles = batched.select("slide_id", "tile_name", "batch").join(annotated.select(*fields), ["slide_id", "tile_name"])
+    one = tiles.groupBy("batch").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("tiles"))
+    text = F.to_json(F.struct("batch", "tiles"), {"ignoreNullFields": "false"})
+    return one.select(F.concat(F.lit("batch_"), F.col("batch").cast("string"), F.lit("/cell_labels.json")).alias("name"), text.alias("content"))
+
+
+def qa_manifest_document(sample: DataFrame, parameters: dict) -> DataFrame:
+    """``(name, content)``: one ``manifest.json`` with the run's parameters, totals by batch and the tiles of ``sample``
+    (``batch, slide_id, tile_name, cell_count`` and what else it has)."""
+    per = sample.groupBy("batch").agg(F.count(F.lit(1)).alias("tiles"), F.sum("cell_count").alias("cells"))
+    batches = per.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.concat(F.lit("batch_"), F.col("batch").cast("string")), F.struct("tiles", "cells"))))).alias("batches"))
+    tiles = sample.agg(F.sort_array(F.collect_list(F.struct("batch", "slide_id", "tile_name", *[c for c in sample.columns if c not in ("batch", "slide_id", "tile_name")]))).alias("tiles"), F.sum("cell_count").alias("total_cells_sampled"))
+    head = [F.lit(v).alias(k) for k, v in parameters.items()]
+    body = F.struct(*head, F.size("tiles").alias("total_tiles_sampled"), "total_cells_sampled", "batches", "tiles")
+    return batches.crossJoin(tiles).select(F.lit("manifest.json").alias("name"), F.to_json(body, {"ignoreNullFields": "false"}).alias("content"))  # one row each
+
+
+def human_label_list(spark: SparkSession, root: str) -> DataFrame:
+    """``(path, name)`` of the saved label files, by name."""
+    files = list_files(spark, root, r"human_labels_[^/]*\.json$")
+    return files.select("path", base_name(F.col("path")).alias("name")).orderBy("name", "path")
 
 
 def write_archive(df: DataFrame, name: str, text: str, path: str) -> int:

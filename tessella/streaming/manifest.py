@@ -1,4 +1,4 @@
-"""Incremental runs: a stage takes up the slides that a manifest announces, each exactly once."""
+"""Incremental runs: a stage takes up the slides that a manifest announces for it, each exactly once."""
 
 from __future__ import annotations
 
@@ -7,23 +7,35 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.status import read_status, record_status
+
 MANIFEST = "slide_id STRING, stage STRING, announced_at TIMESTAMP"
 
 
 def announce(slides: DataFrame, stage: str, path: str) -> None:
-    """Appends slides to a manifest folder, after the stage's output is there."""
+    """Appends slides that are ready for ``stage`` to a manifest folder, after the output that it needs is there."""
     slides.select("slide_id", F.lit(stage).alias("stage"), F.current_timestamp().alias("announced_at")).write.mode("append").parquet(path)
 
 
-def follow(spark: SparkSession, manifest: str, checkpoint: str, stage: Callable[[DataFrame, int], None], files_per_batch: int = 100) -> None:
-    """Runs ``stage`` on all slides announced since the last call, in batches, then stops.
+def follow(spark: SparkSession, manifest: str, checkpoint: str, stage: str, work: Callable[[DataFrame, int], None], status: str, files_per_batch: int = 100) -> None:
+    """Runs ``work`` on all slides announced for ``stage`` since the last call, in batches, then stops.
 
-    The checkpoint remembers which manifest files were taken; a slide announced again within the
-    watermark of a day reaches the stage once.
+    The checkpoint remembers which manifest files were taken, the table ``status`` which slides the stage has done: a
+    slide announced again, however late, is left out. A batch that is run again after a failure gets the
+    same slides as before, because a batch does not count its own status rows; ``work`` has to replace its output.
+    Announcements without a slide are left out.
     """
+
+    def run(batch: DataFrame, number: int) -> None:
+        done = read_status(spark, status).where((F.col("stage") == stage) & (F.col("batch") != number)).select("slide_id")
+        slides = batch.where(F.col("stage") == stage).where("slide_id IS NOT NULL").select("slide_id").distinct().join(done, "slide_id", "left_anti")
+        if slides.isEmpty():
+            return
+        work(slides, number)
+        record_status(slides, stage, number, status)
+
     stream = spark.readStream.schema(MANIFEST).option("maxFilesPerTrigger", files_per_batch).parquet(manifest)
-    once = stream.withWatermark("announced_at", "1 day").dropDuplicatesWithinWatermark(["slide_id"])
-    q = once.writeStream.foreachBatch(stage).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
 
 

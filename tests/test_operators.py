@@ -1,3 +1,4 @@
+import pytest
 import zipfile
 from datetime import datetime
 
@@ -59,10 +60,10 @@ def test_density_forms_agree(spark):
     rng = np.random.default_rng(1)
     pts = [(i % 2, i, (rng.normal(0, 0.1, 3) + (i // 10 % 3)).tolist()) for i in range(120)]
     p = spark.createDataFrame(pts, "g int, k long, v array<double>")
-    a = {(r.k): r.cluster_id for r in density.cluster_slides(p, "g", "k", "v", 4, 0.3).collect()}
+    a = {(r.k): r.cluster_id for r in density.density_clusters(p, "g", "k", "v", 4, 0.3).collect()}
     b = {(r.k): r.cluster_id for r in density.density_labels(p, density.range_edges(p, "g", "k", "v", 0.3), "g", "k", 4).collect()}
     assert a == b and max(a.values()) >= 2
-    few = density.cluster_slides(p.where("k < 3"), "g", "k", "v", 5).collect()
+    few = density.density_clusters(p.where("k < 3"), "g", "k", "v", 5).collect()
     assert {r.cluster_id for r in few} == {-1}
 
 
@@ -174,3 +175,117 @@ def test_addresses(spark):
 
     row = spark.range(1).select(names.tile_uri(F.lit("/x/INPUT_prepped_tiles_path/s/t.png"), F.lit("store://b//")).alias("u"), names.safe_file_name(F.lit("a b/ü.png")).alias("f")).first()
     assert row.u == "store://b/s/t.png" and row.f == "a_b_ü.png"
+
+
+def test_manifest_by_stage_and_backlog(spark, tmp_path):
+    """Two stages, a backlog of days out of order, repeats: every slide reaches its stage once, also when a batch is run again."""
+    import datetime
+
+    from tessella.streaming.manifest import follow, to_table
+
+    day = lambda n: datetime.datetime(2024, 1, n)
+    send = lambda *rows: spark.createDataFrame(list(rows), "slide_id string, stage string, announced_at timestamp").coalesce(1).write.mode("append").parquet(str(tmp_path / "m"))
+    go = lambda stage, check: follow(spark, str(tmp_path / "m"), str(tmp_path / check), stage, to_table(str(tmp_path / stage), lambda b: b), str(tmp_path / "status"), 1)
+    send(("A", "segment", day(1)), ("A", "cluster", day(1)), (None, "segment", day(1)))
+    send(("B", "segment", day(6)))
+    go("segment", "c1")
+    send(("C", "segment", day(3)), ("A", "segment", day(9)))
+    go("segment", "c1")
+    go("cluster", "c2")
+    read = lambda stage: sorted(r.slide_id for r in spark.read.parquet(str(tmp_path / stage)).collect())
+    assert read("segment") == ["A", "B", "C"] and read("cluster") == ["A"]
+    go("segment", "c3")  # another checkpoint: the status table alone keeps slides from running again
+    assert read("segment") == ["A", "B", "C"]
+
+
+def test_unreadable_and_grey_tiles(spark):
+    from tessella.kernels.raster import write_png
+
+    grey = np.tile(np.array([[0, 255] * 4, [255, 0] * 4], np.uint8), (4, 1)).repeat(3, axis=0).repeat(3, axis=1)
+    rows = [("grey.png", bytearray(write_png(grey))), ("photo.jpg", bytearray(b"\xff\xd8 no png")), ("broken.png", bytearray(write_png(grey)[:40])), ("none.png", None)]
+    got = {r.path: r for r in quality.filtered(quality.image_stats(spark.createDataFrame(rows, "path string, content binary"))).collect()}
+    assert got["grey.png"].useful and got["grey.png"].color_variance is None
+    for name in ("photo.jpg", "broken.png", "none.png"):
+        assert got[name].rejection_reasons == ["unreadable"] and not got[name].useful
+
+
+def test_images_of_all_formats(spark, tmp_path):
+    """PNG and JPEG decode through the engine's image source; a broken file has no pixels; thumbnails and masks are no tiles."""
+    from tessella.kernels.raster import write_png
+    from tessella.sources.files import decoded_images
+
+    folder = tmp_path / "slide"
+    folder.mkdir()
+    px = np.zeros((16, 16, 3), np.uint8)
+    px[:, :8] = (200, 40, 10)
+    for name in ("a.png", "x__THUMBNAIL.png", "a_mask.png"):
+        (folder / name).write_bytes(write_png(px))
+    (folder / "c.tif").write_bytes(b"broken")
+    jvm = spark._jvm
+    image = jvm.javax.imageio.ImageIO.read(jvm.java.io.File(str(folder / "a.png")))
+    assert jvm.javax.imageio.ImageIO.write(image, "jpg", jvm.java.io.File(str(folder / "b.jpg")))
+    got = {r.tile_name: r for r in decoded_images(spark, str(tmp_path)).collect()}
+    assert set(got) == {"a", "b", "c"} and got["c"].data is None and got["a"].slide_id == "slide"
+    assert list(got["a"].data[:3]) == [10, 40, 200] and abs(got["b"].data[2] - 200) < 12
+    stats = {r.tile_name: r for r in quality.filtered(quality.decoded_stats(decoded_images(spark, str(tmp_path)), ["tile_name"])).collect()}
+    assert stats["c"].rejection_reasons == ["unreadable"] and abs(stats["a"].mean_intensity - stats["b"].mean_intensity) < 3
+
+
+def test_masks_of_equal_tile_names(spark):
+    """The same tile name in two slides: each tile keeps its own mask, and a failing tile does not take its batch along."""
+    rows = [("s1", "t", 2, [0, 255, 255, 255]), ("s2", "t", 2, [255, 255, 255, 0]), ("s2", "u", 2, [9, 9, 9, 9])]
+    tiles = spark.createDataFrame(rows, "slide_id string, tile_name string, width int, gray array<int>")
+    got = {(r.slide_id, r.tile_name): r.labels for r in masks.threshold_segment(tiles, ["slide_id", "tile_name"]).collect()}
+    assert got == {("s1", "t"): [1, 0, 0, 0], ("s2", "t"): [0, 0, 0, 1], ("s2", "u"): [1, 1, 1, 1]}
+
+    def model(rasters):
+        if any((g == 9).all() for g in rasters):
+            raise RuntimeError("too dark")
+        return [g < 100 for g in rasters]
+
+    out = {(r.slide_id, r.tile_name): (r.labels, r.error) for r in masks.batched_segmenter(model, ["slide_id", "tile_name"])(tiles).collect()}
+    assert out[("s2", "u")] == (None, "too dark") and out[("s1", "t")] == ([1, 0, 0, 0], None)
+    assert masks.missing_masks(tiles, tiles.where("slide_id = 's1'"), ["slide_id", "tile_name"]).count() == 2
+
+
+def test_grid_edges_equal_all_pairs(spark):
+    """The grid loses no pair within reach, in several blocks of a cell too."""
+    rng = np.random.default_rng(4)
+    x = rng.uniform(-1, 1, (300, 3))
+    p = spark.createDataFrame([("g", f"k{i}", v.tolist()) for i, v in enumerate(x)], "g string, k string, v array<double>")
+    got = {(r.a, r.b) for r in density.range_edges(p, "g", "k", "v", 0.3).collect()}
+    d = np.linalg.norm(x[:, None] - x[None], axis=2)
+    assert got == {(f"k{i}", f"k{j}") for i, j in zip(*np.nonzero(d <= 0.3))}
+
+
+def test_text_labels_and_empty_evaluation(spark):
+    human = spark.createDataFrame([("t", i, "tumour" if i < 3 else "other") for i in range(5)], "tile_name string, cell_id int, human_label string")
+    model = spark.createDataFrame([("t", i, 7 if i < 3 else 2**60) for i in range(5)], "tile_name string, cell_id int, model_label long")
+    out = evaluate.evaluation(human, model, ["tile_name", "cell_id"], ["tile_name"])
+    assert out["summary"].first().accuracy == 1.0
+    row = out["confusion"].first()
+    assert row.labels == ["other", "tumour"] and row.matrix == [[2, 0], [0, 3]]
+    with pytest.raises(evaluate.NothingToCompare):
+        evaluate.evaluation(human, model.where("cell_id > 9"), ["tile_name", "cell_id"], ["tile_name"])
+
+
+def test_crops_and_painting(spark):
+    from tessella.kernels.draw import centre_crop, enlarged, resize
+    from tessella.kernels.raster import read_png, write_png
+    from tessella.operators import crops
+
+    px = np.arange(6 * 5 * 3, dtype=np.uint8).reshape(6, 5, 3)
+    assert (centre_crop(px, 4) == px[1:5, 0:4]).all() and enlarged(512, 1.5) == (768, 128)
+    assert (resize(px, 5, 6) == px).all() and resize(px, 3, 2, "bicubic").shape == (2, 3, 3)
+    flat = np.full((9, 9), 77, np.uint8)
+    assert (resize(flat, 4, 20) == 77).all()
+    tiles = spark.createDataFrame([("s", "t", bytearray(write_png(px))), ("s", "bad", bytearray(b"x"))], "slide_id string, tile_name string, content binary")
+    cells = spark.createDataFrame([("s", "t", 1, [1, 2, 4, 9]), ("s", "t", 2, [2, 2, 2, 4]), ("s", "t", 3, None), ("s", "bad", 1, [0, 0, 1, 1]), ("s", "no", 1, [0, 0, 1, 1])], "slide_id string, tile_name string, label_id int, bbox array<int>")
+    got = {(r.tile_name, r.label_id): r for r in crops.cell_crops(cells, tiles).collect()}
+    cut = read_png(bytes(got[("t", 1)].crop))
+    assert cut.shape == (7, 3, 3) and (cut[:4] == px[2:6, 1:4]).all() and (cut[4:] == 0).all()
+    assert {k: r.error for k, r in got.items() if r.error} == {("t", 2): crops.TILE_FAILED, ("t", 3): crops.TILE_FAILED, ("bad", 1): crops.TILE_FAILED, ("no", 1): crops.TILE_NOT_FOUND}
+    commands = spark.createDataFrame([("s", "t", 1, [1, 2, 3], [0, 0, 4, 5], None)], "slide_id string, tile_name string, cell_id int, color array<int>, box array<int>, outline array<array<int>>")
+    shown = read_png(bytes(crops.painted(tiles, commands).first().content))
+    assert shown[0, 0].tolist() == [3, 2, 1] and shown[2, 2].tolist() == px[2, 2].tolist()
+    assert read_png(bytes(crops.thumbnails(tiles, 3).first().content)).shape == (3, 2, 3)
