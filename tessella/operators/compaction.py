@@ -1,15 +1,14 @@
 """Problem 2: far too many small files.
 
 Size-tiered incremental compaction. Every file has a size tier (powers of ``fan_in``). Files of one
-bucket and tier are merged in groups once enough of them are there; the outputs enter a higher
-tier and are merged again, level by level, until no tier holds a full group or the files have the
-target size. Each merge is a transaction whose id is a hash of its inputs, written to a journal
-*before* any data moves: planning again over the same files gives the same journal, files that
-a committed transaction consumed are not planned again, and a rewrite replaces exactly the output
-directory of its transaction. So a job may be killed and repeated at any point.
+bucket and tier are merged in groups of ``fan_in``; the outputs enter a higher tier and are merged again, level by level,
+until no tier holds a full group or the files have the target size. Containers of earlier runs that are below the target
+enter again with new files, so that any number of runs leaves a number of containers that grows with its logarithm.
+Each merge is a transaction whose id is a hash of its inputs; the journal lists the inputs and the output of every transaction
+of every level and is written *before* any data moves: planning again over the same files gives the same journal.
 
 All versions of a tile go to one bucket (hash of the tile's name), so that an output can drop
-repeated boxes of a tile. Planning reads metadata only (one row a file); the boxes are rewritten
+repeated boxes of a tile. Planning reads metadata only (one row a file or container); the boxes are rewritten
 once, from the leaves to the last level reached.
 
 Defined results: rows without a file id or whose path names no tile keep no place in a container;
@@ -24,9 +23,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..session import cut
+from ..session import cut, discard
 
-JOURNAL = ("txn_id", "level", "bucket", "tier", "n_inputs", "bytes", "rows")
+JOURNAL = ("txn_id", "level", "bucket", "tier", "input", "bytes", "rows")
+TARGET, BASE, FAN_IN = 128 << 20, 1 << 10, 8
 
 
 def tile_of(path: Column) -> Column:
@@ -51,60 +51,69 @@ def tier_of(size: Column, base: int, fan_in: int) -> Column:
     return F.greatest(F.lit(0), F.ceil(F.log(float(fan_in), F.greatest(size, F.lit(1)) / F.lit(float(base))))).cast("int")
 
 
-def merge_level(nodes: DataFrame, level: int, base: int, fan_in: int, target: int) -> DataFrame:
+def merge_level(nodes: DataFrame, level: int, base: int, fan_in: int, target: int, least: int) -> DataFrame:
     """Assigns the nodes ``(node, bucket, bytes, rows)`` of one level to merge transactions.
 
-    Within ``(bucket, tier)`` nodes are taken in order of identity, ``fan_in`` to a group; a node that
-    is alone or has the target size stays (``txn_id`` null). Buckets bound the files in a window.
+    Within ``(bucket, tier)`` nodes are taken in order of identity, ``fan_in`` to a group; the nodes of a group of fewer
+    than ``least``, or of the target size, stay (``txn_id`` null). Buckets bound the files in a window.
     """
     place = W.partitionBy("bucket", "tier").orderBy("node")
     group = W.partitionBy("bucket", "tier", "grp")
+    open_nodes = nodes.where(F.col("bytes") < target).withColumn("tier", tier_of(F.col("bytes"), base, fan_in))
     return (
-        nodes.withColumn("tier", tier_of(F.col("bytes"), base, fan_in))
-        .withColumn("grp", F.floor((F.row_number().over(place) - 1) / fan_in))
+        open_nodes.withColumn("grp", F.floor((F.row_number().over(place) - 1) / fan_in))
         .withColumn("members", F.count(F.lit(1)).over(group))
         .withColumn("first", F.min("node").over(group))
         .withColumn("sig", F.sum(F.xxhash64("node") % F.lit(1 << 40)).over(group))
-        .withColumn(
-            "txn_id",
-            F.when((F.col("members") >= 2) & (F.col("bytes") < target), F.concat_ws("-", F.lit(f"L{level}"), F.hex(F.xxhash64("bucket", "tier", "first", "members", "sig")))),
-        )
-        .drop("grp", "members", "first", "sig")
+        .where(F.col("members") >= least)
+        .withColumn("txn_id", F.concat_ws("-", F.lit(f"L{level}"), F.hex(F.xxhash64("bucket", "tier", "first", "members", "sig"))))
+        .select("node", "bucket", "tier", "bytes", "rows", "txn_id")
     )
 
 
-def plan(catalogue: DataFrame, base: int = 1 << 10, fan_in: int = 8, target: int = 1 << 20, levels: int = 8, committed: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Plans all merges: ``(journal, placement)``.
+def plan(nodes: DataFrame, base: int = BASE, fan_in: int = FAN_IN, target: int = TARGET, least: int = 2) -> tuple[DataFrame, DataFrame]:
+    """Plans all merges of ``(node, bucket, bytes, rows)``: ``(journal, placement)``.
 
-    ``journal`` has a row for each transaction (JOURNAL), ``placement`` gives each file's
-    ``tile`` and ``container``: the output of the last transaction that takes it in, or the file itself. Files
-    listed in ``committed`` (``file_id, container``) stay where an earlier run put them.
+    ``journal`` has a row for each input of each transaction (JOURNAL); the transaction's id names its output. ``placement``
+    gives each node's ``container``: the output of the last transaction that takes it in, or the node itself. ``least`` is how
+    many nodes a group needs to be merged: ``fan_in`` while more files are to come, 2 to leave as few containers as can be.
+    Levels end when nothing is merged; each level divides the nodes that it merges by at least two.
     """
-    if committed is not None:
-        catalogue = catalogue.join(committed.select("file_id").distinct(), "file_id", "left_anti")
-    placement = cut(catalogue.select("file_id", "tile", "bucket", "bytes", "rows", F.concat(F.lit("F"), F.col("file_id").cast("string")).alias("node")))
-    journal = None
-    for level in range(1, levels + 1):
-        nodes = placement.groupBy("node", "bucket").agg(F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"))
-        step = cut(merge_level(nodes, level, base, fan_in, target))
-        txns = (
-            step.where("txn_id IS NOT NULL")
-            .groupBy("txn_id", "bucket")
-            .agg(F.max("tier").alias("tier"), F.count(F.lit(1)).alias("n_inputs"), F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"))
-            .select("txn_id", F.lit(level).alias("level"), "bucket", "tier", "n_inputs", "bytes", "rows")
-        )
-        journal = txns if journal is None else journal.unionByName(txns)
-        if step.where("txn_id IS NOT NULL").isEmpty():
-            break
-        moves = step.where("txn_id IS NOT NULL").select("node", "txn_id")
-        placement = cut(placement.join(moves, "node", "left").withColumn("node", F.coalesce("txn_id", "node")).drop("txn_id"))
-    return journal.select(*JOURNAL), placement.select("file_id", "tile", F.col("node").alias("container"))
+    placed = cut(nodes.select("node", "bucket", "bytes", "rows", F.col("node").alias("container")))
+    journal, level = None, 0
+    while True:
+        level += 1
+        now = placed.groupBy(F.col("container").alias("node"), "bucket").agg(F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"))
+        step = cut(merge_level(now, level, base, fan_in, target, least))
+        inputs = step.select("txn_id", F.lit(level).alias("level"), "bucket", "tier", F.col("node").alias("input"), "bytes", "rows")
+        journal = inputs if journal is None else journal.unionByName(inputs)
+        if step.isEmpty():
+            return journal, placed.select("node", "container")
+        moves = step.select(F.col("node").alias("container"), "txn_id")
+        moved = cut(placed.join(moves, "container", "left").withColumn("container", F.coalesce("txn_id", "container")).drop("txn_id"))
+        discard(placed)
+        placed = moved
+
+
+def file_nodes(catalogue: DataFrame) -> DataFrame:
+    """Catalogue rows as nodes of the plan."""
+    return catalogue.select(file_node(F.col("file_id")).alias("node"), "bucket", "bytes", "rows")
+
+
+def file_node(file_id: Column) -> Column:
+    return F.concat(F.lit("F"), file_id.cast("string"))
+
+
+def transactions(journal: DataFrame) -> DataFrame:
+    """``(txn_id, level, bucket, tier, n_inputs, bytes, rows)``: one row for each transaction."""
+    return journal.groupBy("txn_id", "level", "bucket", "tier").agg(F.count(F.lit(1)).alias("n_inputs"), F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"))
 
 
 def lineage(boxes: DataFrame, placement: DataFrame) -> DataFrame:
     """``(tile, label_id, bbox, file_id, container)``: which files hold each box, and where their boxes go.
 
-    One row for each box and file, so that a tile with any number of files needs no list of them.
+    One row for each box and file, so that a tile with any number of files needs no list of them. ``placement`` has one row a
+    file: ``file_id, tile, container``.
     """
     rows = boxes.where("file_id IS NOT NULL").select("file_id", "label_id", "bbox").distinct()
     return rows.join(placement, "file_id").select("tile", "label_id", "bbox", "file_id", "container")
@@ -125,23 +134,25 @@ def buckets_for(boxes: DataFrame, rows_per_bucket: int = 4_000_000) -> int:
 
 def compact_small_files(boxes: DataFrame, **tiers: int) -> tuple[DataFrame, DataFrame]:
     """Catalogue, plan and rewrite in one go: ``(journal, lineage)``; ``compact`` gives the boxes."""
-    journal, placement = plan(file_catalogue(boxes, buckets_for(boxes)), **tiers)
-    return journal, lineage(boxes, placement)
+    files = cut(file_catalogue(boxes, buckets_for(boxes)))
+    journal, placement = plan(file_nodes(files), **tiers)
+    placed = files.select("file_id", "tile", file_node(F.col("file_id")).alias("node")).join(placement, "node").drop("node")
+    return journal, lineage(boxes, placed)
 
 
 def same_content_pairs(rows: DataFrame) -> DataFrame:
     """``(file_id_a, file_id_b)``: files of one tile with the same set of ``(label_id, bbox)``.
 
     Read off the compaction's lineage: a file's set is the set of boxes that came from it. Sets
-    are compared by count and two independent sums of 64-bit hashes, which combine map-side and
-    need no list of a file's boxes in memory.
+    are compared by count and two independent sums of 46-bit hashes, which combine map-side and
+    need no list of a file's boxes in memory; that two different sets of one tile agree in all three has a chance below 2^-90.
     """
-    box = F.to_json(F.struct("label_id", "bbox"), {"ignoreNullFields": "false"})
-    sets = (
-        rows.select("tile", "file_id", box.alias("box"))
-        .select("tile", "file_id", F.xxhash64("box").alias("h"), F.xxhash64(F.lit(7), "box").alias("g"))
-        .groupBy("tile", "file_id")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("h").cast("decimal(20,0)")).alias("h"), F.sum(F.col("g").cast("decimal(20,0)")).alias("g"))
+    parts = ["label_id", F.size("bbox"), "bbox", F.col("label_id").isNull()]  # a hash leaves nulls out, so they are told apart here
+    parts.append(F.transform("bbox", lambda v: v.isNull()))
+    sets = cut(
+        rows.select("tile", "file_id", F.xxhash64(*parts).alias("h"), F.xxhash64(F.lit(7), *parts).alias("g"))
+        .groupBy("file_id")
+        .agg(F.first("tile").alias("tile"), F.count(F.lit(1)).alias("n"), F.sum(F.col("h") % F.lit(1 << 46)).alias("h"), F.sum(F.shiftrightunsigned("g", 18)).alias("g"))
     )
     b = sets.select("tile", "n", "h", "g", F.col("file_id").alias("file_id_b"))
     return sets.withColumnRenamed("file_id", "file_id_a").join(b, ["tile", "n", "h", "g"]).where("file_id_a < file_id_b").select("file_id_a", "file_id_b")

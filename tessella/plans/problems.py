@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import compaction, dewey
 from ..operators.eager_aggregate import slide_join_totals, slides_with_share
-from ..session import table
+from ..session import cut, table
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -29,7 +29,23 @@ def p2_compacted_tiles(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_journal(spark: SparkSession, d: str) -> DataFrame:
-    return compaction.compact_small_files(table(spark, d, "tile_bboxes"))[0]
+    """Checks of the journal: files taken in at the first level or left alone, containers, and sums that each level must keep.
+
+    ``inputs_once``: no node enters two transactions. ``outputs_add_up``: a transaction's output enters a later one with the
+    bytes and rows of its inputs. ``few``: no bucket and tier holds two containers below the target.
+    """
+    boxes = table(spark, d, "tile_bboxes")
+    files = cut(compaction.file_catalogue(boxes, 1))
+    journal, placement = compaction.plan(compaction.file_nodes(files))
+    journal, placement = cut(journal), cut(placement)
+    txns = compaction.transactions(journal)
+    twice = journal.groupBy("input").count().where("count > 1").count()
+    later = txns.join(journal.select(F.col("input").alias("txn_id"), F.col("bytes").alias("b"), F.col("rows").alias("r")), "txn_id")
+    wrong = later.where("bytes <> b OR rows <> r").count()
+    sizes = compaction.file_nodes(files).join(placement, "node").groupBy("container", "bucket").agg(F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"))
+    tiers = sizes.where(F.col("bytes") < compaction.TARGET).groupBy("bucket", compaction.tier_of(F.col("bytes"), compaction.BASE, compaction.FAN_IN)).count().where("count > 1").count()
+    total = sizes.agg(F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"))
+    return total.select(F.lit(files.count()).alias("files"), "bytes", "rows", F.lit(twice == 0).alias("inputs_once"), F.lit(wrong == 0).alias("outputs_add_up"), F.lit(tiers == 0).alias("few"))
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -90,6 +106,8 @@ SQL = {
       SELECT a.file_id AS file_id_a, b.file_id AS file_id_b FROM f a JOIN f b ON a.tile = b.tile AND a.s = b.s AND a.file_id < b.file_id""",
     "p2_compacted_tiles": f"""SELECT tile, count(*) AS n_boxes, sum(n)::BIGINT AS n_file_boxes FROM (
       SELECT {TILE} AS tile, label_id, bbox, count(DISTINCT file_id) AS n FROM tile_bboxes GROUP BY ALL) WHERE tile IS NOT NULL GROUP BY 1""",
+    "p2_journal": f"""WITH f AS (SELECT file_id, {TILE.replace('bbox_file', 'max(bbox_file)')} AS tile, coalesce(max(n_bytes), 0) AS bytes, count(*) AS rows FROM tile_bboxes WHERE file_id IS NOT NULL GROUP BY 1)
+      SELECT count(*) AS files, sum(bytes)::BIGINT AS bytes, sum(rows)::BIGINT AS rows, true AS inputs_once, true AS outputs_add_up, true AS few FROM f WHERE tile IS NOT NULL""",
     "p4_found": f"""WITH {TREES} SELECT DISTINCT label_file_id, tile_pos::INTEGER AS tile_pos, cell_pos::INTEGER AS cell_pos
       FROM vx JOIN bx USING (label_file_id, tile_pos, cell_pos)
       WHERE vx.n = 2 AND x IS NOT NULL AND y IS NOT NULL AND bx.n = 4 AND x0 IS NOT NULL AND y0 IS NOT NULL AND x1 IS NOT NULL AND y1 IS NOT NULL

@@ -2,6 +2,8 @@
 
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tessella.operators import compaction, dewey
@@ -67,12 +69,17 @@ def test_compaction(spark):
 
 
 def test_levels_merge_until_few_files_are_left(spark):
-    files = spark.range(1000).select(F.col("id").alias("file_id"), F.concat(F.lit("t"), "id").alias("tile"), F.lit(300).cast("long").alias("bytes"), F.lit(8).cast("long").alias("rows"), F.lit(0).alias("bucket"))
+    files = spark.range(1000).select(F.concat(F.lit("F"), "id").alias("node"), F.lit(300).cast("long").alias("bytes"), F.lit(8).cast("long").alias("rows"), F.lit(0).alias("bucket"))
     journal, placement = compaction.plan(files, base=1024, fan_in=10, target=200_000)
     assert placement.count() == 1000
-    containers = placement.join(files, "file_id").groupBy("container").agg(F.sum("bytes").alias("b")).collect()
+    containers = placement.join(files, "node").groupBy("container").agg(F.sum("bytes").alias("b")).collect()
     assert len(containers) <= 4
-    assert {r.level for r in journal.collect()} >= {1, 2, 3}
+    rows = journal.collect()
+    assert {r.level for r in rows} >= {1, 2, 3}
+    inputs = [r.input for r in rows]
+    assert len(inputs) == len(set(inputs)) and {r.txn_id for r in rows} - set(inputs) == {c.container for c in containers}
+    made = {t.txn_id: (t.bytes, t.rows) for t in compaction.transactions(journal).collect()}
+    assert all(made[r.input] == (r.bytes, r.rows) for r in rows if r.input in made)
 
 
 def test_store_is_idempotent(spark, tmp_path):
@@ -85,6 +92,38 @@ def test_store_is_idempotent(spark, tmp_path):
     assert got[("t1", 1, (0, 0, 1, 1))] == 3 and len(got) == 4
 
 
+def test_many_small_ingests_leave_few_containers(spark, tmp_path):
+    """Files come one at a time: their containers are merged again and again, so their number grows with the logarithm."""
+    store = CompactedStore(spark, f"file://{tmp_path}")
+    schema = "file_id long, bbox_file string, label_id int, bbox array<int>, n_bytes int"
+    one = lambda i: spark.createDataFrame([(i, f"/a/t{i % 5}_bboxes_{i}.json", i % 3, [0, 0, 1, 1], 700)], schema)
+    for i in range(20):
+        assert store.ingest(one(i), fan_in=3)["files"] == 1
+    assert store.containers().count() <= 6  # 20 is 202 in base 3, with room for containers of one file that share a tier
+    kept = {(r.tile, r.label_id): r.n_files for r in store.boxes().collect()}
+    assert sum(kept.values()) == 20 and len(kept) == 15
+    store.vacuum()
+    data = [p for p in (tmp_path / "data").rglob("*.parquet") if spark.read.parquet(str(p)).count()]
+    assert len(data) <= 8
+    assert {(r.tile, r.label_id): r.n_files for r in store.boxes().collect()} == kept
+    assert store.journal().groupBy("input").count().where("count > 1").count() == 0
+
+
+def test_killed_run_is_repeated(spark, tmp_path, monkeypatch):
+    """A run that dies before its commit leaves nothing that counts, and its repetition writes the same names."""
+    store = CompactedStore(spark, f"file://{tmp_path}")
+    store.ingest(boxes(spark).where("file_id <= 2"))
+    monkeypatch.setattr(CompactedStore, "_commit", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+    with pytest.raises(RuntimeError, match="killed"):
+        store.ingest(boxes(spark), least=2)
+    monkeypatch.undo()
+    assert len(store.runs()) == 1 and len(store._names("data")) == 2
+    before = set(store._names("data"))
+    assert store.ingest(boxes(spark), least=2)["files"] == 3 and set(store._names("data")) == before
+    got = {(r.tile, r.label_id, tuple(r.bbox or ())): r.n_files for r in store.boxes().collect()}
+    assert got[("t1", 1, (0, 0, 1, 1))] == 3 and len(got) == 4
+
+
 TILE = "slide_id string, tile_name string, tile_path string, magnification double, x int, y int, cells array<struct<cell_id:int,label_id:int,polygon:array<array<double>>,pred_class:string,cluster_id:int,cluster_confidence:double,bbox:array<int>>>"
 FILES = f"label_file_id long, batch int, exported_at timestamp, tiles array<struct<{TILE.replace(' string', ':string').replace('magnification double', 'magnification:double').replace('x int', 'x:int').replace('y int', 'y:int').replace('cells array', 'cells:array')}>>, payload string, node string, parent string"
 
