@@ -9,7 +9,9 @@ prefix sums of tokens. No source exceeds ``max_repeats`` epochs.
 Prefix sums are two-level: keys fall into buckets that partition a source's key order; tokens are
 summed per (source, bucket), the bucket offsets are cumulated over that bounded table, and only within the
 bucket that the budget cuts are rows ordered. So a source with a third of all rows is never
-ordered in one task.
+ordered in one task. Buckets are cut by the keys' own distribution: with a share p_j of weights w_j (in LEVELS steps)
+a key is below t with probability 1 - sum of p_j exp(-w_j t), so buckets hold about equally many documents whatever the
+weights, and there is one for every PER_BUCKET documents. The texts are read once.
 
 Defined results: sources agree up to case and any character that is no letter or digit; documents of a null
 or unlisted source and null texts take no part; a source without documents has size 0; a null
@@ -22,9 +24,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..session import cut
 from .packing import byte_tokens
 
-BUCKETS = 1024
+PER_BUCKET, LEVELS = 16384, 16
 
 
 def source_key(source: Column) -> Column:
@@ -52,14 +55,19 @@ def listed_documents(docs: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def budgets(docs: DataFrame, targets: DataFrame) -> DataFrame:
-    """One row a target source: ``source, skey, target_share, max_repeats, size, total, budget, capped, epochs, rest``.
+    """``budgets_of`` the listed documents."""
+    return budgets_of(listed_documents(docs, targets), targets)
+
+
+def budgets_of(listed: DataFrame, targets: DataFrame) -> DataFrame:
+    """One row a target source, from ``listed_documents``: ``source, skey, target_share, max_repeats, size, total, budget, capped, epochs, rest``.
 
     ``capped`` marks a source that cannot reach its share: ``max_repeats * size < target_share * total``.
     ``epochs`` complete passes and ``rest`` tokens of a further one make up what is used.
     """
-    sizes = listed_documents(docs, targets).groupBy("skey").agg(F.sum("size").alias("size"))
+    sizes = listed.groupBy("skey").agg(F.sum("size").alias("size"))
     t = targets.select("source", source_key(F.col("source")).alias("skey"), F.coalesce("target_share", F.lit(0.0)).alias("target_share"), F.coalesce("max_repeats", F.lit(0)).alias("max_repeats"))
-    spark = docs.sparkSession
+    spark = listed.sparkSession
     joined = t.join(sizes, "skey", "left").withColumn("size", F.coalesce("size", F.lit(0).cast("long")))
     total = spark.sql("SELECT *, (SELECT coalesce(sum(size), 0) FROM {sizes}) AS total FROM {joined}", sizes=sizes, joined=joined)
     want = F.col("target_share") * F.col("total")
@@ -74,17 +82,27 @@ def budgets(docs: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, targets: DataFrame, seed: int = 17) -> DataFrame:
-    """``(doc_id, source, size, repeats)``: how often each document is used (0 times: no row).
+    """``(doc_id, source, size, repeats)``: how often each document is used (0 times: no row)."""
+    listed = cut(listed_documents(docs, targets))
+    return mixed(listed, cut(budgets_of(listed, targets)), seed)
+
+
+def mixed(listed: DataFrame, plan: DataFrame, seed: int = 17) -> DataFrame:
+    """The mix out of ``listed_documents`` and their ``budgets``.
 
     Of the fractional epoch those documents are taken, in key order, whose tokens end within the rest.
     """
-    plan = budgets(docs, targets).select("skey", "source", "max_repeats", "epochs", "rest")
+    plan = plan.select("skey", "source", "max_repeats", "epochs", "rest")
     u = (F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 52)) + 1).cast("double") / float((1 << 52) + 1)
-    key = -F.log(u) / F.col("weight")
+    levels = listed.groupBy("skey", F.ceil(F.col("weight") * LEVELS).alias("level")).agg(F.count(F.lit(1)).alias("n"))
+    shares = levels.groupBy("skey").agg(F.collect_list(F.struct("level", "n")).alias("levels"), F.sum("n").alias("docs"))
+    beyond = F.aggregate("levels", F.lit(0.0), lambda acc, v: acc + v["n"] / F.col("docs") * F.exp(-F.col("key") * v["level"] / LEVELS))
+    buckets = F.greatest(F.lit(1), F.ceil(F.col("docs") / PER_BUCKET))
     rows = (
-        listed_documents(docs, targets)
-        .withColumn("key", key)
-        .withColumn("bucket", F.least(F.lit(BUCKETS - 1), F.floor(F.lit(BUCKETS) * (1 - F.exp(-F.col("key"))))).cast("int"))
+        listed.join(shares, "skey")
+        .withColumn("key", -F.log(u) / F.col("weight"))
+        .withColumn("bucket", F.least(buckets - 1, F.floor(buckets * (1 - beyond))).cast("int"))
+        .drop("levels", "docs")
     )
     upto = W.partitionBy("skey").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     starts = (
@@ -94,19 +112,19 @@ def mix(docs: DataFrame, targets: DataFrame, seed: int = 17) -> DataFrame:
         .withColumn("side", F.when(F.col("before") + F.col("tokens") <= F.col("rest"), 1).when(F.col("before") >= F.col("rest"), 0).otherwise(-1))
         .select("skey", "source", "bucket", "before", "epochs", "rest", "side")
     )
-    # at most BUCKETS rows a source
-    marked = rows.join(F.broadcast(starts), ["skey", "bucket"])
+    marked = rows.join(starts, ["skey", "bucket"])
     whole = marked.where("side >= 0").select("doc_id", "source", "size", (F.col("epochs") + F.col("side")).alias("repeats"))
     run = W.partitionBy("skey", "bucket").orderBy("key", "doc_id").rowsBetween(W.unboundedPreceding, 0)
     edge = marked.where("side < 0").withColumn("upto", F.col("before") + F.sum("size").over(run))
-    cut = edge.select("doc_id", "source", "size", (F.col("epochs") + (F.col("upto") <= F.col("rest")).cast("long")).alias("repeats"))
-    return whole.unionByName(cut).where("repeats > 0")
+    last = edge.select("doc_id", "source", "size", (F.col("epochs") + (F.col("upto") <= F.col("rest")).cast("long")).alias("repeats"))
+    return whole.unionByName(last).where("repeats > 0")
 
 
 def share_report(docs: DataFrame, targets: DataFrame, seed: int = 17) -> DataFrame:
     """Per target source: the share wanted, the share reached in the mix, the tokens used and whether the cap binds."""
-    used = mix(docs, targets, seed).groupBy("source").agg(F.sum(F.col("size") * F.col("repeats")).alias("used"), F.max("repeats").alias("most_repeats"))
-    plan = budgets(docs, targets)
+    listed = cut(listed_documents(docs, targets))
+    plan = cut(budgets_of(listed, targets))
+    used = mixed(listed, plan, seed).groupBy("source").agg(F.sum(F.col("size") * F.col("repeats")).alias("used"), F.max("repeats").alias("most_repeats"))
     rows = plan.join(used, "source", "left").withColumn("used", F.coalesce("used", F.lit(0).cast("long")))
     return docs.sparkSession.sql(
         "SELECT source, target_share, used / nullif((SELECT sum(used) FROM {rows}), 0) AS reached_share, used / nullif(total, 0) AS share_of_total, used, budget, size, max_repeats, coalesce(most_repeats, 0) AS most_repeats, capped FROM {rows}",

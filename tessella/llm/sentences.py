@@ -7,7 +7,10 @@ program chooses the sequence of whole spans between candidates with the highest
 span's score adds up how well its first words open a sentence, how well its last words close one,
 whether quotations and brackets are balanced within it, and its length.
 
-Documents are independent: one pass over Arrow batches, no exchange.
+Thai goes through the same program: blanks between two Thai characters are its candidates.
+
+Documents are independent: one pass over Arrow batches, no exchange. The lists of abbreviations below are of legal and general
+writing; ``learn_abbreviations`` finds those of other texts by a likelihood ratio over all documents, and ``sentences`` takes them.
 
 Defined results: a null or empty text has no sentences; the end of a paragraph always ends a
 sentence; a text without blank lines is one section without heading; nothing is cut off however long
@@ -21,10 +24,12 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # Abbreviations that never end a sentence, as they stand before the full stop.
 NEVER = frozenset(
-    """R.S Mr Mrs Ms Dr Prof St No Nos no nos p pp para paras Art Arts art arts sec secs cf Cf resp op vol vols Rep v vs esq ca i.e e.g viz ed eds al
+    """Gen Sgt Lt Col Capt Maj Cpl Adm Rev Hon Sen Gov Pres Mt Ft Ave Blvd Rd Dept Univ approx
+    R.S Mr Mrs Ms Dr Prof St No Nos no nos p pp para paras Art Arts art arts sec secs cf Cf resp op vol vols Rep v vs esq ca i.e e.g viz ed eds al
     Jan Feb Mar Apr Jun Jul Aug Sep Sept Oct Nov Dec jan janv févr avr juill sept oct nov déc ene feb abr ago
     Okt Dez Mär Nr Rn Rz Abs Bd Hr Hrn Fr Fa Gem gem Rechtsanw vgl Vgl bzw z Z B d h u s i Az geb
     M Mme Me MM c.-à-d chap n av boul Sr Sra Dra Dr D Da avda Avda núm pág págs EE UU ss Exp
@@ -47,13 +52,14 @@ THAI_CLOSERS = ("ที่สอง", "กำหนด", "คู่ความ"
 
 DOCKET = r"[A-Z]{2}-\d{4}-\d+"
 PAGE_HEADER = re.compile(rf"— \d+ —|\[{DOCKET}, \d+\]|.* · {DOCKET} · \d+/\d+|{DOCKET}(?: -)? \D{{0,8}}\d+\D{{1,9}}\d+\D{{0,2}}")
+HEADER_END = re.compile(r"(?:[—\]]|\d\D{0,2})\s*\Z")
 RULE = " \t_-=—–*·~"
 NUMBER = re.compile(r"(?:\(\d+\)|\[\d+\]|\d+[.)])\s+")
 OPEN, CLOSE = "([“„«‘「（『【", ")]”»’」）』】"
 SPACED = re.compile(r"[(\[“„«‘）)\]”»’\"]|\.{1,4}(?=[\s)\]”“»’\"!?]|$)|[!?؟…]+")
 HINDI = re.compile(r"[(\[“„«‘）)\]”»’\"]|[।॥!?…]+")
 CJK = re.compile(r"[(\[“「（『【)\]”」）』】]|(?:…+)?[。！？!?]+|…+")
-WORD = re.compile(r"\S*\Z")
+MIXED = re.compile(r"[a-z]{1,2}[A-Z]|[a-z]-[a-z]{3}")
 LATIN_NAME = re.compile(r"[A-ZÀ-ÖØ-ÞА-ЯЁ]")
 UNCASED_NAME = re.compile(r"[ऀ-ॿ؀-ۿ]")
 THAI_BLANK = re.compile(r"(?<=[฀-๿])[  ]+(?=[฀-๿])")
@@ -81,7 +87,7 @@ def paragraphs(text: str) -> Iterator[list[tuple[int, str]]]:
             if blocks[-1]:
                 blocks.append([])
                 after_header = False
-        elif not line.strip(RULE) or len(line) < 200 and PAGE_HEADER.fullmatch(line.strip()):
+        elif not line.strip(RULE) or HEADER_END.search(line) and PAGE_HEADER.fullmatch(line.strip()):
             after_header = bool(blocks[-1])
         else:
             blocks[-1].append((at, line, after_header))
@@ -127,17 +133,29 @@ def opening(s: str, at: int) -> float:
     if c.islower():  # a blacked-out word, or a name with a lower-case particle
         if s.startswith("von ", at) and s[at + 4 : at + 5].isupper():
             return 2.0
-        return 1.0 if s.startswith("xxx ", at) else NO
+        if s.startswith("xxx ", at):
+            return 1.0
+        return 1.0 if MIXED.match(s, at) else NO  # iPhone, e-mail
     return NO if c in ",;:)]»”" else 1.0
 
 
-def closing(s: str, start: int, end: int, nxt: int, script: str) -> float:
-    """How well the words before the mark ``s[start:end]`` close a sentence in a spaced script."""
+def last_words(s: str, start: int) -> list[str]:
+    """At least the last three words before ``start``, whole, or all there are."""
+    size = 40
+    while True:
+        left = max(0, start - size)
+        words = s[left:start].split()
+        if left == 0 or len(words) > 3:
+            return words
+        size *= 4
+
+
+def closing(s: str, start: int, end: int, nxt: int, script: str, more: frozenset[str] = frozenset()) -> float:
+    """How well the words before the mark ``s[start:end]`` close a sentence in a spaced script; ``more`` are learned abbreviations."""
     mark = s[start:end]
     if mark[0] != "." or len(mark) > 1:
         return 3.0
-    left = max(0, start - 40)
-    words = s[left:start].split()
+    words = last_words(s, start)
     word = words[-1].lstrip("(“„«‘[\"'") if words else ""
     if not word:
         return 0.0
@@ -166,6 +184,8 @@ def closing(s: str, start: int, end: int, nxt: int, script: str) -> float:
         return NO
     if word in MAYBE:
         return 1.0
+    if word.lower() in more:
+        return NO
     if word in NEVER or last in NEVER or (len(word) == 1 and word.isupper()):
         return NO
     if "." in word and len(word) <= 4 and word.lower() not in ("..", "..."):
@@ -173,7 +193,7 @@ def closing(s: str, start: int, end: int, nxt: int, script: str) -> float:
     return 3.0
 
 
-def candidates(s: str, script: str) -> list[tuple[int, float, int, int, int, float]]:
+def candidates(s: str, script: str, more: frozenset[str] = frozenset()) -> list[tuple[int, float, int, int, int, float]]:
     """``(end, close score, depth, bracket start, next start, next open score)`` of every possible end."""
     out = []
     stack: list[tuple[str, int]] = []
@@ -250,7 +270,7 @@ def candidates(s: str, script: str) -> list[tuple[int, float, int, int, int, flo
                 continue
             close = 3.0
             if arabic and s[at] == ".":
-                close = closing(s, at, end, nxt, script)
+                close = closing(s, at, end, nxt, script, more)
                 if close <= 1.0 and s.startswith(GO_ON_ARABIC, nxt):
                     continue
             if close > NO:
@@ -263,7 +283,7 @@ def candidates(s: str, script: str) -> list[tuple[int, float, int, int, int, flo
         op = opening(s, nxt)
         if op <= NO:
             continue
-        close = closing(s, at, end, nxt, script)
+        close = closing(s, at, end, nxt, script, more)
         if close <= NO:
             continue
         if op == 1.0 and close < 3.0 and s[nxt].islower():
@@ -272,13 +292,13 @@ def candidates(s: str, script: str) -> list[tuple[int, float, int, int, int, flo
     return out
 
 
-def choose(s: str, begin: int, cands: list[tuple[int, float, int, int, int, float]]) -> list[int]:
+def choose(s: str, begin: int, cands: list[tuple[int, float, int, int, int, float]], short: int = 3) -> list[int]:
     """Ends of the best segmentation: a semi-Markov dynamic program over whole spans.
 
     The score of the span from one candidate's next word to another candidate's end is the sum of
     the opening score of its first words, the closing score of its last, the balance of brackets and
     quotations (a bracket closed by the last words has to be the one that opens the span, or a reference
-    like "(see ...)" that ends it), and its length.
+    like "(see ...)" that ends it), and its length, which is too short below ``short``.
     """
     k = len(cands)
     best = [0.0] * (k + 1)
@@ -295,7 +315,7 @@ def choose(s: str, begin: int, cands: list[tuple[int, float, int, int, int, floa
             if most[i] + close - 2.0 - max(0.0, (length - 400) * 0.002) < top - 1e-9:
                 break  # no earlier start scores more: the rest of the terms only take away
             score = best[i] + opens[i] + close - 2.0
-            if length < 3:
+            if length < short:
                 score -= 8.0
             elif length > 400:
                 score -= (length - 400) * 0.002
@@ -317,18 +337,34 @@ def choose(s: str, begin: int, cands: list[tuple[int, float, int, int, int, floa
 
 
 def thai_ends(pieces: list[tuple[int, str]]) -> list[int]:
-    ends = []
+    """Ends in a Thai paragraph: blanks between Thai characters are the candidates; between the pieces that a page header left, words
+    that open after words that close."""
+    text = "\n".join(line for _, line in pieces)
+    cands, cuts, at = [], [], 0
     for p, (offset, line) in enumerate(pieces):
-        ends += [offset + m.start() for m in THAI_BLANK.finditer(line)]
-        bare = line.rstrip()
+        cuts.append((at, offset))
+        cands += [(at + m.start(), 3.0, 0, -1, at + m.end(), 2.0) for m in THAI_BLANK.finditer(line)]
+        bare = len(line.rstrip())
         if p + 1 == len(pieces):
-            ends.append(offset + len(bare))
-        elif pieces[p + 1][1].startswith(THAI_OPENERS) and bare.endswith(THAI_CLOSERS):
-            ends.append(offset + len(bare))
-    return ends
+            cands.append((at + bare, 5.0, 0, -1, len(text), 0.0))
+        elif pieces[p + 1][1].startswith(THAI_OPENERS) and line[:bare].endswith(THAI_CLOSERS):
+            cands.append((at + bare, 3.0, 0, -1, at + len(line) + 1, 2.0))
+        at += len(line) + 1
+    return _placed(choose(text, len(text) - len(text.lstrip()), cands, short=0), cuts)
+
+
+def _placed(found: list[int], cuts: list[tuple[int, int]]) -> list[int]:
+    """Ends within the joined pieces as ends within the text; ``cuts`` are ``(where a piece begins, its offset)``."""
+    if len(cuts) == 1:
+        return [cuts[0][1] + f for f in found]
+    out = []
+    for f in found:
+        start, offset = max(c for c in cuts if c[0] < f or c[0] == 0)
+        out.append(offset + f - start)
+    return out
 
 
-def sentence_ends(text: str | None) -> list[int]:
+def sentence_ends(text: str | None, more: frozenset[str] = frozenset()) -> list[int]:
     """Code points up to and including the last character of each sentence of running text."""
     if not text:
         return []
@@ -349,32 +385,52 @@ def sentence_ends(text: str | None) -> list[int]:
             s += "\n" + line
         tail = len(s.rstrip())
         begin = len(s) - len(s.lstrip())
-        cands = candidates(s, script)
+        cands = candidates(s, script, more)
         if soft:
             cands = sorted({c[0]: c for c in [*cands, *soft]}.values())
         if not cands or cands[-1][0] < tail:
             cands.append((tail, 3.0, 0, -1, len(s), 0.0))
         found = choose(s, begin, cands)
-        if len(cuts) == 1:
-            base = cuts[0][1]
-            ends += [base + f for f in found]
-        else:
-            for f in found:
-                start, offset = max(c for c in cuts if c[0] < f or c[0] == 0)
-                ends.append(offset + f - start)
+        ends += _placed(found, cuts)
     return ends
 
 
-def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+MOST_LEARNED = 5000
+
+
+def learn_abbreviations(docs: DataFrame, least_score: float = 10.0, least_count: int = 3) -> list[str]:
+    """Words, in small letters, that stand before a full stop far more often than chance: abbreviations of the documents' own.
+
+    For every word of a spaced script the log-likelihood ratio compares how often a full stop follows it with how often one follows
+    any word (counts over all documents, combined on the map side). It is weighed down by the word's length and by its occurrences without a
+    full stop, and only words that go on with a small letter, a digit or another word's capital within the line count. At most the
+    MOST_LEARNED highest scores come to the driver.
+    """
+    word = r"(?<![\p{L}.])(\p{L}{1,12}(?:\.\p{L}{1,3})*)(\.?)(?=\s+[\p{L}\d(])"
+    pairs = docs.select(F.explode(F.regexp_extract_all("text", F.lit(word), F.lit(0))).alias("t")).select(F.lower(F.regexp_replace("t", r"\.$", "")).alias("word"), F.endswith("t", F.lit(".")).alias("dot"))
+    counts = pairs.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.count_if("dot").alias("dots"))
+    total, dotted = counts.agg(F.sum("n"), F.sum("dots")).first()
+    if not total or not dotted:
+        return []
+    p, q = dotted / total, 0.99
+    yes, no = F.col("dots"), F.col("n") - F.col("dots")
+    ratio = 2 * (yes * F.log(F.lit(q / p)) + no * F.log(F.lit((1 - q) / max(1e-12, 1 - p))))
+    score = ratio * F.exp(-F.length("word").cast("double")) * 10 * F.pow(F.length("word").cast("double"), -no)
+    top = counts.where(yes >= least_count).withColumn("score", score).where(F.col("score") >= least_score).orderBy(F.desc("score"), "word").limit(MOST_LEARNED)
+    return [r.word for r in top.select("word").collect()]
+
+
+def _split(batches: Iterator[pa.RecordBatch], more: frozenset[str] = frozenset()) -> Iterator[pa.RecordBatch]:
     for b in batches:
         ids, out_id, out_end = b.column(0).to_pylist(), [], []
         for doc, text in zip(ids, b.column(1).to_pylist()):
-            ends = sentence_ends(text)
+            ends = sentence_ends(text, more)
             out_id += [doc] * len(ends)
             out_end += ends
         yield pa.record_batch([pa.array(out_id, pa.int64()), pa.array(out_end, pa.int64())], names=["doc_id", "sent_end"])
 
 
-def sentences(docs: DataFrame) -> DataFrame:
-    """``(doc_id, sent_end)``: one row for each sentence of running text."""
-    return docs.select("doc_id", "text").mapInArrow(_split, "doc_id long, sent_end long")
+def sentences(docs: DataFrame, abbreviations: list[str] | None = None) -> DataFrame:
+    """``(doc_id, sent_end)``: one row for each sentence of running text; ``abbreviations`` as ``learn_abbreviations`` gives them."""
+    more = frozenset(a.lower() for a in abbreviations or ())
+    return docs.select("doc_id", "text").mapInArrow(lambda it: _split(it, more), "doc_id long, sent_end long")

@@ -44,3 +44,25 @@ def test_empty(spark):
     assert mixing.mix(d.where("false"), t).count() == 0
     assert mixing.share_report(d.where("false"), t).count() == 6
     assert mixing.share_report(d, t.where("false")).count() == 0
+
+
+def test_buckets_of_low_weights(spark, monkeypatch):
+    """Many buckets, most documents of low weight: the rest is still filled in key order, to the last document."""
+    monkeypatch.setattr(mixing, "PER_BUCKET", 20)
+    docs = spark.createDataFrame([(i, ("█" * 60 if i % 3 else "x" * 60) + "x" * (i % 7), "s") for i in range(600)], "doc_id long, text string, source string")
+    targets = spark.createDataFrame([("s", 0.4, 2)], "source string, target_share double, max_repeats int")
+    listed = mixing.listed_documents(docs, targets)
+    got = {r.doc_id for r in mixing.mix(docs, targets).collect()}
+    rows = listed.collect()
+    assert 0 < len(got) < 600
+    sizes, total = {r.doc_id: r.size for r in rows}, sum(r.size for r in rows)
+    u = {r.doc_id: r.u for r in listed.selectExpr("doc_id", "(pmod(xxhash64(17, doc_id), bigint(4503599627370496)) + 1) / double(4503599627370497) AS u").collect()}
+    import math
+
+    order, run = sorted(rows, key=lambda r: (-math.log(u[r.doc_id]) / r.weight, r.doc_id)), 0
+    want = set()
+    for r in order:
+        run += sizes[r.doc_id]
+        if run <= 0.4 * total:
+            want.add(r.doc_id)
+    assert got == want
