@@ -497,15 +497,19 @@ def list_neighbours(batches: Iterator[pa.RecordBatch], plan: Plan, seed: int) ->
             yes = np.ones(len(r["to"]), bool)
             parts.append({"at": r["node"], "home": r["home"], "to": r["to"], "to_home": r["to_home"], "fresh": yes, "back": yes})
         e = joined(parts)
-        mixed = (e["to"] * 2654435761 + e["at"] * 40503 + seed * 97) * 2246822519 % 1000003
-        e = picked(e, np.lexsort((mixed, ~e["fresh"], e["back"], e["at"])))
-        name = e["at"] * 2 + e["back"]
-        e = picked(e, ~e["back"] | (np.arange(len(name)) - np.searchsorted(name, name) < WIDE))
-        _, first = np.unique(e["at"], return_index=True)
-        me = {"at": e["at"][first], "to": e["at"][first], "to_home": e["home"][first], "fresh": np.zeros(len(first), bool)}
-        e = joined([{c: e[c] for c in me}, me])
-        order = np.lexsort((~e["fresh"], e["to"], e["at"]))
-        e = picked(e, order[np.concatenate([[True], (np.diff(e["at"][order]) != 0) | (np.diff(e["to"][order]) != 0)])])
+        at = np.searchsorted(active, e["at"])
+        with np.errstate(over="ignore"):
+            mixed = ((e["to"] * np.int64(2654435761) + e["at"] * np.int64(40503) + seed * 97) * np.int64(2246822519) >> 20) & 0xFFFFF
+        order = np.argsort((at << 22) | (e["back"].astype(np.int64) << 21) | ((~e["fresh"]).astype(np.int64) << 20) | mixed)
+        name = (at * 2 + e["back"])[order]
+        order = order[~e["back"][order] | (np.arange(len(order)) - np.searchsorted(name, name) < WIDE)]
+        first = np.empty(len(active), np.int64)
+        first[at[order]] = order
+        me = {"at": active, "to": active, "to_home": e["home"][first], "fresh": np.zeros(len(active), bool)}
+        order = np.concatenate([order[e["fresh"][order]], order[~e["fresh"][order]]])  # where a node is named twice, the fresh edge counts
+        e = joined([{c: e[c][order] for c in me}, me])
+        e = picked(e, _once(e["at"], e["to"]))
+        e = picked(e, np.argsort(e["at"]))
         yield row(bucket, LIST, {c: e[c] for c in ("at", "to", "fresh")})
         named, first = np.unique(e["to"], return_index=True)
         yield from scatter(ASK, plan.bucket_of[e["to_home"][first]], {"node": named, "asker": np.full(len(named), bucket, np.int32)})
