@@ -4,6 +4,9 @@ Dewey labelling: every node gets the path of its ordinals (file, tile position,
 vertex position); the parent's label is the label without its last step. Nodes are grouped by
 schema path into the tables ``files``, ``tiles``, ``cells`` and ``vertices``.
 
+``schema_nodes`` does the same for any tree: its tables are found from the schema paths that are present, so fields that
+the four tables do not name are kept too.
+
 Both forms of a file (typed columns and JSON text) become one VARIANT tree, so that there is one
 reading of optional fields, numbers given as text and vertices or boxes given as objects.
 
@@ -15,10 +18,14 @@ give its nodes once, from a delivery that can be read if there is one.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..session import cut
+
 STEP = "."
 
 
@@ -143,6 +150,62 @@ def flatten(label_files: DataFrame) -> dict[str, DataFrame]:
     return {"files": files_table(trees), "tiles": tiles_table(trees), "cells": cells_table(trees), "vertices": vertices_table(trees)}
 
 
+NODE = ("root", "node", "parent", "path", "pos", "value")
+
+
+def schema_nodes(trees: DataFrame, root: str = "label_file_id", tree: str = "tree", most_depth: int = 64) -> DataFrame:
+    """``(root, node, parent, path, pos, value)``: every node of every tree, whatever its fields.
+
+    ``node`` is the Dewey label (ordinals from 0 of array elements and, in order of name, of an object's fields), ``path`` the schema path
+    (``$.cells[].bbox[]``), ``value`` the text of a leaf. Nodes with one path form one table. A level of all trees is opened at
+    a time; a null element is a leaf without value, an empty array or object a node without children.
+    """
+    label = F.concat_ws(STEP, F.col(root).cast("string"), F.lit("0"))
+    level = cut(trees.where(F.col(tree).isNotNull()).select(F.col(root).alias("root"), label.alias("node"), F.col(root).cast("string").alias("parent"), F.lit("$").alias("path"), F.lit(0).alias("pos"), F.col(tree).alias("v")))
+    parts = []
+    for _ in range(most_depth):
+        kind = F.schema_of_variant("v")
+        open_node = kind.startswith("ARRAY") | kind.startswith("OBJECT")
+        text = F.when(~open_node, F.try_variant_get("v", "$", "string"))
+        parts.append(level.select("root", "node", "parent", "path", "pos", text.alias("value")))
+        inner = level.where(open_node)
+        if inner.isEmpty():
+            break
+        inner.createOrReplaceTempView(name := f"open_{uuid.uuid4().hex}")
+        opened = inner.sparkSession.sql(f"SELECT root, node AS parent, path AS up, c.pos, c.key, c.value AS v FROM {name}, LATERAL variant_explode(v) AS c")
+        path = F.when(F.col("key").isNull(), F.concat("up", F.lit("[]"))).otherwise(F.concat_ws(".", "up", "key"))
+        level = cut(opened.select("root", F.concat_ws(STEP, "parent", F.col("pos").cast("string")).alias("node"), "parent", path.alias("path"), "pos", "v"))
+        inner.sparkSession.catalog.dropTempView(name)
+    else:
+        raise RecursionError(f"trees deeper than {most_depth} levels")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def schema_tables(nodes: DataFrame) -> dict[str, DataFrame]:
+    """One flat table for each schema path whose nodes are objects: ``root, node, parent, pos`` and its leaf fields as text.
+
+    The paths (a schema's size, not the data's) come to the driver. ``parent`` leads to the nearest object above.
+    """
+    paths = sorted(r.path for r in nodes.select("path").distinct().collect())
+    tables = {}
+    for p in paths:
+        fields = [q for q in paths if q.startswith(p + ".") and "." not in q[len(p) + 1 :] and "[" not in q[len(p) + 1 :]]
+        if not fields:
+            continue
+        leaves = nodes.where(F.col("path").isin(fields)).withColumn("field", F.substring_index("path", ".", -1))
+        wide = leaves.groupBy(F.col("parent").alias("node")).pivot("field", [q.rsplit(".", 1)[1] for q in fields]).agg(F.first("value"))
+        own = nodes.where(F.col("path") == p).select("root", "node", F.col("parent").alias("within"), "pos")
+        steps = 1 if p.endswith("[]") else 0  # an element's parent is its array, and above it the object that holds the array
+        up = F.col("within")
+        for _ in range(steps):
+            up = parent_label(up)
+        tables[p] = own.select("root", "node", up.alias("parent"), "pos").join(wide, "node", "left")
+    return tables
+
+
 def cells_outside_their_box(label_files: DataFrame, slack: float = 0.5) -> DataFrame:
     """Cells that have a box of four numbers and a vertex of exactly two numbers beyond it by more than ``slack``."""
     flat = flatten(label_files)

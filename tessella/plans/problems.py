@@ -57,6 +57,14 @@ def p4_cells(spark: SparkSession, d: str) -> DataFrame:
     return flat["cells"].withColumn("bbox", F.to_json("bbox"))
 
 
+def p4_schema_paths(spark: SparkSession, d: str) -> DataFrame:
+    """Nodes of each schema path that is present, unknown fields included, and how many of them have their parent."""
+    nodes = dewey.schema_nodes(dewey.file_trees(table(spark, d, "cell_labels")))
+    up = nodes.select(F.col("node").alias("parent"), F.lit(1).alias("hit"))
+    linked = nodes.join(up, "parent", "left")
+    return linked.groupBy("path").agg(F.count(F.lit(1)).alias("n_nodes"), F.sum(F.coalesce("hit", F.lit(0))).alias("n_linked"))
+
+
 def p4_links(spark: SparkSession, d: str) -> DataFrame:
     """Rows of each flat table and how many of them have their parent."""
     flat = dewey.flatten(table(spark, d, "cell_labels"))
@@ -70,7 +78,7 @@ def p4_links(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("tbl").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("linked").cast("long").alias("n_linked"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_slide_join_totals, p2_found, p2_compacted_tiles, p2_journal, p4_found, p4_cells, p4_links)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_slide_join_totals, p2_found, p2_compacted_tiles, p2_journal, p4_found, p4_cells, p4_links, p4_schema_paths)}
 
 KEY = "nullif(replace(lower(trim(regexp_replace(trim({}), '[\\s/]+$', ''))), 'ß', 'ss'), '')"
 SPELLED = " UNION ".join(f"SELECT slide_id AS sid, {KEY.format(c)} AS k FROM slides" for c in ("slide_id", "slide_name", "alt_slide_id"))

@@ -85,7 +85,30 @@ def test_grid(spark):
 
 
 def test_config():
-    assert PipelineConfig().signature().startswith("eps_auto")
+    assert PipelineConfig().signature().startswith("model_cpsam_")
     for wrong in ({"start_from": "x"}, {"magnifications": (0.0,)}, {"cluster_min_samples": 0}, {"color_by": "x"}):
         with pytest.raises(ValueError):
             PipelineConfig(**wrong)
+
+
+def test_registered_functions(spark):
+    from tessella.functions.registered import register
+
+    assert len(register(spark)) == 6
+    row = spark.sql("SELECT tess_slide_id('Pancreas 20% H&E (rat)') AS s, tess_confidence(3D) AS c, tess_cosine(array(1D, 0D), array(2D, 0D)) AS k, tess_croppable(array(1, 1, 1, 5)) AS b").first()
+    assert (row.s, row.c, row.k, row.b) == ("Pancreas_20_pct__HE_f4b5c471", 0.25, 1.0, False)
+    line = spark.sql("SELECT tess_contour(array(0,0,0, 0,2,0, 0,0,0), 3, 2) AS p").first().p
+    assert len(line) == 5 and line[0] == line[-1]
+
+
+def test_run_names_and_environment():
+    from tessella.config import PipelineConfig
+
+    c = PipelineConfig()
+    assert c.signature() == "model_cpsam_prob_0pt0_flow_0pt4_eps_auto_mins_5_mag_1pt0_filtered_edge_0pt02"
+    assert PipelineConfig(start_from="annotate").signature() == "default"
+    assert PipelineConfig(start_from="annotate", enable_annotations=True, annotation_draw_bbox=True).signature() == "annotated_maxlabels_100_bbox_colorby_cluster_id"
+    assert PipelineConfig(start_from="cluster_tiles", enable_cluster_tiles=True).signature() == "reptiles_0pt75_maxper_20"
+    assert c.annotations_name() == "final_annotations.json" and c.annotations_name(True).startswith("v1_model_")
+    e = PipelineConfig.from_environment({"TESSELLA_MAGNIFICATIONS": "1.0, 0.5", "TESSELLA_CLUSTER_EPS": "0.3", "TESSELLA_NUM_TILES": "none", "TESSELLA_FILTER_TILES": "false", "OTHER": "x", "TESSELLA_SLIDE_FILTER": "a,b"})
+    assert (e.magnifications, e.cluster_eps, e.num_tiles, e.filter_tiles, e.slide_filter) == ((1.0, 0.5), 0.3, None, False, ("a", "b"))

@@ -289,3 +289,21 @@ def test_crops_and_painting(spark):
     shown = read_png(bytes(crops.painted(tiles, commands).first().content))
     assert shown[0, 0].tolist() == [3, 2, 1] and shown[2, 2].tolist() == px[2, 2].tolist()
     assert read_png(bytes(crops.thumbnails(tiles, 3).first().content)).shape == (3, 2, 3)
+
+
+def test_regions_of_slides(spark, tmp_path):
+    from tessella.kernels.raster import read_png, write_png
+    from tessella.sources.regions import RegionSource
+
+    px = np.random.default_rng(3).integers(0, 255, (23, 31, 3)).astype(np.uint8)
+    (tmp_path / "one.png").write_bytes(write_png(px))
+    (tmp_path / "small.png").write_bytes(write_png(px[:4, :4]))
+    (tmp_path / "note.txt").write_text("x")
+    spark.dataSource.register(RegionSource)
+    read = lambda **o: spark.read.format("tess_regions").options(tile_size=10, bands=2, **o).load(str(tmp_path)).collect()
+    got = {(r.x, r.y): r for r in read()}
+    assert set(got) == {(x, y) for x in (0, 10, 20) for y in (0, 10)} and {r.slide_name for r in got.values()} == {"one"}
+    assert (read_png(bytes(got[(10, 10)].content)) == px[10:20, 10:20]).all()
+    half = read(magnification=0.5)
+    assert [(r.x, r.y, r.edge) for r in half] == [(0, 0, 20)] and read_png(bytes(half[0].content)).shape == (10, 10, 3)
+    assert len(read(step=2)) == 2

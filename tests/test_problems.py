@@ -173,3 +173,26 @@ def test_minimum_labels(spark):
     got = {r.node: r.label for r in minimum_labels(spark.range(n + 1).withColumnRenamed("id", "node"), e).collect()}
     assert got == {i: (0 if i <= 40 else 41 if i < n else n) for i in range(n + 1)}
     assert minimum_labels(spark.range(2).withColumnRenamed("id", "node"), e.where("false")).count() == 2
+
+
+def test_tables_by_schema_path(spark):
+    """Any tree becomes tables found from its paths; unknown fields are kept, every node leads to its parent."""
+    docs = [
+        (1, '[{"slide_id": "s", "extra": {"note": "x", "deep": [1, null]}, "cells": [{"cell_id": 5, "odd": true}, null, {"cell_id": "6"}]}, {"cells": []}]'),
+        (2, "[]"),
+        (3, None),
+    ]
+    trees = spark.createDataFrame(docs, "label_file_id long, j string").select("label_file_id", F.try_parse_json("j").alias("tree"))
+    rows = dewey.schema_nodes(trees).collect()
+    by = {r.node: r for r in rows}
+    assert len(by) == len(rows)
+    assert all(r.parent in by or r.parent == str(r.root) for r in rows)
+    assert all(r.node.rsplit(".", 1)[0] == r.parent for r in rows)
+    assert {r.path for r in rows} >= {"$", "$[]", "$[].extra.deep[]", "$[].cells[].odd"}
+    tables = dewey.schema_tables(dewey.schema_nodes(trees))
+    cells = sorted((r.pos, r.cell_id, r.odd) for r in tables["$[].cells[]"].collect())
+    assert cells == [(0, "5", "true"), (1, None, None), (2, "6", None)]
+    tiles = {r.node for r in tables["$[]"].collect()}
+    assert {r.parent for r in tables["$[].cells[]"].collect()} <= tiles and len(tiles) == 2
+    assert tables["$[].extra"].first().note == "x"
+    assert dewey.schema_nodes(trees.where("false")).count() == 0
