@@ -652,9 +652,10 @@ def descent_graph(df: DataFrame, key: str = "cell_key", embedding: str = "embedd
         discard_part(graph, "kind", BACK)
         asked = lists.where(F.col("kind") == ASK).unionByName(vectors).unionByName(state)
         answers = to_buckets(asked, buckets).mapInArrow(lambda it: answer(it, width), ROW)
-        found = to_buckets(lists.where(F.col("kind") == LIST).unionByName(answers), buckets).mapInArrow(lambda it: join_lists(it, shared.value, width), ROW)
+        found = cut(to_buckets(lists.where(F.col("kind") == LIST).unionByName(answers), buckets).mapInArrow(lambda it: join_lists(it, shared.value, width), ROW))
+        discard(lists)
         step = cut(to_buckets(state.unionByName(found), buckets).mapInArrow(lambda it: settle(it, shared.value, width), ROW), by="kind")
-        discard(lists, graph)
+        discard(found, graph)
         graph = step
     out = cut(graph.where(F.col("kind") == STATE).select("body").mapInArrow(lambda it: read_edges(it, least - 1e-4), EDGES + ", rough boolean"))
     discard(graph, vectors)
