@@ -31,7 +31,8 @@ STEP = "."
 
 def parent_label(label: Column) -> Column:
     """The label of a node's parent, by truncation; null for a root."""
-    return F.nullif(F.regexp_replace(label, r"\.?[^.]*$", ""), F.lit(""))
+    step = F.length(F.substring_index(label, STEP, -1)) + 1
+    return F.nullif(F.substr(label, F.lit(1), F.length(label) - step), F.lit(""))
 
 
 def _get(node: str, path: str, kind: str) -> Column:
