@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
 from .registry import key_hash, slide_key, spelling_hashes
 
 
@@ -41,7 +42,7 @@ def roll_up(states: DataFrame, registry: DataFrame, sums: list[str]) -> DataFram
 
 def slide_record_counts(facts: DataFrame, slides: DataFrame) -> DataFrame:
     """``(slide_id, n_records, total_records)``; the total includes records that name no slide."""
-    states = record_states(facts)
+    states = cut(record_states(facts))  # one row a spelling, read for the slides and for the total
     counts = roll_up(states, spelling_hashes(slides), ["n_records"])
     return facts.sparkSession.sql(
         "SELECT slide_id, n_records, (SELECT coalesce(sum(n_records), 0) FROM {states}) AS total_records FROM {counts}",
