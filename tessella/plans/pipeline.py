@@ -19,6 +19,7 @@ from ..config import STAGES, PipelineConfig
 from ..functions import names
 from ..operators import cells as C
 from ..operators import crops, density, masks, quality, tiling
+from ..session import cut
 from ..sources.files import write_stage, written
 
 
@@ -95,6 +96,8 @@ def run_pipeline(tables: dict[str, DataFrame], cfg: PipelineConfig, plugins: Plu
         if path:
             write_stage(df, path)
             df = df.sparkSession.read.parquet(path)
+        elif name in ("masks", "boxes", "assignments"):
+            df = cut(df)  # read by several later stages
         out[name] = df
 
     def chosen(df: DataFrame) -> DataFrame:
