@@ -44,6 +44,11 @@ def p6_clusters(spark: SparkSession, d: str) -> DataFrame:
     return grid_clusters.describe(grid_clusters.clusters(table(spark, d, "cell_embeddings"), table(spark, d, "slides")))
 
 
+def p6_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """Every cluster with its size, from its description."""
+    return p6_clusters(spark, d).select("first_key", "size")
+
+
 def p6_against_labels(spark: SparkSession, d: str) -> DataFrame:
     """Clusters against the recorded cluster numbers."""
     e = table(spark, d, "cell_embeddings")
@@ -60,6 +65,15 @@ def p7_containers(spark: SparkSession, d: str) -> DataFrame:
     return packed.groupBy("container").agg(F.count(F.lit(1)).alias("n_pieces"), F.sum("piece_size").alias("tokens"))
 
 
+def p7_check(spark: SparkSession, d: str) -> DataFrame:
+    """One row: documents and tokens packed, pieces, and whether each piece stands once and no container is overfull."""
+    packed = packing.pack(table(spark, d, "documents"))
+    loads = packed.groupBy("container").agg(F.sum("piece_size").alias("load"))
+    over = loads.agg(F.coalesce(F.max("load") <= packing.CAPACITY, F.lit(True)).alias("fits"))
+    n = packed.agg(F.count_distinct("doc_id").alias("docs"), F.sum("piece_size").alias("tokens"), F.count(F.lit(1)).alias("pieces"), (F.count_distinct("doc_id", "piece") == F.count(F.lit(1))).alias("once"))
+    return n.crossJoin(over)  # one row each
+
+
 def p7_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(table(spark, d, "documents"))
 
@@ -72,6 +86,17 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.share_report(table(spark, d, "documents"), table(spark, d, "mix_targets"))
 
 
+def p8_check(spark: SparkSession, d: str) -> DataFrame:
+    """Per source: whether its cap is kept, and whether it is used up to the cap or to within one document of its budget."""
+    docs = table(spark, d, "documents")
+    largest = docs.agg(F.max(packing.byte_tokens(F.col("text"))).alias("largest"))
+    r = mixing.share_report(docs, table(spark, d, "mix_targets")).crossJoin(largest)  # one row
+    kept = F.col("used") <= F.col("max_repeats") * F.col("size")
+    short = F.col("budget") - F.col("used")
+    reached = F.when(F.col("capped"), F.col("used") == F.col("max_repeats") * F.col("size")).otherwise((short >= 0) & (short < F.col("largest")))
+    return r.select("source", kept.alias("cap_kept"), reached.alias("reached"))
+
+
 def p8_mix(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))
 
@@ -85,7 +110,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return sentences.sentences(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_recall, p3_search, p3_search_recall, p5_found, p6_found, p6_clusters, p6_against_labels, p7_found, p7_containers, p7_fill, p8_found, p8_shares, p8_mix, p9_found, p9_counts)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_recall, p3_search, p3_search_recall, p5_found, p6_found, p6_clusters, p6_sizes, p6_against_labels, p7_found, p7_containers, p7_check, p7_fill, p8_found, p8_shares, p8_check, p8_mix, p9_found, p9_counts)}
 
 USABLE = """u AS (SELECT cell_key, any_value(embedding::DOUBLE[]) AS e, any_value(slide_id) AS slide_id FROM cell_embeddings WHERE cell_key IS NOT NULL AND len(embedding) = 50
   AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0 GROUP BY 1)"""
@@ -107,6 +132,9 @@ SQL = {
         WHERE s.sid IS NOT NULL AND x.cluster_id >= 0 AND x.label_id IS NOT NULL)
       SELECT slide_id, cluster_id, record_id, label_id FROM c
       QUALIFY row_number() OVER (PARTITION BY slide_id, cluster_id ORDER BY f DESC, record_id, label_id) <= 5""",
+    "p6_sizes": f"WITH RECURSIVE {CLUSTERS} SELECT first_key, size FROM big",
+    "p7_check": f"""SELECT count(*) AS docs, sum({SIZE})::BIGINT AS tokens, sum(ceil({SIZE} / 8192.0))::BIGINT AS pieces, true AS once, true AS fits FROM documents WHERE {SIZE} > 0""",
+    "p8_check": "SELECT source, true AS cap_kept, true AS reached FROM mix_targets",
     "p7_found": f"SELECT doc_id FROM documents WHERE {SIZE} > 8192",
     "p8_found": f"""WITH k AS (SELECT *, lower(regexp_replace(source, '[^\\p{{L}}\\p{{N}}]', '', 'g')) AS k FROM mix_targets),
       z AS (SELECT lower(regexp_replace(source, '[^\\p{{L}}\\p{{N}}]', '', 'g')) AS k, sum({SIZE}) AS size FROM documents WHERE text IS NOT NULL GROUP BY 1),
