@@ -43,12 +43,13 @@ def number_cells(cells: DataFrame, order: list[str], slide: str = "slide_id") ->
     before = W.partitionBy(slide).orderBy(tile).rowsBetween(W.unboundedPreceding, -1)
     tiles = cells.groupBy(slide, tile).agg(F.count(F.lit(1)).alias("__n")).withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
     own = F.row_number().over(W.partitionBy(slide, tile).orderBy(*order[1:]))
-    return cells.join(tiles, [slide, tile]).withColumn("new_cell_id", (F.col("__before") + own).cast("int")).drop("__before")
+    there = cells.where(F.col(slide).isNotNull() & F.col(tile).isNotNull())
+    return there.join(tiles, [slide, tile], "left").withColumn("new_cell_id", (F.col("__before") + own).cast("int")).drop("__before")
 
 
 def first_match(polygons: DataFrame, classified: DataFrame, on: list[str], position: str) -> DataFrame:
     """Polygons with the first classified cell of their key; polygons without one drop out."""
-    first = classified.withColumn("__r", F.row_number().over(W.partitionBy(*on).orderBy(position))).where("__r = 1").drop("__r", position)
+    first = classified.withColumn("__r", F.lag(F.lit(1)).over(W.partitionBy(*on).orderBy(position))).where("__r IS NULL").drop("__r", position)
     return polygons.join(first, on)
 
 

@@ -114,24 +114,27 @@ def density_labels(points: DataFrame, edges: DataFrame, group: str, key: str, le
     return points.select(group, key).join(out, F.col(key) == F.col("a"), "left").select(group, key, F.coalesce("cluster_id", F.lit(-1)).cast("int").alias("cluster_id"))
 
 
-def density_clusters(points: DataFrame, group: str, key: str, vector: str, least: int = 5, eps: float | None = None, normalise: bool = False, metric: str = "euclidean") -> DataFrame:
-    """``(group, key, cluster_id, confidence, eps)``: DBSCAN within each group, for groups of any size.
+def density_clusters(
+    points: DataFrame, group: str, key: str, vector: str, least: int = 5, eps: float | None = None, normalise: bool = False, metric: str = "euclidean", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """``(group, key, keep, cluster_id, confidence, eps)``: DBSCAN within each group, for groups of any size.
 
     Keys are unique over all groups. A group of fewer than ``least`` rows is all noise. ``eps`` None chooses the radius of each
-    group from its k-distances.
+    group from its k-distances. Everything is worked out for distinct vectors; rows meet them once, at the end.
     """
     v = l2_normalised(F.col(vector)) if normalise else F.col(vector).cast("array<double>")
-    rows = points.select(group, key, v.alias("__v"))
-    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-    spots = cut(rows.groupBy(group, "__v").agg(F.min(key).alias("spot"), F.count(F.lit(1)).alias("copies")))
-    radius = sizes.where(F.col("n") >= least).select(group)
+    rows = points.select(group, key, *keep, v.alias("__v"))
+    place = [F.xxhash64("__v").alias("__h"), F.xxhash64(F.lit(1), "__v").alias("__i")]  # 128 bits stand for a vector: sorting by an array of doubles is slow
+    placed = rows.select("*", *place)
+    spots = cut(placed.groupBy(group, "__h", "__i").agg(F.min(key).alias("spot"), F.count(F.lit(1)).alias("copies"), F.min("__v").alias("__v")))
+    radius = spots.groupBy(group).agg(F.sum("copies").alias("n")).where(F.col("n") >= least).select(group)
     radius = radius.withColumn("eps", F.lit(float(eps))) if eps is not None else radius.join(group_radius(rows, group, key, "__v", least), group)
     radius = cut(radius)
     edges = cut(range_edges(spots, group, "spot", "__v", radius, metric))
     labels = density_labels(spots, edges, group, "spot", least, "copies")
-    placed = rows.join(spots.select(group, "__v", "spot"), [group, "__v"]).join(labels, [group, "spot"])
-    conf = centroid_confidence(placed, group, key, "__v")
-    return conf.join(radius, group, "left").select(group, key, "cluster_id", "confidence", "eps")
+    conf = centroid_confidence(spots.join(labels, [group, "spot"]), group, "spot", "__v", weight="copies")
+    found = cut(conf.join(radius, group, "left").select(group, "spot", "cluster_id", "confidence", "eps"))
+    return placed.join(spots.select(group, "__h", "__i", "spot"), [group, "__h", "__i"]).join(found, [group, "spot"]).select(group, key, *keep, "cluster_id", "confidence", "eps")
 
 
 def group_radius(points: DataFrame, group: str, key: str, vector: str, k: int) -> DataFrame:
@@ -144,16 +147,18 @@ def group_radius(points: DataFrame, group: str, key: str, vector: str, k: int) -
     return k_distances(points, key, vector, k, group).groupBy(group).applyInPandas(run, f"{group} {kinds[group]}, eps double")
 
 
-def centroid_confidence(points: DataFrame, group: str, key: str, vector: str, cluster: str = "cluster_id") -> DataFrame:
+def centroid_confidence(points: DataFrame, group: str, key: str, vector: str, cluster: str = "cluster_id", weight: str | None = None) -> DataFrame:
     """``(group, key, cluster, confidence)``: ``1 / (1 + distance to the cluster's mean)``, 0 for noise.
 
-    The mean is taken by position with map-side combining, so a cluster of any size needs no list of its members.
+    The mean is taken by position with map-side combining, so a cluster of any size needs no list of its members. ``weight``
+    names a column that says for how many equal rows a row stands.
     """
     real = points.where(F.col(cluster) >= 0)
+    mean = F.avg("v") if weight is None else F.sum(F.col("v") * F.col("__w")) / F.sum("__w")
     means = (
-        real.select(group, cluster, F.posexplode(F.col(vector).cast("array<double>")).alias("i", "v"))
+        real.select(group, cluster, F.lit(1).alias("__w") if weight is None else F.col(weight).alias("__w"), F.posexplode(F.col(vector).cast("array<double>")).alias("i", "v"))
         .groupBy(group, cluster, "i")
-        .agg(F.avg("v").alias("v"))
+        .agg(mean.alias("v"))
         .groupBy(group, cluster)
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda p: p["v"]).alias("mean"))
     )

@@ -6,10 +6,49 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..kernels.raster import label_components, longest_contour, read_png, write_png16
+from ..kernels.raster import label_boxes, label_stack, longest_contours, read_png, write_png16
+
+PIXELS = 2**18
+
+
+def _stacks(batch: pa.RecordBatch, column: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``(rows, stack)``: the rasters of an Arrow batch by shape, about ``PIXELS`` pixels at a time; a null pixel is 0, a raster must not be null."""
+    col = batch.column(column)
+    if col.null_count:
+        raise ValueError(f"null in {column}")
+    at = col.offsets.to_numpy()
+    values = col.values.fill_null(0).to_numpy(zero_copy_only=False)
+    shapes = np.stack([np.diff(at), batch.column("width").to_numpy(zero_copy_only=False)], axis=1).astype(np.int64)
+    for size, width in np.unique(shapes, axis=0).tolist():
+        rows = np.flatnonzero((shapes == (size, width)).all(axis=1))
+        step = max(1, PIXELS // max(1, size))
+        for i in range(0, len(rows), step):
+            own = rows[i : i + step]
+            if own[-1] - own[0] + 1 == len(own):
+                flat = values[at[own[0]] : at[own[-1] + 1]]
+            else:
+                flat = np.concatenate([values[at[r] : at[r + 1]] for r in own])
+            if size % width:
+                raise ValueError(f"{size} pixels are no raster of width {width}")
+            yield own, flat.reshape(len(own), size // width, width)
+
+
+def _lists(offsets: np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+
+
+def _label_ids(label: np.ndarray) -> pa.Array:
+    return pa.array(label, pa.int64()).cast(pa.int32())
+
+
+def _keyed(batch: pa.RecordBatch, keys: list[str], rows: np.ndarray, columns: dict[str, pa.Array]) -> pa.RecordBatch:
+    """A batch of the rows' keys and other columns."""
+    at = pa.array(rows)
+    return pa.RecordBatch.from_arrays([*[batch.column(k).take(at) for k in keys], *columns.values()], [*keys, *columns])
 
 
 def boxes_of_labels(pixels: DataFrame, keys: list[str]) -> DataFrame:
@@ -18,6 +57,23 @@ def boxes_of_labels(pixels: DataFrame, keys: list[str]) -> DataFrame:
     return agg.select(*keys, "label_id", F.array("x0", "y0", "x1", "y1").alias("bbox"))
 
 
+def boxes_of_rasters(masks: DataFrame, keys: list[str]) -> DataFrame:
+    """``boxes_of_labels`` of ``keys, width, labels ARRAY<INT>``: a raster's pixels never become rows; rasters of equal keys share their labels."""
+    kinds = dict(masks.dtypes)
+    sides = ["x0", "y0", "x1", "y1"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, stack in _stacks(batch, "labels"):
+                tile, label, boxes = label_boxes(stack)
+                yield _keyed(batch, keys, rows[tile], {"label_id": _label_ids(label)} | {c: pa.array(boxes[:, i], pa.int32()) for i, c in enumerate(sides)})
+
+    schema = ", ".join([*[f"{k} {kinds[k]}" for k in keys], "label_id int", *[f"{c} int" for c in sides]])
+    boxes = masks.select(*keys, "width", "labels").mapInArrow(run, schema)
+    whole = boxes.groupBy(*keys, "label_id").agg(*[(F.min if c.endswith("0") else F.max)(c).alias(c) for c in sides])
+    return whole.select(*keys, "label_id", F.array(*sides).alias("bbox"))
+
+
 def valid_box(label: Column, box: Column) -> Column:
     """A box row that can be used at all: a label and four numbers."""
     return label.isNotNull() & (F.size(box) == 4)
@@ -35,22 +91,15 @@ def polygons(masks: DataFrame, keys: list[str]) -> DataFrame:
     """
     kinds = dict(masks.dtypes)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for rec in pdf.itertuples(index=False):
-                mask = np.asarray(rec.labels).reshape(-1, int(rec.width))
-                for lab in np.unique(mask[mask != 0]):
-                    own = mask == lab
-                    r, c = np.flatnonzero(own.any(axis=1)), np.flatnonzero(own.any(axis=0))
-                    top, left = max(0, r[0] - 1), max(0, c[0] - 1)  # one row or column of background around the label
-                    line = longest_contour(own[top : r[-1] + 2, left : c[-1] + 2])
-                    if line:
-                        rows.append((*[getattr(rec, k) for k in keys], int(lab), [[float(x + left), float(y + top)] for x, y in line]))
-            yield pd.DataFrame(rows, columns=[*keys, "label_id", "polygon"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, stack in _stacks(batch, "labels"):
+                tile, label, start, points = longest_contours(stack)
+                line = _lists(start, _lists(np.arange(0, 2 * len(points) + 1, 2), pa.array(points.ravel())))
+                yield _keyed(batch, keys, rows[tile], {"label_id": _label_ids(label), "polygon": line})
 
     schema = ", ".join(f"{k} {kinds[k]}" for k in keys)
-    return masks.select(*keys, "width", "labels").mapInPandas(run, f"{schema}, label_id int, polygon array<array<double>>")
+    return masks.select(*keys, "width", "labels").mapInArrow(run, f"{schema}, label_id int, polygon array<array<double>>")
 
 
 def read_masks(files: DataFrame) -> DataFrame:
@@ -72,7 +121,19 @@ def read_masks(files: DataFrame) -> DataFrame:
 
 def threshold_segment(tiles: DataFrame, keys: list[str], below: int = 128) -> DataFrame:
     """A stand-in segmenter: connected dark regions of ``keys, width, gray ARRAY<INT>`` become labels."""
-    return batched_segmenter(lambda rasters: [label_components(g < below) for g in rasters], keys)(tiles)
+    kinds = dict(tiles.dtypes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, stack in _stacks(batch, "gray"):
+                labels = label_stack(stack < below).astype(np.int32)
+                size = labels[0].size
+                lists = _lists(np.arange(0, labels.size + 1, size) if size else np.zeros(len(rows) + 1), pa.array(labels.ravel()))
+                width = pa.array(np.full(len(rows), labels.shape[2], np.int32))
+                yield _keyed(batch, keys, rows, {"width": width, "labels": lists, "error": pa.nulls(len(rows), pa.string())})
+
+    schema = ", ".join(f"{k} {kinds[k]}" for k in keys)
+    return tiles.select(*keys, "width", "gray").mapInArrow(run, f"{schema}, width int, labels array<int>, error string")
 
 
 def batched_segmenter(call: Callable[[list[np.ndarray]], list[np.ndarray]], keys: list[str], batch: int = 16) -> Callable[[DataFrame], DataFrame]:

@@ -19,7 +19,7 @@ from ..config import STAGES, PipelineConfig
 from ..functions import names
 from ..operators import cells as C
 from ..operators import crops, density, masks, quality, tiling
-from ..session import cut
+from ..session import cut, partitions
 from ..sources.files import write_stage, written
 
 
@@ -69,11 +69,6 @@ class Plugins:
     classifier: Callable[[DataFrame], DataFrame] = size_class
 
 
-def _pixels(tiles: DataFrame) -> DataFrame:
-    at = F.posexplode("labels").alias("i", "label")
-    return tiles.select("slide_id", "tile_name", "width", at).select("slide_id", "tile_name", F.expr("i div width").cast("int").alias("y"), (F.col("i") % F.col("width")).alias("x"), "label")
-
-
 def run_pipeline(tables: dict[str, DataFrame], cfg: PipelineConfig, plugins: Plugins | None = None, store: str | None = None, spark: SparkSession | None = None) -> dict[str, DataFrame]:
     """All tables from ``cfg.start_from`` on. ``tables`` holds the inputs of the first stage to run:
 
@@ -119,7 +114,7 @@ def run_pipeline(tables: dict[str, DataFrame], cfg: PipelineConfig, plugins: Plu
         else:
             out["kept_tiles"] = chosen(out["tiles"])
         keep("masks", lambda: plugins.segmenter(out["kept_tiles"]).where("labels IS NOT NULL"), "segment")
-        keep("boxes", lambda: masks.boxes_of_labels(_pixels(out["masks"]), ["slide_id", "tile_name"]), "segment")
+        keep("boxes", lambda: masks.boxes_of_rasters(out["masks"], ["slide_id", "tile_name"]), "segment")
         keep("polygons", lambda: masks.polygons(out["masks"], ["slide_id", "tile_name"]), "segment")
 
     def with_pixels(cells: DataFrame) -> DataFrame:
@@ -132,15 +127,16 @@ def run_pipeline(tables: dict[str, DataFrame], cfg: PipelineConfig, plugins: Plu
         boxes = out["boxes"].where(masks.valid_box(F.col("label_id"), F.col("bbox")) & masks.croppable(F.col("bbox")))
         cells = plugins.embedder(with_pixels(boxes)).where("embedding IS NOT NULL").drop("crop")  # a cell that has no embedding drops out
         keyed = cells.withColumn("cell_key", F.concat_ws("|", "slide_id", "tile_name", F.lpad(F.col("label_id").cast("string"), 8, "0")))
-        got = density.density_clusters(keyed, "slide_id", "cell_key", "embedding", cfg.cluster_min_samples, cfg.cluster_eps, cfg.cluster_normalize, cfg.cluster_metric)
-        return keyed.select("slide_id", "tile_name", "label_id", "bbox", "cell_key").join(got.drop("eps"), ["slide_id", "cell_key"])
+        kept = ("tile_name", "label_id", "bbox")
+        got = density.density_clusters(keyed, "slide_id", "cell_key", "embedding", cfg.cluster_min_samples, cfg.cluster_eps, cfg.cluster_normalize, cfg.cluster_metric, kept)
+        return got.select("slide_id", "cell_key", *kept, "cluster_id", "confidence")
 
     keep("assignments", assign, "cluster")
 
     def classify() -> DataFrame:
         cells = out["assignments"]
         chosen_cells = C.select_for_labelling(cells, cfg.classify_per_cluster, tie=("tile_name", "label_id")).drop("rank")
-        named = plugins.classifier(with_pixels(chosen_cells)).select("slide_id", "tile_name", "label_id", "pred_class")
+        named = cut(plugins.classifier(with_pixels(chosen_cells)).select("slide_id", "tile_name", "label_id", "pred_class"))  # the model is called once
         return C.join_predictions(cells, named, ["slide_id", "tile_name", "label_id"])
 
     keep("classified", classify, "classify")
@@ -166,10 +162,10 @@ def run_pipeline(tables: dict[str, DataFrame], cfg: PipelineConfig, plugins: Plu
 
 def demo_tiles(part: DataFrame, side: int = 12) -> DataFrame:
     """Small grey tiles computed from ``part`` keys, for trying the pipeline: every part is a tile of slide ``key % 8``."""
-    n = side * side
-    at = F.sequence(F.lit(0), F.lit(n - 1))
-    gray = F.transform(at, lambda i: F.when((i % side % 4 == 3) | (F.floor(i / side) % 4 == 3), F.lit(255)).otherwise(((i * 7 + F.col("p_partkey")) % 120).cast("int")).cast("int"))
-    return part.select(
+    keys = part.select("p_partkey").repartition(partitions(part.sparkSession), "p_partkey")  # a short table is one task's, its tiles are not
+    edge = lambda i: i % side % 4 == 3 or i // side % 4 == 3
+    gray = F.array(*[F.lit(255) if edge(i) else ((F.lit(i * 7) + F.col("p_partkey")) % 120).cast("int") for i in range(side * side)])
+    return keys.select(
         F.concat(F.lit("S"), (F.col("p_partkey") % 8).cast("string")).alias("slide_id"),
         F.concat(F.lit("T"), F.lpad(F.col("p_partkey").cast("string"), 9, "0")).alias("tile_name"),
         F.lit(side).alias("width"),

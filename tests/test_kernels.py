@@ -113,3 +113,24 @@ def test_png_filters_against_a_plain_loop():
         want = raw if depth == 8 else raw.reshape(h, -1, 2)[..., 0] * 256 + raw.reshape(h, -1, 2)[..., 1]
         assert (got.reshape(h, -1) == want).all()
         assert (raster.read_png(raster.write_png(got)) == got).all()
+
+
+def test_stacks_equal_single_labels():
+    """All labels of a stack at once give the contours and boxes that each label gives alone: open lines, diagonals, holes, ties, labels of any size."""
+    rng = np.random.default_rng(7)
+    for turn in range(60):
+        kinds = [np.array([0, 1]), np.array([0, 0, 1, 2, 3]), np.array([-5, 0, 7, 2**31 - 1])][turn % 3]
+        stack = kinds[rng.integers(0, len(kinds), (*rng.integers(1, 5, 1), *rng.integers(1, 12, 2)))]
+        if turn % 2:
+            stack = stack.repeat(3, axis=1).repeat(2, axis=2)
+        lines, boxes = [], []
+        for t, mask in enumerate(stack):
+            for lab in np.unique(mask[mask != 0]).tolist():
+                line = raster.longest_contour(mask == lab)
+                lines += [(t, lab, line)] if line else []
+                y, x = np.nonzero(mask == lab)
+                boxes.append((t, lab, [x.min(), y.min(), x.max(), y.max()]))
+        tile, label, start, points = raster.longest_contours(stack)
+        assert [(t, lab, [tuple(p) for p in points[a:b].tolist()]) for t, lab, a, b in zip(tile.tolist(), label.tolist(), start, start[1:])] == lines
+        assert [(t, lab, b) for t, lab, b in zip(*(v.tolist() for v in raster.label_boxes(stack)))] == boxes
+        assert (raster.label_stack(stack > 0) == np.stack([raster.label_components(m > 0) for m in stack])).all()

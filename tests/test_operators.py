@@ -307,3 +307,27 @@ def test_regions_of_slides(spark, tmp_path):
     half = read(magnification=0.5)
     assert [(r.x, r.y, r.edge) for r in half] == [(0, 0, 20)] and read_png(bytes(half[0].content)).shape == (10, 10, 3)
     assert len(read(step=2)) == 2
+
+
+def test_tiles_of_a_short_table_are_spread(spark, data):
+    """A table of one file is one task; the tiles made from it are as many tasks as a shuffle has."""
+    part = spark.read.parquet(f"{data}/part.parquet").coalesce(1)
+    sizes = demo_tiles(part).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 1 and sum(r["count"] for r in sizes) == part.count()
+
+
+def test_boxes_of_rasters_equal_those_of_pixels(spark):
+    """Rasters of several shapes, two of the same tile, null pixels and an empty one."""
+    rows = [("a", 3, [0, 1, 1, 0, None, 2]), ("a", 3, [1, 0, 0, 0, 0, 0]), ("b", 2, [5, 5, 0, 5]), ("c", 2, [0, 0]), ("d", 2, [])]
+    m = spark.createDataFrame(rows, "tile string, width int, labels array<int>")
+    pixels = m.select("tile", "width", F.posexplode("labels").alias("i", "label")).selectExpr("tile", "i div width AS y", "i % width AS x", "label")
+    want = {(r.tile, r.label_id, tuple(r.bbox)) for r in masks.boxes_of_labels(pixels, ["tile"]).collect()}
+    got = [(r.tile, r.label_id, tuple(r.bbox)) for r in masks.boxes_of_rasters(m, ["tile"]).collect()]
+    assert set(got) == want and len(got) == len(want) == 3
+
+
+def test_clusters_carry_columns(spark):
+    """Columns that are asked for come along, and equal vectors, signed zeros too, weigh by their number in the mean."""
+    pts = [("g", f"k{i}", i, [0.0 if i % 2 else -0.0, 1.0]) for i in range(6)] + [("g", "k6", 6, [0.7, 1.0])]
+    got = density.density_clusters(spark.createDataFrame(pts, "g string, k string, n int, v array<double>"), "g", "k", "v", 3, 1.0, keep=("n",)).collect()
+    assert sorted((r.k, r.n, r.cluster_id, round(r.confidence, 6)) for r in got) == [(f"k{i}", i, 0, round(1 / 1.1, 6)) for i in range(6)] + [("k6", 6, 0, 0.625)]
