@@ -437,8 +437,12 @@ def _once(node: np.ndarray, nbr: np.ndarray) -> np.ndarray:
 
 def _by_nearness(node: np.ndarray, nbr: np.ndarray, sim: np.ndarray) -> np.ndarray:
     """The order by node, similarity descending, neighbour."""
-    names = np.unique(node)
-    key = (np.searchsorted(names, node) << 32) | ((1.5 - sim) * (1 << 30)).astype(np.int64)
+    return _in_order(np.searchsorted(np.unique(node), node), nbr, sim)
+
+
+def _in_order(node: np.ndarray, nbr: np.ndarray, sim: np.ndarray) -> np.ndarray:
+    """``_by_nearness`` of nodes numbered below 2**31."""
+    key = (node << 32) | ((1.5 - sim) * (1 << 30)).astype(np.int64)
     order = np.argsort(key)
     same = np.diff(key[order]) == 0
     tied = np.flatnonzero(np.concatenate([same, [False]]) | np.concatenate([[False], same]))
@@ -587,8 +591,13 @@ def _local_join(at: np.ndarray, pos: np.ndarray, fresh: np.ndarray, x: np.ndarra
         out[2].append(s[r, i, j][keep])
         lo = hi
     a, b, s = (np.concatenate(v) for v in out)
-    _, one = np.unique(a * len(bound) + b, return_index=True)
-    one = one[np.lexsort((keys[b[one]], -s[one], a[one]))]
+    if not len(a):
+        return a, b, s
+    pair = a * len(bound) + b
+    order = np.argsort(pair)
+    one = np.minimum.reduceat(order, np.flatnonzero(np.r_[True, np.diff(pair[order]) != 0]))
+    a, b, s = a[one], b[one], s[one]
+    one = _in_order(a, keys[b], s.astype(np.float64))
     a, b, s = a[one], b[one], s[one]
     keep = np.arange(len(a)) - np.searchsorted(a, a) < most
     return a[keep], b[keep], s[keep]

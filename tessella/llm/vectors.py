@@ -67,7 +67,12 @@ def top_k(s: np.ndarray, keys: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarr
     flat = np.flatnonzero(s >= np.maximum(bound, -1.5)[:, None])
     row, col = np.divmod(flat, m)
     val = s[row, col]
-    order = np.lexsort((keys[col], -np.round(val.astype(np.float64), 7), row))
+    place = (row << 26) | (20_000_000 - np.rint(val.astype(np.float64) * 1e7).astype(np.int64))  # by row, then by value to seven places
+    order = np.argsort(place)
+    same = place[order[1:]] == place[order[:-1]]
+    tied = np.flatnonzero(np.r_[False, same] | np.r_[same, False])
+    part = order[tied]
+    order[tied] = part[np.lexsort((part, keys[col[part]], place[part]))]  # equal ones by key
     row, col, val = row[order], col[order], val[order]
     first = np.concatenate([[0], np.flatnonzero(np.diff(row)) + 1]) if len(row) else np.array([], np.int64)
     rank = np.arange(len(row)) - np.repeat(first, np.diff(np.append(first, len(row))))

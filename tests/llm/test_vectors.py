@@ -198,3 +198,20 @@ def test_broad_cluster_over_several_leaders(spark, monkeypatch):
     _, s, want = brute({i: v.astype(np.float64) / np.linalg.norm(v.astype(np.float64)) for i, v in enumerate(x)}, 10)
     pairs = {(min(a, b), max(a, b)) for a, w in want.items() for b in w if s[a, b] >= 0.98}
     assert {tuple(r) for r in knn_graph.near_pairs(df).collect()} == pairs
+
+
+def test_orders_of_candidates():
+    """The nearest of each row and of each list in the plain definition's order: equal similarities by key."""
+    rng = np.random.default_rng(5)
+    for turn in range(20):
+        s = np.round(rng.uniform(-1, 1, (9, 200)), 1 + turn % 2 * 5).astype(np.float32)
+        keys = rng.permutation(10**6)[:200]
+        row, col, val = top_k(s, keys, 7)
+        want = [(i, j) for i in range(9) for j in np.lexsort((keys, -np.round(s[i].astype(np.float64), 7)))[:7].tolist()]
+        assert list(zip(row.tolist(), col.tolist())) == want and (val == s[row, col]).all()
+    x = np.eye(6, dtype=np.float32)[[0, 0, 1, 0]]
+    names, bound = np.array([40, 10, 20, 30]), np.full(4, 0.5, np.float32)
+    at, pos = np.repeat([0, 1], [4, 2]), np.array([0, 1, 2, 3, 0, 1])
+    a, b, sim = knn_graph._local_join(at, pos, np.ones(6, bool), x, names, bound, 5)
+    assert list(zip(a.tolist(), names[b].tolist())) == [(0, 10), (0, 30), (1, 30), (1, 40), (3, 10), (3, 40)] and (sim == 1).all()
+    assert not len(knn_graph._local_join(at, pos, np.ones(6, bool), x, names, bound + 1, 5)[0])
