@@ -21,23 +21,40 @@ ZSTD = "zstd"
 Columns = dict[str, np.ndarray]
 
 
+def _narrow(a: np.ndarray) -> np.ndarray:
+    """A column of integers in as few bytes as hold it; similarities (all that is in double precision) in units of 1e-9, to which exact ones are rounded."""
+    if a.dtype == np.float64:
+        units = a * 1e9
+        return np.rint(units, out=units).astype(np.int32)
+    if a.dtype.kind != "i" or a.ndim > 1 or not len(a):
+        return a
+    low, high = int(a.min()), int(a.max())
+    return a.astype(next(t for t in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(t).min <= low and high <= np.iinfo(t).max), copy=False)
+
+
 def encode(cols: Columns) -> bytes:
     head, bodies = [], []
     for name, a in cols.items():
-        raw = np.ascontiguousarray(a).tobytes()
-        body = pa.compress(raw, codec=ZSTD, asbytes=True)
-        head.append((name, a.dtype.str, list(a.shape), len(raw), len(body)))
+        few = _narrow(a)
+        raw = np.ascontiguousarray(few).tobytes()
+        plain = a.ndim > 1 and a.dtype == np.int16  # vectors in fixed point, which no codec shortens
+        body = raw if plain else pa.compress(raw, codec=ZSTD, asbytes=True)
+        head.append((name, a.dtype.str, few.dtype.str, list(a.shape), len(raw), len(body), plain))
         bodies.append(body)
     text = json.dumps(head).encode()
     return b"".join([struct.pack("<I", len(text)), text, *bodies])
 
 
-def decode(buf: memoryview | bytes) -> Columns:
+def decode(buf: memoryview | bytes, only: tuple[str, ...] = ()) -> Columns:
+    """The columns of a body, all or those in ``only``."""
     (size,) = struct.unpack_from("<I", buf)
     at, out = 4 + size, {}
-    for name, kind, shape, raw, body in json.loads(bytes(buf[4 : 4 + size])):
-        out[name] = np.frombuffer(pa.decompress(buf[at : at + body], decompressed_size=raw, codec=ZSTD), np.dtype(kind)).reshape(shape)
-        at += body
+    for name, kind, few, shape, raw, body, plain in json.loads(bytes(buf[4 : 4 + size])):
+        part, at = buf[at : at + body], at + body
+        if only and name not in only:
+            continue
+        a = np.frombuffer(part if plain else pa.decompress(part, decompressed_size=raw, codec=ZSTD), np.dtype(few)).reshape(shape)
+        out[name] = a / 1e9 if kind == "<f8" else a.astype(np.dtype(kind), copy=False)
     return out
 
 
@@ -65,13 +82,13 @@ def scatter(kind: int, bucket: np.ndarray, cols: Columns) -> Iterator[pa.RecordB
         yield row(int(bucket[order[s]]), kind, picked(cols, order[s:e]))
 
 
-def gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, dict[int, list[Columns]]]]:
-    """``(bucket, columns by kind)`` of a partition, which holds one bucket unless the engine merged some."""
+def gathered(batches: Iterable[pa.RecordBatch], only: dict[int, tuple[str, ...]] | None = None) -> Iterator[tuple[int, dict[int, list[Columns]]]]:
+    """``(bucket, columns by kind)`` of a partition, which holds one bucket unless the engine merged some. ``only`` names the columns wanted of a kind."""
     held: dict[int, dict[int, list[Columns]]] = defaultdict(lambda: defaultdict(list))
     for b in batches:
         bucket, kind, body = b.column("bucket").to_pylist(), b.column("kind").to_pylist(), b.column("body")
         for i in range(b.num_rows):
-            held[bucket[i]][kind[i]].append(decode(memoryview(body[i].as_buffer())))
+            held[bucket[i]][kind[i]].append(decode(memoryview(body[i].as_buffer()), (only or {}).get(kind[i], ())))
     while held:
         yield held.popitem()
 

@@ -254,29 +254,34 @@ def place(batches: Iterator[pa.RecordBatch], plan: Plan, tasks: int) -> Iterator
     for b in batches:
         rows, x = usable(b.column(1))
         keys = np.asarray(b.column(0).take(pa.array(rows)))
+        sent: list[tuple[np.ndarray, np.ndarray, int, bool]] = []
+        homes = np.empty(len(rows), np.int32)
         for at in range(0, len(rows), 2048):
             part = x[at : at + 2048]
             s = part @ leaders.T
             best = s.argmax(axis=1)
-            home = _block(part, best, plan)
+            home = homes[at : at + 2048] = _block(part, best, plan)
             alone = np.flatnonzero(s[np.arange(len(part)), best] < COVER)
             sparse = plan.sparse_of[best[alone]]
             other = s[alone].copy()
             other[plan.sparse_of[None, :] == sparse[:, None]] = -2
             second = plan.sparse_of[other.argmax(axis=1)] if len(alone) else sparse
             twice = second != sparse
-            sent = [
+            found = [
                 (np.arange(len(part)), home, 0, False),
                 (alone, -1 - sparse, 0, False),
                 (alone[twice], -1 - second[twice], 0, False),
                 (*_border_guests(s, best, home, plan), 0, True),
                 *_crowd_guests(part, best, home, plan),
             ]
-            src, dst = np.concatenate([v[0] for v in sent]), np.concatenate([v[1] for v in sent]).astype(np.int32)
-            n = [len(v[0]) for v in sent]
-            hall, guest = np.repeat(np.array([v[2] for v in sent], np.int32), n), np.repeat([v[3] for v in sent], n)
-            to = (np.where(dst < 0, plan.blocks - 1 - dst, dst) + hall * np.int64(ids)) % tasks
-            yield from scatter(MEMBER, to, {"block": dst, "hall": hall, "guest": guest, "home": home[src].astype(np.int32), "key": keys[at : at + 2048][src], "vec": part[src]})
+            sent += [(at + v[0], *v[1:]) for v in found]
+        if not sent:
+            continue
+        src, dst = np.concatenate([v[0] for v in sent]), np.concatenate([v[1] for v in sent]).astype(np.int32)
+        n = [len(v[0]) for v in sent]
+        hall, guest = np.repeat(np.array([v[2] for v in sent], np.int32), n), np.repeat([v[3] for v in sent], n)
+        to = (np.where(dst < 0, plan.blocks - 1 - dst, dst) + hall * np.int64(ids)) % tasks
+        yield from scatter(MEMBER, to, {"block": dst, "hall": hall, "guest": guest, "home": homes[src], "key": keys[src], "vec": x[src]})
 
 
 def exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -296,11 +301,12 @@ def _first(node: np.ndarray, home: np.ndarray, nbr: np.ndarray, nbr_home: np.nda
 def _nearest(q_keys: np.ndarray, q: np.ndarray, keys: np.ndarray, x: np.ndarray, k: int, loose: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """``(row, column, similarity)`` of the rows of ``x`` nearest to each of ``q`` under another key, as many as ``_within`` keeps (or more, if ``loose`` says that most are far), a chunk at a time."""
     m = x.T.copy()
-    chunk = max(32, min(512, (1 << 20) // max(1, len(x))))
+    chunk = max(32, min(256, (1 << 23) // max(1, len(x))))  # many rows at once, because the product of few costs twice as much for each
     order = np.argsort(keys, kind="stable")
+    room = np.empty((min(chunk, len(q)), len(x)), np.float32)
     for at in range(0, len(q) if len(x) else 0, chunk):
         own = q_keys[at : at + chunk]
-        s = q[at : at + chunk] @ m
+        s = np.matmul(q[at : at + chunk], m, out=room[: len(own)])
         pos = np.minimum(np.searchsorted(keys, own, sorter=order), len(keys) - 1)
         same = np.flatnonzero(keys[order[pos]] == own)
         s[same, order[pos[same]]] = -2
@@ -375,13 +381,31 @@ def _leads(rows: np.ndarray, node: np.ndarray, sim: np.ndarray, key: np.ndarray,
     return _first(key[rows[r]], home[rows[r]], plan.keys[c], lead_home[c], sim)
 
 
+def _runs(node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(starts, lengths)`` of the runs of equal nodes."""
+    start = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]])) if len(node) else np.empty(0, np.int64)
+    return start, np.diff(np.append(start, len(node)))
+
+
+def _ranks(node: np.ndarray) -> np.ndarray:
+    """The position of each row in its run of equal nodes."""
+    start, n = _runs(node)
+    return np.arange(len(node)) - np.repeat(start, n)
+
+
+def _among(names: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(position, found)`` of nodes among names in ascending order; looked up once for each run of equal nodes."""
+    start, n = _runs(node)
+    head = node[start]
+    at = np.minimum(np.searchsorted(names, head), len(names) - 1)
+    return np.repeat(at, n), np.repeat(names[at] == head, n)
+
+
 def _within(node: np.ndarray, sim: np.ndarray, k: int) -> np.ndarray:
     """Of edges in order of node and nearness, each node's first ``k``; LOOSE times as many if the ``k``-th is further than COVER."""
-    start = np.searchsorted(node, node)
-    rank = np.arange(len(node)) - start
-    last = np.minimum(start + k - 1, len(node) - 1) if len(node) else start
-    far = (node[last] == node) & (sim[last] < COVER)
-    return (rank < k) | (far & (rank < LOOSE * k))
+    start, n = _runs(node)
+    far = (n >= k) & (sim[np.minimum(start + k - 1, max(0, len(node) - 1))] < COVER)
+    return np.arange(len(node)) - np.repeat(start, n) < np.repeat(np.where(far, LOOSE * k, k), n)
 
 
 def compare_blocks(batches: Iterator[pa.RecordBatch], k: int, plan: Plan) -> Iterator[pa.RecordBatch]:
@@ -426,22 +450,17 @@ def from_fixed(raw: np.ndarray) -> np.ndarray:
     return raw[:, 2:].astype(np.float32) * (scale / 32767)
 
 
-def _once(node: np.ndarray, nbr: np.ndarray) -> np.ndarray:
-    """Positions of the first of every pair, found by a 64-bit mix of both keys; a pair kept twice by a clash of mixes does no harm."""
+def _once(at: np.ndarray, nbr: np.ndarray) -> np.ndarray:
+    """Positions of the first of every pair, in order of ``at`` (numbers below 2**25); a pair kept twice by a clash of mixes does no harm."""
     with np.errstate(over="ignore"):
-        mix = (node * np.int64(-7046029254386353131)) ^ (nbr * np.int64(-4417276706812531889) + (nbr >> 31))
+        mix = (at << 38) | ((nbr * np.int64(-4417276706812531889) ^ (nbr >> 31)) >> 26 & ((1 << 38) - 1))
     order = np.argsort(mix)
-    new = np.concatenate([[True], (np.diff(node[order]) != 0) | (np.diff(nbr[order]) != 0)])
+    new = np.concatenate([[True], (np.diff(mix[order]) != 0) | (np.diff(nbr[order]) != 0)])
     return np.minimum.reduceat(order, np.flatnonzero(new))
 
 
-def _by_nearness(node: np.ndarray, nbr: np.ndarray, sim: np.ndarray) -> np.ndarray:
-    """The order by node, similarity descending, neighbour."""
-    return _in_order(np.searchsorted(np.unique(node), node), nbr, sim)
-
-
 def _in_order(node: np.ndarray, nbr: np.ndarray, sim: np.ndarray) -> np.ndarray:
-    """``_by_nearness`` of nodes numbered below 2**31."""
+    """The order by node (numbers below 2**31), similarity descending, neighbour."""
     key = (node << 32) | ((1.5 - sim) * (1 << 30)).astype(np.int64)
     order = np.argsort(key)
     same = np.diff(key[order]) == 0
@@ -463,12 +482,13 @@ def settle(batches: Iterator[pa.RecordBatch], plan: Plan, k: int) -> Iterator[pa
             e = joined(kinds[EDGE])
             touched = np.unique(e["node"])
             for s in old:
-                at = touched[np.minimum(np.searchsorted(touched, s["node"]), len(touched) - 1)] == s["node"]
-                still.append(picked(s, ~at))
-                e = joined([picked(s, at), e])  # what was there comes first
-            e = picked(e, _once(e["node"], e["nbr"]))
-            e = picked(e, _by_nearness(e["node"], e["nbr"], e["sim"]))
-            e = joined([*still, picked(e, _within(e["node"], e["sim"], k))])
+                at = _among(touched, s["node"])[1]
+                still.append(picked(s, np.flatnonzero(~at)))
+                e = joined([picked(s, np.flatnonzero(at)), e])  # what was there comes first
+            at = _among(touched, e["node"])[0]
+            one = _once(at, e["nbr"])
+            one = one[_in_order(at[one], e["nbr"][one], e["sim"][one])]
+            e = joined([*still, picked(e, one[_within(at[one], e["sim"][one], k)])])
         else:
             e = joined(old)
         yield row(bucket, STATE, e, int(e["fresh"].sum()), len(e["node"]))
@@ -480,7 +500,7 @@ def settle(batches: Iterator[pa.RecordBatch], plan: Plan, k: int) -> Iterator[pa
 def list_neighbours(batches: Iterator[pa.RecordBatch], plan: Plan, seed: int) -> Iterator[pa.RecordBatch]:
     """The list of each node of a bucket that a fresh edge leads from or to: itself, its neighbours and at most WIDE nodes that it is a
     neighbour of (fresh ones first, the others in an order without meaning). Asks the buckets of all nodes named for their vectors."""
-    for bucket, kinds in gathered(batches):
+    for bucket, kinds in gathered(batches, {STATE: ("node", "home", "nbr", "nbr_home", "fresh")}):
         e = joined(kinds[STATE]) if kinds[STATE] else None
         own = np.flatnonzero(plan.bucket_of[e["nbr_home"]] == bucket) if e else []
         fresh = [e["node"][e["fresh"]], e["nbr"][own][e["fresh"][own]]] if e else []
@@ -488,49 +508,51 @@ def list_neighbours(batches: Iterator[pa.RecordBatch], plan: Plan, seed: int) ->
         if not len(active):
             continue
 
-        def taking_part(nodes: np.ndarray) -> np.ndarray:
-            return active[np.minimum(np.searchsorted(active, nodes), len(active) - 1)] == nodes
-
         parts = []
         if e:
-            out = np.flatnonzero(taking_part(e["node"]))
-            own = own[taking_part(e["nbr"][own])]
-            parts.append({"at": e["node"][out], "home": e["home"][out], "to": e["nbr"][out], "to_home": e["nbr_home"][out], "fresh": e["fresh"][out], "back": np.zeros(len(out), bool)})
-            parts.append({"at": e["nbr"][own], "home": e["nbr_home"][own], "to": e["node"][own], "to_home": e["home"][own], "fresh": e["fresh"][own], "back": np.ones(len(own), bool)})
+            at, there = _among(active, e["node"])
+            out = np.flatnonzero(there)
+            parts.append({"at": at[out], "home": e["home"][out], "to": e["nbr"][out], "to_home": e["nbr_home"][out], "fresh": e["fresh"][out], "back": np.zeros(len(out), bool)})
+            at, there = _among(active, e["nbr"][own])
+            own = own[there]
+            parts.append({"at": at[there], "home": e["nbr_home"][own], "to": e["node"][own], "to_home": e["home"][own], "fresh": e["fresh"][own], "back": np.ones(len(own), bool)})
         for r in kinds[BACK]:
             yes = np.ones(len(r["to"]), bool)
-            parts.append({"at": r["node"], "home": r["home"], "to": r["to"], "to_home": r["to_home"], "fresh": yes, "back": yes})
+            parts.append({"at": np.searchsorted(active, r["node"]), "home": r["home"], "to": r["to"], "to_home": r["to_home"], "fresh": yes, "back": yes})
         e = joined(parts)
-        at = np.searchsorted(active, e["at"])
+        at = e["at"]
         with np.errstate(over="ignore"):
-            mixed = ((e["to"] * np.int64(2654435761) + e["at"] * np.int64(40503) + seed * 97) * np.int64(2246822519) >> 20) & 0xFFFFF
+            mixed = ((e["to"] * np.int64(2654435761) + active[at] * np.int64(40503) + seed * 97) * np.int64(2246822519) >> 20) & 0xFFFFF
         order = np.argsort((at << 22) | (e["back"].astype(np.int64) << 21) | ((~e["fresh"]).astype(np.int64) << 20) | mixed)
-        name = (at * 2 + e["back"])[order]
-        order = order[~e["back"][order] | (np.arange(len(order)) - np.searchsorted(name, name) < WIDE)]
+        order = order[~e["back"][order] | (_ranks((at * 2 + e["back"])[order]) < WIDE)]
         first = np.empty(len(active), np.int64)
         first[at[order]] = order
-        me = {"at": active, "to": active, "to_home": e["home"][first], "fresh": np.zeros(len(active), bool)}
+        me = {"at": np.arange(len(active)), "to": active, "to_home": e["home"][first], "fresh": np.zeros(len(active), bool)}
         order = np.concatenate([order[e["fresh"][order]], order[~e["fresh"][order]]])  # where a node is named twice, the fresh edge counts
         e = joined([{c: e[c][order] for c in me}, me])
         e = picked(e, _once(e["at"], e["to"]))
-        e = picked(e, np.argsort(e["at"]))
-        yield row(bucket, LIST, {c: e[c] for c in ("at", "to", "fresh")})
-        named, first = np.unique(e["to"], return_index=True)
-        yield from scatter(ASK, plan.bucket_of[e["to_home"][first]], {"node": named, "asker": np.full(len(named), bucket, np.int32)})
+        order = np.argsort(e["to"])
+        start, n = _runs(e["to"][order])
+        to = np.empty(len(order), np.int64)
+        to[order] = np.repeat(np.arange(len(n)), n)
+        named = e["to"][order[start]]
+        yield row(bucket, LIST, {"at": e["at"], "to": to, "fresh": e["fresh"], "named": named})
+        yield from scatter(ASK, plan.bucket_of[e["to_home"][order[start]]], {"node": named, "asker": np.full(len(named), bucket, np.int32)})
 
 
 def answer(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """Sends vectors to the buckets that ask for them, each with the similarity that a better edge of it has to exceed."""
-    for _, kinds in gathered(batches):
+    for _, kinds in gathered(batches, {STATE: ("node", "sim")}):
         if not kinds[ASK] or not kinds[VECTOR]:
             continue
         v = joined(kinds[VECTOR])
         nodes, first = np.unique(v["node"], return_index=True)
         n, worst = np.zeros(len(nodes), np.int64), np.full(len(nodes), 2.0)
         for e in kinds[STATE]:
-            at = np.searchsorted(nodes, e["node"])
-            np.add.at(n, at, 1)
-            np.minimum.at(worst, at, e["sim"])
+            start, held = _runs(e["node"])  # a node's edges stand together
+            at = np.searchsorted(nodes, e["node"][start])
+            np.add.at(n, at, held)
+            np.minimum.at(worst, at, np.minimum.reduceat(e["sim"], start) if len(start) else e["sim"])
         full = (n >= LOOSE * k) | ((n == k) & (worst >= COVER))
         bound = np.where(full, worst, -2).astype(np.float32)
         for ask in kinds[ASK]:
@@ -544,12 +566,12 @@ def join_lists(batches: Iterator[pa.RecordBatch], plan: Plan, k: int) -> Iterato
     for _, kinds in gathered(batches):
         if not kinds[LIST] or not kinds[ANSWER]:
             continue
-        there, e = joined(kinds[ANSWER]), joined(kinds[LIST])
+        there, (e,) = joined(kinds[ANSWER]), kinds[LIST]
         there = picked(there, np.argsort(there["node"]))
-        pos = np.minimum(np.searchsorted(there["node"], e["to"]), len(there["node"]) - 1)
-        known = there["node"][pos] == e["to"]
-        at = np.unique(e["at"][known], return_inverse=True)[1]
-        a, b, s = _local_join(at, pos[known], e["fresh"][known], from_fixed(there["vec"]), there["node"], there["bound"], LOOSE * k)
+        pos = np.minimum(np.searchsorted(there["node"], e["named"]), len(there["node"]) - 1)
+        known = np.flatnonzero((there["node"][pos] == e["named"])[e["to"]])
+        n = _runs(e["at"][known])[1]
+        a, b, s = _local_join(np.repeat(np.arange(len(n)), n), pos[e["to"][known]], e["fresh"][known], from_fixed(there["vec"]), there["node"], there["bound"], LOOSE * k)
         flags = {"fresh": np.ones(len(a), bool), "rough": np.ones(len(a), bool)}
         yield from scatter(EDGE, plan.bucket_of[there["home"][a]], _first(there["node"][a], there["home"][a], there["node"][b], there["home"][b], s) | flags)
 
@@ -557,56 +579,60 @@ def join_lists(batches: Iterator[pa.RecordBatch], plan: Plan, k: int) -> Iterato
 def _local_join(at: np.ndarray, pos: np.ndarray, fresh: np.ndarray, x: np.ndarray, keys: np.ndarray, bound: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(a, b, similarity)`` of pairs of one list, at least one of them fresh, that exceed the bound of ``a``: at most ``most`` for each ``a``.
 
-    ``at`` numbers the lists in ascending order; ``pos`` are rows of ``x``. Lists of about equal length are compared together.
+    ``at`` numbers the lists in ascending order; ``pos`` are rows of ``x``. Lists with about as many entries and fresh ones are compared
+    together, the fresh entries of each with all of it.
     """
-    count = np.bincount(at)
+    count, new = np.bincount(at), np.bincount(at, fresh).astype(np.int64)
     begin = np.cumsum(count) - count
-    by_size = np.argsort(count, kind="stable")
+    rank = np.cumsum(fresh) - fresh - (np.cumsum(new) - new)[at]
+    first = np.empty_like(pos)  # the entries of each list, fresh ones before the others
+    first[begin[at] + np.where(fresh, rank, new[at] + np.arange(len(at)) - begin[at] - rank)] = pos
+    kind = -(-new // 4) * (int(count.max(initial=0)) + 8) + count // 8
+    by_kind = np.argsort(kind, kind="stable")
+    by_kind = by_kind[new[by_kind] > 0]
     x = np.concatenate([x, np.zeros((1, x.shape[1]), np.float32)])
     limit = np.append(bound, np.float32(2))
-    out: list[list[np.ndarray]] = [[], [], []]
-    lo = 0
-    while lo < len(by_size):
-        wide = int(count[by_size[lo]])
-        hi = lo + 1
-        while hi < len(by_size) and hi - lo < 2048 and count[by_size[hi]] <= wide + 8:
-            hi += 1
-        hi = min(hi, lo + max(1, (1 << 22) // (int(count[by_size[hi - 1]]) ** 2)))
-        lists = by_size[lo:hi]
-        width = int(count[lists[-1]])
-        slot = np.arange(width)[None, :]
-        where = np.minimum(begin[lists][:, None] + slot, len(pos) - 1)
-        real = slot < count[lists][:, None]
-        grid, new = np.where(real, pos[where], len(bound)), fresh[where] & real
-        v = x[grid]
-        s = v @ v.transpose(0, 2, 1)
-        s[:, np.arange(width), np.arange(width)] = -2
-        ok = s > limit[grid][:, :, None]
-        ok &= new[:, :, None] | new[:, None, :]
-        r, i, j = np.nonzero(ok)
-        a, b = grid[r, i], grid[r, j]
-        keep = b < len(bound)
-        out[0].append(a[keep])
-        out[1].append(b[keep])
-        out[2].append(s[r, i, j][keep])
-        lo = hi
+    out: list[list[np.ndarray]] = [[np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.float32)]]
+    for lo, n in zip(*_runs(kind[by_kind])):
+        alike = by_kind[lo : lo + n]
+        width, few = int(count[alike].max()), int(new[alike].max())
+        step, slot = max(1, min(2048, (1 << 22) // (width * few))), np.arange(width)[None, :]
+        for lists in (alike[i : i + step] for i in range(0, n, step)):
+            grid = np.where(slot < count[lists][:, None], first[np.minimum(begin[lists][:, None] + slot, len(first) - 1)], len(bound))
+            isnew = slot < new[lists][:, None]
+            v, least = x[grid], limit[grid]
+            s = v[:, :few] @ v.transpose(0, 2, 1)
+            own = s > least[:, :few, None]
+            own &= isnew[:, :few, None]
+            own[:, slot[0, :few], slot[0, :few]] = False
+            other = s > least[:, None, :]
+            other &= isnew[:, :few, None] & ~isnew[:, None, :]  # of two fresh entries each has a row
+            for ok, back in ((own, False), (other, True)):
+                i = np.flatnonzero(ok)
+                row = i // width
+                a, b = grid[:, :few].ravel()[row], grid.ravel()[row // few * width + (i - row * width)]
+                keep = b < len(bound)
+                a, b = a[keep], b[keep]
+                out[0].append(b if back else a)
+                out[1].append(a if back else b)
+                out[2].append(s.ravel()[i[keep]])
     a, b, s = (np.concatenate(v) for v in out)
     if not len(a):
         return a, b, s
     pair = a * len(bound) + b
     order = np.argsort(pair)
-    one = np.minimum.reduceat(order, np.flatnonzero(np.r_[True, np.diff(pair[order]) != 0]))
+    one = order[_runs(pair[order])[0]]
     a, b, s = a[one], b[one], s[one]
     one = _in_order(a, keys[b], s.astype(np.float64))
     a, b, s = a[one], b[one], s[one]
-    keep = np.arange(len(a)) - np.searchsorted(a, a) < most
+    keep = _ranks(a) < most
     return a[keep], b[keep], s[keep]
 
 
 def read_edges(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for body in b.column("body"):
-            e = decode(memoryview(body.as_buffer()))
+            e = decode(memoryview(body.as_buffer()), ("node", "nbr", "sim", "rough"))
             e = picked(e, e["sim"] >= least)
             yield pa.record_batch([*_edges(e["node"], e["nbr"], e["sim"]), pa.array(e["rough"])], names=["node", "nbr", "sim", "rough"])
 
@@ -647,7 +673,7 @@ def descent_graph(df: DataFrame, key: str = "cell_key", embedding: str = "embedd
     tasks = max(buckets, plan.blocks + int(plan.sparse_of.max()) + 1)
     placed = rows.where(F.col(key).isNotNull()).mapInArrow(lambda it: place(it, shared.value, tasks), ROW)
     first = to_buckets(placed, tasks).mapInArrow(lambda it: compare_blocks(it, width, shared.value), ROW)
-    graph = cut(to_buckets(first, buckets).mapInArrow(lambda it: settle(it, shared.value, width), ROW), by="kind")
+    graph = cut(to_buckets(first, buckets).mapInArrow(lambda it: settle(it, shared.value, width), ROW), by="kind", packed=True)
     vectors = None
     for seed in range(rounds):
         fresh, edges = graph.where(F.col("kind") == STATE).agg(F.sum("fresh"), F.sum("total")).first()
@@ -655,15 +681,15 @@ def descent_graph(df: DataFrame, key: str = "cell_key", embedding: str = "embedd
             break
         if vectors is None:
             at_home = rows.where(F.col(key).isNotNull()).mapInArrow(lambda it: vectors_at_home(it, shared.value), ROW)
-            vectors = cut(to_buckets(at_home, buckets))
+            vectors = cut(to_buckets(at_home, buckets), packed=True)
         state = graph.where(F.col("kind") == STATE)
-        lists = cut(to_buckets(graph.where(F.col("kind").isin(STATE, BACK)), buckets).mapInArrow(lambda it, seed=seed: list_neighbours(it, shared.value, seed), ROW), by="kind")
+        lists = cut(to_buckets(graph.where(F.col("kind").isin(STATE, BACK)), buckets).mapInArrow(lambda it, seed=seed: list_neighbours(it, shared.value, seed), ROW), by="kind", packed=True)
         discard_part(graph, "kind", BACK)
         asked = lists.where(F.col("kind") == ASK).unionByName(vectors).unionByName(state)
         answers = to_buckets(asked, buckets).mapInArrow(lambda it: answer(it, width), ROW)
-        found = cut(to_buckets(lists.where(F.col("kind") == LIST).unionByName(answers), buckets).mapInArrow(lambda it: join_lists(it, shared.value, width), ROW))
+        found = cut(to_buckets(lists.where(F.col("kind") == LIST).unionByName(answers), buckets).mapInArrow(lambda it: join_lists(it, shared.value, width), ROW), packed=True)
         discard(lists)
-        step = cut(to_buckets(state.unionByName(found), buckets).mapInArrow(lambda it: settle(it, shared.value, width), ROW), by="kind")
+        step = cut(to_buckets(state.unionByName(found), buckets).mapInArrow(lambda it: settle(it, shared.value, width), ROW), by="kind", packed=True)
         discard(found, graph)
         graph = step
     out = cut(graph.where(F.col("kind") == STATE).select("body").mapInArrow(lambda it: read_edges(it, least - 1e-4), EDGES + ", rough boolean"))

@@ -53,20 +53,26 @@ def unpack(column: pa.Array | pa.ChunkedArray, dim: int = DIM) -> np.ndarray:
 def top_k(s: np.ndarray, keys: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(row, column, value)`` of at least the ``k`` largest entries of each row of ``s``, ties included.
 
-    A lower bound of the k-th largest entry comes from the maxima of column groups; only entries
-    that reach it are looked at. Entries of -2 are never taken.
+    A lower bound of the k-th largest entry comes from the maxima of column groups; only the groups whose
+    maximum reaches it are looked at. Entries of -2 are never taken.
     """
     n, m = s.shape
-    width = max(1, m // (8 * k))
+    width = max(1, m // (32 * k))
     groups = m // width
     if groups > k:
         peaks = s[:, : groups * width].reshape(n, width, groups).max(axis=1)  # groups of every groups-th column, which reads memory in order
-        bound = np.partition(peaks, groups - k, axis=1)[:, groups - k]
+        bound = np.maximum(np.partition(peaks, groups - k, axis=1)[:, groups - k] - 2e-7, -1.5)  # and what equals it to seven places
+        row, group = np.divmod(np.flatnonzero(peaks >= bound[:, None]), groups)
+        col = group[:, None] + np.arange(width) * groups
+        val = np.take(s, (row * m)[:, None] + col)
+        at = np.flatnonzero(val >= bound[row][:, None])
+        row, col, val = row[at // width], col.ravel()[at], val.ravel()[at]
+        if rest := m - groups * width:
+            r, c = np.divmod(np.flatnonzero(s[:, -rest:] >= bound[:, None]), rest)
+            row, col, val = np.concatenate([row, r]), np.concatenate([col, c + m - rest]), np.concatenate([val, s[r, c + m - rest]])
     else:
-        bound = np.full(n, -1.5, s.dtype)
-    flat = np.flatnonzero(s >= np.maximum(bound, -1.5)[:, None])
-    row, col = np.divmod(flat, m)
-    val = s[row, col]
+        row, col = np.divmod(np.flatnonzero(s >= -1.5), m)
+        val = s[row, col]
     place = (row << 26) | (20_000_000 - np.rint(val.astype(np.float64) * 1e7).astype(np.int64))  # by row, then by value to seven places
     order = np.argsort(place)
     same = place[order[1:]] == place[order[:-1]]

@@ -63,16 +63,16 @@ def _own_shuffles(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
-def cut(df: DataFrame, by: str | None = None) -> DataFrame:
+def cut(df: DataFrame, by: str | None = None, packed: bool = False) -> DataFrame:
     """Materialise ``df`` as a table in the shared folder and cut its lineage.
 
     The table survives the loss of any executor. ``discard`` deletes it once it is no longer needed, ``discard_part`` what it holds
-    for one value of the column ``by``.
+    for one value of the column ``by``. Columns that are ``packed`` already are not compressed again.
     """
     spark = df.sparkSession
     path = scratch(spark, "cut")
     with _own_shuffles(spark):
-        df.write.option("compression", "zstd").partitionBy(*[by] if by else []).parquet(path)
+        df.write.options(**{"compression": "none", "parquet.enable.dictionary": "false"} if packed else {"compression": "zstd"}).partitionBy(*[by] if by else []).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._tessella_path = path
     return out

@@ -3,9 +3,10 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tessella.llm import grid_clusters, knn_graph
+from tessella.llm import columns, grid_clusters, knn_graph
 from tessella.llm.vectors import top_k
 
 EMB = "cell_key long, slide_id string, embedding array<float>, vec binary, node long, grid long, home int"
@@ -215,3 +216,57 @@ def test_orders_of_candidates():
     a, b, sim = knn_graph._local_join(at, pos, np.ones(6, bool), x, names, bound, 5)
     assert list(zip(a.tolist(), names[b].tolist())) == [(0, 10), (0, 30), (1, 30), (1, 40), (3, 10), (3, 40)] and (sim == 1).all()
     assert not len(knn_graph._local_join(at, pos, np.ones(6, bool), x, names, bound + 1, 5)[0])
+
+
+def test_columns_are_packed_in_few_bytes_without_loss():
+    rng = np.random.default_rng(1)
+    cols = {
+        "node": rng.integers(0, 10**6, 5000),
+        "wide": rng.integers(-(2**62), 2**62, 5000),
+        "home": rng.integers(0, 90, 5000).astype(np.int32),
+        "sim": np.round(rng.uniform(-1, 1, 5000), 9),
+        "fresh": rng.random(5000) < 0.5,
+        "vec": rng.integers(-(2**15), 2**15, (70, 52)).astype(np.int16),
+        "none": np.empty(0, np.int64),
+    }
+    body = columns.encode(cols)
+    back = columns.decode(memoryview(body))
+    assert list(back) == list(cols) and all(back[c].dtype == v.dtype and back[c].shape == v.shape and (back[c] == v).all() for c, v in cols.items())
+    assert list(columns.decode(body, ("sim", "vec"))) == ["sim", "vec"]
+    assert len(columns.encode({"sim": cols["sim"]})) < 5000 * 4.2  # 33 kB in double precision
+
+
+def placed(x, tasks=7):
+    keys = np.arange(len(x))
+    at, leaders, weights = knn_graph.choose_leaders(x)
+    plan = knn_graph.plan_blocks(x, keys[at], leaders, weights, len(x), -1.0, 3)
+    batch = pa.record_batch([pa.array(keys), pa.array(x.tolist(), pa.list_(pa.float32()))], names=["key", "embedding"])
+    return list(knn_graph.place(iter([batch]), plan, tasks))
+
+
+def test_a_batch_is_sent_in_one_row_for_each_task():
+    x = np.concatenate([make(seed=s) for s in range(24)])
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    rows = placed(x)
+    assert len(x) > 2 * 2048 and len(rows) <= 7
+    sent = [columns.decode(r.column("body")[0].as_buffer()) for r in rows]
+    home = np.concatenate([s["key"][~s["guest"] & (s["block"] >= 0)] for s in sent])
+    assert sorted(home.tolist()) == list(range(len(x)))
+    assert all(np.allclose(s["vec"], x[s["key"]], atol=1e-6) for s in sent)
+
+
+def test_fresh_entries_meet_their_list():
+    """Every pair of one list with a fresh entry, in either direction, against the plain definition."""
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((300, 50)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    bound = rng.uniform(-0.3, 0.1, 300).astype(np.float32)
+    lists = [rng.choice(300, n, replace=False) for n in rng.integers(1, 60, 80)]
+    flags = [rng.random(len(v)) < rng.choice([0.05, 0.5, 1]) for v in lists]
+    at = np.repeat(np.arange(80), [len(v) for v in lists])
+    want = {(a, b) for v, f in zip(lists, flags) for i, a in enumerate(v.tolist()) for j, b in enumerate(v.tolist()) if i != j and (f[i] or f[j]) and x[a] @ x[b] > bound[a]}
+    a, b, s = knn_graph._local_join(at, np.concatenate(lists), np.concatenate(flags), x, np.arange(300), bound, 10**6)
+    assert set(zip(a.tolist(), b.tolist())) == want and len(a) == len(want) > 5000
+    assert np.abs(s - np.einsum("ij,ij->i", x[a], x[b])).max() < 1e-5
+    none = knn_graph._local_join(at, np.concatenate(lists), np.zeros(len(at), bool), x, np.arange(300), bound, 9)
+    assert [len(v) for v in none] == [0, 0, 0]
