@@ -50,7 +50,7 @@ def number_cells(cells: DataFrame, order: list[str], slide: str = "slide_id") ->
 def first_match(polygons: DataFrame, classified: DataFrame, on: list[str], position: str) -> DataFrame:
     """Polygons with the first classified cell of their key; polygons without one drop out."""
     first = classified.withColumn("__r", F.lag(F.lit(1)).over(W.partitionBy(*on).orderBy(position))).where("__r IS NULL").drop("__r", position)
-    return polygons.join(first, on)
+    return polygons.join(first.hint("merge"), on)  # both grow with the cells; the engine takes polygons for the size of the compressed table of masks
 
 
 def representatives(cells: DataFrame, threshold: float = 0.0, most: int | None = None, group: tuple[str, ...] = ("slide_id", "cluster_id"), conf: str = "confidence", cell: str = "cell_id") -> DataFrame:
